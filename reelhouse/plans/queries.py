@@ -254,3 +254,259 @@ def q_item_leaderboard(spark, sf_dir):
                             F.col("movieId").asc()], 20)
     return with_titles(top, S.movies(spark, sf_dir)).select(
         "movieId", "title", F.round("avg_rating", 6).alias("avg_rating"), "num_ratings")
+
+
+# ------------------------------------------------------ title pipeline -----
+from reelhouse.operators import scoring  # noqa: E402
+from reelhouse.operators import profile as prof  # noqa: E402
+
+AS_OF_YEAR = 2025
+# Tag set of the registered tag-set queries (words that occur in the stand-in
+# genre lists); the library default is scoring.DEFAULT_TAG_SET.
+STANDIN_TAG_SET = ("red", "blue", "SMALL", "LARGE", "widget")
+_TAGS_SQL = ", ".join(f"'{t}'" for t in STANDIN_TAG_SET)
+
+SILVER_SQL = T + f""",
+tb AS (SELECT tconst, titleType, primaryTitle, TRY_CAST(startYear AS INTEGER) AS startYear,
+              TRY_CAST(runtimeMinutes AS INTEGER) AS runtimeMinutes, genres FROM title_basics),
+b AS (SELECT * FROM tb WHERE titleType = 'movie' AND startYear >= 2000 AND startYear <= {AS_OF_YEAR}),
+a AS (SELECT titleId, language, region FROM title_akas
+      WHERE language IS NOT NULL AND language IN ('en', 'nl') AND region IN ('US', 'GB', 'NL', 'BE', 'AU')),
+r AS (SELECT tconst, TRY_CAST(averageRating AS FLOAT) AS averageRating,
+             TRY_CAST(numVotes AS INTEGER) AS numVotes FROM title_ratings
+      WHERE TRY_CAST(numVotes AS INTEGER) >= 5),
+j AS (SELECT b.*, a.language, a.region, r.averageRating, r.numVotes
+      FROM b JOIN a ON b.tconst = a.titleId JOIN r ON b.tconst = r.tconst),
+one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY tconst
+          ORDER BY averageRating DESC, numVotes DESC, language DESC, region DESC) AS rn FROM j)
+        WHERE rn = 1),
+silver AS (SELECT * FROM one ORDER BY averageRating DESC, numVotes DESC, tconst LIMIT 1000),
+fact AS (SELECT tconst, CAST(averageRating AS DOUBLE) AS averageRating, numVotes FROM silver),
+weighted AS (SELECT *, CAST(numVotes AS DOUBLE) / (CAST(numVotes AS DOUBLE) + 50.0) * averageRating
+                 + 50.0 / (CAST(numVotes AS DOUBLE) + 50.0) * (SELECT avg(averageRating) FROM fact)
+                 AS weightedRating FROM fact),
+dimw AS (SELECT s.* REPLACE (CAST(s.averageRating AS DOUBLE) AS averageRating),
+                CAST(s.numVotes AS DOUBLE) / (CAST(s.numVotes AS DOUBLE) + 50.0) * CAST(s.averageRating AS DOUBLE)
+                + 50.0 / (CAST(s.numVotes AS DOUBLE) + 50.0)
+                  * (SELECT avg(CAST(averageRating AS DOUBLE)) FROM silver) AS weightedRating
+         FROM silver s),
+topd AS (SELECT * FROM dimw ORDER BY averageRating DESC, numVotes DESC, tconst LIMIT 1000),
+dirs AS (SELECT c.tconst, string_agg(n.primaryName, ',' ORDER BY n.primaryName) AS directorNames
+         FROM (SELECT tconst, unnest(string_split(directors, ',')) AS directorId
+               FROM title_crew WHERE tconst IN (SELECT tconst FROM topd)) c
+         LEFT JOIN name_basics n ON c.directorId = n.nconst GROUP BY c.tconst),
+dim AS (SELECT t.*, d.directorNames,
+               coalesce(list_has_any(string_split(t.genres, ','), [{_TAGS_SQL}]), false) AS tag_set_flag,
+               coalesce(len(list_filter(string_split(t.genres, ','), lambda x: x IN ({_TAGS_SQL}))), 0)
+                 AS tag_set_count
+        FROM topd t LEFT JOIN dirs d ON t.tconst = d.tconst),
+genre_rows AS (SELECT *, unnest(string_split(genres, ',')) AS genre FROM dim)"""
+
+
+def _silver(spark, sf_dir):
+    return scoring.silver_titles(S.title_basics(spark, sf_dir), S.title_akas(spark, sf_dir),
+                                 S.title_ratings(spark, sf_dir), as_of_year=AS_OF_YEAR)
+
+
+def _title_dim(spark, sf_dir):
+    return scoring.title_dim(_silver(spark, sf_dir), S.title_crew(spark, sf_dir),
+                             S.name_basics(spark, sf_dir), tags=STANDIN_TAG_SET)
+
+
+@query("title_silver", with_ctes(SILVER_SQL) + "SELECT * FROM silver")
+def q_title_silver(spark, sf_dir):
+    return _silver(spark, sf_dir)
+
+
+@query("weighted_rating", with_ctes(SILVER_SQL) + """
+SELECT tconst, averageRating, numVotes, round(weightedRating, 6) AS weightedRating FROM weighted""")
+def q_weighted_rating(spark, sf_dir):
+    w = scoring.weighted_rating(scoring.title_fact(_silver(spark, sf_dir)))
+    return w.withColumn("weightedRating", F.round("weightedRating", 6))
+
+
+@query("weighted_top20", with_ctes(SILVER_SQL) + """
+SELECT tconst, averageRating, numVotes, round(weightedRating, 6) AS weightedRating FROM weighted
+ORDER BY weightedRating DESC, tconst LIMIT 20""")
+def q_weighted_top20(spark, sf_dir):
+    w = scoring.weighted_rating(scoring.title_fact(_silver(spark, sf_dir)))
+    top = ranking.top_k(w, [F.col("weightedRating").desc(), F.col("tconst").asc()], 20)
+    return top.withColumn("weightedRating", F.round("weightedRating", 6))
+
+
+@query("title_dim", with_ctes(SILVER_SQL) + """
+SELECT tconst, primaryTitle, genres, averageRating, numVotes, round(weightedRating, 6) AS weightedRating,
+       directorNames, tag_set_flag, tag_set_count FROM dim""")
+def q_title_dim(spark, sf_dir):
+    d = _title_dim(spark, sf_dir)
+    return d.select("tconst", "primaryTitle", "genres", "averageRating", "numVotes",
+                    F.round("weightedRating", 6).alias("weightedRating"),
+                    F.when(F.size("directorNames") > 0, F.array_join("directorNames", ","))
+                    .alias("directorNames"), "tag_set_flag", "tag_set_count")
+
+
+@query("director_names", with_ctes(SILVER_SQL) + "SELECT tconst, directorNames FROM dirs")
+def q_director_names(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    top = ranking.top_k(silver, [F.col("averageRating").desc(), F.col("numVotes").desc(),
+                                 F.col("tconst").asc()], 1000)
+    d = scoring.director_names(S.title_crew(spark, sf_dir), S.name_basics(spark, sf_dir), top)
+    return d.select("tconst", F.when(F.size("directorNames") > 0, F.array_join("directorNames", ","))
+                    .alias("directorNames"))
+
+
+@query("tag_set_flag_count", with_ctes(SILVER_SQL) + """
+SELECT tconst, genres, tag_set_flag, tag_set_count FROM dim""")
+def q_tag_set_flag_count(spark, sf_dir):
+    return _title_dim(spark, sf_dir).select("tconst", "genres", "tag_set_flag", "tag_set_count")
+
+
+@query("top20_per_genre", with_ctes(SILVER_SQL) + """
+SELECT genre, tconst, round(weightedRating, 6) AS weightedRating, rank_in_genre FROM (
+  SELECT *, row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS rank_in_genre
+  FROM genre_rows) WHERE rank_in_genre <= 20""")
+def q_top20_per_genre(spark, sf_dir):
+    t = scoring.top_per_genre(_title_dim(spark, sf_dir), 20)
+    return t.select("genre", "tconst", F.round("weightedRating", 6).alias("weightedRating"),
+                    "rank_in_genre")
+
+
+_TAGSET_RANK = """(SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY genre
+    ORDER BY tag_set_count DESC, weightedRating DESC, tconst) AS rk FROM genre_rows) WHERE rk <= 20)"""
+
+
+@query("top20_per_genre_tagset", with_ctes(SILVER_SQL) + f"""
+SELECT genre, tconst, tag_set_count, round(weightedRating, 6) AS weightedRating FROM {_TAGSET_RANK}""")
+def q_top20_per_genre_tagset(spark, sf_dir):
+    t = scoring.top_per_genre_tagset(_title_dim(spark, sf_dir), 20)
+    return t.select("genre", "tconst", "tag_set_count", F.round("weightedRating", 6).alias("weightedRating"))
+
+
+@query("top20_unique", with_ctes(SILVER_SQL) + f"""
+SELECT genre, tconst, tag_set_count, round(weightedRating, 6) AS weightedRating FROM (
+  SELECT *, row_number() OVER (PARTITION BY tconst
+    ORDER BY tag_set_count DESC, weightedRating DESC, genre ASC) AS rn FROM {_TAGSET_RANK})
+WHERE rn = 1""")
+def q_top20_unique(spark, sf_dir):
+    t = scoring.top_per_genre_unique(_title_dim(spark, sf_dir), 20)
+    return t.select("genre", "tconst", "tag_set_count", F.round("weightedRating", 6).alias("weightedRating"))
+
+
+# ---------------------------------------------------------- profiling ------
+def _union_per_column(table: str, cols: list[str], expr: str, alias: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {expr.format(c=c)} AS {alias} FROM {table}" for c in cols)
+
+
+@query("null_counts", with_ctes(L) + _union_per_column(
+    "links", ["movieId", "imdbId", "tmdbId"], 'CAST(count(*) - count("{c}") AS BIGINT)', "missing"))
+def q_null_counts(spark, sf_dir):
+    return prof.null_counts(S.links(spark, sf_dir))
+
+
+@query("distinct_counts", with_ctes(M) + _union_per_column(
+    "movies", ["movieId", "title", "genres"], 'count(DISTINCT "{c}")', "unique_values"))
+def q_distinct_counts(spark, sf_dir):
+    return prof.distinct_counts(S.movies(spark, sf_dir))
+
+
+_PROFILE_TYPES = {"userId": "int", "movieId": "int", "rating": "float", "timestamp": "bigint"}
+
+
+@query("profile_ratings", with_ctes(R) + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS dtype, CAST(count(*) - count("{c}") AS BIGINT) AS missing_values,
+       count(DISTINCT "{c}") AS unique_values, CAST(min("{c}") AS VARCHAR) AS sample_value FROM ratings"""
+    for c, t in _PROFILE_TYPES.items()))
+def q_profile_ratings(spark, sf_dir):
+    return prof.profile(S.ratings(spark, sf_dir))
+
+
+@query("sparsity", with_ctes(R, M) + """
+SELECT round(1.0 - count(*) / (count(DISTINCT userId) * (SELECT count(DISTINCT movieId) FROM movies)), 6)
+         AS sparsity, count(*) AS ratings, count(DISTINCT userId) AS users,
+       (SELECT count(DISTINCT movieId) FROM movies) AS items FROM ratings""")
+def q_sparsity(spark, sf_dir):
+    s = prof.sparsity(S.ratings(spark, sf_dir), S.movies(spark, sf_dir))
+    return s.withColumn("sparsity", F.round("sparsity", 6))
+
+
+_TOPUSER_SQL = """counts AS (SELECT userId, count(*) AS n FROM ratings GROUP BY userId),
+tu AS (SELECT userId FROM counts ORDER BY n DESC, userId ASC LIMIT 1)"""
+
+
+@query("user_vs_global", with_ctes(R, _TOPUSER_SQL) + """
+SELECT (SELECT userId FROM tu) AS userId, round(avg(rating), 6) AS global_avg,
+       round(avg(CASE WHEN userId = (SELECT userId FROM tu) THEN rating END), 6) AS user_avg,
+       round(avg(CASE WHEN userId = (SELECT userId FROM tu) THEN rating END) - avg(rating), 6) AS difference
+FROM ratings""")
+def q_user_vs_global(spark, sf_dir):
+    u = prof.user_vs_global(S.ratings(spark, sf_dir))
+    return u.select("userId", *[F.round(c, 6).alias(c) for c in ("global_avg", "user_avg", "difference")])
+
+
+@query("top_gap", with_ctes(R, _TOPUSER_SQL) + """,
+two AS (SELECT userId, n, row_number() OVER (ORDER BY n DESC, userId ASC) AS pos FROM counts
+        ORDER BY n DESC, userId ASC LIMIT 2)
+SELECT max(CASE WHEN pos = 1 THEN userId END) AS top_user, max(CASE WHEN pos = 1 THEN n END) AS top_count,
+       max(CASE WHEN pos = 2 THEN userId END) AS second_user,
+       max(CASE WHEN pos = 2 THEN n END) AS second_count,
+       max(CASE WHEN pos = 1 THEN n END) - max(CASE WHEN pos = 2 THEN n END) AS difference,
+       round((max(CASE WHEN pos = 1 THEN n END) - max(CASE WHEN pos = 2 THEN n END)) * 100.0
+             / max(CASE WHEN pos = 2 THEN n END), 6) AS percent_diff
+FROM two""")
+def q_top_gap(spark, sf_dir):
+    return prof.top_gap(S.ratings(spark, sf_dir)).withColumn("percent_diff", F.round("percent_diff", 6))
+
+
+@query("count_zscore", with_ctes(R, _TOPUSER_SQL) + """
+SELECT max(n) AS top_count, round(avg(n), 6) AS mean_count, round(stddev_samp(n), 6) AS std_count,
+       round((max(n) - avg(n)) / stddev_samp(n), 6) AS z_score FROM counts""")
+def q_count_zscore(spark, sf_dir):
+    z = prof.count_zscore(S.ratings(spark, sf_dir))
+    return z.select("top_count", *[F.round(c, 6).alias(c) for c in ("mean_count", "std_count", "z_score")])
+
+
+@query("centre_ratings", with_ctes(R) + """
+SELECT userId, movieId, rating, "timestamp",
+       round(rating - avg(rating) OVER (PARTITION BY userId), 6) AS normalized_rating FROM ratings""")
+def q_centre_ratings(spark, sf_dir):
+    c = prof.centre_ratings(S.ratings(spark, sf_dir))
+    return c.withColumn("normalized_rating", F.round("normalized_rating", 6))
+
+
+def _hist_sql(src: str, bins: int) -> str:
+    return f"""
+mm AS (SELECT min(x) AS lo, max(x) AS hi FROM {src}),
+cnt AS (SELECT CAST(least(coalesce(floor((x - lo) * {bins} / nullif(hi - lo, 0)), 0), {bins - 1}) AS INTEGER)
+          AS bin, count(*) AS n FROM {src}, mm GROUP BY 1)
+SELECT g.bin, round(lo + g.bin * (hi - lo) / {float(bins)}, 6) AS lower,
+       round(lo + (g.bin + 1) * (hi - lo) / {float(bins)}, 6) AS upper, coalesce(n, 0) AS "count"
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range({bins})) g CROSS JOIN mm
+LEFT JOIN cnt ON g.bin = cnt.bin"""
+
+
+def _round_hist(h: DataFrame) -> DataFrame:
+    return h.withColumns({"lower": F.round("lower", 6), "upper": F.round("upper", 6)})
+
+
+@query("histogram_ratings", with_ctes(R, "vals AS (SELECT CAST(rating AS DOUBLE) AS x FROM ratings "
+                                         "WHERE rating IS NOT NULL)", _hist_sql("vals", 10)))
+def q_histogram_ratings(spark, sf_dir):
+    return _round_hist(prof.histogram(S.ratings(spark, sf_dir), "rating", 10))
+
+
+@query("histogram_user_counts", with_ctes(
+    R, "vals AS (SELECT CAST(count(*) AS DOUBLE) AS x FROM ratings GROUP BY userId)", _hist_sql("vals", 30)))
+def q_histogram_user_counts(spark, sf_dir):
+    return _round_hist(prof.histogram(prof.per_key_counts(S.ratings(spark, sf_dir)), "n", 30))
+
+
+@query("user_tag_profile", with_ctes(R, M, _TOPUSER_SQL) + """
+SELECT tag, count(*) AS n, round(avg(rating), 6) AS avg_rating FROM (
+  SELECT r.rating, unnest(string_split(m.genres, '|')) AS tag
+  FROM ratings r LEFT JOIN movies m ON r.movieId = m.movieId
+  WHERE r.userId = (SELECT userId FROM tu) AND m.genres IS NOT NULL) GROUP BY tag""")
+def q_user_tag_profile(spark, sf_dir):
+    p = prof.user_tag_profile(S.ratings(spark, sf_dir), S.movies(spark, sf_dir), "genres", "|")
+    return p.withColumn("avg_rating", F.round("avg_rating", 6))
