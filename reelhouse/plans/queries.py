@@ -225,11 +225,12 @@ def q_no_genres(spark, sf_dir):
 
 
 # ------------------------------------------------------------ windows -------
-TOPN_SQL = with_ctes(R) + f"""
-SELECT userId, movieId, rating, rnk AS "rank" FROM (
-  SELECT *, row_number() OVER (PARTITION BY userId
-    ORDER BY rating DESC, "timestamp" DESC, movieId ASC) AS rnk FROM ratings)
-WHERE rnk <= {RECS_PER_USER}"""
+RECS_CTE = f"""recs AS (
+  SELECT userId, movieId, rating, rnk AS "rank" FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId
+      ORDER BY rating DESC, "timestamp" DESC, movieId ASC) AS rnk FROM ratings)
+  WHERE rnk <= {RECS_PER_USER})"""
+TOPN_SQL = with_ctes(R, RECS_CTE) + "SELECT * FROM recs"
 
 
 def rating_ranked_list(spark, sf_dir) -> DataFrame:
@@ -510,3 +511,88 @@ SELECT tag, count(*) AS n, round(avg(rating), 6) AS avg_rating FROM (
 def q_user_tag_profile(spark, sf_dir):
     p = prof.user_tag_profile(S.ratings(spark, sf_dir), S.movies(spark, sf_dir), "genres", "|")
     return p.withColumn("avg_rating", F.round("avg_rating", 6))
+
+
+# ------------------------------------------- recommendation list reports ----
+# The rating-ranked list stands in for model output so SQL can check every
+# report built on recommendations; the ALS queries use the same operators.
+@query("rec_popularity", with_ctes(R, RECS_CTE) + """
+SELECT movieId, count(*) AS recommendation_count FROM recs GROUP BY movieId""")
+def q_rec_popularity(spark, sf_dir):
+    return agg.rec_popularity(rating_ranked_list(spark, sf_dir))
+
+
+@query("rec_popularity_titles", with_ctes(R, M, RECS_CTE) + """
+SELECT r.movieId, m.title, count(*) AS recommendation_count
+FROM recs r JOIN movies m ON r.movieId = m.movieId GROUP BY r.movieId, m.title""")
+def q_rec_popularity_titles(spark, sf_dir):
+    e = rating_ranked_list(spark, sf_dir).join(S.movies(spark, sf_dir), "movieId", "inner")
+    return agg.rec_popularity(e, by=("movieId", "title"))
+
+
+@query("user_recs_lookup", with_ctes(R, M, RECS_CTE) + f"""
+SELECT r.userId, r.movieId, m.title, m.genres, r.rating FROM recs r LEFT JOIN movies m ON r.movieId = m.movieId
+WHERE r.userId = {LOOKUP_USER} ORDER BY r.rating DESC, r.movieId LIMIT 10""")
+def q_user_recs_lookup(spark, sf_dir):
+    recs = rating_ranked_list(spark, sf_dir).filter(F.col("userId") == LOOKUP_USER)
+    e = with_titles(recs, S.movies(spark, sf_dir), cols=("title", "genres"))
+    return ranking.top_k(e, [F.col("rating").desc(), F.col("movieId").asc()], 10) \
+        .select("userId", "movieId", "title", "genres", "rating")
+
+
+_ENRICHED = """enriched AS (
+  SELECT r.userId, r.movieId, r.rating, m.title, m.genres, k.tmdbId
+  FROM recs r LEFT JOIN movies m ON r.movieId = m.movieId LEFT JOIN links k ON r.movieId = k.movieId)"""
+
+
+def _dim(spark, sf_dir):
+    return S.movies(spark, sf_dir).join(S.links(spark, sf_dir).select("movieId", "tmdbId"), "movieId", "left")
+
+
+@query("recs_enriched", with_ctes(R, M, L, RECS_CTE) + """
+SELECT r.userId, r.movieId, r.rating, m.title, m.genres, k.tmdbId
+FROM recs r JOIN movies m ON r.movieId = m.movieId JOIN links k ON r.movieId = k.movieId
+WHERE k.tmdbId IS NOT NULL""")
+def q_recs_enriched(spark, sf_dir):
+    from reelhouse.operators.joins import enrich_recs
+    dim = S.movies(spark, sf_dir).join(
+        S.links(spark, sf_dir).filter(F.col("tmdbId").isNotNull()).select("movieId", "tmdbId"), "movieId", "inner")
+    return enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"), dim, how="inner") \
+        .select("userId", "movieId", "rating", "title", "genres", "tmdbId")
+
+
+@query("missing_metadata", with_ctes(R, M, L, RECS_CTE, _ENRICHED) + """
+SELECT count(*) AS total, count(*) FILTER (WHERE tmdbId IS NULL OR genres IS NULL) AS missing FROM enriched""")
+def q_missing_metadata(spark, sf_dir):
+    from reelhouse.operators.clean import any_null
+    from reelhouse.operators.joins import enrich_recs
+    e = enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"),
+                    _dim(spark, sf_dir), how="left")
+    return e.agg(F.count(F.lit(1)).alias("total"),
+                 F.count_if(any_null(["tmdbId", "genres"])).alias("missing"))
+
+
+@query("rec_coverage", with_ctes(R, M, L, RECS_CTE, _ENRICHED) + """
+SELECT userId, count(*) AS recs, count(*) FILTER (WHERE tmdbId IS NOT NULL) AS enriched
+FROM enriched GROUP BY userId""")
+def q_rec_coverage(spark, sf_dir):
+    from reelhouse.operators.joins import enrich_recs
+    e = enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"),
+                    _dim(spark, sf_dir), how="left")
+    return e.groupBy("userId").agg(F.count(F.lit(1)).alias("recs"),
+                                   F.count_if(F.col("tmdbId").isNotNull()).alias("enriched"))
+
+
+TOP_EXPORT = 500
+EXPORT_SQL = with_ctes(R, M, L, RECS_CTE) + f"""
+SELECT p.movieId, m.title, k.tmdbId, p.recommendation_count FROM (
+  SELECT movieId, count(*) AS recommendation_count FROM recs GROUP BY movieId) p
+LEFT JOIN movies m ON p.movieId = m.movieId LEFT JOIN links k ON p.movieId = k.movieId
+ORDER BY p.recommendation_count DESC, p.movieId LIMIT {TOP_EXPORT}"""
+
+
+def most_recommended(spark, sf_dir, k: int = TOP_EXPORT):
+    pop = agg.rec_popularity(rating_ranked_list(spark, sf_dir))
+    top = ranking.top_k(pop, [F.col("recommendation_count").desc(), F.col("movieId").asc()], k)
+    return with_titles(with_titles(top, S.movies(spark, sf_dir)), S.links(spark, sf_dir), cols=("tmdbId",)) \
+        .select("movieId", "title", "tmdbId", "recommendation_count")

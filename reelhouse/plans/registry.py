@@ -1,6 +1,7 @@
 """All registered queries (importing the modules fills the registry)."""
 
-from reelhouse.plans import queries as _q  # noqa: F401
+from reelhouse.plans import queries as _q
+from reelhouse.plans import io_queries as _io  # noqa: F401
 
 QUERIES = _q.QUERIES
 ORACLES = _q.ORACLES
