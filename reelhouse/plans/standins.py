@@ -177,3 +177,62 @@ title_crew AS (
   FROM lineitem GROUP BY l_partkey),
 name_basics AS (
   SELECT 'nm' || CAST(s_suppkey AS VARCHAR) AS nconst, s_name AS primaryName FROM supplier)"""
+
+
+# ------------------------------------------------------ landed payloads --
+# One JSON response per external id, built per part row (no grouping), with
+# error responses, malformed text and ids that were never landed:
+#   size 3-4 error response, 5 malformed (cut off), 6 not landed, else ok.
+def _details_json():
+    genres = F.transform(F.split(F.concat_ws(" ", "p_name", "p_type"), " "),
+                         lambda x, i: F.struct(i.cast("long").alias("id"), x.alias("name")))
+    ok = F.to_json(F.struct(
+        (F.col("p_partkey") + 100000).alias("id"), F.col("p_name").alias("title"), genres.alias("genres"),
+        F.concat((F.col("p_size") + 1990).cast("string"), F.lit("-01-15")).alias("release_date"),
+        F.concat(F.lit('Says "'), F.col("p_name"), F.lit('", then, a comma\nand a second line')).alias("overview"),
+        (F.col("p_size") * 3).alias("runtime"), (F.col("p_retailprice") / 100).alias("vote_average"),
+        F.when(F.col("p_size") > 40, F.lit("")).otherwise(
+            F.concat(F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".jpg"))).alias("poster_path")))
+    err = F.lit('{"success": false, "status_code": 34, "status_message": "not found"}')
+    cut = F.concat(F.lit('{"id": '), (F.col("p_partkey") + 100000).cast("string"), F.lit(', "title": "'))
+    return (F.when(F.col("p_size").between(3, 4), err).when(F.col("p_size") == 5, cut).otherwise(ok))
+
+
+def _credits_json():
+    director = F.struct(F.concat(F.lit("Director of "), F.col("p_brand")).alias("name"), F.lit("Director").alias("job"))
+    writer = F.struct(F.concat(F.lit("Writer of "), F.col("p_brand")).alias("name"), F.lit("Writer").alias("job"))
+    crew = (F.when(F.col("p_size") == 44, F.array().cast("array<struct<name:string,job:string>>"))
+            .when(F.col("p_size") > 44, F.array(writer)).otherwise(F.array(writer, director)))
+    cast = F.transform(F.sequence(F.lit(1), F.least(F.col("p_size"), F.lit(8))),
+                       lambda i: F.struct(F.concat(F.col("p_name"), F.lit(" actor "), i.cast("string")).alias("name"),
+                                          i.alias("order")))
+    return F.to_json(F.struct((F.col("p_partkey") + 100000).alias("id"),
+                              F.when(F.col("p_size") > 40, F.lit("")).otherwise(
+                                  F.concat(F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".jpg"))).alias("poster_path"),
+                              crew.alias("crew"), cast.alias("cast")))
+
+
+def landed_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").filter((F.col("p_type") != "PROMO") & (F.col("p_size") > 2)
+                                            & (F.col("p_size") != 6))
+    return p.select((F.col("p_partkey") + 100000).cast("int").alias("tmdbId"), _details_json().alias("payload"))
+
+
+def landed_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").filter((F.col("p_type") != "PROMO") & (F.col("p_size") > 2))
+    return p.select((F.col("p_partkey") + 100000).cast("int").alias("tmdbId"), _credits_json().alias("payload"))
+
+
+def landed_alt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alternate-source responses keyed by the external id text."""
+    p = table(spark, sf_dir, "part").filter(F.col("p_type") != "PROMO")
+    actors = F.concat_ws(", ", F.transform(F.sequence(F.lit(1), F.least(F.col("p_size"), F.lit(5))),
+                                            lambda i: F.concat(F.lit("Actor "), i.cast("string"), F.lit(" of "),
+                                                               F.col("p_brand"))))
+    ok = F.to_json(F.struct(F.lit("True").alias("Response"), F.col("p_name").alias("Title"),
+                            F.when(F.col("p_size") > 45, F.lit(None)).otherwise(
+                                F.concat(F.lit("Director of "), F.col("p_brand"))).alias("Director"),
+                            actors.alias("Actors"), F.concat(F.lit("poster-"), F.col("p_partkey").cast("string")).alias("Poster")))
+    err = F.lit('{"Response": "False", "Error": "Incorrect id."}')
+    return p.select(F.format_string("tt%07d", F.col("p_partkey") * 997).alias("external_id"),
+                    F.when(F.col("p_size") <= 2, err).otherwise(ok).alias("payload"))
