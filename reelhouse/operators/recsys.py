@@ -83,6 +83,42 @@ def seen_bands(ratings: DataFrame, user: str = "userId") -> DataFrame:
     return c.withColumn("band", F.ceil(F.log2(F.col("seen") + 1)).cast("int"))
 
 
+def group_bands(band_users: list[tuple[int, int]], n: int, seen_rows: int) -> list[tuple[list[int], int]]:
+    """Group adjacent bands into model calls: ``[(bands, k), ...]``.
+
+    A user can be served by any group whose ``k`` is at least its own
+    ``n + 2**band``, so bands only merge upward.  Exact dynamic programme
+    over the (at most ~64) bands minimising
+    ``calls * (n * users + seen_rows) + sum(users_in_group * k_group)``:
+    one more call costs about one pass over the problem, one more candidate
+    row costs one row.  A hot user with a huge history stays alone in its
+    band instead of inflating ``k`` for everyone.
+    """
+    bands = sorted(band_users)
+    if not bands:
+        return []
+    users = sum(u for _, u in bands)
+    call_cost = n * users + seen_rows
+    m = len(bands)
+    best = [0.0] + [float("inf")] * m
+    cut = [0] * (m + 1)
+    for j in range(1, m + 1):
+        k = n + 2 ** bands[j - 1][0]
+        acc = 0
+        for i in range(j, 0, -1):
+            acc += bands[i - 1][1]
+            cost = best[i - 1] + call_cost + acc * k
+            if cost < best[j]:
+                best[j], cut[j] = cost, i
+    groups = []
+    j = m
+    while j > 0:
+        i = cut[j]
+        groups.append(([b for b, _ in bands[i - 1:j]], n + 2 ** bands[j - 1][0]))
+        j = i - 1
+    return groups[::-1]
+
+
 def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bool = True,
               users: DataFrame | None = None, user: str = "userId", item: str = "movieId",
               rank_col: str | None = "rank") -> DataFrame:
@@ -100,13 +136,16 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
     if not exclude_seen:
         flat = flatten_recs(model.recommendForUserSubset(users, n), user, item)
         return top_n_per_group(flat, [user], order, n, rank_col=rank_col)
-    bands = seen_bands(seen, user).join(users.select(user).distinct(), user, "inner")
-    # The band values are at most ~log2(rows) small integers: a bounded collect.
-    present = sorted(r[0] for r in bands.select("band").distinct().collect())
+    # One row per user; checkpointed (reliable storage) so the per-band
+    # filters below read it instead of recomputing the ratings plan.
+    bands = seen_bands(seen, user).join(users.select(user).distinct(), user, "inner").checkpoint(eager=True)
+    # At most ~64 band values: a bounded collect of per-band counts.
+    stats = bands.groupBy("band").agg(F.count(F.lit(1)).alias("u"), F.sum("seen").alias("s")).collect()
+    groups = group_bands([(r["band"], r["u"]) for r in stats], n, sum(r["s"] for r in stats))
     parts = []
-    for b in present:
-        members = bands.filter(F.col("band") == b).select(user)
-        parts.append(flatten_recs(model.recommendForUserSubset(members, n + 2 ** b), user, item))
+    for members_bands, k in groups:
+        members = bands.filter(F.col("band").isin(members_bands)).select(user)
+        parts.append(flatten_recs(model.recommendForUserSubset(members, k), user, item))
     if not parts:
         spark = ratings.sparkSession
         empty = spark.createDataFrame([], f"{user} int, {item} int, prediction float")
