@@ -39,3 +39,9 @@ def poster_url(path, base: str) -> Column:
     """Full image URL from a path; NULL when the path is NULL or empty."""
     p = _c(path)
     return F.when(p.isNotNull() & (p != F.lit("")), F.concat(F.lit(base), p))
+
+
+def parse_list_text(c, elem_type: str = "string") -> Column:
+    """List written as Python/JSON text (``['Drama', "Kid's"]``) to an
+    array; single-quoted items are accepted by the JSON reader."""
+    return F.from_json(_c(c), f"array<{elem_type}>", {"allowSingleQuotes": "true"})
