@@ -146,3 +146,20 @@ def q_json_batches(spark, sf_dir):
     back = spark.read.schema("movieId int, recommendation_count bigint, batch bigint").json(path)
     return back.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("movieId").alias("first_id"),
                                      F.max("movieId").alias("last_id"))
+
+
+@query("bronze_stream_ingest", with_ctes(M) + "SELECT * FROM movies")
+def q_bronze_stream_ingest(spark, sf_dir):
+    """Raw CSV parts landing in two waves, ingested incrementally into a
+    bronze folder by a file-source stream, then typed and deduplicated."""
+    from reelhouse.streaming import ingest_to_bronze
+    root = scratch_path(spark, "stream")
+    m = S.movies(spark, sf_dir)
+    raw = m.select([F.col(c).cast("string").alias(c) for c in m.columns])
+    files.export_csv(raw, f"{root}/landing/wave1")
+    ingest_to_bronze(spark, f"{root}/landing/*", schemas.MOVIES_RAW, f"{root}/bronze", f"{root}/ckpt")
+    files.export_csv(raw, f"{root}/landing/wave2")  # the same rows again: dedup must absorb them
+    ingest_to_bronze(spark, f"{root}/landing/*", schemas.MOVIES_RAW, f"{root}/bronze", f"{root}/ckpt")
+    bronze = spark.read.parquet(f"{root}/bronze")
+    one = dedup_latest(bronze.drop("_source_file"), ["movieId"], ["title", "genres"])
+    return one.select(id_from_text("movieId").alias("movieId"), "title", "genres")
