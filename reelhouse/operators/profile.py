@@ -119,8 +119,8 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     bin; empty bins are reported with count 0.  Edges come from scalar
     subqueries; the value side is one aggregate by bin."""
     vals = df.select(F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    edges = vals.select(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    lo, hi = edges["lo"], edges["hi"]
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.coalesce(F.floor(F.try_divide((F.col("x") - lo) * bins, hi - lo)), F.lit(0)),
                   F.lit(bins - 1)).cast("int")

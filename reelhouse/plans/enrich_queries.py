@@ -95,3 +95,20 @@ def q_external_id(spark, sf_dir):
     items = S.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("movieId"))
     links = S.links(spark, sf_dir).withColumn("movieId", F.col("movieId").cast("long"))
     return enrich.with_external_id(items, links)
+
+
+@query("details_csv_export", f"""
+SELECT CAST(p_partkey + 100000 AS INTEGER) AS tmdbId, p_name AS title,
+       replace(p_name || ' ' || p_type, ' ', ',') AS genres,
+       'Says "' || p_name || '", then, a comma' || chr(10) || 'and a second line' AS overview
+{_OK_PARTS}""")
+def q_details_csv_export(spark, sf_dir):
+    """Fetched metadata written as CSV (genre list as JSON text, overviews
+    with quotes, commas and newlines), read back and decoded."""
+    from reelhouse.functions.strings import parse_list_text
+    from reelhouse.sources import files
+    path = scratch_path(spark, "details_csv")
+    d = enrich.flatten_details(S.landed_details(spark, sf_dir))
+    files.export_csv(d.select("tmdbId", "title", F.to_json("genres").alias("genres"), "overview"), path)
+    back = files.read_csv(spark, path, "tmdbId int, title string, genres string, overview string")
+    return back.withColumn("genres", F.array_join(parse_list_text("genres"), ","))

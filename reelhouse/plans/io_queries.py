@@ -74,8 +74,7 @@ def q_single_file_export(spark, sf_dir):
     top = most_recommended(spark, sf_dir)
     files.export_csv(top.orderBy(F.col("recommendation_count").desc(), "movieId"), path,
                      single_file_rows=TOP_EXPORT)
-    schema = "movieId int, title string, tmdbId int, recommendation_count bigint"
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return files.read_csv(spark, path, "movieId int, title string, tmdbId int, recommendation_count bigint")
 
 
 def _gold_fact(spark, sf_dir):
@@ -163,3 +162,15 @@ def q_bronze_stream_ingest(spark, sf_dir):
     bronze = spark.read.parquet(f"{root}/bronze")
     one = dedup_latest(bronze.drop("_source_file"), ["movieId"], ["title", "genres"])
     return one.select(id_from_text("movieId").alias("movieId"), "title", "genres")
+
+
+@query("table_columns", """
+SELECT * FROM (VALUES ('userId', 'int'), ('movieId', 'int'), ('rating', 'float'), ('timestamp', 'bigint'),
+                      ('rating_count', 'bigint')) AS t(col_name, data_type)""")
+def q_table_columns(spark, sf_dir):
+    """Columns and types of a written silver table (DESCRIBE)."""
+    db = _scratch_db(spark)
+    r = S.ratings(spark, sf_dir)
+    counts = r.groupBy("userId").agg(F.count(F.lit(1)).alias("rating_count"))
+    tables.write_layer(r.join(counts, "userId"), f"{db}.silver_ratings_with_counts")
+    return catalog.table_columns(spark, f"{db}.silver_ratings_with_counts")

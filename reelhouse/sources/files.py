@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from reelhouse.schemas import all_strings
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
              multiline: bool = True, repartition: int | None = None) -> DataFrame:
-    """Header CSV with a declared schema.  ``multiLine`` + ``escape='"'``
+    """Header CSV with a declared schema (StructType or DDL string).  ``multiLine`` + ``escape='"'``
     keep quoted cells with commas, quotes and newlines in one row."""
     r = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("mode", "PERMISSIVE"))
