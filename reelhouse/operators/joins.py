@@ -42,3 +42,22 @@ def enrich_recs(recs: DataFrame, dim: DataFrame, key: str = "movieId",
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     return recs.join(dim, key, how)
+
+
+def lookup_attrs(bounded: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
+                 how: str = "left") -> DataFrame:
+    """Attach dimension attributes to a result that is small by construction
+    (the output of a top-k or a point lookup).
+
+    The bounded result (at most the caller's ``k`` rows) is checkpointed
+    once, its keys are broadcast into a semi join that filters the
+    dimension as it streams past (no shuffle of the dimension), and the few
+    matching rows are joined back.  A plain ``bounded LEFT JOIN dim`` would
+    have to build on the dimension side, i.e. shuffle or broadcast it whole.
+    """
+    from pyspark.sql import functions as F
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    small = bounded.checkpoint(eager=True)
+    matched = dim.select(key, *cols).join(F.broadcast(small.select(key).distinct()), key, "left_semi")
+    return small.join(matched, key, how).select(*bounded.columns, *cols)

@@ -18,7 +18,7 @@ from reelhouse.functions.strings import split_list
 from reelhouse.operators import aggregates as agg
 from reelhouse.operators import recsys, scoring
 from reelhouse.operators.clean import any_null, dedup_latest, scrub_header_rows, scrub_null_token
-from reelhouse.operators.joins import enrich_recs, with_titles
+from reelhouse.operators.joins import enrich_recs, lookup_attrs
 from reelhouse.operators.ranking import top_k
 from reelhouse.session import scratch_path
 from reelhouse.sources import files
@@ -90,7 +90,7 @@ def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict
 
     pop = agg.rec_popularity(spark.table(_t(db, "gold_user_recommendations")))
     top = top_k(pop, [F.col("recommendation_count").desc(), F.col("movieId").asc()], cfg.export_top)
-    top = with_titles(top, movies, cols=("title", "tmdbId"))
+    top = lookup_attrs(top, movies, "movieId", ["title", "tmdbId"])
     if cfg.export_dir:
         files.export_csv(top.select("movieId", "title", "tmdbId"), f"{cfg.export_dir}/top_movies",
                          single_file_rows=cfg.export_top)

@@ -17,7 +17,7 @@ from reelhouse.functions.strings import external_id, split_list
 from reelhouse.functions.casts import epoch_to_ts, to_day
 from reelhouse.operators import aggregates as agg
 from reelhouse.operators import ranking, tags
-from reelhouse.operators.joins import orphans, with_titles
+from reelhouse.operators.joins import lookup_attrs, orphans
 from reelhouse.plans import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -253,7 +253,7 @@ def q_item_leaderboard(spark, sf_dir):
     s = agg.item_stats(S.ratings(spark, sf_dir))
     top = ranking.top_k(s, [F.col("avg_rating").desc(), F.col("num_ratings").desc(),
                             F.col("movieId").asc()], 20)
-    return with_titles(top, S.movies(spark, sf_dir)).select(
+    return lookup_attrs(top, S.movies(spark, sf_dir), "movieId", ["title"]).select(
         "movieId", "title", F.round("avg_rating", 6).alias("avg_rating"), "num_ratings")
 
 
@@ -535,8 +535,8 @@ SELECT r.userId, r.movieId, m.title, m.genres, r.rating FROM recs r LEFT JOIN mo
 WHERE r.userId = {LOOKUP_USER} ORDER BY r.rating DESC, r.movieId LIMIT 10""")
 def q_user_recs_lookup(spark, sf_dir):
     recs = rating_ranked_list(spark, sf_dir).filter(F.col("userId") == LOOKUP_USER)
-    e = with_titles(recs, S.movies(spark, sf_dir), cols=("title", "genres"))
-    return ranking.top_k(e, [F.col("rating").desc(), F.col("movieId").asc()], 10) \
+    top = ranking.top_k(recs, [F.col("rating").desc(), F.col("movieId").asc()], 10)
+    return lookup_attrs(top, S.movies(spark, sf_dir), "movieId", ["title", "genres"]) \
         .select("userId", "movieId", "title", "genres", "rating")
 
 
@@ -594,5 +594,6 @@ ORDER BY p.recommendation_count DESC, p.movieId LIMIT {TOP_EXPORT}"""
 def most_recommended(spark, sf_dir, k: int = TOP_EXPORT):
     pop = agg.rec_popularity(rating_ranked_list(spark, sf_dir))
     top = ranking.top_k(pop, [F.col("recommendation_count").desc(), F.col("movieId").asc()], k)
-    return with_titles(with_titles(top, S.movies(spark, sf_dir)), S.links(spark, sf_dir), cols=("tmdbId",)) \
+    named = lookup_attrs(top, S.movies(spark, sf_dir), "movieId", ["title"])
+    return lookup_attrs(named, S.links(spark, sf_dir), "movieId", ["tmdbId"]) \
         .select("movieId", "title", "tmdbId", "recommendation_count")
