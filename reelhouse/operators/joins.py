@@ -58,6 +58,7 @@ def lookup_attrs(bounded: DataFrame, dim: DataFrame, key: str, cols: Sequence[st
     from pyspark.sql import functions as F
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    small = bounded.checkpoint(eager=True)
+    from reelhouse.session import reliable_checkpoint
+    small = reliable_checkpoint(bounded)
     matched = dim.select(key, *cols).join(F.broadcast(small.select(key).distinct()), key, "left_semi")
     return small.join(matched, key, how).select(*bounded.columns, *cols)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.operators.joins import without_seen
 from reelhouse.operators.ranking import top_n_per_group
+from reelhouse.session import reliable_checkpoint
 
 
 @dataclass(frozen=True)
@@ -138,7 +139,7 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
         return top_n_per_group(flat, [user], order, n, rank_col=rank_col)
     # One row per user; checkpointed (reliable storage) so the per-band
     # filters below read it instead of recomputing the ratings plan.
-    bands = seen_bands(seen, user).join(users.select(user).distinct(), user, "inner").checkpoint(eager=True)
+    bands = reliable_checkpoint(seen_bands(seen, user).join(users.select(user).distinct(), user, "inner"))
     # At most ~64 band values: a bounded collect of per-band counts.
     stats = bands.groupBy("band").agg(F.count(F.lit(1)).alias("u"), F.sum("seen").alias("s")).collect()
     groups = group_bands([(r["band"], r["u"]) for r in stats], n, sum(r["s"] for r in stats))

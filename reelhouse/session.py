@@ -79,3 +79,29 @@ def local_path(uri: str) -> str:
 
 __all__ = ["build_session", "configure", "scratch_root", "scratch_path",
            "local_path", "SESSION_CONF"]
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its
+    lineage (survives executor loss, unlike a local checkpoint)."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Size shuffles and scans for an input of ``input_bytes``.
+
+    Initial shuffle partitions = input / target (at least 200); AQE then
+    coalesces small partitions toward the advisory size and splits skewed
+    ones.  Scan splits use the same target so a task reads ~256 MiB.
+    """
+    parts = max(200, -(-input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

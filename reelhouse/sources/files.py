@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.schemas import all_strings
+from reelhouse.session import reliable_checkpoint
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
@@ -72,7 +73,7 @@ def with_batch_number(df: DataFrame, order: Sequence, size: int, out: str = "bat
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     sorted_df = df.orderBy(*cols).withColumns({
         "_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
-    sorted_df = sorted_df.checkpoint(eager=True)
+    sorted_df = reliable_checkpoint(sorted_df)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -25,15 +25,18 @@ def write_layer(df: DataFrame, name: str, fmt: str = "parquet",
 
     ``recreate`` drops the table first (schema and properties start over);
     ``evolve`` asks Delta to merge new columns (a parquet overwrite replaces
-    the schema anyway).  With ``partition_by`` the rows are first clustered
-    by the partition columns, so each partition folder gets few files.
+    the schema anyway).  With ``partition_by`` the rows are clustered by the
+    partition columns through a REBALANCE hint: adaptive execution then
+    groups small partition values into few files and splits a hot value
+    (one day holding a large share of all rows) over several writer tasks,
+    where a plain ``repartition(col)`` would hand it to a single task.
     """
     spark = df.sparkSession
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     out = df
     if partition_by and repartition_by_partition:
-        out = df.repartition(*partition_by)
+        out = df.hint("rebalance", *partition_by)
     w = out.write.format(fmt).mode("overwrite")
     if evolve and fmt == "delta":
         w = w.option("mergeSchema", "true")
