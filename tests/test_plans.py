@@ -35,3 +35,21 @@ def test_global_top_k_is_take_ordered(spark):
 def test_user_dim_has_partial_aggregate(spark):
     p = _plan(user_dim(S.ratings(spark, SF)))
     assert "partial_count" in p and "partial_avg" in p
+
+
+def test_bounded_lookup_filters_dimension_with_broadcast_keys(spark):
+    p = _plan(QUERIES["item_leaderboard_join_titles"](spark, SF))
+    assert "LeftSemi" in p and "BroadcastExchange" in p
+
+
+def test_partitioned_fact_read_prunes_partitions(spark):
+    import uuid
+
+    from reelhouse.session import scratch_path
+    from reelhouse.sources.tables import ensure_database, write_layer
+    db = ensure_database(spark, f"rh_plan_{uuid.uuid4().hex[:6]}", scratch_path(spark, "plan_db"))
+    df = spark.range(100).select(F.col("id"), F.date_add(F.lit("2020-01-01").cast("date"),
+                                                         (F.col("id") % 10).cast("int")).alias("d"))
+    write_layer(df, f"{db}.f", partition_by=["d"])
+    q = spark.table(f"{db}.f").filter(F.col("d") == F.lit("2020-01-03").cast("date"))
+    assert "PartitionFilters: [isnotnull(d" in _plan(q) and q.count() == 10

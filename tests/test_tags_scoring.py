@@ -77,3 +77,16 @@ def test_per_genre_rank_and_unique_tiebreak(spark):
     assert per == {("A", "t1"): 1, ("B", "t3"): 1, ("C", "t1"): 1}
     uniq = {r.tconst: r.genre for r in top_per_genre_unique(dim, 20).collect()}
     assert uniq["t1"] == "A"  # same scores in A, B, C: genre name breaks the tie
+
+
+def test_title_results_do_not_depend_on_layout(spark):
+    b, a, r = _title_fixture(spark)
+    base = sorted(map(tuple, silver_titles(b, a, r, as_of_year=2025).collect()))
+    for n in (1, 7):
+        got = silver_titles(b.repartition(n), a.repartition(n), r.repartition(n), as_of_year=2025)
+        assert sorted(map(tuple, got.collect())) == base
+    dim = spark.createDataFrame([("t1", "A,B,C", 8.0, 1), ("t2", "A,B", 8.0, 1), ("t3", "B", 9.0, 0)],
+                                "tconst string, genres string, weightedRating double, tag_set_count int")
+    ref = sorted(map(tuple, top_per_genre_unique(dim, 20).collect()))
+    for n in (1, 7):
+        assert sorted(map(tuple, top_per_genre_unique(dim.repartition(n), 20).collect())) == ref
