@@ -56,7 +56,8 @@ def silver_titles(basics: DataFrame, akas: DataFrame, ratings: DataFrame, as_of_
 
     Filters run before the joins (they reach the scans), one row is kept per
     title (best rating, then votes, then language/region, so the kept aka is
-    fixed) and only then the ordered top-``k`` is taken.  ``min_votes=0``
+    fixed; the akas are reduced to that row before the joins) and only then
+    the ordered top-``k`` is taken.  ``min_votes=0``
     disables the vote floor.
     """
     b = typed_title_basics(basics).filter(
@@ -65,6 +66,10 @@ def silver_titles(basics: DataFrame, akas: DataFrame, ratings: DataFrame, as_of_
     a = (akas.filter(F.col("language").isNotNull() & F.col("language").isin(list(languages))
                      & F.col("region").isin(list(regions)))
          .select(F.col("titleId"), "language", "region"))
+    # The kept aka of a title is its greatest (language, region): reduce the
+    # akas (many rows per title) to that one row with a partial aggregate
+    # before joining, so the joins see one row per title.
+    a = dedup_latest(a, ["titleId"], ["language", "region"])
     r = typed_title_ratings(ratings).select("tconst", "averageRating", "numVotes")
     if min_votes:
         r = r.filter(F.col("numVotes") >= min_votes)
