@@ -36,7 +36,7 @@ class AlsConfig:
     implicit_prefs: bool = False
     cold_start: str = "drop"
     seed: int = 42
-    num_blocks: int | None = None  # default: spark.sql.shuffle.partitions
+    num_blocks: int | None = None  # default: the cluster's default parallelism
     user: str = "userId"
     item: str = "movieId"
     rating: str = "rating"
@@ -57,7 +57,7 @@ def split_ratings(df: DataFrame, keys=("userId", "movieId"), train_frac: float =
 
 def fit_als(train: DataFrame, cfg: AlsConfig = AlsConfig()) -> ALSModel:
     spark = train.sparkSession
-    blocks = cfg.num_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = cfg.num_blocks or max(1, spark.sparkContext.defaultParallelism)
     als = ALS(userCol=cfg.user, itemCol=cfg.item, ratingCol=cfg.rating, rank=cfg.rank,
               maxIter=cfg.max_iter, regParam=cfg.reg_param, nonnegative=cfg.nonnegative,
               implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed,

@@ -98,3 +98,15 @@ def test_layer_tables_rewrite_and_report(spark):
     assert {r.col_name for r in catalog.table_columns(spark, f"{db}.bronze_a").collect()} == {"id", "v", "w"}
     locs = catalog.table_locations(spark, "bronze_", db).collect()
     assert len(locs) == 2 and all(r.location for r in locs)
+
+
+def test_links_gaps_and_orphans(spark):
+    from reelhouse.operators.joins import orphans
+    movies = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "movieId int, title string")
+    links = spark.createDataFrame([(1, "114709", 862), (2, "113497", None)], "movieId int, imdbId string, tmdbId int")
+    ratings = spark.createDataFrame([(7, 1, 4.0), (7, 99, 3.0)], "userId int, movieId int, rating float")
+    j = {r.movieId: (r.imdbId, r.tmdbId) for r in movies.join(links, "movieId", "left").collect()}
+    assert j == {1: ("114709", 862), 2: ("113497", None), 3: (None, None)}  # no links / no tmdbId
+    assert [r.movieId for r in orphans(ratings, movies, "movieId").collect()] == [99]
+    meta = spark.createDataFrame([(862, "Toy")], "tmdbId int, mtitle string")
+    assert [r.movieId for r in enrich.movie_dim(links, meta).collect()] == [1]

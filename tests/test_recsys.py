@@ -74,3 +74,13 @@ def test_group_bands_exact_and_isolates_hot_user():
     g = recsys.group_bands([(1, 1), (2, 5), (3, 33)], 10, 100)
     covered = sorted(b for bs, _ in g for b in bs)
     assert covered == [1, 2, 3] and all(k >= 10 + 2 ** max(bs) for bs, k in g)
+
+
+def test_cold_start_user_and_item_are_dropped(spark):
+    train = spark.createDataFrame([(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0), (2, 2, 2.0)],
+                                  "userId int, movieId int, rating float")
+    test = spark.createDataFrame([(1, 1, 4.0), (3, 1, 1.0), (1, 9, 2.0)], "userId int, movieId int, rating float")
+    m = recsys.fit_als(train, recsys.AlsConfig(rank=2, max_iter=3))
+    scored = m.transform(test).collect()
+    assert [(r.userId, r.movieId) for r in scored] == [(1, 1)]
+    assert recsys.rmse(m.transform(test)).first().predicted == 1
