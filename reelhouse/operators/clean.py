@@ -30,10 +30,12 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     """One row per key: the greatest by ``order`` (compared left to right,
     all descending), remaining columns as a final tie-break.
 
-    Runs as a hash aggregate of ``max(struct(order..., rest...))``: the map
-    side keeps one row per key before the shuffle, so a key holding a large
-    share of all rows costs one row per input partition, not a sort of the
-    whole group in one task.  NULL sorts lowest, so it only wins alone.
+    Runs as a partial + final aggregate of ``max(struct(order..., rest...))``
+    (Spark executes a struct max as a sort-based aggregate, spilling as
+    needed): the map side keeps one row per key before the shuffle, so a key
+    holding a large share of all rows costs one row per input partition, not
+    a sort of the whole group in one task.  NULL sorts lowest, so it only
+    wins alone.
     """
     keys = list(keys)
     order = [c for c in order if c not in keys]

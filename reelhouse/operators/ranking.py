@@ -43,7 +43,7 @@ def best_row_window(df: DataFrame, keys: Sequence[str], order: Sequence) -> Data
 
 def best_row(df: DataFrame, keys: Sequence[str], desc: Sequence[str]) -> DataFrame:
     """Best row per key, ``desc`` columns compared descending left to right,
-    the other columns as a final tie-break.  A partial/final hash aggregate
+    the other columns as a final tie-break.  A partial/final aggregate
     (see :func:`reelhouse.operators.clean.dedup_latest`)."""
     from reelhouse.operators.clean import dedup_latest
     return dedup_latest(df, keys, desc)
