@@ -13,6 +13,7 @@ from reelhouse.functions.strings import split_list
 from reelhouse.operators.aggregates import collect_names
 from reelhouse.operators.clean import dedup_latest, not_future
 from reelhouse.operators.ranking import best_row_window, top_k, top_n_per_group
+from reelhouse.session import reliable_checkpoint
 
 # Fixed values of the reference pipeline, kept as defaults.
 DEFAULT_PRIOR_VOTES = 50
@@ -104,7 +105,14 @@ def title_dim(silver: DataFrame, crew: DataFrame, names: DataFrame,
               m: float = DEFAULT_PRIOR_VOTES, k: int = DEFAULT_SILVER_TOP,
               tags: Sequence[str] = DEFAULT_TAG_SET) -> DataFrame:
     """Silver top titles + weighted rating + director list + tag-set flag
-    and count (``genres`` is a comma list)."""
+    and count (``genres`` is a comma list).
+
+    ``silver`` is the top-title table, bounded by its top-k; it is
+    checkpointed once because three branches read it (the mean C, the
+    ranking and the director lookup) and would otherwise each re-run its
+    joins.
+    """
+    silver = reliable_checkpoint(silver)
     dim = weighted_rating(silver.withColumns({
         "averageRating": safe_cast("averageRating", "double"),
         "numVotes": safe_cast("numVotes", "int")}), m=m)

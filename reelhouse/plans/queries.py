@@ -305,8 +305,12 @@ genre_rows AS (SELECT *, unnest(string_split(genres, ',')) AS genre FROM dim)"""
 
 
 def _silver(spark, sf_dir):
-    return scoring.silver_titles(S.title_basics(spark, sf_dir), S.title_akas(spark, sf_dir),
-                                 S.title_ratings(spark, sf_dir), as_of_year=AS_OF_YEAR)
+    """Silver top titles (bounded by the top-k of ``silver_titles``),
+    checkpointed like the layer table it stands for, so the branches that
+    read it do not each re-run its joins."""
+    from reelhouse.session import reliable_checkpoint
+    return reliable_checkpoint(scoring.silver_titles(S.title_basics(spark, sf_dir), S.title_akas(spark, sf_dir),
+                                                     S.title_ratings(spark, sf_dir), as_of_year=AS_OF_YEAR))
 
 
 def _title_dim(spark, sf_dir):
