@@ -17,7 +17,7 @@ from reelhouse.functions.strings import external_id, split_list
 from reelhouse.functions.casts import epoch_to_ts, to_day
 from reelhouse.operators import aggregates as agg
 from reelhouse.operators import ranking, tags
-from reelhouse.operators.joins import lookup_attrs, orphans
+from reelhouse.operators.joins import lookup_attrs, orphans, with_titles
 from reelhouse.plans import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -601,3 +601,43 @@ def most_recommended(spark, sf_dir, k: int = TOP_EXPORT):
     named = lookup_attrs(top, S.movies(spark, sf_dir), "movieId", ["title"])
     return lookup_attrs(named, S.links(spark, sf_dir), "movieId", ["tmdbId"]) \
         .select("movieId", "title", "tmdbId", "recommendation_count")
+
+
+# ------------------------------------------------- SQL-string entry points --
+# The same reports issued as SQL text against views, the way a notebook user
+# queries the gold tables.
+def _register(df: DataFrame, name: str) -> str:
+    view = f"{name}_{abs(hash((name, id(df)))) % 10**8}"
+    df.createOrReplaceTempView(view)
+    return view
+
+
+@query("user_recs_lookup_sql", with_ctes(R, M, RECS_CTE) + f"""
+SELECT r.userId, m.title, m.genres, r.rating AS prediction FROM recs r LEFT JOIN movies m ON r.movieId = m.movieId
+WHERE r.userId = {LOOKUP_USER} ORDER BY prediction DESC, r.movieId LIMIT 10""")
+def q_user_recs_lookup_sql(spark, sf_dir):
+    recs = rating_ranked_list(spark, sf_dir).select("userId", "movieId", F.col("rating").alias("prediction"))
+    v = _register(with_titles(recs, S.movies(spark, sf_dir), cols=("title", "genres")), "gold_user_recommendations_enriched")
+    return spark.sql(f"""SELECT userId, title, genres, prediction FROM {v}
+                         WHERE userId = {LOOKUP_USER} ORDER BY prediction DESC, movieId LIMIT 10""")
+
+
+@query("distinct_genres_sql", with_ctes(SILVER_SQL) + """
+SELECT DISTINCT genre FROM (SELECT genre, row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst)
+  AS rank_in_genre FROM genre_rows) WHERE rank_in_genre <= 20 ORDER BY genre""")
+def q_distinct_genres_sql(spark, sf_dir):
+    v = _register(scoring.top_per_genre(_title_dim(spark, sf_dir), 20), "gold_top20_per_genre")
+    return spark.sql(f"SELECT DISTINCT genre FROM {v} ORDER BY genre")
+
+
+GENRE_LOOKUP = "red"
+
+
+@query("genre_lookup_sql", with_ctes(SILVER_SQL) + f"""
+SELECT primaryTitle, round(weightedRating, 6) AS weightedRating, averageRating, numVotes, rank_in_genre FROM (
+  SELECT *, row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS rank_in_genre
+  FROM genre_rows) WHERE rank_in_genre <= 20 AND genre = '{GENRE_LOOKUP}'""")
+def q_genre_lookup_sql(spark, sf_dir):
+    v = _register(scoring.top_per_genre(_title_dim(spark, sf_dir), 20), "gold_top20_per_genre")
+    return spark.sql(f"""SELECT primaryTitle, round(weightedRating, 6) AS weightedRating, averageRating, numVotes,
+                                rank_in_genre FROM {v} WHERE genre = '{GENRE_LOOKUP}' ORDER BY rank_in_genre""")
