@@ -167,3 +167,26 @@ def title_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], db: str, a
                    fmt: str = "parquet") -> None:
     title_bronze(spark, raw, db, fmt)
     title_silver_gold(spark, db, as_of_year, fmt)
+
+
+# ------------------------------------------------------- from raw files --
+def ratings_pipeline_from_files(spark: SparkSession, ratings_csv: str, movies_csv: str, links_csv: str,
+                                db: str, cfg: RatingsPipelineConfig | None = None) -> dict:
+    """Run the ratings pipeline from raw header CSV dumps (read as strings)."""
+    from reelhouse import schemas
+    raw = {"ratings": files.read_csv(spark, ratings_csv, schemas.RATINGS_RAW),
+           "movies": files.read_csv(spark, movies_csv, schemas.MOVIES_RAW),
+           "links": files.read_csv(spark, links_csv, schemas.LINKS_RAW)}
+    return ratings_pipeline(spark, raw, db, cfg)
+
+
+def title_pipeline_from_dumps(spark: SparkSession, dumps: Mapping[str, str], db: str, as_of_year: int,
+                              fmt: str = "parquet", repartition: int | None = None) -> None:
+    """Run the title pipeline from tab-separated dumps (globs of plain or
+    gzip parts; ``repartition`` spreads unsplittable gzip input)."""
+    from reelhouse import schemas
+    contracts = {"title_basics": schemas.TITLE_BASICS_RAW, "name_basics": schemas.NAME_BASICS_RAW,
+                 "title_ratings": schemas.TITLE_RATINGS_RAW, "title_crew": schemas.TITLE_CREW_RAW,
+                 "title_akas": schemas.TITLE_AKAS_RAW}
+    raw = {n: files.read_tsv(spark, dumps[n], schema=contracts[n], repartition=repartition) for n in contracts}
+    title_pipeline(spark, raw, db, as_of_year, fmt)
