@@ -155,7 +155,7 @@ def q_orphan_ratings(spark, sf_dir):
 @query("movies_with_links", with_ctes(M, L) + """
 SELECT m.movieId, m.title, m.genres,
        array_to_string(string_split(m.genres, '|'), ',') AS genres_list,
-       len(string_split(m.genres, '|')) AS genre_count,
+       CAST(len(string_split(m.genres, '|')) AS INTEGER) AS genre_count,
        k.imdbId, k.tmdbId, printf('tt%07d', CAST(k.imdbId AS BIGINT)) AS imdb_ext
 FROM movies m LEFT JOIN links k ON m.movieId = k.movieId""")
 def q_movies_with_links(spark, sf_dir):
@@ -197,7 +197,7 @@ def q_genre_mean_rating(spark, sf_dir):
 
 
 @query("genre_count_dist", with_ctes(M) + """
-SELECT len(string_split(genres, '|')) AS tag_count, count(*) AS n FROM movies
+SELECT CAST(len(string_split(genres, '|')) AS INTEGER) AS tag_count, count(*) AS n FROM movies
 WHERE genres IS NOT NULL GROUP BY 1""")
 def q_genre_count_dist(spark, sf_dir):
     return tags.tag_count_dist(S.movies(spark, sf_dir), "genres", "|")
@@ -211,7 +211,7 @@ def q_distinct_genres(spark, sf_dir):
 
 
 @query("max_genres", with_ctes(M) + """
-SELECT movieId, title, genres, len(string_split(genres, '|')) AS genre_count FROM movies
+SELECT movieId, title, genres, CAST(len(string_split(genres, '|')) AS INTEGER) AS genre_count FROM movies
 WHERE len(string_split(genres, '|')) = (SELECT max(len(string_split(genres, '|'))) FROM movies)""")
 def q_max_genres(spark, sf_dir):
     m = tags.with_tag_count(S.movies(spark, sf_dir), "genres", "|", "genre_count")
@@ -226,7 +226,7 @@ def q_no_genres(spark, sf_dir):
 
 # ------------------------------------------------------------ windows -------
 RECS_CTE = f"""recs AS (
-  SELECT userId, movieId, rating, rnk AS "rank" FROM (
+  SELECT userId, movieId, rating, CAST(rnk AS INTEGER) AS "rank" FROM (
     SELECT *, row_number() OVER (PARTITION BY userId
       ORDER BY rating DESC, "timestamp" DESC, movieId ASC) AS rnk FROM ratings)
   WHERE rnk <= {RECS_PER_USER})"""
@@ -298,8 +298,8 @@ dirs AS (SELECT c.tconst, string_agg(n.primaryName, ',' ORDER BY n.primaryName)
          LEFT JOIN name_basics n ON c.directorId = n.nconst GROUP BY c.tconst),
 dim AS (SELECT t.*, d.directorNames,
                coalesce(list_has_any(string_split(t.genres, ','), [{_TAGS_SQL}]), false) AS tag_set_flag,
-               coalesce(len(list_filter(string_split(t.genres, ','), lambda x: x IN ({_TAGS_SQL}))), 0)
-                 AS tag_set_count
+               CAST(coalesce(len(list_filter(string_split(t.genres, ','), lambda x: x IN ({_TAGS_SQL}))), 0)
+                 AS INTEGER) AS tag_set_count
         FROM topd t LEFT JOIN dirs d ON t.tconst = d.tconst),
 genre_rows AS (SELECT *, unnest(string_split(genres, ',')) AS genre FROM dim)"""
 
@@ -368,8 +368,8 @@ def q_tag_set_flag_count(spark, sf_dir):
 
 @query("top20_per_genre", with_ctes(SILVER_SQL) + """
 SELECT genre, tconst, round(weightedRating, 6) AS weightedRating, rank_in_genre FROM (
-  SELECT *, row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS rank_in_genre
-  FROM genre_rows) WHERE rank_in_genre <= 20""")
+  SELECT *, CAST(row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS INTEGER)
+    AS rank_in_genre FROM genre_rows) WHERE rank_in_genre <= 20""")
 def q_top20_per_genre(spark, sf_dir):
     t = scoring.top_per_genre(_title_dim(spark, sf_dir), 20)
     return t.select("genre", "tconst", F.round("weightedRating", 6).alias("weightedRating"),
@@ -635,8 +635,8 @@ GENRE_LOOKUP = "red"
 
 @query("genre_lookup_sql", with_ctes(SILVER_SQL) + f"""
 SELECT primaryTitle, round(weightedRating, 6) AS weightedRating, averageRating, numVotes, rank_in_genre FROM (
-  SELECT *, row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS rank_in_genre
-  FROM genre_rows) WHERE rank_in_genre <= 20 AND genre = '{GENRE_LOOKUP}'""")
+  SELECT *, CAST(row_number() OVER (PARTITION BY genre ORDER BY weightedRating DESC, tconst) AS INTEGER)
+    AS rank_in_genre FROM genre_rows) WHERE rank_in_genre <= 20 AND genre = '{GENRE_LOOKUP}'""")
 def q_genre_lookup_sql(spark, sf_dir):
     v = _register(scoring.top_per_genre(_title_dim(spark, sf_dir), 20), "gold_top20_per_genre")
     return spark.sql(f"""SELECT primaryTitle, round(weightedRating, 6) AS weightedRating, averageRating, numVotes,
