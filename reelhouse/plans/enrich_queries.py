@@ -110,5 +110,6 @@ def q_details_csv_export(spark, sf_dir):
     path = scratch_path(spark, "details_csv")
     d = enrich.flatten_details(S.landed_details(spark, sf_dir))
     files.export_csv(d.select("tmdbId", "title", F.to_json("genres").alias("genres"), "overview"), path)
-    back = files.read_csv(spark, path, "tmdbId int, title string, genres string, overview string")
+    back = files.read_csv(spark, path, "tmdbId int, title string, genres string, overview string",
+                          multiline=True)
     return back.withColumn("genres", F.array_join(parse_list_text("genres"), ","))

@@ -18,9 +18,15 @@ from reelhouse.session import reliable_checkpoint
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-             multiline: bool = True, repartition: int | None = None) -> DataFrame:
-    """Header CSV with a declared schema (StructType or DDL string).  ``multiLine`` + ``escape='"'``
-    keep quoted cells with commas, quotes and newlines in one row."""
+             multiline: bool = False, repartition: int | None = None) -> DataFrame:
+    """Header CSV with a declared schema (StructType or DDL string).
+
+    Quoted cells with commas and quotes are handled line by line
+    (``escape='"'``).  ``multiline=True`` also keeps quoted newlines inside
+    one row, but makes every file a single task (a multi-line file cannot be
+    split), so it is only for sources that need it (free-text fields such
+    as fetched overviews).
+    """
     r = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("mode", "PERMISSIVE"))
     df = r.csv(path if isinstance(path, str) else list(path))

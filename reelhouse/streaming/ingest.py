@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 
 def ingest_to_bronze(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                      checkpoint: str, fmt: str = "csv", sep: str = ",",
-                     max_files_per_trigger: int | None = None) -> int:
+                     max_files_per_trigger: int | None = None, multiline: bool = False) -> int:
     """Append the new raw files under ``landing`` to the parquet folder
     ``target``.  Returns the number of micro-batches run."""
     r = spark.readStream.schema(schema).option("header", True)
     if fmt == "csv":
-        r = r.option("sep", sep).option("multiLine", True).option("escape", '"')
+        # multiLine makes each file one task; only for sources with quoted newlines
+        r = r.option("sep", sep).option("multiLine", multiline).option("escape", '"')
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.format(fmt).load(landing).withColumn("_source_file", F.col("_metadata.file_path"))

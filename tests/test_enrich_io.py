@@ -54,7 +54,7 @@ def test_csv_roundtrip_quotes_commas_newlines(spark):
                                "tmdbId int, overview string, genres string")
     path = scratch_path(spark, "t_csv")
     files.export_csv(df, path)
-    back = files.read_csv(spark, path, df.schema)
+    back = files.read_csv(spark, path, df.schema, multiline=True)
     assert back.collect() == df.collect()
     parsed = back.select(parse_list_text("genres")).first()[0]
     assert parsed == ["Drama", "Kid's"]
