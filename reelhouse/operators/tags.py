@@ -35,3 +35,19 @@ def tag_count_dist(df: DataFrame, c: str, sep: str) -> DataFrame:
 
 def with_tag_count(df: DataFrame, c: str, sep: str, out: str = "tag_count") -> DataFrame:
     return df.withColumn(out, F.size(split_list(c, sep)))
+
+
+def tag_means_by_key(fact: DataFrame, dim: DataFrame, key: str, c: str, sep: str, value: str,
+                     out: str = "tag") -> DataFrame:
+    """Mean of a fact ``value`` per tag of the fact's dimension row.
+
+    The fact is first reduced to ``sum``/``count`` per ``key`` (a partial
+    aggregate), so only one row per key meets the dimension and is
+    exploded; the per-tag mean is ``sum(sums) / sum(counts)``.  Equal to
+    joining every fact row to its tags, without multiplying the fact.
+    """
+    per_key = fact.groupBy(key).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    tagged = per_key.join(dim.select(key, c), key, "inner").select(
+        "_s", "_n", F.explode(split_list(c, sep)).alias(out))
+    return tagged.groupBy(out).agg((F.sum("_s") / F.sum("_n")).alias(f"avg_{value}"),
+                                   F.sum("_n").alias("n"))

@@ -191,8 +191,7 @@ SELECT tag, round(avg(rating), 6) AS avg_rating, count(*) AS n FROM (
   FROM ratings r JOIN movies m ON r.movieId = m.movieId WHERE m.genres IS NOT NULL)
 GROUP BY tag""")
 def q_genre_mean_rating(spark, sf_dir):
-    j = S.ratings(spark, sf_dir).join(S.movies(spark, sf_dir), "movieId", "inner")
-    t = tags.tag_means(j, "genres", "|", "rating")
+    t = tags.tag_means_by_key(S.ratings(spark, sf_dir), S.movies(spark, sf_dir), "movieId", "genres", "|", "rating")
     return t.select("tag", F.round("avg_rating", 6).alias("avg_rating"), "n")
 
 

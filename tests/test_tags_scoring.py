@@ -90,3 +90,12 @@ def test_title_results_do_not_depend_on_layout(spark):
     ref = sorted(map(tuple, top_per_genre_unique(dim, 20).collect()))
     for n in (1, 7):
         assert sorted(map(tuple, top_per_genre_unique(dim.repartition(n), 20).collect())) == ref
+
+
+def test_tag_means_by_key_equals_row_level(spark):
+    from reelhouse.operators.tags import tag_means, tag_means_by_key
+    fact = spark.createDataFrame([(1, 4.0), (1, 2.0), (2, 5.0), (3, 1.0), (9, 3.0)], "movieId int, rating double")
+    dim = spark.createDataFrame([(1, "A|B"), (2, "B"), (3, None)], "movieId int, genres string")
+    row_level = {r.tag: (r.avg_rating, r.n) for r in tag_means(fact.join(dim, "movieId"), "genres", "|", "rating").collect()}
+    pre = {r.tag: (r.avg_rating, r.n) for r in tag_means_by_key(fact, dim, "movieId", "genres", "|", "rating").collect()}
+    assert row_level == pre == {"A": (3.0, 2), "B": (11.0 / 3, 3)}
