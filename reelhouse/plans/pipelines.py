@@ -103,8 +103,12 @@ def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict
     write_layer(flat, _t(db, "gold_user_recommendations_flat"), fmt=cfg.fmt)
     flat = spark.table(_t(db, "gold_user_recommendations_flat"))
     dim = movies.select("movieId", "title", "genres", "tmdbId")
-    left = enrich_recs(flat, dim, how="left")
-    gaps = left.agg(F.count(F.lit(1)).alias("total"), F.count_if(any_null(["title", "genres"])).alias("missing"))
+    # Gap count of the left-enriched table (taken before the inner join),
+    # from per-item counts so the dimension meets one row per item.
+    left = enrich_recs(agg.rec_popularity(flat), dim, how="left")
+    n = F.col("recommendation_count")
+    gaps = left.agg(F.sum(n).alias("total"),
+                    F.coalesce(F.sum(F.when(any_null(["title", "genres"]), n)), F.lit(0)).alias("missing"))
     write_layer(gaps, _t(db, "gold_recommendation_gaps"), fmt=cfg.fmt)
     write_layer(enrich_recs(flat, dim.filter(F.col("title").isNotNull()), how="inner"),
                 _t(db, "gold_user_recommendations_enriched"), fmt=cfg.fmt)

@@ -529,8 +529,11 @@ def q_rec_popularity(spark, sf_dir):
 SELECT r.movieId, m.title, count(*) AS recommendation_count
 FROM recs r JOIN movies m ON r.movieId = m.movieId GROUP BY r.movieId, m.title""")
 def q_rec_popularity_titles(spark, sf_dir):
-    e = rating_ranked_list(spark, sf_dir).join(S.movies(spark, sf_dir), "movieId", "inner")
-    return agg.rec_popularity(e, by=("movieId", "title"))
+    # Count per item first, then attach the title (the dimension is keyed by
+    # movieId), so only one row per item meets the dimension.
+    pop = agg.rec_popularity(rating_ranked_list(spark, sf_dir))
+    return pop.join(S.movies(spark, sf_dir).select("movieId", "title"), "movieId", "inner") \
+        .select("movieId", "title", "recommendation_count")
 
 
 @query("user_recs_lookup", with_ctes(R, M, RECS_CTE) + f"""
@@ -568,11 +571,13 @@ def q_recs_enriched(spark, sf_dir):
 SELECT count(*) AS total, count(*) FILTER (WHERE tmdbId IS NULL OR genres IS NULL) AS missing FROM enriched""")
 def q_missing_metadata(spark, sf_dir):
     from reelhouse.operators.clean import any_null
-    from reelhouse.operators.joins import enrich_recs
-    e = enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"),
-                    _dim(spark, sf_dir), how="left")
-    return e.agg(F.count(F.lit(1)).alias("total"),
-                 F.count_if(any_null(["tmdbId", "genres"])).alias("missing"))
+    # Gap count of the left-enriched list (before any inner join), computed
+    # from per-item counts: the dimension meets one row per item.
+    per_item = agg.rec_popularity(rating_ranked_list(spark, sf_dir))
+    e = per_item.join(_dim(spark, sf_dir), "movieId", "left")
+    n = F.col("recommendation_count")
+    return e.agg(F.sum(n).alias("total"),
+                 F.coalesce(F.sum(F.when(any_null(["tmdbId", "genres"]), n)), F.lit(0)).alias("missing"))
 
 
 @query("rec_coverage", with_ctes(R, M, L, RECS_CTE, _ENRICHED) + """
