@@ -12,8 +12,7 @@ volume stays at most ``n * users + 2 * ratings``.
 
 from __future__ import annotations
 
-import math
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -169,11 +168,3 @@ def save_model(model: ALSModel, path: str) -> None:
 
 def load_model(path: str) -> ALSModel:
     return ALSModel.load(path)
-
-
-def config_dict(cfg: AlsConfig) -> dict:
-    return asdict(cfg)
-
-
-def max_band(max_seen: int) -> int:
-    return math.ceil(math.log2(max_seen + 1))

@@ -61,6 +61,10 @@ def scratch_root(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder shared by the cluster "
+                             "(checkpoints and staged tables must survive executor loss)")
+        # Local session (tests, a laptop): a private folder is shared by definition.
         conf_dir = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
