@@ -46,7 +46,8 @@ def q_tsv_gz_roundtrip(spark, sf_dir):
     for part in ("a", "b"):
         files.export_csv(as_text.unionByName(header), f"{path}/part_{part}",
                          compression="gzip", sep="\t")
-    raw = files.read_tsv(spark, f"{path}/part_*/*.csv.gz", columns=m.columns, repartition=8)
+    raw = files.read_tsv(spark, f"{path}/part_*/*.csv.gz", columns=m.columns,
+                         repartition=spark.sparkContext.defaultParallelism)
     clean = scrub_null_token(scrub_header_rows(raw, "movieId"))
     one = dedup_latest(clean, ["movieId"], ["title", "genres"])
     return one.select(id_from_text("movieId").alias("movieId"), "title", "genres")

@@ -51,7 +51,8 @@ def main() -> None:
     db = ensure_database(spark, f"rh_run_{uuid.uuid4().hex[:8]}", f"{root}/warehouse")
     metrics = P.ratings_pipeline_from_files(spark, csvs["ratings"], csvs["movies"], csvs["links"], db,
                                             P.RatingsPipelineConfig(export_dir=f"{root}/exports"))
-    P.title_pipeline_from_dumps(spark, dumps, db, as_of_year=2025, repartition=8)
+    P.title_pipeline_from_dumps(spark, dumps, db, as_of_year=2025,
+                                repartition=spark.sparkContext.defaultParallelism)
     table_report(spark, "", db).orderBy("table_name").show(50, truncate=False)
     print("run metrics (rmse):", metrics)
     spark.stop()
