@@ -77,7 +77,10 @@ def ratings_gold(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> No
 
 def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict:
     """Fit, evaluate, recommend, report and export.  Returns the run metrics."""
-    fact = spark.table(_t(db, "gold_fact_ratings")).select("userId", "movieId", "rating")
+    # The model takes complete rows only; rows whose ids or rating did not
+    # parse stay in the fact table for the quality reports.
+    fact = (spark.table(_t(db, "gold_fact_ratings")).select("userId", "movieId", "rating")
+            .filter(F.col("userId").isNotNull() & F.col("movieId").isNotNull() & F.col("rating").isNotNull()))
     movies = spark.table(_t(db, "silver_dim_movies_enriched"))
     train, test = recsys.split_ratings(fact, seed=cfg.als.seed)
 

@@ -85,3 +85,20 @@ def test_title_pipeline_from_gzip_dumps(spark):
     a = sorted(map(tuple, spark.table(f"{db}.gold_top20_per_genre_unique").select("tconst", "genre").collect()))
     b = sorted(map(tuple, spark.table(f"{direct}.gold_top20_per_genre_unique").select("tconst", "genre").collect()))
     assert a == b
+
+
+def test_ratings_pipeline_with_dirty_rows(spark):
+    db = _db(spark)
+    good = S.ratings_raw(spark, SF).select("userId", "movieId", "rating", "timestamp")
+    good = good.select([F.col(c).cast("string") for c in good.columns])
+    dirty = spark.createDataFrame([("x", "1", "4.0", "1130632200"), ("3", "862.0", "", "1130635800"),
+                                   ("99999999999", "2", "3.5", None)], "userId string, movieId string, rating string, timestamp string")
+    raw = {"ratings": good.unionByName(dirty), "movies": S.movies(spark, SF), "links": S.links(spark, SF)}
+    cfg = P.RatingsPipelineConfig(date_partitions=False)
+    cfg.als = cfg.als.__class__(max_iter=2)
+    cfg.publish_als = cfg.publish_als.__class__(max_iter=2, nonnegative=False)
+    metrics = P.ratings_pipeline(spark, raw, db, cfg)
+    assert len(metrics) == 2
+    silver = spark.table(f"{db}.silver_fact_ratings")
+    assert silver.filter(F.col("userId").isNull()).count() == 2      # 'x' and the overflow: keys (NULL, 1), (NULL, 2)
+    assert silver.filter((F.col("userId") == 3) & (F.col("movieId") == 862)).first().rating is None
