@@ -22,7 +22,7 @@ from reelhouse.operators.joins import enrich_recs, lookup_attrs
 from reelhouse.operators.ranking import top_k
 from reelhouse.session import scratch_path
 from reelhouse.sources import files
-from reelhouse.sources.tables import write_layer
+from reelhouse.sources.tables import with_date_partition, write_layer
 
 
 @dataclass
@@ -31,6 +31,7 @@ class RatingsPipelineConfig:
     recs_per_user: int = 10
     export_top: int = 500
     date_partitions: bool = True
+    date_grain: str = "day"
     als: recsys.AlsConfig = field(default_factory=recsys.AlsConfig)
     publish_als: recsys.AlsConfig = field(default_factory=lambda: recsys.AlsConfig(nonnegative=False))
     exclude_seen_published: bool = True
@@ -70,8 +71,9 @@ def ratings_silver(spark: SparkSession, db: str, fmt: str = "parquet") -> None:
 
 def ratings_gold(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> None:
     f = spark.table(_t(db, "silver_fact_ratings")).withColumn("rating_date", to_day("timestamp_ts"))
+    f, part = with_date_partition(f, "rating_date", cfg.date_grain)
     write_layer(f, _t(db, "gold_fact_ratings"), fmt=cfg.fmt,
-                partition_by=["rating_date"] if cfg.date_partitions else None, recreate=True)
+                partition_by=[part] if cfg.date_partitions else None, recreate=True)
     write_layer(spark.table(_t(db, "silver_dim_users")), _t(db, "gold_dim_users"), fmt=cfg.fmt)
 
 

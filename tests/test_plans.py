@@ -53,3 +53,18 @@ def test_partitioned_fact_read_prunes_partitions(spark):
     write_layer(df, f"{db}.f", partition_by=["d"])
     q = spark.table(f"{db}.f").filter(F.col("d") == F.lit("2020-01-03").cast("date"))
     assert "PartitionFilters: [isnotnull(d" in _plan(q) and q.count() == 10
+
+
+def test_month_grain_read_prunes_partitions(spark):
+    import uuid
+
+    from reelhouse.session import scratch_path
+    from reelhouse.sources.tables import date_range_filter, ensure_database, with_date_partition, write_layer
+    db = ensure_database(spark, f"rh_plan_{uuid.uuid4().hex[:6]}", scratch_path(spark, "plan_db"))
+    df = spark.range(400).select(F.col("id"), F.date_add(F.lit("2020-01-01").cast("date"),
+                                                         F.col("id").cast("int")).alias("d"))
+    df, part = with_date_partition(df, "d", "month")
+    write_layer(df, f"{db}.m", partition_by=[part])
+    q = spark.table(f"{db}.m").filter(date_range_filter("d", "2020-02-10", "2020-03-05", "month"))
+    assert "PartitionFilters: [isnotnull(d_month" in _plan(q)
+    assert q.count() == 25  # Feb 10 .. Mar 5 2020 (leap year)
