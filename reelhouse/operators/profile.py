@@ -22,6 +22,12 @@ def _long(df: DataFrame, per_col: dict, value_cols: Sequence[str]) -> DataFrame:
     return longf.select("column_name", *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
+def _comparable(c: str, dtype: str):
+    """The column itself, or for a map (no order, no equality in
+    aggregates) its sorted entry list: an exact, orderable proxy."""
+    return F.array_sort(F.map_entries(F.col(c))) if dtype.startswith("map") else F.col(c)
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Missing values per column: (column_name, missing)."""
     per = {c: F.struct(F.count_if(F.col(c).isNull()).alias("missing")) for c in df.columns}
@@ -30,7 +36,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Exact distinct non-NULL values per column: (column_name, unique_values)."""
-    per = {c: F.struct(F.count_distinct(F.col(c)).alias("unique_values")) for c in df.columns}
+    types = dict(df.dtypes)
+    per = {c: F.struct(F.count_distinct(_comparable(c, types[c])).alias("unique_values")) for c in df.columns}
     return _long(df, per, ["unique_values"])
 
 
@@ -38,10 +45,11 @@ def profile(df: DataFrame) -> DataFrame:
     """Type, missing count, distinct count and a sample (the minimum, so the
     result does not depend on row order) per column."""
     types = dict(df.dtypes)
+
     per = {c: F.struct(F.lit(types[c]).alias("dtype"),
                        F.count_if(F.col(c).isNull()).alias("missing_values"),
-                       F.count_distinct(F.col(c)).alias("unique_values"),
-                       F.min(F.col(c)).cast("string").alias("sample_value"))
+                       F.count_distinct(_comparable(c, types[c])).alias("unique_values"),
+                       F.min(_comparable(c, types[c])).cast("string").alias("sample_value"))
            for c in df.columns}
     return _long(df, per, ["dtype", "missing_values", "unique_values", "sample_value"])
 

@@ -43,3 +43,31 @@ def test_stats_match_pandas(spark):
     assert abs(sparsity(df, items).first().sparsity - (1 - 6 / 12)) < 1e-12
     c = {(r.userId, r.movieId): r.normalized_rating for r in centre_ratings(df).collect()}
     assert abs(c[(1, 2)] - 1.0) < 1e-12 and abs(c[(3, 1)]) < 1e-12
+
+
+def test_profile_handles_nested_and_map_columns(spark):
+    df = spark.sql("SELECT 1 AS id, array('a', 'b') AS arr, map('k', 1) AS m, named_struct('x', 2) AS s "
+                   "UNION ALL SELECT 2, NULL, NULL, NULL")
+    p = {r.column_name: r for r in profile(df).collect()}
+    assert p["arr"].missing_values == 1 and p["arr"].unique_values == 1
+    assert p["m"].dtype.startswith("map") and p["m"].unique_values == 1 and p["m"].sample_value == "[{k, 1}]"
+
+
+def test_layer_tables_managed_excludes_temp_views(spark):
+    import uuid
+
+    from reelhouse.session import scratch_path
+    from reelhouse.sources.catalog import layer_tables
+    from reelhouse.sources.tables import ensure_database, write_layer
+    db = ensure_database(spark, f"rh_cat_{uuid.uuid4().hex[:6]}", scratch_path(spark, "cat_db"))
+    write_layer(spark.range(3), f"{db}.gold_a")
+    spark.range(2).createOrReplaceTempView("gold_tmp_view")
+    every = {r.table_name for r in layer_tables(spark, "gold_", db).collect()}
+    managed = {r.table_name for r in layer_tables(spark, "gold_", db, managed=True).collect()}
+    assert "gold_tmp_view" in every and managed == {"gold_a"}
+
+
+def test_distinct_counts_maps(spark):
+    from reelhouse.operators.profile import distinct_counts
+    df = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT map('a', 3)")
+    assert distinct_counts(df).first().unique_values == 2
