@@ -131,14 +131,16 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
     """
     order = [F.col("prediction").desc(), F.col(item).asc()]
     seen = ratings.select(user, item)
-    if users is None:
-        users = seen.select(user).distinct()
     if not exclude_seen:
-        flat = flatten_recs(model.recommendForUserSubset(users, n), user, item)
+        subset = seen.select(user).distinct() if users is None else users
+        flat = flatten_recs(model.recommendForUserSubset(subset, n), user, item)
         return top_n_per_group(flat, [user], order, n, rank_col=rank_col)
     # One row per user; checkpointed (reliable storage) so the per-band
     # filters below read it instead of recomputing the ratings plan.
-    bands = reliable_checkpoint(seen_bands(seen, user).join(users.select(user).distinct(), user, "inner"))
+    bands = seen_bands(seen, user)
+    if users is not None:  # requested users without ratings have seen nothing: band 0
+        bands = users.select(user).distinct().join(bands, user, "left").fillna({"seen": 0, "band": 0})
+    bands = reliable_checkpoint(bands)
     # At most ~64 band values: a bounded collect of per-band counts.
     stats = bands.groupBy("band").agg(F.count(F.lit(1)).alias("u"), F.sum("seen").alias("s")).collect()
     groups = group_bands([(r["band"], r["u"]) for r in stats], n, sum(r["s"] for r in stats))

@@ -84,3 +84,15 @@ def test_cold_start_user_and_item_are_dropped(spark):
     scored = m.transform(test).collect()
     assert [(r.userId, r.movieId) for r in scored] == [(1, 1)]
     assert recsys.rmse(m.transform(test)).first().predicted == 1
+
+
+def test_recommend_subset_includes_user_without_history(spark):
+    df, rows = _planted(spark, users=10, items=12)
+    m = recsys.fit_als(df, recsys.AlsConfig(rank=2, max_iter=3))
+    some = df.filter("userId <> 3")  # user 3 is known to the model but has no rows here
+    users = spark.createDataFrame([(3,), (4,)], "userId int")
+    got = recsys.recommend(m, some, n=4, users=users).collect()
+    per = {}
+    for r in got:
+        per.setdefault(r.userId, []).append(r.movieId)
+    assert sorted(per) == [3, 4] and len(per[3]) == 4
