@@ -29,11 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """Scan of a large fact table, pruned to ``cols``, with a parallelism
+    floor (the driver files hold one row group each; a no-op for inputs
+    that already split into enough partitions)."""
+    from reelhouse.sources.files import ensure_parallelism
+    return ensure_parallelism(table(spark, sf_dir, name).select(*cols))
+
+
 # ---------------------------------------------------------------- ratings --
 def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-like ratings, one row per lineitem (duplicated pairs)."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = fact_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"])
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
@@ -129,8 +136,8 @@ def title_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_akas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    li = fact_table(spark, sf_dir, "lineitem",
+                    ["l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
     return li.select(
         _tconst("l_partkey").alias("titleId"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ordering"),

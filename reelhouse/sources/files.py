@@ -99,3 +99,18 @@ def write_batches(df: DataFrame, order: Sequence, size: int, path: str,
     if partition_by_batch:
         w = w.partitionBy("batch")
     w.json(path)
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster can run.
+
+    Parquet splits only at row-group boundaries, so a large file written as
+    one row group (or any unsplittable input) is read, joined and
+    pre-aggregated by a single task.  When the scan has fewer partitions
+    than ``min_partitions`` (default: the default parallelism) the rows are
+    spread round-robin once; a scan that already has that many partitions
+    (every real large input) is returned unchanged, so no shuffle is added
+    at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
