@@ -45,20 +45,25 @@ def enrich_recs(recs: DataFrame, dim: DataFrame, key: str = "movieId",
 
 
 def lookup_attrs(bounded: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
-                 how: str = "left") -> DataFrame:
+                 how: str = "left", max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Attach dimension attributes to a result that is small by construction
     (the output of a top-k or a point lookup).
 
-    The bounded result (at most the caller's ``k`` rows) is checkpointed
-    once, its keys are broadcast into a semi join that filters the
-    dimension as it streams past (no shuffle of the dimension), and the few
-    matching rows are joined back.  A plain ``bounded LEFT JOIN dim`` would
-    have to build on the dimension side, i.e. shuffle or broadcast it whole.
+    The bounded result is checkpointed once and its size checked (a count
+    of the materialised rows).  Within ``max_broadcast_rows`` its keys are
+    broadcast into a semi join that filters the dimension as it streams past
+    (no shuffle of the dimension) and the few matching rows are joined
+    back.  Beyond it the plain join is used (shuffle / AQE), so a larger
+    input than expected degrades to the normal plan instead of an oversized
+    broadcast.  A plain ``bounded LEFT JOIN dim`` would have to build on the
+    dimension side, i.e. shuffle or broadcast it whole.
     """
     from pyspark.sql import functions as F
+    from reelhouse.session import reliable_checkpoint
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    from reelhouse.session import reliable_checkpoint
     small = reliable_checkpoint(bounded)
-    matched = dim.select(key, *cols).join(F.broadcast(small.select(key).distinct()), key, "left_semi")
-    return small.join(matched, key, how).select(*bounded.columns, *cols)
+    attrs = dim.select(key, *cols)
+    if small.count() <= max_broadcast_rows:
+        attrs = attrs.join(F.broadcast(small.select(key).distinct()), key, "left_semi")
+    return small.join(attrs, key, how).select(*bounded.columns, *cols)

@@ -84,7 +84,10 @@ def with_batch_number(df: DataFrame, order: Sequence, size: int, out: str = "bat
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    pos = sorted_df.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + local)
+    # one offset row per partition: broadcast while that count is modest
+    small = sorted_df.rdd.getNumPartitions() <= 1_000_000
+    pos = sorted_df.join(F.broadcast(offsets) if small else offsets, "_pid") \
+        .withColumn("_pos", F.col("_off") + local)
     return pos.withColumn(out, (F.floor(F.col("_pos") / size) + 1).cast("long")) \
         .drop("_pid", "_mid", "_off", "_pos")
 

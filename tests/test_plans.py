@@ -68,3 +68,13 @@ def test_month_grain_read_prunes_partitions(spark):
     q = spark.table(f"{db}.m").filter(date_range_filter("d", "2020-02-10", "2020-03-05", "month"))
     assert "PartitionFilters: [isnotnull(d_month" in _plan(q)
     assert q.count() == 25  # Feb 10 .. Mar 5 2020 (leap year)
+
+
+def test_bounded_lookup_falls_back_beyond_the_size_check(spark):
+    from reelhouse.operators.joins import lookup_attrs
+    big = spark.range(50).select(F.col("id").cast("int").alias("movieId"))
+    dim = spark.range(100).select(F.col("id").cast("int").alias("movieId"), F.col("id").cast("string").alias("t"))
+    small_plan = _plan(lookup_attrs(big, dim, "movieId", ["t"], max_broadcast_rows=100))
+    big_plan = _plan(lookup_attrs(big, dim, "movieId", ["t"], max_broadcast_rows=10))
+    assert "LeftSemi" in small_plan and "LeftSemi" not in big_plan
+    assert lookup_attrs(big, dim, "movieId", ["t"], max_broadcast_rows=10).count() == 50
