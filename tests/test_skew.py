@@ -59,3 +59,20 @@ def test_hot_user_recommend_exact(spark):
         exp = [i for _, i in sorted((-float(np.float32(uf[u] @ vf[i])), i) for i in vf if i not in seen[u])[:10]]
         assert [i for _, i in sorted(got[u])] == exp
     assert 0 not in got  # the hot user has seen every item
+
+
+def test_hot_key_centring_and_tag_means(spark):
+    from reelhouse.operators.profile import centre_ratings
+    from reelhouse.operators.tags import tag_means_by_key
+    df, rows = _skewed(spark)
+    d = dedup_latest(df.repartition(8), ["userId", "movieId"], ["ts", "rating"]).select("userId", "movieId", "rating")
+    pdf = pd.DataFrame([tuple(r) for r in d.collect()], columns=["userId", "movieId", "rating"])
+    exp = pdf.assign(n=pdf.rating - pdf.groupby("userId").rating.transform("mean"))
+    got = {(r.userId, r.movieId): r.normalized_rating for r in centre_ratings(d).collect()}
+    assert len(got) == len(exp)
+    assert all(abs(got[(u, m)] - n) < 1e-9 for u, m, _, n in exp.itertuples(index=False))
+    # a hot item: item 0 carries a tag shared with no other item
+    dim = spark.createDataFrame([(j, "hot|all" if j == 0 else "all") for j in range(300)], "movieId int, genres string")
+    means = {r.tag: r.avg_rating for r in tag_means_by_key(d, dim, "movieId", "genres", "|", "rating").collect()}
+    assert abs(means["all"] - pdf.rating.mean()) < 1e-9
+    assert abs(means["hot"] - pdf[pdf.movieId == 0].rating.mean()) < 1e-9
