@@ -144,10 +144,13 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
     # At most ~64 band values: a bounded collect of per-band counts.
     stats = bands.groupBy("band").agg(F.count(F.lit(1)).alias("u"), F.sum("seen").alias("s")).collect()
     groups = group_bands([(r["band"], r["u"]) for r in stats], n, sum(r["s"] for r in stats))
+    # Asking for more items than the model knows returns them all anyway:
+    # capping k there keeps the result exact and bounds MLlib's per-user queue.
+    n_items = model.itemFactors.count()
     parts = []
     for members_bands, k in groups:
         members = bands.filter(F.col("band").isin(members_bands)).select(user)
-        parts.append(flatten_recs(model.recommendForUserSubset(members, k), user, item))
+        parts.append(flatten_recs(model.recommendForUserSubset(members, max(1, min(k, n_items))), user, item))
     if not parts:
         spark = ratings.sparkSession
         empty = spark.createDataFrame([], f"{user} int, {item} int, prediction float")

@@ -54,3 +54,16 @@ def test_missing_rows_and_drop_existing(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, "g"), (3, "c", "g")], "id int, title string, genres string")
     assert [r.id for r in missing_rows(df, ["title", "genres"]).collect()] == [1, 2]
     assert drop_existing(df, "genres", "nope").columns == ["id", "title"]
+
+
+def test_tune_for_input_sizes_shuffles(spark):
+    from reelhouse.session import tune_for_input
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+                                              "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        conf = tune_for_input(spark, 100 * 2**40)  # 100 TiB
+        assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+        assert tune_for_input(spark, 10 << 20)["spark.sql.shuffle.partitions"] == "200"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
