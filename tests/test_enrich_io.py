@@ -110,3 +110,12 @@ def test_links_gaps_and_orphans(spark):
     assert [r.movieId for r in orphans(ratings, movies, "movieId").collect()] == [99]
     meta = spark.createDataFrame([(862, "Toy")], "tmdbId int, mtitle string")
     assert [r.movieId for r in enrich.movie_dim(links, meta).collect()] == [1]
+
+
+def test_batch_numbers_any_layout(spark):
+    df = spark.range(537).select(F.col("id").cast("int").alias("k"), (F.col("id") * 7 % 13).alias("v"))
+    for parts in (1, 3, 11):
+        got = {r.k: r.batch for r in files.with_batch_number(df.repartition(parts), [F.col("v").desc(), F.col("k")], 50)
+               .collect()}
+        order = sorted(range(537), key=lambda k: (-(k * 7 % 13), k))
+        assert all(got[k] == i // 50 + 1 for i, k in enumerate(order))

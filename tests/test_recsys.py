@@ -96,3 +96,18 @@ def test_recommend_subset_includes_user_without_history(spark):
     for r in got:
         per.setdefault(r.userId, []).append(r.movieId)
     assert sorted(per) == [3, 4] and len(per[3]) == 4
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(0, 40), st.integers(1, 10**6), min_size=1, max_size=20),
+       st.integers(1, 50), st.integers(0, 10**9))
+def test_group_bands_properties(band_users, n, seen_rows):
+    groups = recsys.group_bands(sorted(band_users.items()), n, seen_rows)
+    flat = [b for bands, _ in groups for b in bands]
+    assert flat == sorted(band_users)                       # each band once, ascending, contiguous groups
+    for bands, k in groups:
+        assert k == n + 2 ** max(bands)                     # every member's seen count < 2**band <= k - n
