@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from reelhouse.session import scratch_path, scratch_root
 
-#: Rows of one Arrow batch between the JVM and Python.  Texts average a few
-#: kilobytes; a worker holds one batch, so this bounds its memory.
-ARROW_ROWS = 1000
+#: Rows and bytes of one Arrow batch between the JVM and Python: a worker
+#: holds one batch, so this bounds its memory (one longer row goes alone).
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -31,6 +31,10 @@ def tuned(spark: SparkSession) -> SparkSession:
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), ROOT) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    # Every step is written before the next reads it, so the shuffle files of a
+    # finished step need not stay on the executors' disks.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -4,14 +4,46 @@ from __future__ import annotations
 
 from reelhouse.llm.common import table
 from reelhouse.llm.decontaminate import contamination
+from reelhouse.llm.htmltext import main_texts
 from reelhouse.llm.neardup import near_duplicates
+from reelhouse.llm.secretscan import secret_spans
 from reelhouse.llm.substrings import remove_repeats
+from reelhouse.llm.tokencount import token_counts
+from reelhouse.llm.tokenfiles import written_and_read
+from reelhouse.llm.topk import top_k
+from reelhouse.llm.toxicity import fit, scores
+from reelhouse.llm.wordbpe import encoded
+
+
+def op1_html_extraction(spark, sf_dir):
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
+def op2_topk_search(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op3_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return scores(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_secret_scan(spark, sf_dir):
+    return secret_spans(table(spark, sf_dir, "documents"))
 
 
 def op6_substring_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_word_bpe(spark, sf_dir):
+    return encoded(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -20,4 +52,10 @@ def op9_minhash_neardup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
 
-QUERIES = {f.__name__: f for f in (op6_substring_dedup, op8_decontamination, op9_minhash_neardup)}
+def op10_token_files(spark, sf_dir):
+    return written_and_read(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_topk_search, op3_token_counts, op4_toxicity, op5_secret_scan, op6_substring_dedup,
+    op7_word_bpe, op8_decontamination, op9_minhash_neardup, op10_token_files)}
