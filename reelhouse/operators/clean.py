@@ -67,13 +67,3 @@ def any_null(cols: Sequence[str]) -> Column:
 def missing_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows where any of ``cols`` is NULL (metadata gaps)."""
     return df.filter(any_null(cols))
-
-
-def any_of(preds: Sequence[Column]) -> Column:
-    """OR-reduce of predicates."""
-    return reduce(lambda a, b: a | b, preds)
-
-
-def all_of(preds: Sequence[Column]) -> Column:
-    """AND-reduce of predicates."""
-    return reduce(lambda a, b: a & b, preds)

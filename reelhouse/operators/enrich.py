@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reelhouse import schemas
 from reelhouse.functions.arrays import field_of_each, first_k, first_match
 from reelhouse.functions.strings import external_id, poster_url, trimmed_list
+from reelhouse.operators.clean import dedup_latest
 
 # Fixed values of the reference enrichment step.
 POSTER_BASE = "https://image.tmdb.org/t/p/w500"
@@ -27,9 +28,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "payload")
 
 
-def _status(parsed: str, id_field: str, error_cond) -> F.Column:
+def _status(text: str, parsed: str, id_field: str, error_cond) -> F.Column:
     p = F.col(parsed)
-    return (F.when(F.col("payload").isNull(), "missing")
+    return (F.when(F.col(text).isNull(), "missing")
             .when(error_cond, "error")
             .when(p[id_field].isNull(), "malformed")
             .otherwise("ok"))
@@ -38,7 +39,7 @@ def _status(parsed: str, id_field: str, error_cond) -> F.Column:
 def parse_details(payloads: DataFrame, text: str = "payload") -> DataFrame:
     """Parse movie-detail payloads; adds ``d`` (struct) and ``status``."""
     d = payloads.withColumn("d", F.from_json(F.col(text), schemas.DETAILS_PAYLOAD))
-    return d.withColumn("status", _status("d", "id", F.col("d.status_code").isNotNull()))
+    return d.withColumn("status", _status(text, "d", "id", F.col("d.status_code").isNotNull()))
 
 
 def flatten_details(payloads: DataFrame, text: str = "payload") -> DataFrame:
@@ -78,13 +79,19 @@ def flatten_alt(payloads: DataFrame, text: str = "payload", actors_kept: int = A
                      F.col("a.Poster").alias("poster"))
 
 
-def missing_payloads(ids: DataFrame, payloads: DataFrame, key: str, parsed_status: DataFrame) -> DataFrame:
-    """Ids without a usable payload: never landed (``missing``), error
-    response (``error``) or unparsable text (``malformed``)."""
-    landed = parsed_status.select(key, "status")
-    absent = ids.select(key).join(landed.select(key), key, "left_anti").withColumn("status", F.lit("missing"))
-    bad = ids.select(key).join(landed.filter(F.col("status") != "ok"), key, "inner")
-    return absent.unionByName(bad)
+# Statuses from best to worst: a retried id counts as its best response.
+STATUSES = ("ok", "error", "malformed", "missing")
+
+
+def missing_payloads(ids: DataFrame, key: str, parsed_status: DataFrame) -> DataFrame:
+    """Ids without a usable payload, one row each: never landed (``missing``),
+    error response (``error``) or unparsable text (``malformed``).  An id with
+    several responses takes its best status."""
+    best = parsed_status.groupBy(key).agg(*(F.count_if(F.col("status") == s).alias(f"_{s}") for s in STATUSES))
+    status = F.lit(STATUSES[-1])
+    for s in STATUSES[-2::-1]:
+        status = F.when(F.col(f"_{s}") > 0, s).otherwise(status)
+    return ids.select(key).join(best, key, "left").select(key, status.alias("status")).filter(F.col("status") != "ok")
 
 
 def with_external_id(items: DataFrame, links: DataFrame, key: str = "movieId",
@@ -95,6 +102,7 @@ def with_external_id(items: DataFrame, links: DataFrame, key: str = "movieId",
 
 def movie_dim(links: DataFrame, metadata: DataFrame, key: str = "tmdbId") -> DataFrame:
     """Enriched movie dimension: links joined to fetched metadata on the
-    external key (inner; links without the key cannot match)."""
+    external key (inner; links without the key cannot match).  An id fetched
+    more than once keeps one payload (the greatest by its columns)."""
     l2 = links.filter(F.col(key).isNotNull())
-    return l2.join(metadata, key, "inner")
+    return l2.join(dedup_latest(metadata, [key], [c for c in metadata.columns if c != key]), key, "inner")

@@ -5,8 +5,8 @@ links, users) get no broadcast hint.  Adaptive execution measures the real
 size of each join side after its shuffle stage and turns the join into a
 broadcast only when that measured size is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the sort-merge
-join stays (with skew splitting).  Explicit ``broadcast`` is reserved for
-inputs bounded by construction (one-row scalars, fixed lookups).
+join stays (with skew splitting where both inputs are plain shuffles; see
+:func:`salted_join` for the other case).
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from reelhouse.session import written
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -35,35 +38,50 @@ def with_titles(recs: DataFrame, dim: DataFrame, key: str = "movieId",
     return recs.join(dim.select(key, *cols), key, "left")
 
 
+SALTS = 16
+
+
+def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """Join in which one key's fact rows go to up to ``salts`` tasks.
+
+    The salt is a hash of the ``spread`` columns; each dimension row is
+    replicated once per salt.  For dimensions that come straight from an
+    aggregate or another join: their rows already sit on the key's hash
+    partitions, so adaptive execution has no shuffle to split there and a hot
+    key would be one task."""
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    many = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
+
+
 def enrich_recs(recs: DataFrame, dim: DataFrame, key: str = "movieId",
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", spread: Sequence[str] | None = None) -> DataFrame:
     """Recommendations joined to the enriched item dimension: ``left`` keeps
-    every recommendation, ``inner`` only those with metadata."""
+    every recommendation, ``inner`` only those with metadata.  ``spread``
+    names the columns that salt the join when ``dim`` is not a plain table
+    (popular items are the hot keys of a recommendation table)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    return recs.join(dim, key, how)
+    return salted_join(recs, dim, key, spread, how) if spread else recs.join(dim, key, how)
 
 
 def lookup_attrs(bounded: DataFrame, dim: DataFrame, key: str, cols: Sequence[str],
-                 how: str = "left", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 how: str = "left") -> DataFrame:
     """Attach dimension attributes to a result that is small by construction
     (the output of a top-k or a point lookup).
 
-    The bounded result is checkpointed once and its size checked (a count
-    of the materialised rows).  Within ``max_broadcast_rows`` its keys are
-    broadcast into a semi join that filters the dimension as it streams past
-    (no shuffle of the dimension) and the few matching rows are joined
-    back.  Beyond it the plain join is used (shuffle / AQE), so a larger
-    input than expected degrades to the normal plan instead of an oversized
-    broadcast.  A plain ``bounded LEFT JOIN dim`` would have to build on the
+    The bounded result is written once; its keys filter the dimension in a
+    semi join before the few matching rows are joined back.  No hint: Spark
+    sees the written rows' size and picks the broadcast (the dimension then
+    streams past unshuffled), or a shuffle if the result is larger than its
+    threshold.  A plain ``bounded LEFT JOIN dim`` would have to build on the
     dimension side, i.e. shuffle or broadcast it whole.
     """
-    from pyspark.sql import functions as F
-    from reelhouse.session import reliable_checkpoint
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    small = reliable_checkpoint(bounded)
-    attrs = dim.select(key, *cols)
-    if small.count() <= max_broadcast_rows:
-        attrs = attrs.join(F.broadcast(small.select(key).distinct()), key, "left_semi")
+    small = written(bounded, "lookup")
+    attrs = dim.select(key, *cols).join(small.select(key).distinct(), key, "left_semi")
     return small.join(attrs, key, how).select(*bounded.columns, *cols)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.operators.joins import salted_join
 from reelhouse.operators.ranking import top_k
 from reelhouse.functions.strings import split_list
 
@@ -54,22 +55,17 @@ def profile(df: DataFrame) -> DataFrame:
     return _long(df, per, ["dtype", "missing_values", "unique_values", "sample_value"])
 
 
-def columns_report(df: DataFrame, spark) -> DataFrame:
-    """Column names and types as a DataFrame (schema metadata only)."""
-    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "position int, column_name string, dtype string")
-
-
 def per_key_counts(ratings: DataFrame, key: str = "userId") -> DataFrame:
     return ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
 def sparsity(ratings: DataFrame, items: DataFrame, user: str = "userId",
              item: str = "movieId") -> DataFrame:
-    """``1 - ratings / (users in ratings x items in the item table)``."""
+    """``1 - ratings / (users in ratings x items in the item table)``; NULL
+    when there is no user or no item."""
     n_items = items.select(F.count_distinct(item)).scalar()
     return ratings.agg(
-        (F.lit(1.0) - F.count(F.lit(1)) / (F.count_distinct(user) * n_items)).alias("sparsity"),
+        (F.lit(1.0) - F.try_divide(F.count(F.lit(1)), F.count_distinct(user) * n_items)).alias("sparsity"),
         F.count(F.lit(1)).alias("ratings"), F.count_distinct(user).alias("users"),
         n_items.alias("items"))
 
@@ -115,11 +111,15 @@ def count_zscore(ratings: DataFrame, user: str = "userId") -> DataFrame:
 
 
 def centre_ratings(ratings: DataFrame, key: str = "userId", rating: str = "rating",
-                   out: str = "normalized_rating") -> DataFrame:
+                   out: str = "normalized_rating", spread: Sequence[str] | None = None) -> DataFrame:
     """Rating minus the key's mean rating.  Mean per key is a partial/final
-    aggregate joined back on the key (no window buffering a whole group)."""
+    aggregate joined back on the key (no window buffering a whole group); the
+    join is salted by the other columns (or ``spread``), because an aggregate's
+    side cannot be split when one key holds very many ratings."""
     means = ratings.groupBy(key).agg(F.avg(rating).alias("_mean"))
-    return ratings.join(means, key, "inner").withColumn(out, F.col(rating) - F.col("_mean")).drop("_mean")
+    spread = spread or [c for c in ratings.columns if c not in (key, rating)]
+    return salted_join(ratings, means, key, spread).withColumn(out, F.col(rating) - F.col("_mean")) \
+        .select(*ratings.columns, out)
 
 
 def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:

@@ -1,27 +1,28 @@
 """ALS recommendations: split, fit, score, evaluate, recommend, log.
 
-The unseen top-n never materialises users x items.  Each user is placed
-in a band by the number of items they already rated (``band = ceil(log2(seen
-+ 1))``) and the model is asked, per band, for the top ``n + 2**band``
-items of those users (Spark ML's blocked, bounded top-k).  Because a user
-in band ``b`` has seen fewer than ``2**b`` items, at least ``n`` unseen
-items survive the anti join with the ratings, so the result equals the
-brute-force "all pairs minus seen, top n" answer while the candidate
-volume stays at most ``n * users + 2 * ratings``.
+The top-n is exact with k = n, also for ties.  Users and items are dealt into
+hash blocks.  Each pair of blocks is one task: a vectorised product of the
+two factor blocks, in which the pairs already seen are masked before the n
+best per user are taken (by prediction, then item id).  A seen pair is sent
+only to the tasks of its own user block and item block.  The n best per user and item
+block are then merged.  Scoring every unseen pair is the cost of an exact top-n
+(users x items x rank multiplications, in blocks); what is shuffled is the
+factors once per opposite block, the seen pairs once, and n rows per user and
+item block.  No task holds more than one block pair and no row grows with a
+user's history beyond one item block.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import without_seen
 from reelhouse.operators.ranking import top_n_per_group
-from reelhouse.session import reliable_checkpoint
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,9 @@ class AlsConfig:
     implicit_prefs: bool = False
     cold_start: str = "drop"
     seed: int = 42
-    num_blocks: int | None = None  # default: the cluster's default parallelism
+    # ALS exchanges num_blocks ** 2 pieces per half step: raise it with the
+    # number of ratings, not with the number of cores (None: Spark ML's default).
+    num_blocks: int | None = None
     user: str = "userId"
     item: str = "movieId"
     rating: str = "rating"
@@ -47,20 +50,20 @@ class AlsConfig:
 
 def split_ratings(df: DataFrame, keys=("userId", "movieId"), train_frac: float = 0.8,
                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Seeded split on a hash of the row key: the same row always lands in
-    the same side whatever the partitioning (``randomSplit`` does not)."""
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(10000))
-    cut = int(round(train_frac * 10000))
-    return df.filter(h < cut), df.filter(h >= cut)
+    """Seeded split on the md5 of the row key's text: the same row always
+    lands on the same side whatever the partitioning or the engine
+    (``randomSplit`` depends on the layout)."""
+    head = F.substring(F.md5(F.concat_ws("-", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), 1, 8)
+    cut = f"{min(int(train_frac * 2 ** 32), 2 ** 32 - 1):08x}"
+    return df.filter(head < cut), df.filter(head >= cut)
 
 
 def fit_als(train: DataFrame, cfg: AlsConfig = AlsConfig()) -> ALSModel:
-    spark = train.sparkSession
-    blocks = cfg.num_blocks or max(1, spark.sparkContext.defaultParallelism)
     als = ALS(userCol=cfg.user, itemCol=cfg.item, ratingCol=cfg.rating, rank=cfg.rank,
               maxIter=cfg.max_iter, regParam=cfg.reg_param, nonnegative=cfg.nonnegative,
-              implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed,
-              numUserBlocks=blocks, numItemBlocks=blocks)
+              implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed)
+    if cfg.num_blocks:
+        als = als.setNumBlocks(cfg.num_blocks)
     return als.fit(train)
 
 
@@ -77,87 +80,67 @@ def flatten_recs(nested: DataFrame, user: str = "userId", item: str = "movieId")
     return e.select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("prediction"))
 
 
-def seen_bands(ratings: DataFrame, user: str = "userId") -> DataFrame:
-    """``user, seen, band`` with ``2**band > seen``."""
-    c = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("seen"))
-    return c.withColumn("band", F.ceil(F.log2(F.col("seen") + 1)).cast("int"))
-
-
-def group_bands(band_users: list[tuple[int, int]], n: int, seen_rows: int) -> list[tuple[list[int], int]]:
-    """Group adjacent bands into model calls: ``[(bands, k), ...]``.
-
-    A user can be served by any group whose ``k`` is at least its own
-    ``n + 2**band``, so bands only merge upward.  Exact dynamic programme
-    over the (at most ~64) bands minimising
-    ``calls * (n * users + seen_rows) + sum(users_in_group * k_group)``:
-    one more call costs about one pass over the problem, one more candidate
-    row costs one row.  A hot user with a huge history stays alone in its
-    band instead of inflating ``k`` for everyone.
-    """
-    bands = sorted(band_users)
-    if not bands:
-        return []
-    users = sum(u for _, u in bands)
-    call_cost = n * users + seen_rows
-    m = len(bands)
-    best = [0.0] + [float("inf")] * m
-    cut = [0] * (m + 1)
-    for j in range(1, m + 1):
-        k = n + 2 ** bands[j - 1][0]
-        acc = 0
-        for i in range(j, 0, -1):
-            acc += bands[i - 1][1]
-            cost = best[i - 1] + call_cost + acc * k
-            if cost < best[j]:
-                best[j], cut[j] = cost, i
-    groups = []
-    j = m
-    while j > 0:
-        i = cut[j]
-        groups.append(([b for b, _ in bands[i - 1:j]], n + 2 ** bands[j - 1][0]))
-        j = i - 1
-    return groups[::-1]
+USER_BLOCK, ITEM_BLOCK = 4096, 8192
+
+
+def best_of_block(users: np.ndarray, items: np.ndarray, u: np.ndarray, v: np.ndarray, masked: list, n: int):
+    """(user, item, prediction) of each user's ``n`` best items, ties to the
+    smaller item; ``masked[i]`` lists items user i must not get."""
+    order = np.argsort(items, kind="stable")
+    items, v = items[order], v[order]
+    out = []
+    for a in range(0, len(users), 256):
+        # one product per batch of users in double precision, then the model's
+        # float type, so equal factors give equal predictions
+        score = np.einsum("ur,ir->ui", u[a:a + 256], v).astype(np.float32)
+        for i, row in enumerate(score, a):
+            if masked[i] is not None and len(masked[i]):
+                row[np.isin(items, masked[i])] = -np.inf
+            least = np.partition(row, len(row) - n)[len(row) - n] if len(row) > n else -np.inf
+            at = np.flatnonzero((row >= least) & (row > -np.inf))
+            at = at[np.argsort(-row[at], kind="stable")][:n]
+            out += [(users[i], items[j], row[j]) for j in at]
+    return out
 
 
 def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bool = True,
               users: DataFrame | None = None, user: str = "userId", item: str = "movieId",
-              rank_col: str | None = "rank") -> DataFrame:
-    """Top ``n`` items per user, ``(user, item, prediction[, rank])``.
-
-    ``exclude_seen`` drops items the user rated (see the module docstring
-    for the banded candidate generation).  ``users`` limits the users
-    (default: every user of ``ratings``); users unknown to the model get no
-    rows (cold start).
-    """
-    order = [F.col("prediction").desc(), F.col(item).asc()]
+              rank_col: str | None = "rank", user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+    """Top ``n`` items per user, ``(user, item, prediction[, rank])``, ordered
+    by prediction, then item id.
+
+    ``exclude_seen`` leaves out items the user rated.  ``users`` limits the
+    users (default: every user of ``ratings``); users unknown to the model get
+    no rows (cold start)."""
     seen = ratings.select(user, item)
-    if not exclude_seen:
-        subset = seen.select(user).distinct() if users is None else users
-        flat = flatten_recs(model.recommendForUserSubset(subset, n), user, item)
-        return top_n_per_group(flat, [user], order, n, rank_col=rank_col)
-    # One row per user; checkpointed (reliable storage) so the per-band
-    # filters below read it instead of recomputing the ratings plan.
-    bands = seen_bands(seen, user)
-    if users is not None:  # requested users without ratings have seen nothing: band 0
-        bands = users.select(user).distinct().join(bands, user, "left").fillna({"seen": 0, "band": 0})
-    bands = reliable_checkpoint(bands)
-    # At most ~64 band values: a bounded collect of per-band counts.
-    stats = bands.groupBy("band").agg(F.count(F.lit(1)).alias("u"), F.sum("seen").alias("s")).collect()
-    groups = group_bands([(r["band"], r["u"]) for r in stats], n, sum(r["s"] for r in stats))
-    # Asking for more items than the model knows returns them all anyway:
-    # capping k there keeps the result exact and bounds MLlib's per-user queue.
-    n_items = model.itemFactors.count()
-    parts = []
-    for members_bands, k in groups:
-        members = bands.filter(F.col("band").isin(members_bands)).select(user)
-        parts.append(flatten_recs(model.recommendForUserSubset(members, max(1, min(k, n_items))), user, item))
-    if not parts:
-        spark = ratings.sparkSession
-        empty = spark.createDataFrame([], f"{user} int, {item} int, prediction float")
-        return empty if rank_col is None else empty.withColumn(rank_col, F.lit(0))
-    cand = reduce(DataFrame.unionByName, parts)
-    unseen = without_seen(cand, seen, (user, item))
-    return top_n_per_group(unseen, [user], order, n, rank_col=rank_col)
+    wanted = (seen if users is None else users).select(F.col(user).alias("id")).distinct()
+    known = model.userFactors.join(wanted, "id", "left_semi")
+    n_users, n_items = model.userFactors.count(), model.itemFactors.count()
+    ub, ib = max(1, -(-n_users // user_block)), max(1, -(-n_items // item_block))
+    block = lambda c, k: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(k)).cast("int")
+    left = known.select(F.col("id").alias("u"), "features", block("id", ub).alias("ub"),
+                        F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("ib"))
+    right = model.itemFactors.select(F.col("id").alias("i"), "features", block("id", ib).alias("ib"),
+                                     F.explode(F.sequence(F.lit(0), F.lit(ub - 1))).alias("ub"))
+    if exclude_seen:
+        # at most one item block per list
+        lists = seen.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(
+            F.col(user).alias("u"), block(item, ib).alias("ib")).agg(F.collect_set(item).alias("seen"))
+        left = left.join(lists, ["u", "ib"], "left")
+    else:
+        left = left.withColumn("seen", F.lit(None).cast("array<int>"))
+
+    def score(key: tuple, us: pd.DataFrame, its: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(us) and len(its):
+            rows = best_of_block(us["u"].to_numpy(), its["i"].to_numpy(), np.stack(us["features"]).astype(np.float64),
+                                 np.stack(its["features"]).astype(np.float64), us["seen"].tolist(), n)
+        return pd.DataFrame({name: np.array([r[k] for r in rows], kind)
+                             for k, (name, kind) in enumerate(((user, np.int32), (item, np.int32), ("prediction", np.float32)))})
+
+    best = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(
+        score, f"{user} int, {item} int, prediction float")
+    return top_n_per_group(best, [user], [F.col("prediction").desc(), F.col(item).asc()], n, rank_col=rank_col)
 
 
 def run_metrics(cfg: AlsConfig, rmse_df: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from reelhouse.functions.strings import split_list
 from reelhouse.operators.aggregates import collect_names
 from reelhouse.operators.clean import dedup_latest, not_future
 from reelhouse.operators.ranking import best_row_window, top_k, top_n_per_group
-from reelhouse.session import reliable_checkpoint
 
 # Fixed values of the reference pipeline, kept as defaults.
 DEFAULT_PRIOR_VOTES = 50
@@ -35,7 +34,8 @@ def weighted_rating(df: DataFrame, rating: str = "averageRating", votes: str = "
     c = df.select(F.avg(F.col(rating).cast("double"))).scalar()
     v = F.col(votes).cast("double")
     r = F.col(rating).cast("double")
-    return df.withColumn(out, v / (v + F.lit(float(m))) * r + F.lit(float(m)) / (v + F.lit(float(m))) * c)
+    both = v + F.lit(float(m))  # 0 when m = 0 and nobody voted: no score
+    return df.withColumn(out, F.try_divide(v, both) * r + F.try_divide(F.lit(float(m)), both) * c)
 
 
 def typed_title_basics(basics: DataFrame) -> DataFrame:
@@ -52,14 +52,15 @@ def silver_titles(basics: DataFrame, akas: DataFrame, ratings: DataFrame, as_of_
                   title_type: str = DEFAULT_TITLE_TYPE, first_year: int = DEFAULT_FIRST_YEAR,
                   languages: Sequence[str] = DEFAULT_LANGUAGES,
                   regions: Sequence[str] = DEFAULT_REGIONS,
-                  min_votes: int = DEFAULT_MIN_VOTES, k: int = DEFAULT_SILVER_TOP) -> DataFrame:
-    """Top titles of a type, year window, language and region set.
+                  min_votes: int = DEFAULT_MIN_VOTES, k: int | None = None) -> DataFrame:
+    """Titles of a type, year window, language and region set; with ``k``
+    only the top ``k`` by rating (``DEFAULT_SILVER_TOP`` for the top-title
+    table), without it all of them.
 
     Filters run before the joins (they reach the scans), one row is kept per
     title (best rating, then votes, then language/region, so the kept aka is
     fixed; the akas are reduced to that row before the joins) and only then
-    the ordered top-``k`` is taken.  ``min_votes=0``
-    disables the vote floor.
+    an ordered top-``k`` is taken.  ``min_votes=0`` disables the vote floor.
     """
     b = typed_title_basics(basics).filter(
         (F.col("titleType") == title_type) & (F.col("startYear") >= first_year)
@@ -77,8 +78,12 @@ def silver_titles(basics: DataFrame, akas: DataFrame, ratings: DataFrame, as_of_
     joined = (b.join(a, b["tconst"] == a["titleId"], "inner").drop("titleId")
               .join(r, "tconst", "inner"))
     one = dedup_latest(joined, ["tconst"], ["averageRating", "numVotes", "language", "region"])
-    return top_k(one, [F.col("averageRating").desc(), F.col("numVotes").desc(),
-                       F.col("tconst").asc()], k)
+    return one if k is None else top_titles(one, k)
+
+
+def top_titles(df: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best titles by rating, then votes, then id."""
+    return top_k(df, [F.col("averageRating").desc(), F.col("numVotes").desc(), F.col("tconst").asc()], k)
 
 
 def title_fact(silver: DataFrame) -> DataFrame:
@@ -102,25 +107,22 @@ def director_names(crew: DataFrame, names: DataFrame, titles: DataFrame) -> Data
 
 
 def title_dim(silver: DataFrame, crew: DataFrame, names: DataFrame,
-              m: float = DEFAULT_PRIOR_VOTES, k: int = DEFAULT_SILVER_TOP,
+              m: float = DEFAULT_PRIOR_VOTES, director_k: int | None = None,
               tags: Sequence[str] = DEFAULT_TAG_SET) -> DataFrame:
-    """Silver top titles + weighted rating + director list + tag-set flag
+    """Every silver title + weighted rating + director list + tag-set flag
     and count (``genres`` is a comma list).
 
-    ``silver`` is the top-title table, bounded by its top-k; it is
-    checkpointed once because three branches read it (the mean C, the
-    ranking and the director lookup) and would otherwise each re-run its
-    joins.
+    ``director_k`` bounds the director lookup to the best titles (the others
+    get a NULL list); no title is dropped.  ``silver`` is read by three
+    branches (the mean C, the rows and the director lookup): pass a written
+    layer table, not a chain of joins.
     """
-    silver = reliable_checkpoint(silver)
     dim = weighted_rating(silver.withColumns({
         "averageRating": safe_cast("averageRating", "double"),
         "numVotes": safe_cast("numVotes", "int")}), m=m)
-    top = top_k(dim, [F.col("averageRating").desc(), F.col("numVotes").desc(),
-                      F.col("tconst").asc()], k)
-    dirs = director_names(crew, names, top)
+    dirs = director_names(crew, names, dim if director_k is None else top_titles(dim, director_k))
     arr = split_list("genres", ",")
-    return (top.join(dirs, "tconst", "left")
+    return (dim.join(dirs, "tconst", "left")
             .withColumn("genres_array", arr)
             .withColumn("tag_set_flag", tag_set_flag("genres_array", tags))
             .withColumn("tag_set_count", tag_set_count("genres_array", tags)))

@@ -43,11 +43,13 @@ def tag_means_by_key(fact: DataFrame, dim: DataFrame, key: str, c: str, sep: str
 
     The fact is first reduced to ``sum``/``count`` per ``key`` (a partial
     aggregate), so only one row per key meets the dimension and is
-    exploded; the per-tag mean is ``sum(sums) / sum(counts)``.  Equal to
+    exploded; the per-tag mean is ``sum(sums) / sum(counts)``; ``n`` counts
+    rows, as in :func:`tag_means`.  Equal to
     joining every fact row to its tags, without multiplying the fact.
     """
-    per_key = fact.groupBy(key).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    per_key = fact.groupBy(key).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"),
+                                      F.count(F.lit(1)).alias("_rows"))
     tagged = per_key.join(dim.select(key, c), key, "inner").select(
-        "_s", "_n", F.explode(split_list(c, sep)).alias(out))
-    return tagged.groupBy(out).agg((F.sum("_s") / F.sum("_n")).alias(f"avg_{value}"),
-                                   F.sum("_n").alias("n"))
+        "_s", "_n", "_rows", F.explode(split_list(c, sep)).alias(out))
+    return tagged.groupBy(out).agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias(f"avg_{value}"),
+                                   F.sum("_rows").alias("n"))

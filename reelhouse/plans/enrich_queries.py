@@ -74,7 +74,7 @@ WHERE k.tmdbId IS NOT NULL AND p.p_size BETWEEN 3 AND 6""")
 def q_missing_payloads(spark, sf_dir):
     ids = S.links(spark, sf_dir).filter(F.col("tmdbId").isNotNull())
     landed = S.landed_details(spark, sf_dir)
-    return enrich.missing_payloads(ids, landed, "tmdbId", enrich.parse_details(landed))
+    return enrich.missing_payloads(ids, "tmdbId", enrich.parse_details(landed))
 
 
 @query("movie_dim", with_ctes(L) + f"""

@@ -67,17 +67,70 @@ def q_safe_cast(spark, sf_dir):
 
 
 
-@query("single_file_export", EXPORT_SQL)
+@query("single_file_export", f"SELECT *, row_number() OVER (ORDER BY recommendation_count DESC, movieId) AS position FROM ({EXPORT_SQL})")
 def q_single_file_export(spark, sf_dir):
     """Most recommended items, exported as one CSV file (bounded by the
     top-k), then read back."""
     path = scratch_path(spark, "top_export")
-    top = most_recommended(spark, sf_dir)
-    files.export_csv(top.orderBy(F.col("recommendation_count").desc(), "movieId"), path,
-                     single_file_rows=TOP_EXPORT)
+    files.export_csv(most_recommended(spark, sf_dir), path, single_file_rows=TOP_EXPORT,
+                     order=[F.col("recommendation_count").desc(), F.col("movieId").asc()])
+    back = files.read_csv(spark, path, "movieId int, title string, tmdbId int, recommendation_count bigint")
+    # one file is read in order by one task, so this is the row's place in it
+    return back.withColumn("position", F.monotonically_increasing_id() + 1)
+
+
+@query("popularity_export", with_ctes(R, M, L, RECS_CTE) + """
+SELECT p.movieId, m.title, k.tmdbId, p.recommendation_count FROM (
+  SELECT movieId, count(*) AS recommendation_count FROM recs GROUP BY movieId) p
+LEFT JOIN movies m ON p.movieId = m.movieId LEFT JOIN links k ON p.movieId = k.movieId""")
+def q_popularity_export(spark, sf_dir):
+    """The full popularity list with titles and external keys, exported in
+    order by as many tasks as it needs and read back."""
+    path = scratch_path(spark, "popularity")
+    pop = rec_popularity(rating_ranked_list(spark, sf_dir))
+    dim = S.movies(spark, sf_dir).select("movieId", "title").join(S.links(spark, sf_dir).select("movieId", "tmdbId"), "movieId", "left")
+    files.export_csv(pop.join(dim, "movieId", "left").select("movieId", "title", "tmdbId", "recommendation_count"), path,
+                     order=[F.col("recommendation_count").desc(), F.col("movieId").asc()])
     return files.read_csv(spark, path, "movieId int, title string, tmdbId int, recommendation_count bigint")
 
 
+@query("export_read_back", "SELECT CAST(0 AS BIGINT) AS differing, count(*) AS exported FROM part")
+def q_export_read_back(spark, sf_dir):
+    """Export the movies, read them back and count rows on one side only."""
+    path = scratch_path(spark, "read_back")
+    m = S.movies(spark, sf_dir)
+    files.export_csv(m, path)
+    back = files.read_csv(spark, path, schemas.MOVIES)
+    diff = files.read_back_diff(m, back).agg(F.count("*").alias("differing"))
+    return diff.select("differing", back.agg(F.count("*")).scalar().alias("exported"))
+
+
+@query("columns_by_name", with_ctes(S.TITLE_SQL) + "SELECT titleId, ordering, language, region FROM title_akas")
+def q_columns_by_name(spark, sf_dir):
+    """Dumps with further columns, in another order, over two glob parts: the
+    declared columns are found by their header names."""
+    path = scratch_path(spark, "reordered")
+    akas = S.title_akas(spark, sf_dir)
+    wide = akas.select([F.coalesce(F.col(c), F.lit("\\N")).alias(c) for c in akas.columns]).select(
+        "region", "titleId", F.concat(F.lit("title of "), "titleId").alias("title"), "language", F.lit("0").alias("isOriginalTitle"), "ordering")
+    half = F.pmod(F.xxhash64("titleId"), F.lit(2))
+    for k in (0, 1):
+        files.export_csv(wide.where(half == k), f"{path}/part_{k}", compression="gzip", sep="\t")
+    return scrub_null_token(files.read_tsv(spark, f"{path}/part_*/*.csv.gz", schema=schemas.TITLE_AKAS_RAW))
+
+
+@query("bronze_principals", with_ctes(S.TITLE_SQL) + "SELECT DISTINCT tconst, nconst, ordering FROM title_principals")
+def q_bronze_principals(spark, sf_dir):
+    """Principals dump -> bronze table keyed by (tconst, nconst, ordering)."""
+    from reelhouse.plans.pipelines import title_bronze
+    path = scratch_path(spark, "principals")
+    p = S.title_principals(spark, sf_dir)
+    files.export_csv(p.select("ordering", "tconst", F.lit("actor").alias("category"), "nconst"), path, sep="\t")
+    db = _scratch_db(spark)
+    title_bronze(spark, {"title_principals": files.read_tsv(spark, path, schema=schemas.TITLE_PRINCIPALS_RAW)}, db)
+    return spark.table(f"{db}.bronze_title_principals")
+
+
 def _gold_fact(spark, sf_dir):
     r = S.ratings(spark, sf_dir).withColumn("timestamp_ts", epoch_to_ts("timestamp"))
     return r.withColumn("rating_date", to_day("timestamp_ts"))
@@ -120,6 +173,65 @@ def q_layer_rewrite(spark, sf_dir):
     return spark.table(name)
 
 
+@query("partitioned_rewrite", with_ctes(M) + """
+SELECT movieId, title, genres, movieId % 4 AS bucket, length(title) AS title_length, true AS still_partitioned FROM movies""")
+def q_partitioned_rewrite(spark, sf_dir):
+    """An in-place rewrite keeps the table's partition columns."""
+    name = f"{_scratch_db(spark)}.silver_movies"
+    tables.write_layer(S.movies(spark, sf_dir).withColumn("bucket", F.col("movieId") % 4), name, partition_by=["bucket"])
+    tables.rewrite_table(spark, name, lambda t: t.withColumn("title_length", F.length("title").cast("bigint")))
+    kept = [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["bucket"]
+    return spark.table(name).withColumn("still_partitioned", F.lit(kept))
+
+
+@query("evolved_layer", with_ctes(M, L) + """
+SELECT m.movieId, m.title, CAST(NULL AS VARCHAR) AS genres, k.tmdbId FROM movies m LEFT JOIN links k ON m.movieId = k.movieId""")
+def q_evolved_layer(spark, sf_dir):
+    """An additive overwrite: a new column arrives, an absent one stays."""
+    name = f"{_scratch_db(spark)}.gold_movies"
+    m = S.movies(spark, sf_dir)
+    tables.write_layer(m, name)
+    new = m.select("movieId", "title").join(S.links(spark, sf_dir).select("movieId", "tmdbId"), "movieId", "left")
+    tables.write_layer(new, name, evolve=True)
+    return spark.table(name)
+
+
+def _small_layer(spark, sf_dir):
+    db = _scratch_db(spark)
+    tables.write_layer(S.movies(spark, sf_dir), f"{db}.bronze_movies")
+    tables.write_layer(S.links(spark, sf_dir), f"{db}.silver_links")
+    return db
+
+
+@query("catalog_all_tables", "SELECT 'bronze_movies' AS table_name, 'MANAGED' AS tableType UNION ALL SELECT 'silver_links', 'MANAGED'")
+def q_catalog_all_tables(spark, sf_dir):
+    db = _small_layer(spark, sf_dir)
+    return catalog.layer_tables(spark, "", db).where("not isTemporary").select("table_name", "tableType")
+
+
+@query("table_counts", with_ctes(M, L) + """
+SELECT 'silver_links' AS table_name, count(*) AS row_count FROM links""")
+def q_table_counts(spark, sf_dir):
+    return catalog.table_counts(spark, "silver_", _small_layer(spark, sf_dir))
+
+
+@query("table_locations", "SELECT 'bronze_movies' AS table_name, true AS located, count(*) AS rows_there FROM part")
+def q_table_locations(spark, sf_dir):
+    """Location report, checked by reading the files it names."""
+    loc = catalog.table_locations(spark, "bronze_", _small_layer(spark, sf_dir)).first()
+    there = spark.read.parquet(loc["location"]).agg(F.count("*").alias("rows_there"))
+    return there.select(F.lit(loc["table_name"]).alias("table_name"), F.lit(loc["location"].endswith("bronze_movies")).alias("located"), "rows_there")
+
+
+@query("drop_existing_join", with_ctes(M, L) + """
+SELECT m.movieId, m.title, m.genres, k.tmdbId FROM movies m LEFT JOIN links k ON m.movieId = k.movieId""")
+def q_drop_existing_join(spark, sf_dir):
+    """A column that a join brings back is dropped first (absent ones are no error)."""
+    from reelhouse.operators.clean import drop_existing
+    stale = S.movies(spark, sf_dir).withColumn("tmdbId", F.lit(-1))
+    return drop_existing(stale, "tmdbId", "not_there").join(S.links(spark, sf_dir).select("movieId", "tmdbId"), "movieId", "left")
+
+
 @query("table_report", with_ctes(R, M, L) + """
 SELECT 'bronze_links' AS table_name, (SELECT count(*) FROM links) AS row_count, 'movieId,imdbId,tmdbId' AS columns
 UNION ALL SELECT 'bronze_movies', (SELECT count(*) FROM movies), 'movieId,title,genres'
@@ -171,12 +283,9 @@ def q_bronze_stream_ingest(spark, sf_dir):
 
 
 @query("table_columns", """
-SELECT * FROM (VALUES ('userId', 'int'), ('movieId', 'int'), ('rating', 'float'), ('timestamp', 'bigint'),
-                      ('rating_count', 'bigint')) AS t(col_name, data_type)""")
+SELECT * FROM (VALUES ('userId', 'int'), ('num_ratings', 'bigint'), ('avg_rating', 'double')) AS t(col_name, data_type)""")
 def q_table_columns(spark, sf_dir):
     """Columns and types of a written silver table (DESCRIBE)."""
     db = _scratch_db(spark)
-    r = S.ratings(spark, sf_dir)
-    counts = r.groupBy("userId").agg(F.count(F.lit(1)).alias("rating_count"))
-    tables.write_layer(r.join(counts, "userId"), f"{db}.silver_ratings_with_counts")
-    return catalog.table_columns(spark, f"{db}.silver_ratings_with_counts")
+    tables.write_layer(user_dim(S.ratings(spark, sf_dir)), f"{db}.silver_dim_users")
+    return catalog.table_columns(spark, f"{db}.silver_dim_users")

@@ -96,9 +96,13 @@ def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict
     pop = agg.rec_popularity(spark.table(_t(db, "gold_user_recommendations")))
     top = top_k(pop, [F.col("recommendation_count").desc(), F.col("movieId").asc()], cfg.export_top)
     top = lookup_attrs(top, movies, "movieId", ["title", "tmdbId"])
+    by_count = [F.col("recommendation_count").desc(), F.col("movieId").asc()]
     if cfg.export_dir:
-        files.export_csv(top.select("movieId", "title", "tmdbId"), f"{cfg.export_dir}/top_movies",
-                         single_file_rows=cfg.export_top)
+        files.export_csv(top.select("movieId", "title", "tmdbId", "recommendation_count"), f"{cfg.export_dir}/top_movies",
+                         single_file_rows=cfg.export_top, order=by_count)
+        full = pop.join(movies.select("movieId", "title", "tmdbId"), "movieId", "left")
+        files.export_csv(full.select("movieId", "title", "tmdbId", "recommendation_count"), f"{cfg.export_dir}/popularity",
+                         order=by_count)
 
     metrics = recsys.run_metrics(cfg.als, recsys.rmse(model.transform(test)))
     pub = recsys.fit_als(train, cfg.publish_als)
@@ -142,21 +146,26 @@ TITLE_DUMPS = {
     "title_ratings": ("tconst", ["tconst"]),
     "title_crew": ("tconst", ["tconst"]),
     "title_akas": ("titleId", ["titleId", "ordering"]),
+    "title_principals": ("tconst", ["tconst", "nconst", "ordering"]),
 }
 
 
 def title_bronze(spark: SparkSession, raw: Mapping[str, DataFrame], db: str, fmt: str = "parquet") -> None:
     """Scrub the dumps (repeated headers, ``\\N`` tokens, duplicate keys)."""
     for name, (header_key, keys) in TITLE_DUMPS.items():
+        if name not in raw:  # the gold tables do not need the principals
+            continue
         df = scrub_null_token(scrub_header_rows(raw[name], header_key))
         rest = [c for c in df.columns if c not in keys]
         write_layer(dedup_latest(df, keys, rest), _t(db, f"bronze_{name}"), fmt=fmt, recreate=True)
 
 
 def title_silver_gold(spark: SparkSession, db: str, as_of_year: int, fmt: str = "parquet",
-                      tags=scoring.DEFAULT_TAG_SET, top: int = scoring.DEFAULT_TOP) -> None:
+                      tags=scoring.DEFAULT_TAG_SET, top: int = scoring.DEFAULT_TOP,
+                      silver_top: int | None = scoring.DEFAULT_SILVER_TOP) -> None:
+    """Silver to gold.  ``silver_top`` cuts the top-title table (None: all titles)."""
     b = lambda n: spark.table(_t(db, f"bronze_{n}"))
-    silver = scoring.silver_titles(b("title_basics"), b("title_akas"), b("title_ratings"), as_of_year)
+    silver = scoring.silver_titles(b("title_basics"), b("title_akas"), b("title_ratings"), as_of_year, k=silver_top)
     write_layer(silver, _t(db, "silver_movies_top"), fmt=fmt, evolve=True)
     silver = spark.table(_t(db, "silver_movies_top"))
     write_layer(scoring.title_fact(silver), _t(db, "gold_title_fact_ratings"), fmt=fmt, recreate=True)
@@ -194,8 +203,8 @@ def title_pipeline_from_dumps(spark: SparkSession, dumps: Mapping[str, str], db:
     """Run the title pipeline from tab-separated dumps (globs of plain or
     gzip parts; ``repartition`` spreads unsplittable gzip input)."""
     from reelhouse import schemas
-    contracts = {"title_basics": schemas.TITLE_BASICS_RAW, "name_basics": schemas.NAME_BASICS_RAW,
+    contracts = {"title_principals": schemas.TITLE_PRINCIPALS_RAW, "title_basics": schemas.TITLE_BASICS_RAW, "name_basics": schemas.NAME_BASICS_RAW,
                  "title_ratings": schemas.TITLE_RATINGS_RAW, "title_crew": schemas.TITLE_CREW_RAW,
                  "title_akas": schemas.TITLE_AKAS_RAW}
-    raw = {n: files.read_tsv(spark, dumps[n], schema=contracts[n], repartition=repartition) for n in contracts}
+    raw = {n: files.read_tsv(spark, dumps[n], schema=contracts[n], repartition=repartition) for n in contracts if n in dumps}
     title_pipeline(spark, raw, db, as_of_year, fmt)

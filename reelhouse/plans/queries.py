@@ -266,7 +266,11 @@ AS_OF_YEAR = 2025
 STANDIN_TAG_SET = ("red", "blue", "SMALL", "LARGE", "widget")
 _TAGS_SQL = ", ".join(f"'{t}'" for t in STANDIN_TAG_SET)
 
-SILVER_SQL = T + f""",
+def silver_sql(k: int | None = None, director_k: int | None = None) -> str:
+    """CTEs of the title pipeline; ``k`` / ``director_k`` as in the operators."""
+    order = "ORDER BY averageRating DESC, numVotes DESC, tconst"
+    cut, director_cut = (f"{order} LIMIT {n}" if n else "" for n in (k, director_k))
+    return T + f""",
 tb AS (SELECT tconst, titleType, primaryTitle, TRY_CAST(startYear AS INTEGER) AS startYear,
               TRY_CAST(runtimeMinutes AS INTEGER) AS runtimeMinutes, genres FROM title_basics),
 b AS (SELECT * FROM tb WHERE titleType = 'movie' AND startYear >= 2000 AND startYear <= {AS_OF_YEAR}),
@@ -280,7 +284,7 @@ j AS (SELECT b.*, a.language, a.region, r.averageRating, r.numVotes
 one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY tconst
           ORDER BY averageRating DESC, numVotes DESC, language DESC, region DESC) AS rn FROM j)
         WHERE rn = 1),
-silver AS (SELECT * FROM one ORDER BY averageRating DESC, numVotes DESC, tconst LIMIT 1000),
+silver AS (SELECT * FROM one {cut}),
 fact AS (SELECT tconst, CAST(averageRating AS DOUBLE) AS averageRating, numVotes FROM silver),
 weighted AS (SELECT *, CAST(numVotes AS DOUBLE) / (CAST(numVotes AS DOUBLE) + 50.0) * averageRating
                  + 50.0 / (CAST(numVotes AS DOUBLE) + 50.0) * (SELECT avg(averageRating) FROM fact)
@@ -290,7 +294,7 @@ dimw AS (SELECT s.* REPLACE (CAST(s.averageRating AS DOUBLE) AS averageRating),
                 + 50.0 / (CAST(s.numVotes AS DOUBLE) + 50.0)
                   * (SELECT avg(CAST(averageRating AS DOUBLE)) FROM silver) AS weightedRating
          FROM silver s),
-topd AS (SELECT * FROM dimw ORDER BY averageRating DESC, numVotes DESC, tconst LIMIT 1000),
+topd AS (SELECT * FROM dimw {director_cut}),
 dirs AS (SELECT c.tconst, string_agg(n.primaryName, ',' ORDER BY n.primaryName) AS directorNames
          FROM (SELECT tconst, unnest(string_split(directors, ',')) AS directorId
                FROM title_crew WHERE tconst IN (SELECT tconst FROM topd)) c
@@ -299,17 +303,19 @@ dim AS (SELECT t.*, d.directorNames,
                coalesce(list_has_any(string_split(t.genres, ','), [{_TAGS_SQL}]), false) AS tag_set_flag,
                CAST(coalesce(len(list_filter(string_split(t.genres, ','), lambda x: x IN ({_TAGS_SQL}))), 0)
                  AS INTEGER) AS tag_set_count
-        FROM topd t LEFT JOIN dirs d ON t.tconst = d.tconst),
+        FROM dimw t LEFT JOIN dirs d ON t.tconst = d.tconst),
 genre_rows AS (SELECT *, unnest(string_split(genres, ',')) AS genre FROM dim)"""
 
 
-def _silver(spark, sf_dir):
-    """Silver top titles (bounded by the top-k of ``silver_titles``),
-    checkpointed like the layer table it stands for, so the branches that
-    read it do not each re-run its joins."""
-    from reelhouse.session import reliable_checkpoint
-    return reliable_checkpoint(scoring.silver_titles(S.title_basics(spark, sf_dir), S.title_akas(spark, sf_dir),
-                                                     S.title_ratings(spark, sf_dir), as_of_year=AS_OF_YEAR))
+SILVER_SQL = silver_sql()
+
+
+def _silver(spark, sf_dir, k: int | None = None):
+    """Silver titles, written once like the layer table they stand for, so the
+    branches that read them do not each re-run the joins."""
+    from reelhouse.session import written
+    return written(scoring.silver_titles(S.title_basics(spark, sf_dir), S.title_akas(spark, sf_dir),
+                                         S.title_ratings(spark, sf_dir), as_of_year=AS_OF_YEAR, k=k), "silver_titles")
 
 
 def _title_dim(spark, sf_dir):
@@ -317,9 +323,23 @@ def _title_dim(spark, sf_dir):
                              S.name_basics(spark, sf_dir), tags=STANDIN_TAG_SET)
 
 
-@query("title_silver", with_ctes(SILVER_SQL) + "SELECT * FROM silver")
+@query("title_silver", with_ctes(silver_sql(scoring.DEFAULT_SILVER_TOP)) + "SELECT * FROM silver")
 def q_title_silver(spark, sf_dir):
-    return _silver(spark, sf_dir)
+    """The top-title table: its cut is the feature."""
+    return _silver(spark, sf_dir, scoring.DEFAULT_SILVER_TOP)
+
+
+SMALL_TOP, SMALL_DIRECTORS = 60, 25
+
+
+@query("title_dim_small_top", with_ctes(silver_sql(SMALL_TOP, SMALL_DIRECTORS)) + """
+SELECT tconst, round(weightedRating, 6) AS weightedRating, directorNames FROM dim""")
+def q_title_dim_small_top(spark, sf_dir):
+    """Top-title table and director lookup at a cut below every test scale."""
+    d = scoring.title_dim(_silver(spark, sf_dir, SMALL_TOP), S.title_crew(spark, sf_dir), S.name_basics(spark, sf_dir),
+                          director_k=SMALL_DIRECTORS)
+    return d.select("tconst", F.round("weightedRating", 6).alias("weightedRating"),
+                    F.when(F.size("directorNames") > 0, F.array_join("directorNames", ",")).alias("directorNames"))
 
 
 @query("weighted_rating", with_ctes(SILVER_SQL) + """
@@ -351,10 +371,7 @@ def q_title_dim(spark, sf_dir):
 
 @query("director_names", with_ctes(SILVER_SQL) + "SELECT tconst, directorNames FROM dirs")
 def q_director_names(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    top = ranking.top_k(silver, [F.col("averageRating").desc(), F.col("numVotes").desc(),
-                                 F.col("tconst").asc()], 1000)
-    d = scoring.director_names(S.title_crew(spark, sf_dir), S.name_basics(spark, sf_dir), top)
+    d = scoring.director_names(S.title_crew(spark, sf_dir), S.name_basics(spark, sf_dir), _silver(spark, sf_dir))
     return d.select("tconst", F.when(F.size("directorNames") > 0, F.array_join("directorNames", ","))
                     .alias("directorNames"))
 
@@ -563,7 +580,8 @@ def q_recs_enriched(spark, sf_dir):
     from reelhouse.operators.joins import enrich_recs
     dim = S.movies(spark, sf_dir).join(
         S.links(spark, sf_dir).filter(F.col("tmdbId").isNotNull()).select("movieId", "tmdbId"), "movieId", "inner")
-    return enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"), dim, how="inner") \
+    recs = rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating")
+    return enrich_recs(recs, dim, how="inner", spread=["userId"]) \
         .select("userId", "movieId", "rating", "title", "genres", "tmdbId")
 
 
@@ -586,7 +604,7 @@ FROM enriched GROUP BY userId""")
 def q_rec_coverage(spark, sf_dir):
     from reelhouse.operators.joins import enrich_recs
     e = enrich_recs(rating_ranked_list(spark, sf_dir).select("userId", "movieId", "rating"),
-                    _dim(spark, sf_dir), how="left")
+                    _dim(spark, sf_dir), how="left", spread=["userId"])
     return e.groupBy("userId").agg(F.count(F.lit(1)).alias("recs"),
                                    F.count_if(F.col("tmdbId").isNotNull()).alias("enriched"))
 

@@ -29,18 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    """Scan of a large fact table, pruned to ``cols``, with a parallelism
-    floor (the driver files hold one row group each; a no-op for inputs
-    that already split into enough partitions)."""
-    from reelhouse.sources.files import ensure_parallelism
-    return ensure_parallelism(table(spark, sf_dir, name).select(*cols))
-
-
 # ---------------------------------------------------------------- ratings --
 def ratings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-like ratings, one row per lineitem (duplicated pairs)."""
-    li = fact_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"])
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
@@ -136,8 +128,7 @@ def title_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_akas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = fact_table(spark, sf_dir, "lineitem",
-                    ["l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         _tconst("l_partkey").alias("titleId"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ordering"),
@@ -154,6 +145,14 @@ def title_crew(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.concat(F.lit("nm"), F.col("b").cast("string"))).alias("directors"))
 
 
+def title_principals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line: the supplier of a title's line, numbered by line
+    (text columns, rows repeat)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(_tconst("l_partkey").alias("tconst"), F.concat(F.lit("nm"), F.col("l_suppkey").cast("string")).alias("nconst"),
+                     F.col("l_linenumber").cast("string").alias("ordering"))
+
+
 def name_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(F.concat(F.lit("nm"), F.col("s_suppkey").cast("string")).alias("nconst"),
@@ -182,6 +181,9 @@ title_crew AS (
   SELECT printf('tt%07d', l_partkey) AS tconst,
          'nm' || CAST(min(l_suppkey) AS VARCHAR) || ',nm' || CAST(max(l_suppkey) AS VARCHAR) AS directors
   FROM lineitem GROUP BY l_partkey),
+title_principals AS (
+  SELECT printf('tt%07d', l_partkey) AS tconst, 'nm' || CAST(l_suppkey AS VARCHAR) AS nconst,
+         CAST(l_linenumber AS VARCHAR) AS ordering FROM lineitem),
 name_basics AS (
   SELECT 'nm' || CAST(s_suppkey AS VARCHAR) AS nconst, s_name AS primaryName FROM supplier)"""
 

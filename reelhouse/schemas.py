@@ -18,7 +18,6 @@ def all_strings(*names: str) -> T.StructType:
 RATINGS_RAW = all_strings("userId", "movieId", "rating", "timestamp")
 MOVIES_RAW = all_strings("movieId", "title", "genres")
 LINKS_RAW = all_strings("movieId", "imdbId", "tmdbId")
-TAGS_RAW = all_strings("userId", "movieId", "tag", "timestamp")
 
 # --- ratings pipeline, typed -----------------------------------------------
 RATINGS = T.StructType([

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
@@ -23,9 +24,10 @@ def write_layer(df: DataFrame, name: str, fmt: str = "parquet",
                 evolve: bool = False, repartition_by_partition: bool = True) -> None:
     """Overwrite a managed layer table.
 
-    ``recreate`` drops the table first (schema and properties start over);
-    ``evolve`` asks Delta to merge new columns (a parquet overwrite replaces
-    the schema anyway).  With ``partition_by`` the rows are clustered by the
+    ``recreate`` drops the table first (schema and properties start over).
+    ``evolve`` is additive: columns the stored table has and ``df`` lacks are
+    kept, as typed NULLs, after the new ones (Delta merges by itself; for
+    other formats the overwrite would lose them).  With ``partition_by`` the rows are clustered by the
     partition columns through a REBALANCE hint: adaptive execution then
     groups small partition values into few files and splits a hot value
     (one day holding a large share of all rows) over several writer tasks,
@@ -35,8 +37,11 @@ def write_layer(df: DataFrame, name: str, fmt: str = "parquet",
     if recreate:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     out = df
+    if evolve and fmt != "delta" and spark.catalog.tableExists(name):
+        kept = [f for f in spark.table(name).schema.fields if f.name not in df.columns]
+        out = df.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in kept))
     if partition_by and repartition_by_partition:
-        out = df.hint("rebalance", *partition_by)
+        out = out.hint("rebalance", *partition_by)
     w = out.write.format(fmt).mode("overwrite")
     if evolve and fmt == "delta":
         w = w.option("mergeSchema", "true")
@@ -52,13 +57,29 @@ def rewrite_table(spark: SparkSession, name: str, fn: Callable[[DataFrame], Data
     """Replace a table by a function of itself (e.g. add a column).
 
     A plan cannot overwrite the table it reads, so the result goes to a
-    staging table first, then the original is dropped and the stage renamed.
+    staging table with the same partition columns.  An unpartitioned original
+    is then renamed aside, the stage renamed in, and only then the original
+    dropped.  Catalogs differ in whether a rename moves partition locations, so
+    a partitioned table is overwritten from the finished stage instead, which
+    is dropped last.  After a failure at any point one complete table (original,
+    stage or set-aside) is there.  Table properties are carried over.
     """
     db, _, base = name.rpartition(".")
-    stage = f"{db + '.' if db else ''}{base}__stage_{uuid.uuid4().hex[:8]}"
-    write_layer(fn(spark.table(name)), stage, fmt=fmt)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    tag = uuid.uuid4().hex[:8]
+    stage, old = (f"{db + '.' if db else ''}{base}__{kind}_{tag}" for kind in ("stage", "old"))
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    properties = [(r["key"], r["value"]) for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+                  if not r["key"].startswith(("transient_", "spark.", "option.", "numFiles", "totalSize"))]
+    write_layer(fn(spark.table(name)), stage, fmt=fmt, partition_by=parts or None)
+    if parts:
+        write_layer(spark.table(stage), name, fmt=fmt, partition_by=parts)
+        spark.sql(f"DROP TABLE {stage}")
+    else:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+        spark.sql(f"DROP TABLE {old}")
+    for key, value in properties:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{value}')")
 
 
 GRAINS = ("day", "month", "year")
@@ -73,7 +94,6 @@ def with_date_partition(df: DataFrame, date_col: str, grain: str = "day") -> tup
     when a day holds gigabytes, a month when a day holds a few rows.
     Returns the frame and the partition column name.
     """
-    from pyspark.sql import functions as F
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
     if grain == "day":
@@ -85,7 +105,6 @@ def with_date_partition(df: DataFrame, date_col: str, grain: str = "day") -> tup
 def date_range_filter(date_col: str, start: str, end: str, grain: str = "day"):
     """Predicate for ``start <= date <= end`` that also names the partition
     column of the grain, so the read prunes partitions at any grain."""
-    from pyspark.sql import functions as F
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
     cond = F.col(date_col).between(lo, hi)
     if grain != "day":

@@ -13,19 +13,30 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelhouse.schemas import all_strings
+
 
 def ingest_to_bronze(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                      checkpoint: str, fmt: str = "csv", sep: str = ",",
                      max_files_per_trigger: int | None = None, multiline: bool = False) -> int:
-    """Append the new raw files under ``landing`` to the parquet folder
-    ``target``.  Returns the number of micro-batches run."""
-    r = spark.readStream.schema(schema).option("header", True)
+    """Append the declared columns (found by header name) of the new raw files
+    under ``landing`` to the parquet folder ``target``.  A file whose header differs
+    from the others' fails the run.  Returns the number of micro-batches run."""
+    r = spark.readStream
     if fmt == "csv":
         # multiLine makes each file one task; only for sources with quoted newlines
-        r = r.option("sep", sep).option("multiLine", multiline).option("escape", '"')
+        options = {"sep": sep, "multiLine": multiline, "escape": '"', "header": True}
+        names = spark.read.options(**options).csv(landing).columns
+        absent = [c for c in schema.fieldNames() if c not in names]
+        if absent:
+            raise ValueError(f"columns {absent} are not in the header {names} of {landing}")
+        r = r.options(enforceSchema=False, **options).schema(all_strings(*names))
+    else:
+        r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = r.format(fmt).load(landing).withColumn("_source_file", F.col("_metadata.file_path"))
+    cells = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    src = r.format(fmt).load(landing).select(*cells, F.col("_metadata.file_path").alias("_source_file"))
     q = (src.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()

@@ -21,10 +21,23 @@ def test_details_payload_variants(spark):
     status = {r.tmdbId: r.status for r in enrich.parse_details(p).collect()}
     assert status == {1: "ok", 2: "error", 3: "malformed", 4: "missing"}
     ids = spark.createDataFrame([(1,), (2,), (3,), (9,)], "tmdbId int")
-    miss = {r.tmdbId: r.status for r in enrich.missing_payloads(ids, p, "tmdbId", enrich.parse_details(p)).collect()}
+    miss = {r.tmdbId: r.status for r in enrich.missing_payloads(ids, "tmdbId", enrich.parse_details(p)).collect()}
     assert miss == {2: "error", 3: "malformed", 9: "missing"}
 
 
+def test_retried_ids_and_other_text_columns(spark):
+    ok = '{"id": 1, "title": "A", "runtime": 90}'
+    p = spark.createDataFrame([(1, '{"status_code": 34}'), (1, ok), (1, ok), (2, '{"id": 2, "ti'), (2, '{"status_code": 34}'), (3, None)],
+                              "tmdbId int, body string")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (4,)], "tmdbId int")
+    parsed = enrich.parse_details(p, text="body")
+    got = sorted((r.tmdbId, r.status) for r in enrich.missing_payloads(ids, "tmdbId", parsed).collect())
+    assert got == [(2, "error"), (3, "missing"), (4, "missing")]
+    meta = enrich.flatten_details(p, text="body")
+    links = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "movieId int, tmdbId int")
+    assert meta.count() == 2 and [r.movieId for r in enrich.movie_dim(links, meta).collect()] == [10]
+
+
 def test_credits_empty_crew_no_director_many_cast(spark):
     cast = ",".join(f'{{"name": "c{i}", "order": {i}}}' for i in range(8))
     p = spark.createDataFrame([
@@ -119,3 +132,86 @@ def test_batch_numbers_any_layout(spark):
                .collect()}
         order = sorted(range(537), key=lambda k: (-(k * 7 % 13), k))
         assert all(got[k] == i // 50 + 1 for i, k in enumerate(order))
+
+
+def test_columns_are_found_by_header_name(spark, tmp_path):
+    import pytest
+
+    def part(name, text):
+        (tmp_path / name).write_text(text)
+
+    part("a.tsv", "titleId\tordering\ttitle\tregion\tlanguage\nt1\t1\tHello\tUS\ten\n")
+    part("b.tsv", "titleId\tordering\ttitle\tregion\tlanguage\nt2\t1\tBye\tNL\tnl\n")
+    got = files.read_tsv(spark, f"{tmp_path}/*.tsv", schema=schemas.TITLE_AKAS_RAW).orderBy("titleId").collect()
+    assert [tuple(r) for r in got] == [("t1", "1", "en", "US"), ("t2", "1", "nl", "NL")]
+    part("m.csv", "title,movieId\nA,1\nB,x\n")
+    assert [tuple(r) for r in files.read_csv(spark, f"{tmp_path}/m.csv", "movieId int, title string").collect()] == [(1, "A"), (None, "B")]
+    with pytest.raises(ValueError, match="genres"):
+        files.read_csv(spark, f"{tmp_path}/m.csv", schemas.MOVIES)
+    part("c.tsv", "ordering\ttitleId\ttitle\tregion\tlanguage\n1\tt3\tX\tUS\ten\n")  # a part in another order fails
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_tsv(spark, f"{tmp_path}/*.tsv", schema=schemas.TITLE_AKAS_RAW).collect()
+
+
+def test_stream_ingest_by_name_and_absent_column(spark, tmp_path):
+    import pytest
+
+    from reelhouse.streaming import ingest_to_bronze
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("title,extra,movieId,genres\nA,z,1,g\n")
+    ingest_to_bronze(spark, f"{tmp_path}/in", schemas.MOVIES_RAW, f"{tmp_path}/out", f"{tmp_path}/ckpt")
+    r = spark.read.parquet(f"{tmp_path}/out").first()
+    assert (r.movieId, r.title, r.genres) == ("1", "A", "g")
+    with pytest.raises(ValueError, match="rating"):
+        ingest_to_bronze(spark, f"{tmp_path}/in", schemas.RATINGS_RAW, f"{tmp_path}/out2", f"{tmp_path}/ckpt2")
+
+
+def test_rewrite_keeps_partitions_and_properties_and_evolve_is_additive(spark):
+    import uuid
+    db = tables.ensure_database(spark, f"rh_t_{uuid.uuid4().hex[:6]}", scratch_path(spark, "t_rewrite"))
+    name = f"{db}.t"
+    tables.write_layer(spark.range(20).selectExpr("id", "id % 3 AS p", "'x' AS b"), name, partition_by=["p"])
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner_team' = 'films')")
+    tables.rewrite_table(spark, name, lambda t: t.withColumn("w", F.col("id") * 2))
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["p"]
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["owner_team"] == "films"
+    assert spark.table(name).where("w = 2 * id").count() == 20
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+    tables.write_layer(spark.range(5).selectExpr("id", "'n' AS c"), f"{db}.e")
+    tables.write_layer(spark.range(7).selectExpr("id", "1.5D AS d"), f"{db}.e", evolve=True)
+    t = spark.table(f"{db}.e")
+    assert t.dtypes == [("id", "bigint"), ("d", "double"), ("c", "string")] and t.where("c is null").count() == 7
+
+
+def test_rewrite_failure_leaves_the_table(spark):
+    import uuid
+
+    import pytest
+    db = tables.ensure_database(spark, f"rh_t_{uuid.uuid4().hex[:6]}", scratch_path(spark, "t_rewrite"))
+    tables.write_layer(spark.range(4), f"{db}.t")
+    with pytest.raises(Exception):
+        tables.rewrite_table(spark, f"{db}.t", lambda t: t.select(F.raise_error(F.lit("no"))))
+    assert spark.table(f"{db}.t").count() == 4
+
+
+def test_export_order_is_kept_in_one_file(spark):
+    path = scratch_path(spark, "t_order")
+    df = spark.range(200).select(F.col("id"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("v")).repartition(7)
+    files.export_csv(df, path, single_file_rows=50, order=[F.col("v").desc(), "id"])
+    got = [(r.id, r.v) for r in files.read_csv(spark, path, "id long, v long").collect()]
+    assert got == [(r.id, r.v) for r in df.orderBy(F.col("v").desc(), "id").limit(50).collect()]
+
+
+def test_division_by_nothing_is_null(spark):
+    from reelhouse.operators.profile import sparsity
+    from reelhouse.operators.scoring import weighted_rating
+    from reelhouse.operators.tags import tag_means, tag_means_by_key
+    df = spark.createDataFrame([("a", 9.0, 0), ("b", 5.0, 10)], "t string, averageRating double, numVotes int")
+    assert {r.t: r.weightedRating for r in weighted_rating(df, m=0).collect()} == {"a": None, "b": 5.0}
+    none = spark.createDataFrame([], "userId int, movieId int")
+    assert sparsity(none, none).first().sparsity is None
+    fact = spark.createDataFrame([(1, None), (1, 4.0), (2, None)], "movieId int, rating double")
+    dim = spark.createDataFrame([(1, "x|y"), (2, "z")], "movieId int, genres string")
+    a = {r.tag: (r.avg_rating, r.n) for r in tag_means_by_key(fact, dim, "movieId", "genres", "|", "rating").collect()}
+    b = {r.tag: (r.avg_rating, r.n) for r in tag_means(fact.join(dim, "movieId"), "genres", "|", "rating").collect()}
+    assert a == b == {"x": (4.0, 2), "y": (4.0, 2), "z": (None, 1)}

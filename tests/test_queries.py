@@ -51,13 +51,13 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["movieId", "title", "avg_rating", "num_ratings"]
-    assert df.count() >= 0
+    assert df.count() == 10
 
 
 def test_every_query_has_stable_schema_and_no_cartesian(spark):
     for name, fn in E.queries().items():
-        if name.startswith("als_"):
-            continue
+        if name in ("als_recs_subset", "als_recs_nested_all", "als_nested_check"):
+            continue  # Spark ML's own recommendForAllUsers / ...Subset cross the factor blocks
         df = fn(spark, SF)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name

@@ -68,14 +68,6 @@ def test_recommend_unseen_equals_brute_force(spark):
     assert allrecs.groupBy("userId").count().agg(F.max("count")).first()[0] == n
 
 
-def test_group_bands_exact_and_isolates_hot_user():
-    groups = recsys.group_bands([(6, 1_000_000), (24, 1)], 10, 60_000_000)
-    assert groups == [([6], 74), ([24], 10 + 2 ** 24)]
-    g = recsys.group_bands([(1, 1), (2, 5), (3, 33)], 10, 100)
-    covered = sorted(b for bs, _ in g for b in bs)
-    assert covered == [1, 2, 3] and all(k >= 10 + 2 ** max(bs) for bs, k in g)
-
-
 def test_cold_start_user_and_item_are_dropped(spark):
     train = spark.createDataFrame([(1, 1, 4.0), (1, 2, 3.0), (2, 1, 5.0), (2, 2, 2.0)],
                                   "userId int, movieId int, rating float")
@@ -98,16 +90,58 @@ def test_recommend_subset_includes_user_without_history(spark):
     assert sorted(per) == [3, 4] and len(per[3]) == 4
 
 
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.dictionaries(st.integers(0, 40), st.integers(1, 10**6), min_size=1, max_size=20),
-       st.integers(1, 50), st.integers(0, 10**9))
-def test_group_bands_properties(band_users, n, seen_rows):
-    groups = recsys.group_bands(sorted(band_users.items()), n, seen_rows)
-    flat = [b for bands, _ in groups for b in bands]
-    assert flat == sorted(band_users)                       # each band once, ascending, contiguous groups
-    for bands, k in groups:
-        assert k == n + 2 ** max(bands)                     # every member's seen count < 2**band <= k - n
+class _Factors:
+    """Stand-in model: only its factors are read."""
+
+    def __init__(self, spark, users, items):
+        kind = "id int, features array<float>"
+        self.userFactors, self.itemFactors = spark.createDataFrame(users, kind), spark.createDataFrame(items, kind)
+
+
+def _brute(users, items, seen, n):
+    out = {}
+    for u, f in users:
+        score = sorted((-float(np.float32(np.dot(np.float32(f).astype(float), np.float32(g).astype(float)))), i)
+                       for i, g in items if i not in seen.get(u, ()))
+        out[u] = [i for _, i in score[:n]]
+    return {u: x for u, x in out.items() if x}
+
+
+def test_ties_take_the_smallest_items(spark):
+    """All-zero factors (usual with nonnegative models) tie on every item."""
+    m = _Factors(spark, [(1, [0.0, 0.0])], [(i, [float(i), 1.0]) for i in range(100)])
+    ratings = spark.createDataFrame([(1, 200, 0.0)], "userId int, movieId int, rating float")
+    for exclude in (True, False):
+        got = recsys.recommend(m, ratings, 10, exclude_seen=exclude).orderBy("rank").collect()
+        assert [r.movieId for r in got] == list(range(10)) and [r["rank"] for r in got] == list(range(1, 11))
+
+
+def test_zero_and_duplicate_factors_and_hot_user_equal_brute_force(spark):
+    rng = np.random.default_rng(8)
+    items = [(i, [float(x) for x in np.round(rng.uniform(0, 1, 3), 1)]) for i in range(70)]
+    items += [(100 + i, items[i % 3][1]) for i in range(40)] + [(200 + i, [0.0] * 3) for i in range(10)]
+    users = [(u, [float(x) for x in np.round(rng.uniform(0, 1, 3), 1)]) for u in range(12)] + [(20, [0.0] * 3), (21, [0.5] * 3)]
+    users += [(22, users[3][1])]
+    seen = {u: {int(i) for i in rng.choice([i for i, _ in items], 15, replace=False)} for u, _ in users}
+    seen[5] = {i for i, _ in items} - {3, 104, 205}  # has seen almost every item
+    seen[6] = {i for i, _ in items}
+    rows = [(u, i, 1.0) for u, x in seen.items() for i in x] + [(99, 1, 1.0), (3, None, 1.0), (None, 4, 1.0)]
+    ratings = spark.createDataFrame(rows, "userId int, movieId int, rating float")
+    m = _Factors(spark, users, items)
+    for block in ({}, {"user_block": 4, "item_block": 17}):
+        got = {}
+        for r in recsys.recommend(m, ratings, 5, **block).orderBy("userId", "rank").collect():
+            got.setdefault(r.userId, []).append(r.movieId)
+        assert got == _brute(users, items, seen, 5)
+        assert sorted(got[5]) == [3, 104, 205] and 6 not in got and 99 not in got
+        every = {}
+        for r in recsys.recommend(m, ratings, 5, exclude_seen=False, **block).orderBy("userId", "rank").collect():
+            every.setdefault(r.userId, []).append(r.movieId)
+        assert every == _brute(users, items, {}, 5)
+
+
+def test_recommend_plan_has_no_cross_join(spark):
+    m = _Factors(spark, [(1, [1.0])], [(1, [1.0])])
+    ratings = spark.createDataFrame([(1, 2, 1.0)], "userId int, movieId int, rating float")
+    plan = recsys.recommend(m, ratings, 5)._jdf.queryExecution().toString()
+    assert "Cross" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

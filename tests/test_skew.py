@@ -42,11 +42,6 @@ def test_hot_user_recommend_exact(spark):
     df, rows = _skewed(spark, items=120, users=40)
     d = dedup_latest(df, ["userId", "movieId"], ["ts", "rating"]).select("userId", "movieId", "rating")
     m = recsys.fit_als(d, recsys.AlsConfig(rank=4, max_iter=5, nonnegative=False))
-    seen_n = {r.userId: r["count"] for r in d.groupBy("userId").count().collect()}
-    groups = recsys.group_bands(
-        [(b, n) for b, n in pd.Series({u: int(np.ceil(np.log2(s + 1))) for u, s in seen_n.items()})
-         .value_counts().items()], 10, sum(seen_n.values()))
-    assert any(bands == [7] for bands, _ in groups)  # the hot user is served alone
     uf = {r.id: np.array(r.features) for r in m.userFactors.collect()}
     vf = {r.id: np.array(r.features) for r in m.itemFactors.collect()}
     seen = {}
@@ -76,3 +71,34 @@ def test_hot_key_centring_and_tag_means(spark):
     means = {r.tag: r.avg_rating for r in tag_means_by_key(d, dim, "movieId", "genres", "|", "rating").collect()}
     assert abs(means["all"] - pdf.rating.mean()) < 1e-9
     assert abs(means["hot"] - pdf[pdf.movieId == 0].rating.mean()) < 1e-9
+
+
+def _split_plan(spark, make):
+    """Executed plan with broadcasts off and low skew thresholds."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = make()
+        df.write.format("noop").mode("overwrite").save()
+        return df, df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_hot_keys_are_salted_in_joins_with_aggregates(spark):
+    from reelhouse.operators.joins import SALTS, enrich_recs
+    from reelhouse.operators.profile import centre_ratings
+    df, _ = _skewed(spark)
+    _, plan = _split_plan(spark, lambda: centre_ratings(df))
+    assert "hashpartitioning(userId" in plan and "_salt" in plan
+    hot = df.where("userId = 0").selectExpr("pmod(xxhash64(movieId, ts), 16) AS s").groupBy("s").count().collect()
+    assert len(hot) == SALTS and max(r["count"] for r in hot) < 3 * 600 / SALTS
+    dim = spark.createDataFrame([(j, f"t{j}") for j in range(250)], "movieId int, title string")
+    dim = dim.join(dim.select("movieId", dim.title.alias("again")), "movieId")
+    recs = df.select(F.col("movieId").alias("userId"), F.col("userId").alias("movieId"))  # one hot item
+    for how, rows in (("left", df.count()), ("inner", df.where("userId < 250").count())):
+        out, plan = _split_plan(spark, lambda: enrich_recs(recs, dim, how=how, spread=["userId"]))
+        assert "_salt" in plan and out.count() == rows and out.columns == ["movieId", "userId", "title", "again"]
