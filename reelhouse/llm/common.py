@@ -46,6 +46,13 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def columns(batch: pa.RecordBatch, *names: str) -> list[pa.Array]:
     return [batch.column(batch.schema.get_field_index(n)) for n in names]
 

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import columns, sha, tuned
+from reelhouse.llm.common import columns, fresh, sha, tuned
 from reelhouse.llm.words import ALNUM_WORDS, LOWER, buffers, groups, seeds, split_words
 
 WINDOW = 10
@@ -172,6 +172,7 @@ def _passes(docs: DataFrame, bench: DataFrame, window: int, shard_chars: int, fi
     """``finish(batch, first, hit, items)`` makes the last pass's batch."""
     shards = _shards(bench, shard_chars)
     carried = list(docs.schema)
+    bits_name, items_name = fresh("_hit_bits", docs.columns), fresh("_items", docs.columns)
     df = docs
     for k, shard in enumerate(shards):
         last, many = k == len(shards) - 1, k > 0
@@ -180,7 +181,7 @@ def _passes(docs: DataFrame, bench: DataFrame, window: int, shard_chars: int, fi
             matchers = _matchers(shard, window)
             for batch in batches:
                 data, offsets = buffers(columns(batch, "text")[0])
-                before = [c.to_pylist() for c in columns(batch, "_hit_bits", "_items")] if many else None
+                before = [c.to_pylist() for c in columns(batch, bits_name, items_name)] if many else None
                 first, hit, items = _search(matchers, data, offsets, before)
                 if many:
                     batch = batch.select([f.name for f in carried])
@@ -190,10 +191,10 @@ def _passes(docs: DataFrame, bench: DataFrame, window: int, shard_chars: int, fi
                     bits = [np.packbits(hit[a:b]).tobytes() for a, b in zip(first[:-1], first[1:])]
                     yield pa.RecordBatch.from_arrays(
                         [*batch.columns, pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                        [*batch.schema.names, "_hit_bits", "_items"])
+                        [*batch.schema.names, bits_name, items_name])
 
         df = df.mapInArrow(search, schema if last else ", ".join(
-            [f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + ["_hit_bits binary", "_items array<string>"]))
+            [f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"`{bits_name}` binary", f"`{items_name}` array<string>"]))
     return df
 
 

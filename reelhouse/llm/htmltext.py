@@ -12,7 +12,8 @@ Weights come from labelled pages: pages that mark their content with exactly one
 bounded sample (the ``sample`` such pages with the smallest hash of page_id)
 Spark counts how often each place and tag occurs inside and outside the marked content; a
 weight is the logarithm of the smoothed ratio.  Places never met take the
-weight of their element, then a default.
+weight of their element, then a default.  Inside marked content, tags and
+boilerplate cost little: they must not part an article from its last lines.
 
 Blocks are closed by block-level tags; white space in a block becomes one space;
 blocks are joined by one newline in page order.  Character references are
@@ -38,7 +39,7 @@ from reelhouse.llm.common import columns, tuned
 
 SAMPLE, MOST_WEIGHTS = 2000, 5000
 WORD_DEFAULT, TAG_DEFAULT, TAG_MOST, CLIP = 1.0, -0.5, -0.05, 3.0
-BOILER_MOST = -1.0
+BOILER_MOST, BOILER_LEAST, INSIDE_TAG_LEAST = -0.05, -1.0, -0.3
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -200,11 +201,18 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     return weights
 
 
-def word_weight(weights: dict[str, float], place: str, boiler: str) -> float:
+def tag_weight(weights: dict[str, float], key: str, content: int) -> float:
+    own = min(TAG_MOST, weights.get("t " + key, TAG_DEFAULT))
+    return max(own, INSIDE_TAG_LEAST) if content else own
+
+
+def word_weight(weights: dict[str, float], place: str, boiler: str, content: int = 0) -> float:
+    if boiler and content:
+        return BOILER_MOST
     own = weights.get("w " + place_key(place, boiler))
     if own is None:
         own = weights.get("w " + place_key(place.split(".")[0], boiler), WORD_DEFAULT)
-    return min(own, BOILER_MOST) if boiler else own
+    return max(BOILER_LEAST, min(own, BOILER_MOST)) if boiler else own
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
@@ -214,10 +222,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         if x[0] == "block":
             block += 1
         elif x[0] == "tag":
-            scored.append((min(TAG_MOST, weights.get("t " + x[1], TAG_DEFAULT)), block, None))
+            scored.append((tag_weight(weights, x[1], x[2]), block, None))
         else:
             text = entities.unescape(x[4]) if "&" in x[4] else x[4]
-            w = word_weight(weights, x[1], x[2])
+            w = word_weight(weights, x[1], x[2], x[3])
             scored.append((len(text.split()) * w, block, text if w > 0 else None))
     best, best_from, best_to, run, begin = 0.0, 0, 0, 0.0, 0
     for k, (score, _, _) in enumerate(scored):

@@ -158,7 +158,7 @@ def repeated_windows(candidates: DataFrame, window: int, done: list[int]) -> Dat
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document row: doc_id, n_words, n_removed, kept_sha256."""
     tuned(docs.sparkSession)
-    lengths = level_lengths(window)
+    lengths = level_lengths(window) or [window]
     profile = keep(_profile(docs, window, lengths[0]), "substrings-profile")
     first = profile.where("doc_id is not null and reps is not null").groupBy("seq").agg(F.min("doc_id").alias("lead"))
     lead = profile.join(first, "seq", "left")
