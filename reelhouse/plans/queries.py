@@ -17,7 +17,7 @@ from reelhouse.functions.strings import external_id, split_list
 from reelhouse.functions.casts import epoch_to_ts, to_day
 from reelhouse.operators import aggregates as agg
 from reelhouse.operators import ranking, tags
-from reelhouse.operators.joins import lookup_attrs, orphans, with_titles
+from reelhouse.operators.joins import lookup_attrs, orphans, with_titles, without_seen
 from reelhouse.plans import standins as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -553,6 +553,30 @@ def q_rec_popularity_titles(spark, sf_dir):
         .select("movieId", "title", "recommendation_count")
 
 
+@query("rec_popularity_by_title", with_ctes(R, M, RECS_CTE) + """
+SELECT r.movieId, m.title, count(*) AS recommendation_count
+FROM recs r LEFT JOIN movies m ON r.movieId = m.movieId GROUP BY r.movieId, m.title""")
+def q_rec_popularity_by_title(spark, sf_dir):
+    return agg.rec_popularity(with_titles(rating_ranked_list(spark, sf_dir), S.movies(spark, sf_dir)), by=["movieId", "title"])
+
+
+@query("candidates_minus_seen", with_ctes(R) + """
+SELECT c.userId, c.movieId FROM (SELECT userId, movieId + 1 AS movieId FROM ratings) c
+WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.userId = c.userId AND r.movieId = c.movieId)""")
+def q_candidates_minus_seen(spark, sf_dir):
+    """Candidate pairs (the item after each rated one) without rated pairs."""
+    r = S.ratings(spark, sf_dir).select("userId", "movieId")
+    return without_seen(r.select("userId", (F.col("movieId") + 1).alias("movieId")), r)
+
+
+@query("metadata_gaps", with_ctes(M, L) + """
+SELECT m.movieId, m.genres, k.tmdbId FROM movies m LEFT JOIN links k ON m.movieId = k.movieId
+WHERE m.genres IS NULL OR k.tmdbId IS NULL""")
+def q_metadata_gaps(spark, sf_dir):
+    from reelhouse.operators.clean import missing_rows
+    return missing_rows(_dim(spark, sf_dir), ["genres", "tmdbId"]).select("movieId", "genres", "tmdbId")
+
+
 @query("user_recs_lookup", with_ctes(R, M, RECS_CTE) + f"""
 SELECT r.userId, r.movieId, m.title, m.genres, r.rating FROM recs r LEFT JOIN movies m ON r.movieId = m.movieId
 WHERE r.userId = {LOOKUP_USER} ORDER BY r.rating DESC, r.movieId LIMIT 10""")
