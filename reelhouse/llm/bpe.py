@@ -75,12 +75,13 @@ class Merges:
         self._spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self._compatible: dict[tuple[int, int], bool] = {}
         # Tokens that are the encoding of their own string, by symbol string,
-        # and every proper beginning of one.
-        self.token, self.reach = {}, set()
+        # and every proper beginning of one (itself as value: one object each).
+        self.token, self.reach = {}, {}
         for i, s in self.symbols.items():
             if self.whole(i):
                 self.token[s] = i
-                self.reach.update(s[:k] for k in range(1, len(s)))
+                for k in range(1, len(s)):
+                    self.reach.setdefault(s[:k], s[:k])
         self.longest = max(map(len, self.token), default=0)
         self.lookahead = self._lookahead()
 
@@ -95,6 +96,8 @@ class Merges:
                 if t not in self.split:
                     break
                 death, t = self.birth[t], self.split[t][side]
+            if len(self._spines) > 20_000:
+                self._spines.clear()
             got = self._spines[token, side] = chain[::-1]
         return got
 
@@ -120,7 +123,7 @@ class Merges:
         key = (left, right)
         got = self._compatible.get(key)
         if got is None:
-            if len(self._compatible) > 1_500_000:
+            if len(self._compatible) > 100_000:
                 self._compatible.clear()
             got = self._compatible[key] = self._crossing(left, right) is None
         return got
@@ -163,7 +166,7 @@ class Transducer:
     States are numbered when first reached and shared by all words; beyond
     ``limit`` only the current one is kept."""
 
-    def __init__(self, merges: Merges, limit: int = 150_000):
+    def __init__(self, merges: Merges, limit: int = 80_000):
         self.merges, self.limit = merges, limit
         self._forget()
 
@@ -180,7 +183,7 @@ class Transducer:
 
     def step(self, state: int, symbol: str) -> tuple[int, int, int]:
         """(next state, change of the token count, token ending here)."""
-        edge = self.edges.get((state, symbol))
+        edge = self.edges.get(state << 9 | ord(symbol))
         if edge is not None:
             return edge
         places = self.states[state]
@@ -193,11 +196,12 @@ class Transducer:
             token = m.token.get(grown)
             if winner is None and token is not None and (last < 0 or m.compatible(last, token)):
                 winner = (token, 1 - since)
-            if grown in m.reach:
+            grown = m.reach.get(grown)
+            if grown is not None:
                 alive.append((grown, last, since))
         token, change = winner
         edge = (self._name((*((r, t, s + change) for r, t, s in alive), ("", token, 0))), change, token)
-        self.edges[state, symbol] = edge
+        self.edges[state << 9 | ord(symbol)] = edge
         return edge
 
     def count(self, word: str) -> int:
@@ -205,7 +209,7 @@ class Transducer:
         annotations along its path."""
         state = total = 0
         for symbol in word:
-            state, change, _ = self.step(state, symbol)
+            state, change, _ = self.edges.get(state << 9 | ord(symbol)) or self.step(state, symbol)
             total += change
         return total
 
@@ -217,7 +221,7 @@ class StreamEncoder:
     are final; the buffer never holds more than ``2 * (lookahead + longest)``
     symbols however long the word is."""
 
-    def __init__(self, merges: Merges, limit: int = 150_000):
+    def __init__(self, merges: Merges, limit: int = 80_000):
         self.merges, self.keep = merges, merges.lookahead
         self.room = 2 * (merges.lookahead + merges.longest)
         self.machine = Transducer(merges, limit)
@@ -249,11 +253,21 @@ class StreamEncoder:
         return [token for _, token in done]
 
     def finish(self) -> list[int]:
-        out = [token for _, token in self._path()]
+        ends, size, at, out = self.ends, self.size, len(self.ends) - 1, []
+        while at > 0:
+            out.append(ends[at])
+            at -= size[ends[at]]
         self._clear()
-        return out
+        return out[::-1]
 
     def word(self, symbols: str) -> list[int]:
+        machine = self.machine
+        if len(symbols) < self.room:  # fits the buffer: nothing to emit before the end
+            state, ends = self.state, self.ends
+            for symbol in symbols:
+                state, _, token = machine.edges.get(state << 9 | ord(symbol)) or machine.step(state, symbol)
+                ends.append(token)
+            return self.finish()
         out: list[int] = []
         for symbol in symbols:
             out += self.push(symbol)

@@ -46,6 +46,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What operators keep in a Python worker between tasks, by operator.
+CACHES: dict[str, dict] = {}
+
+
+def claim(own: str) -> None:
+    """Called when a task starts: drops what other operators keep in this
+    worker, so one operator's tables are in memory at a time."""
+    for name, held in CACHES.items():
+        if name != own:
+            held.clear()
+
+
 def fresh(name: str, taken) -> str:
     """``name``, with underscores added until no column has it."""
     while name in taken:

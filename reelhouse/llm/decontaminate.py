@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import columns, fresh, sha, tuned
+from reelhouse.llm.common import claim, columns, fresh, sha, tuned
 from reelhouse.llm.words import ALNUM_WORDS, LOWER, buffers, groups, seeds, split_words
 
 WINDOW = 10
@@ -178,6 +178,7 @@ def _passes(docs: DataFrame, bench: DataFrame, window: int, shard_chars: int, fi
         last, many = k == len(shards) - 1, k > 0
 
         def search(batches, shard=shard, last=last, many=many):
+            claim("decontaminate")
             matchers = _matchers(shard, window)
             for batch in batches:
                 data, offsets = buffers(columns(batch, "text")[0])

@@ -20,13 +20,13 @@ from reelhouse.llm.words import mix64, seeds
 LETTER, NUMBER, OTHER, SPACE, WHITE, STOP, SPECIAL, UNKNOWN = range(8)
 #: Lone surrogates, which no text holds, separate texts and stand for specials.
 GAP, FIRST_SPECIAL = 0xD800, 0xD801
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 
 _up_down: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int):
-    size = max(BATCH_CHARS * 2, 1 << n.bit_length())
+    size = BATCH_CHARS * 3 // 2 if n <= BATCH_CHARS * 3 // 2 else 1 << n.bit_length()
     if size not in _up_down:
         _up_down.clear()
         base = int(seeds(1, 77)[0]) | 1

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from reelhouse.llm.common import columns, sha, tuned
+from reelhouse.llm.common import claim, columns, sha, tuned
 from reelhouse.llm.words import buffers
 
 REACH = 300
@@ -135,6 +135,7 @@ def secret_spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
     tuned(docs.sparkSession)
 
     def run(batches):
+        claim("secretscan")
         for batch in batches:
             ids, text = columns(batch, "doc_id", "text")
             rows = [(*(sum(k == j for _, k, _ in base) for j in range(3)), sha(written(base).encode()), written(spans))
@@ -166,6 +167,7 @@ def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
     tuned(docs.sparkSession)
 
     def run(batches):
+        claim("secretscan")
         for batch in batches:
             at = batch.schema.get_field_index("text")
             text = batch.column(at)

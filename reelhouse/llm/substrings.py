@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import columns, keep, sha, tuned
+from reelhouse.llm.common import claim, columns, keep, sha, tuned
 from reelhouse.llm.words import SPACE_WORDS, buffers, split_words, windows
 
 WINDOW = 50
@@ -92,6 +92,7 @@ def _profile(docs: DataFrame, window: int, length: int) -> DataFrame:
     the distinct representatives of its windows at the first level."""
 
     def run(batches):
+        claim("substrings")
         for batch in batches:
             ids, text = columns(batch, "doc_id", "text")
             data, offsets = buffers(text)
@@ -139,6 +140,7 @@ def repeated_windows(candidates: DataFrame, window: int, done: list[int]) -> Dat
     """(doc_id, tag, at) of windows that start in a smaller document too."""
 
     def run(batches):
+        claim("substrings")
         for batch in batches:
             ids, tags = (c.to_pylist() for c in columns(batch, "doc_id", "tag"))
             for words, i, h, on in _alive(batch, window, done):

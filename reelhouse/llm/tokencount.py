@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from reelhouse.llm.bpe import Merges, Transducer, word_symbols
-from reelhouse.llm.common import columns, tuned
+from reelhouse.llm.common import CACHES, claim, columns, tuned
 from reelhouse.llm.pieces import (LETTER, NUMBER, OTHER, SPACE, WHITE, PieceTable, char_batches, vocabulary)
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -160,7 +160,7 @@ class TokenCounter:
         return out
 
 
-_counters: dict[str, TokenCounter] = {}
+_counters: dict[str, TokenCounter] = CACHES.setdefault("tokencount", {})
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -171,6 +171,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
 
     def run(batches):
         from reelhouse.llm.pieces import vocabulary_path
+        claim("tokencount")
         file = vocabulary_path(path or VOCABULARY)
         if file not in _counters:
             _counters[file] = TokenCounter(file)

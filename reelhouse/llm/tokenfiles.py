@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import columns, tuned
+from reelhouse.llm.common import CACHES, claim, columns, tuned
 from reelhouse.llm.pieces import PieceTable, char_batches, vocabulary, vocabulary_path
 from reelhouse.session import scratch_path
 
@@ -99,11 +99,12 @@ def read_block(image: bytes):
     return before, [None if x else i for i, x in zip(ids, null)], counts, ranks
 
 
-_tables: dict[str, PieceTable] = {}
+_tables: dict[str, PieceTable] = CACHES.setdefault("tokenfiles", {})
 
 
 def _piece_table(path: str) -> PieceTable:
     """Pieces with the ids that the library gives them, as uint32 bytes."""
+    claim("tokenfiles")
     if path not in _tables:
         tokenizer, pre, specials = vocabulary(path)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import columns, keep, tuned
+from reelhouse.llm.common import claim, columns, keep, tuned
 from reelhouse.llm.words import LOWER, buffers, byte_table, mix64, split_words
 
 SAMPLE, FEATURES, MIN_ROWS, FOLDS = 6000, 300, 5, 3
@@ -124,6 +124,7 @@ def _features_of_sample(docs: DataFrame) -> DataFrame:
     """doc_id, label, distinct features."""
 
     def run(batches):
+        claim("toxicity")
         for batch in batches:
             ids, label, text = columns(batch, "doc_id", "label", "text")
             data, offsets = buffers(text)
@@ -260,6 +261,7 @@ def scores(docs: DataFrame, chain: Chain) -> DataFrame:
     names = [*CATEGORIES, OTHER, "toxic"]
 
     def run(batches):
+        claim("toxicity")
         chain = shared.value
         for batch in batches:
             ids, text = columns(batch, "doc_id", "text")
@@ -278,6 +280,7 @@ def drop_toxic(docs: DataFrame, chain: Chain) -> DataFrame:
     shared = tuned(docs.sparkSession).sparkContext.broadcast(chain)
 
     def run(batches):
+        claim("toxicity")
         chain = shared.value
         for batch in batches:
             p = chain.probabilities(*buffers(columns(batch, "text")[0]))

@@ -23,13 +23,14 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from reelhouse.llm.bpe import Merges, StreamDecoder, StreamEncoder, byte_letters, word_symbols
-from reelhouse.llm.common import columns, sha, tuned
+from reelhouse.llm.common import CACHES, claim, columns, sha, tuned
 from reelhouse.llm.pieces import PieceTable, char_batches, vocabulary, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,9 +41,10 @@ PLAIN_BELOW = 0x300
 class Codec:
     """Encoder and decoder of one word-BPE vocabulary file."""
 
-    def __init__(self, path: str, limit: int = 500_000):
-        self.tokenizer, pre, specials = vocabulary(path)
-        self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else None
+    def __init__(self, path: str, limit: int = 200_000):
+        tokenizer, pre, specials = vocabulary(path)
+        self.normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else None
+        del tokenizer  # its model is not needed
         merges = Merges(path)
         self.encoder = StreamEncoder(merges)
         spec = json.load(open(path, encoding="utf-8"))
@@ -53,6 +55,7 @@ class Codec:
             letters = byte_letters()
             self.between = b""
             self.spellings = {i: s.encode() if s in specials else bytes(letters[ch] for ch in s) for i, s in names.items()}
+        self.decoder = StreamDecoder(self.spellings, self.between)
         self.table = PieceTable(pre, specials, lambda new: [self._known(self.encoder.word(word_symbols(w.encode(), True)))
                                                             for w in new], lambda i: self._known([i]), spaced=False, limit=limit)
         self.fold, odd = np.arange(PLAIN_BELOW, dtype=np.uint32), []
@@ -68,9 +71,10 @@ class Codec:
         """What is kept of a word: token count, ids written in decimal, its
         decoded text when the byte-to-text machine is at rest after it, and ids
         as bytes."""
-        decoder = StreamDecoder(self.spellings, self.between)
-        text = "".join(map(decoder.push, ids))
-        return len(ids), " ".join(map(str, ids)).encode(), text.encode() if decoder.at_rest() else None, np.array(ids, "<i4").tobytes()
+        text = "".join(map(self.decoder.push, ids))
+        rests = self.decoder.at_rest()
+        self.decoder.finish()
+        return len(ids), " ".join(map(str, ids)).encode(), text.encode() if rests else None, struct.pack(f"<{len(ids)}i", *ids)
 
     def prepare(self, text: str) -> str:
         """Specials hidden, normalised unless the table will do it."""
@@ -103,11 +107,12 @@ class Codec:
                 yield int(sums[hi] - sums[lo]) if hi > lo else 0, sha(written), sha(decoded), b"".join(map(raw.__getitem__, own))
 
 
-_codecs: dict[str, Codec] = {}
+_codecs: dict[str, Codec] = CACHES.setdefault("wordbpe", {})
 
 
 def codec(path: str) -> Codec:
     """One codec per worker and file."""
+    claim("wordbpe")
     if path not in _codecs:
         _codecs[path] = Codec(path)
     return _codecs[path]

@@ -84,11 +84,15 @@ def _powers(n: int, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return seeds(256, salt + 17), up, down
 
 
+def _room(n: int) -> int:
+    """Table size for ``n``: few different ones, so tables are shared."""
+    return 1 << 16 if n <= 1 << 16 else SLICE + (1 << 15) if n <= SLICE + (1 << 15) else 1 << n.bit_length()
+
+
 def _hash(data, starts, ends, fold, salt):
     """Hash of each byte span [start, end) of ``data`` after ``fold``."""
     n = len(data)
-    size = max(SLICE * 2, 1 << max(1, n).bit_length())
-    table, up, down = _powers(size, salt)
+    table, up, down = _powers(_room(n), salt)
     with np.errstate(over="ignore"):
         sums = np.empty(n + 1, np.uint64)
         sums[0] = 0
@@ -153,7 +157,7 @@ def windows(hashes: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
     n = len(hashes)
     if n < width:
         return np.zeros(0, np.uint64)
-    _, up, down = _powers(max(SLICE * 2, 1 << n.bit_length()), salt + 101)
+    _, up, down = _powers(_room(n), salt + 101)
     with np.errstate(over="ignore"):
         sums = np.empty(n + 1, np.uint64)
         sums[0] = 0
