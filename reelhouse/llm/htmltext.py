@@ -183,8 +183,11 @@ def tallies(page: str):
 def learn(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
     """Weights by key from a bounded sample of self-labelled pages."""
     tuned(pages.sparkSession)
-    marked = pages.select("page_id", "html").where("html is not null and (html ilike '%<article%' or html ilike '%<main%')") \
-        .orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample)
+    marked = pages.select("page_id", "html").where(
+        "page_id is not null and html is not null and (html ilike '%<article%' or html ilike '%<main%')")
+    # Only ids are sorted; the pages of at most ``sample`` ids are then read again.
+    chosen = marked.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+    marked = marked.join(F.broadcast(chosen), "page_id", "left_semi")
 
     def run(batches):
         for batch in batches:
