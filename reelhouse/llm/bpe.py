@@ -123,7 +123,7 @@ class Merges:
         key = (left, right)
         got = self._compatible.get(key)
         if got is None:
-            if len(self._compatible) > 100_000:
+            if len(self._compatible) > 150_000:
                 self._compatible.clear()
             got = self._compatible[key] = self._crossing(left, right) is None
         return got
@@ -166,7 +166,7 @@ class Transducer:
     States are numbered when first reached and shared by all words; beyond
     ``limit`` only the current one is kept."""
 
-    def __init__(self, merges: Merges, limit: int = 80_000):
+    def __init__(self, merges: Merges, limit: int = 100_000):
         self.merges, self.limit = merges, limit
         self._forget()
 
@@ -221,7 +221,7 @@ class StreamEncoder:
     are final; the buffer never holds more than ``2 * (lookahead + longest)``
     symbols however long the word is."""
 
-    def __init__(self, merges: Merges, limit: int = 80_000):
+    def __init__(self, merges: Merges, limit: int = 100_000):
         self.merges, self.keep = merges, merges.lookahead
         self.room = 2 * (merges.lookahead + merges.longest)
         self.machine = Transducer(merges, limit)

@@ -41,7 +41,7 @@ PLAIN_BELOW = 0x300
 class Codec:
     """Encoder and decoder of one word-BPE vocabulary file."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         tokenizer, pre, specials = vocabulary(path)
         self.normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else None
         del tokenizer  # its model is not needed
