@@ -16,7 +16,8 @@ weight of their element, then a default.  Inside marked content, tags and
 boilerplate cost little: they must not part an article from its last lines.
 
 Blocks are closed by block-level tags; white space in a block becomes one space;
-blocks are joined by one newline in page order.  Character references are
+blocks are joined by ``separator`` in page order (the registered query: an empty
+line).  Character references are
 decoded once.  Scripts, styles, comments and other markup never give words.
 
 Defined cases: null or empty html gives an empty text; a page without a
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from reelhouse.llm.common import columns, tuned
 
 SAMPLE, MOST_WEIGHTS = 2000, 5000
+BLOCK_SEPARATOR = "\n\n"  # of the registered query
 WORD_DEFAULT, TAG_DEFAULT, TAG_MOST, CLIP = 1.0, -0.5, -0.05, 3.0
 BOILER_MOST, BOILER_LEAST, INSIDE_TAG_LEAST = -0.05, -1.0, -0.3
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -218,8 +220,8 @@ def word_weight(weights: dict[str, float], place: str, boiler: str, content: int
     return max(BOILER_LEAST, min(own, BOILER_MOST)) if boiler else own
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    """Text of the best region of one page."""
+def main_text(page: str, weights: dict[str, float], separator: str = "\n") -> str:
+    """Text of the best region of one page, its blocks joined by ``separator``."""
     scored, block = [], 0  # (score, block, text or None)
     for x in items(page):
         if x[0] == "block":
@@ -247,10 +249,10 @@ def main_text(page: str, weights: dict[str, float]) -> str:
             last, parts = b, []
         if text is not None:
             parts.append(text)
-    return "\n".join(out)
+    return separator.join(out)
 
 
-def main_texts(pages: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE) -> DataFrame:
+def main_texts(pages: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE, separator: str = "\n") -> DataFrame:
     """One row per page row: page_id, url, text, n_chars."""
     spark = tuned(pages.sparkSession)
     shared = spark.sparkContext.broadcast(learn(pages, sample) if weights is None else weights)  # at most MOST_WEIGHTS numbers
@@ -259,7 +261,7 @@ def main_texts(pages: DataFrame, weights: dict[str, float] | None = None, sample
         weights = shared.value
         for batch in batches:
             ids, urls, html = columns(batch, "page_id", "url", "html")
-            texts = [main_text(p, weights) if p else "" for p in html.to_pylist()]
+            texts = [main_text(p, weights, separator) if p else "" for p in html.to_pylist()]
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), urls.cast(pa.string()), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

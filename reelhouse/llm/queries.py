@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from reelhouse.llm.common import table
 from reelhouse.llm.decontaminate import contamination
-from reelhouse.llm.htmltext import main_texts
+from reelhouse.llm.htmltext import BLOCK_SEPARATOR, main_texts
 from reelhouse.llm.neardup import near_duplicates
 from reelhouse.llm.secretscan import secret_spans
 from reelhouse.llm.substrings import remove_repeats
@@ -16,7 +16,7 @@ from reelhouse.llm.wordbpe import encoded
 
 
 def op1_html_extraction(spark, sf_dir):
-    return main_texts(table(spark, sf_dir, "pages"))
+    return main_texts(table(spark, sf_dir, "pages"), separator=BLOCK_SEPARATOR)
 
 
 def op2_topk_search(spark, sf_dir):

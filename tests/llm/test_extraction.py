@@ -58,6 +58,14 @@ def test_other_markup_and_edges(spark):
     assert htmltext.main_texts(pages.where("false")).count() == 0
 
 
+def test_registered_query_joins_blocks_by_an_empty_line(spark):
+    from reelhouse.llm.queries import op1_html_extraction
+    got = {r.page_id: r for r in op1_html_extraction(spark, SMALL).collect()}
+    for r in table(spark, SMALL, "pages").collect():
+        want = by_template(r.html).replace("\n", "\n\n")
+        assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want)
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(3)
     weights = {"w p": 1.0, "w li": -1.0, "t p": -0.5, "t /p": -0.5, "t li": -0.5, "t /li": -0.5}
