@@ -20,6 +20,14 @@ blocks are joined by ``separator`` in page order (the registered query: an empty
 line).  Character references are
 decoded once.  Scripts, styles, comments and other markup never give words.
 
+Boilerplate elements are the furniture elements of HTML, elements with a
+furniture name as class, id or role (the whole name, or hyphenated from furniture
+and box words only: ``with-sidebar`` is not one), and hidden elements (``hidden``,
+``aria-hidden="true"``, ``display:none``, class ``hidden``).  Their mark passes to
+all they contain, but ends at a ``main`` and at an outermost ``article`` unless
+that stands in a nav, aside, footer, menu or dialog, or is itself named as
+furniture, or in comments or related items after another article.
+
 Defined cases: null or empty html gives an empty text; a page without a
 positive region gives an empty text; unclosed and misnested tags are closed by the next
 fitting tag; repeated pages give the same text; other columns are ignored; long pages are
@@ -45,8 +53,8 @@ BOILER_MOST, BOILER_LEAST, INSIDE_TAG_LEAST = -0.05, -1.0, -0.3
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # HTML element names by role (fixed values).
 RAW = frozenset("script style textarea noscript template svg math iframe object select option title head".split())
@@ -60,6 +68,12 @@ BOILER_WORDS = frozenset("""ad ads advert adverts advertisement advertising bann
 navigation breadcrumb breadcrumbs footer comment comments reply replies respond disqus cookie cookies consent notice notices alert popup modal
 overlay share sharing social related recommended newsletter subscribe subscription signup widget toolbar login search pagination pager
 contentinfo complementary masthead skip""".split())
+#: Words that may stand beside furniture words in one hyphenated name.
+BOX_WORDS = frozenset("""area bar block body bottom box btn button buttons col column container group head heading inner item items left link
+links list main mobile outer panel primary right row secondary section site slot title top unit wrap wrapper""".split())
+#: Furniture whose articles are remarks on, or lists beside, another article.
+FOLLOWERS = frozenset(".comment .comments .reply .replies .respond .disqus .related .recommended".split())
+FIXED_BOILER = frozenset("nav aside footer menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - {"html", "body"}
 
@@ -71,18 +85,35 @@ class _Open:
         self.name, self.place, self.boiler, self.content = name, place, boiler, content
 
 
-def _words_of(attributes: str) -> list[str]:
-    out = []
+def _names_of(attributes: str) -> tuple[list[str], bool]:
+    """Lower-case class, id and role names, and whether the element is hidden."""
+    out, hidden = [], False
     for m in ATTRIBUTE.finditer(attributes):
-        out += re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())
-    return sorted({w for w in out if w})
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key in ("class", "id", "role"):
+            out += value.lower().split()
+            hidden |= key == "class" and "hidden" in value.lower().split()
+        elif key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and NO_DISPLAY.search(value):
+            hidden = True
+    return out, hidden
+
+
+def _furniture(names: list[str], inside: bool) -> str:
+    """The first furniture word of the names that are furniture, or ''."""
+    found = set()
+    for name in names:
+        parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
+        own = [p for p in parts if p in BOILER_WORDS or p == "header" and not inside]
+        if own and all(p in own or p in BOX_WORDS or p.isdigit() for p in parts):
+            found.update(own)
+    return min(found, default="")
 
 
 def items(page: str):
     """Yield ("text", place, boiler, content depth, raw text), ("tag", name,
     content depth) and ("block",) in page order."""
     stack = [_Open("", "", "", 0)]
-    at, n = 0, len(page)
+    at, n, articles = 0, len(page), 0
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -139,18 +170,20 @@ def items(page: str):
                     or name == "tr" and stack[-1].name == "tr":
                 stack.pop()
         top = stack[-1]
-        words = _words_of(attributes) if "=" in attributes else []
+        names, hidden = _names_of(attributes) if attributes else ([], False)
+        words = sorted({w for x in names for w in re.split(r"[^a-z0-9]+", x) if w})
         inside = any(o.name in ("article", "main") for o in stack)
         boiler = top.boiler
-        if not boiler:
+        if boiler and name in ("main", "article") and (name == "main" or boiler not in FIXED_BOILER and not top.content & 0xFFFF
+                                                       and not _furniture(names, True) and not (articles and boiler in FOLLOWERS)):
+            boiler = ""
+        elif not boiler:
             if name in BOILER or name == "header" and not inside:
                 boiler = name
             elif name not in ("body", "html", "article", "main"):
-                found = [w for w in words if w in BOILER_WORDS or w == "header" and not inside]
-                if found:
-                    boiler = "." + found[0]
-                elif attributes and HIDDEN.search(attributes):
-                    boiler = "hidden"
+                found = _furniture(names, inside)
+                boiler = "." + found if found else "hidden" if hidden else ""
+        articles += name == "article" and not boiler
         content = top.content + (1 if name == "article" else 1 << 16 if name == "main" else 0)
         place = name + "".join(f".{w}" for w in words if not w.isdigit())
         stack.append(_Open(name, place, boiler, content))

@@ -66,6 +66,36 @@ def test_registered_query_joins_blocks_by_an_empty_line(spark):
         assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want)
 
 
+STORY = "<h1>Title here</h1><p>" + "story words follow " * 12 + "</p><p>The last line of it.</p>"
+STORY_TEXT = "Title here\n" + " ".join(["story words follow"] * 12) + "\nThe last line of it."
+
+
+@pytest.mark.parametrize("opening", [
+    '<div class="page with-sidebar">', '<div class="has-menu">', '<section id="no-ads">', '<div class="overflow-hidden">',
+    '<div style="overflow:hidden">', '<div style="display:none">', "<div hidden>", '<div class="hidden">', '<div class="sidebar">', "<form>",
+    '<div class="ad"><p>buy this</p>', '<div class="sidebar"><div class="ad-box">', '<div class="content-sidebar-wrap"><main>',
+    '<nav><ul><li><a href="/">Home</a></ul><main>', "<header><p>Site name</p>"])
+def test_furniture_around_an_article_does_not_drop_it(opening):
+    for weights in ({}, {"w h1": 2.0, "w p": 2.0, "t p": -0.2, "t /p": -0.2}):
+        assert htmltext.main_text(f"<body>{opening}<article>{STORY}</article></div></body>", weights).endswith(STORY_TEXT)
+
+
+@pytest.mark.parametrize("opening", ['<div class="page with-sidebar">', '<div class="overflow-hidden">', '<div style="overflow:hidden">',
+                                     '<div data-state="hidden">', '<div id="has-menu">'])
+def test_names_that_only_contain_a_furniture_word_are_places(opening):
+    assert htmltext.main_text(f"<body>{opening}{STORY}</div></body>", {}) == STORY_TEXT
+
+
+@pytest.mark.parametrize("furniture", [
+    '<div class="hidden">{}</div>', "<div hidden>{}</div>", '<div aria-hidden="true">{}</div>', '<div style="color:red; display : none">{}</div>',
+    '<div class="cookie-notice">{}</div>', '<div id="sidebar-left">{}</div>', "<aside><article>{}</article></aside>",
+    '<section class="comments-area"><article class="comment-body">{}</article></section>', '<div class="comments"><article>{}</article></div>',
+    '<div class="related"><article>{}</article></div>', '<ul role="navigation">{}</ul>'])
+def test_furniture_stays_furniture(furniture):
+    extra = furniture.format("<p>" + "other words " * 20 + "</p>")
+    assert htmltext.main_text(f"<body><article>{STORY}</article>{extra}</body>", {}) == STORY_TEXT
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(3)
     weights = {"w p": 1.0, "w li": -1.0, "t p": -0.5, "t /p": -0.5, "t li": -0.5, "t /li": -0.5}
