@@ -11,14 +11,20 @@ Weights come from labelled pages: pages that mark their content with exactly one
 ``article`` (or else one ``main``) element label themselves.  Over a
 bounded sample (the ``sample`` such pages with the smallest hash of page_id)
 Spark counts how often each place and tag occurs inside and outside the marked content; a
-weight is the logarithm of the smoothed ratio.  Places never met take the
-weight of their element, then a default.  Inside marked content, tags and
+weight is the logarithm of the smoothed ratio.  Only the ``MOST_WEIGHTS`` (5,000)
+most frequent keys keep a weight of their own, so what the driver collects and
+broadcasts is bounded; rarer places, like places never met, take the weight of
+their element, then a default, and rarer tags the default.  Inside marked content, tags and
 boilerplate cost little: they must not part an article from its last lines.
 
 Blocks are closed by block-level tags; white space in a block becomes one space;
 blocks are joined by ``separator`` in page order (the registered query: an empty
 line).  Character references are
-decoded once.  Scripts, styles, comments and other markup never give words.
+decoded once.  Scripts, styles, comments and other markup never give words; nor
+does what is not shown as text (closed templates, selects, drawings and frames).
+An unclosed one of the latter is read as ordinary markup, an unclosed script or
+style runs to the end of the page as in a browser.  Formulas and object
+fallbacks are read like other markup; MathML tags cost nothing.
 
 Boilerplate elements are the furniture elements of HTML, elements with a
 furniture name as class, id or role (the whole name, or hyphenated from furniture
@@ -57,8 +63,10 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # HTML element names by role (fixed values).
-RAW = frozenset("script style textarea noscript template svg math iframe object select option title head".split())
-SKIP_TO_END = frozenset("script style textarea noscript template svg math iframe object select title".split())
+RAW = frozenset("script style textarea title".split())  # unclosed, they run to the end of the page
+SKIP_IF_CLOSED = frozenset("noscript template svg iframe select".split())
+MATHML = frozenset("""math mi mo mn ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder
+mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml""".split())
 BLOCK = frozenset("""html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr caption
 blockquote pre figure figcaption header footer nav aside form fieldset address details summary hgroup menu dialog center""".split())
 BOILER = frozenset("nav aside footer form menu dialog button label legend".split())
@@ -113,7 +121,7 @@ def items(page: str):
     """Yield ("text", place, boiler, content depth, raw text), ("tag", name,
     content depth) and ("block",) in page order."""
     stack = [_Open("", "", "", 0)]
-    at, n, articles = 0, len(page), 0
+    at, n, articles, unclosed = 0, len(page), 0, set()
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -135,10 +143,16 @@ def items(page: str):
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         top = stack[-1]
-        if not closing and name in SKIP_TO_END:
-            if not attributes.endswith("/"):
+        if not closing and (name in RAW or name in SKIP_IF_CLOSED):
+            if not attributes.endswith("/") and name not in unclosed:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(page, at)
-                at = end.end() if end else n
+                if not end:
+                    unclosed.add(name)
+                at = end.end() if end else n if name in RAW else at
+            continue
+        if name in MATHML:
+            if name in ("mtr", "mlabeledtr", "mtd"):
+                yield "text", top.place, top.boiler, top.content, " "
             continue
         if name == "br":
             yield "text", top.place, top.boiler, top.content, " "

@@ -96,6 +96,16 @@ def test_furniture_stays_furniture(furniture):
     assert htmltext.main_text(f"<body><article>{STORY}</article>{extra}</body>", {}) == STORY_TEXT
 
 
+@pytest.mark.parametrize("markup,words", [
+    ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"), ("<math>" + "<mrow>" * 200 + "<mn>7</mn>" + "</mrow>" * 200 + "</math>", "7"),
+    ('<object data="a.swf"><p>Fallback words</p></object>', "Fallback words"), ("<object>plain fallback</object>", "plain fallback"),
+    ("<svg><text>drawn</text></svg>", ""), ("<template><p>not shown</p></template>", ""), ("<select><option>choice</select>", ""),
+    ("<svg>", ""), ("<math>", ""), ("<object>", ""), ("<template>", ""), ("<iframe src=x>", ""), ("<noscript>", ""), ("<select>", "")])
+def test_embedded_markup_drops_nothing_else(markup, words):
+    page = f"<article><p>First words here.</p><p>Before {markup} after.</p><p>Last line.</p></article><footer>Foot words</footer>"
+    assert htmltext.main_text(page, {}).split() == f"First words here. Before {words} after. Last line.".split()
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(3)
     weights = {"w p": 1.0, "w li": -1.0, "t p": -0.5, "t /p": -0.5, "t li": -0.5, "t /li": -0.5}
