@@ -13,10 +13,15 @@ All texts of a batch are searched in lock step: each is cut into segments
 (overlapping by m - 1 words) whose positions advance together by the looked-up
 shifts, so only about one word in m is touched.
 
-Benchmark items reach the tasks in shards of at most ``shard_chars``
-characters.  Every shard is one narrow map over the documents that adds to the
-hits of the shard before, so a benchmark of any size costs linear passes and no
-shuffle, and what is broadcast has a fixed bound.
+Benchmark items are cut into pieces of whole windows by Spark (each window is in
+one piece of its item, so a long item spreads over shards) and reach the tasks in
+shards of at most ``shard_chars`` characters, a window counting as at least
+``WINDOW_LEAST``; only a hash bucket of pieces (about a ``FINE``-th of a shard) that
+is larger by itself goes beyond, as with one very long window.  A benchmark of one shard is one narrow map over the documents.  For a larger one the documents
+are written once with a row key, each shard is collected, searched for in one map
+that writes its hits by row key, and dropped before the next is collected; the
+hits are joined back at the end.  So the driver holds one shard at a time, and a
+benchmark of any size costs linear passes.
 
 Defined cases: a null or empty text has no words (0 counts, not contaminated);
 items with a null id, or without words, take no part; repeated rows are judged
@@ -32,11 +37,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import claim, columns, fresh, sha, tuned
+from reelhouse.llm.common import claim, columns, fresh, keep, sha, tuned
 from reelhouse.llm.words import ALNUM_WORDS, LOWER, buffers, groups, seeds, split_words
+from reelhouse.session import scratch_path
 
 WINDOW = 10
 SHARD_CHARS = 4_000_000
+WINDOW_LEAST = 8
+FINE = 16  # pieces have at most this part of a shard, and shards are filled from buckets of about this part
 SEGMENT = 512
 _PAIR = seeds(1, 40)[0] | np.uint64(1)
 
@@ -127,21 +135,20 @@ _compiled: dict = {}
 
 
 def _matchers(shard: Broadcast, window: int) -> list[WuManber]:
-    """Compiled once per worker and broadcast; the last few are kept."""
+    """Compiled once per worker and broadcast; the last one is kept."""
     key = (shard._jbroadcast if hasattr(shard, "_jbroadcast") and shard._jbroadcast else id(shard), window)
     if key not in _compiled:
-        if len(_compiled) >= 2:
-            _compiled.clear()
+        _compiled.clear()
         _compiled[key] = (shard, compile_items(shard.value, window))
     return _compiled[key][1]
 
 
-def _search(matchers, data, offsets, before):
+def _search(matchers, data, offsets):
     """Per text: word count, hit flags of its words, items found."""
     words = split_words(data, offsets, ALNUM_WORDS, LOWER)
     cover = np.zeros(len(words.start) + 1, np.int32)
     n = len(offsets) - 1
-    items = [set(x) for x in before[1]] if before else [set() for _ in range(n)]
+    items = [set() for _ in range(n)]
     for matcher in matchers:
         for a, b in groups(words.first, 1 << 18):
             start, pattern = matcher.find(data, words, words.first[a:b + 1])
@@ -149,60 +156,111 @@ def _search(matchers, data, offsets, before):
             np.add.at(cover, start + matcher.width, -1)
             for doc, q in set(zip((np.searchsorted(words.first, start, "right") - 1).tolist(), pattern.tolist())):
                 items[doc].update(matcher.items[q])
-    hit = np.cumsum(cover[:-1]) > 0
-    if before:
-        for i, old in enumerate(before[0]):
-            if old:
-                a, b = words.first[i], words.first[i + 1]
-                hit[a:b] |= np.unpackbits(np.frombuffer(old, np.uint8), count=b - a).astype(bool)
-    return words.first, hit, items
+    return words.first, np.cumsum(cover[:-1]) > 0, items
+
+
+def cut_item(lengths: np.ndarray, window: int, limit: int) -> list[tuple[int, int, int]]:
+    """(first word, end word, size) of the pieces of an item with words of these
+    lengths: as many windows each as ``limit`` holds, one at least."""
+    m = min(window, len(lengths))
+    ends = np.concatenate([[0], np.cumsum(lengths + 1)])  # of words joined by one space, and a space
+    out, at, n = [], 0, len(lengths) - m + 1 if m else 0
+    while at < n:
+        fit = int(np.searchsorted(ends, ends[at] + limit + 1, "right")) - 1 - m - at + 1  # windows from ``at`` on
+        take = max(1, min(fit, limit // WINDOW_LEAST, n - at))
+        stop = at + take - 1 + m
+        out.append((at, stop, max(int(ends[stop] - ends[at]) - 1, WINDOW_LEAST * take)))
+        at += take
+    return out
+
+
+def pieces(bench: DataFrame, window: int, shard_chars: int) -> DataFrame:
+    """Items cut into pieces: item_id, text, size."""
+    limit = max(1, shard_chars // FINE)
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = columns(batch, "item_id", "text")
+            data, offsets = buffers(texts)
+            words = split_words(data, offsets, ALNUM_WORDS, LOWER)
+            rows = []
+            for item, a, b in zip(ids.to_pylist(), words.first[:-1], words.first[1:]):
+                start, end = words.start[a:b], words.end[a:b]
+                for i, j, size in cut_item(end - start, window, limit):
+                    text = b" ".join(LOWER[data[s:e]].tobytes() for s, e in zip(start[i:j], end[i:j])).decode()
+                    rows.append((item, text, size))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))],
+                                             ["item_id", "text", "size"])
 
-
-def _shards(bench: DataFrame, shard_chars: int) -> list[Broadcast]:
-    """Benchmark items as broadcasts of about ``shard_chars`` characters."""
     bench = bench.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = int(max(1, -(-size // shard_chars)))
-    sc = bench.sparkSession.sparkContext
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [sc.broadcast([(r[0], r[1]) for r in (bench if n == 1 else bench.where(part == k)).collect()]) for k in range(n)]
-
-
-def _passes(docs: DataFrame, bench: DataFrame, window: int, shard_chars: int, finish, schema) -> DataFrame:
-    """``finish(batch, first, hit, items)`` makes the last pass's batch."""
-    shards = _shards(bench, shard_chars)
-    carried = list(docs.schema)
-    bits_name, items_name = fresh("_hit_bits", docs.columns), fresh("_items", docs.columns)
-    df = docs
-    for k, shard in enumerate(shards):
-        last, many = k == len(shards) - 1, k > 0
-
-        def search(batches, shard=shard, last=last, many=many):
-            claim("decontaminate")
-            matchers = _matchers(shard, window)
-            for batch in batches:
-                data, offsets = buffers(columns(batch, "text")[0])
-                before = [c.to_pylist() for c in columns(batch, bits_name, items_name)] if many else None
-                first, hit, items = _search(matchers, data, offsets, before)
-                if many:
-                    batch = batch.select([f.name for f in carried])
-                if last:
-                    yield finish(batch, first, hit, items)
-                else:
-                    bits = [np.packbits(hit[a:b]).tobytes() for a, b in zip(first[:-1], first[1:])]
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns, pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                        [*batch.schema.names, bits_name, items_name])
-
-        df = df.mapInArrow(search, schema if last else ", ".join(
-            [f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"`{bits_name}` binary", f"`{items_name}` array<string>"]))
-    return df
+    return bench.mapInArrow(run, "item_id string, text string, size long").distinct()
+
+
+def _shards(bench: DataFrame, window: int, shard_chars: int) -> list[DataFrame]:
+    """Pieces of the benchmark as tables of about ``shard_chars`` characters
+    at most, each to be collected on its own."""
+    cut = keep(pieces(bench, window, shard_chars), "benchmark-pieces")
+    total = cut.agg(F.sum("size")).first()[0] or 0
+    if total <= shard_chars:
+        return [cut]
+    bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(FINE * -(-total // shard_chars)))
+    out, begin, held = [], 0, 0
+    for k, size in sorted(map(tuple, cut.groupBy(bucket.alias("k")).agg(F.sum("size")).collect())):
+        if held and held + size > shard_chars:
+            out.append((begin, k))
+            begin, held = k, 0
+        held += size
+    out.append((begin, None))
+    return [cut.where((bucket >= a) & (bucket < b) if b is not None else bucket >= a) for a, b in out]
+
+
+def _send(shard: DataFrame) -> Broadcast:
+    return shard.sparkSession.sparkContext.broadcast([tuple(r) for r in shard.select("item_id", "text").collect()])
+
+
+def _one_pass(docs: DataFrame, shard: Broadcast, window: int, finish, schema) -> DataFrame:
+    """``finish(batch, first, hit, items)`` makes each batch."""
+    def search(batches):
+        claim("decontaminate")
+        matchers = _matchers(shard, window)
+        for batch in batches:
+            yield finish(batch, *_search(matchers, *buffers(columns(batch, "text")[0])))
+
+    return docs.mapInArrow(search, schema)
+
+
+def _hits(docs: DataFrame, key: str, shards: list[DataFrame], window: int) -> DataFrame:
+    """(row key, hit word, null) and (row key, null, item), one shard after the other."""
+    path, schema = scratch_path(docs.sparkSession, "benchmark-hits"), "row long, word long, item string"
+
+    def finish(batch, first, hit, items):
+        rows = columns(batch, key)[0].to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(hit)
+        doc = np.searchsorted(first, at, "right") - 1
+        found = [(r, x) for r, own in zip(rows.tolist(), items) for x in sorted(own)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.concatenate([rows[doc], np.array([r for r, _ in found], np.int64)]), pa.int64()),
+            pa.array((at - first[doc]).tolist() + [None] * len(found), pa.int64()),
+            pa.array([None] * len(at) + [x for _, x in found], pa.string())], ["row", "word", "item"])
+
+    for shard in shards:
+        sent = _send(shard)
+        _one_pass(docs.select(key, "text"), sent, window, finish, schema).write.mode("append").parquet(path)
+        sent.destroy()
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents written once with a row key, and the key's name."""
+    key = fresh("_row_key", docs.columns)
+    return keep(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-documents"), key
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """One row per document row: doc_id, n_words, n_hit, n_items,
     items_sha256 (of the found item ids, sorted as strings), contaminated."""
     tuned(docs.sparkSession)
+    shards, docs = _shards(bench, window, shard_chars), docs.select("doc_id", "text")
 
     def finish(batch, first, hit, items):
         n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[first])
@@ -211,15 +269,36 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shard
             pa.array([len(x) for x in items], pa.int64()), pa.array([sha(",".join(sorted(x)).encode()) for x in items]),
             pa.array(n_hit > 0)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return _passes(docs.select("doc_id", "text"), bench, window, shard_chars, finish, SCHEMA)
+    if len(shards) == 1:
+        return _one_pass(docs, _send(shards[0]), window, finish, SCHEMA)
+    docs, key = _keyed(docs)
+
+    def count(batches):
+        for batch in batches:
+            first = split_words(*buffers(columns(batch, "text")[0]), ALNUM_WORDS, LOWER).first
+            ids, rows = columns(batch, "doc_id", key)
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), rows, pa.array(np.diff(first), pa.int64())], ["doc_id", "row", "n_words"])
+
+    found = _hits(docs, key, shards, window).distinct().groupBy("row").agg(
+        F.count("word").alias("n_hit"), F.count("item").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return docs.mapInArrow(count, "doc_id long, row long, n_words long").join(found, "row", "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """The rows of ``docs`` without a hit, all columns unchanged."""
     tuned(docs.sparkSession)
+    shards = _shards(bench, window, shard_chars)
 
     def finish(batch, first, hit, items):
         n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[first])
         return batch.filter(pa.array(n_hit == 0))
 
-    return _passes(docs, bench, window, shard_chars, finish, docs.schema)
+    if len(shards) == 1:
+        return _one_pass(docs, _send(shards[0]), window, finish, docs.schema)
+    names = docs.columns
+    docs, key = _keyed(docs)
+    hit = _hits(docs, key, shards, window).where("word is not null").select(F.col("row").alias(key)).distinct()
+    return docs.join(hit, key, "left_anti").select([F.col(f"`{n}`") for n in names])

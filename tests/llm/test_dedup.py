@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 
@@ -167,6 +168,36 @@ def test_contamination_equals_brute_force(spark, edge_docs, edge_rows, shard):
     assert decontaminate.contamination(docs.where("false"), bench).count() == 0
 
 
+def test_large_benchmark_is_sent_in_bounded_shards(spark, monkeypatch):
+    sent, alive, real = [], [], type(spark.sparkContext).broadcast
+
+    def watched(sc, rows):
+        held = real(sc, rows)
+        sent.append(sum(len(t) for _, t in rows))
+        alive.append(held)
+        assert all(b._path is None or not os.path.exists(b._path) for b in alive[:-1])  # the shards before are gone
+        return held
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", watched)
+    long = words(21, 400).split()
+    docs = spark.createDataFrame([(1, " ".join(long[50:70])), (1, "nothing here"), (2, " ".join(long)), (None, None)], "doc_id long, text string")
+    items = [("long", " ".join(long)), ("long", " ".join(long)), ("short", " ".join(long[5:8])), ("none", None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert by_id(decontaminate.contamination(docs, bench, shard_chars=900)) == order(brute_contamination(rows, items))
+    assert len(sent) > 1 and max(sent) <= 900
+
+
+@pytest.mark.parametrize("limit", [1, 60, 10_000])
+def test_pieces_hold_every_window_once(limit):
+    lengths = np.array([len(w) for w in words(22, 90).split()])
+    for n in (0, 1, 9, 10, 11, 90):
+        cut = decontaminate.cut_item(lengths[:n], 10, limit)
+        m = min(10, n)
+        assert [s for a, b, _ in cut for s in range(a, b - m + 1)] == list(range(n - m + 1 if m else 0))
+        assert all(size <= limit or b - a == m for a, b, size in cut)
+        assert all(size >= lengths[a:b].sum() + b - a - 1 for a, b, size in cut)
+
+
 def test_words_across_slices_equal_python(monkeypatch):
     from reelhouse.llm import words as W
     import pyarrow as pa
