@@ -163,11 +163,13 @@ def title_bronze(spark: SparkSession, raw: Mapping[str, DataFrame], db: str, fmt
 def title_silver_gold(spark: SparkSession, db: str, as_of_year: int, fmt: str = "parquet",
                       tags=scoring.DEFAULT_TAG_SET, top: int = scoring.DEFAULT_TOP,
                       silver_top: int | None = scoring.DEFAULT_SILVER_TOP) -> None:
-    """Silver to gold.  ``silver_top`` cuts the top-title table (None: all titles)."""
+    """Silver to gold.  Gold is built from all silver titles; the top-title table
+    beside them holds the first ``silver_top`` (None: all)."""
     b = lambda n: spark.table(_t(db, f"bronze_{n}"))
-    silver = scoring.silver_titles(b("title_basics"), b("title_akas"), b("title_ratings"), as_of_year, k=silver_top)
-    write_layer(silver, _t(db, "silver_movies_top"), fmt=fmt, evolve=True)
-    silver = spark.table(_t(db, "silver_movies_top"))
+    silver = scoring.silver_titles(b("title_basics"), b("title_akas"), b("title_ratings"), as_of_year)
+    write_layer(silver, _t(db, "silver_movies"), fmt=fmt, evolve=True)
+    silver = spark.table(_t(db, "silver_movies"))
+    write_layer(silver if silver_top is None else scoring.top_titles(silver, silver_top), _t(db, "silver_movies_top"), fmt=fmt, evolve=True)
     write_layer(scoring.title_fact(silver), _t(db, "gold_title_fact_ratings"), fmt=fmt, recreate=True)
     weighted = scoring.weighted_rating(spark.table(_t(db, "gold_title_fact_ratings")))
     write_layer(weighted, _t(db, "gold_fact_weighted"), fmt=fmt, recreate=True)
@@ -182,9 +184,9 @@ def title_silver_gold(spark: SparkSession, db: str, as_of_year: int, fmt: str =
 
 
 def title_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], db: str, as_of_year: int,
-                   fmt: str = "parquet") -> None:
+                   fmt: str = "parquet", silver_top: int | None = scoring.DEFAULT_SILVER_TOP) -> None:
     title_bronze(spark, raw, db, fmt)
-    title_silver_gold(spark, db, as_of_year, fmt)
+    title_silver_gold(spark, db, as_of_year, fmt, silver_top=silver_top)
 
 
 # ------------------------------------------------------- from raw files --
@@ -199,7 +201,8 @@ def ratings_pipeline_from_files(spark: SparkSession, ratings_csv: str, movies_cs
 
 
 def title_pipeline_from_dumps(spark: SparkSession, dumps: Mapping[str, str], db: str, as_of_year: int,
-                              fmt: str = "parquet", repartition: int | None = None) -> None:
+                              fmt: str = "parquet", repartition: int | None = None,
+                              silver_top: int | None = scoring.DEFAULT_SILVER_TOP) -> None:
     """Run the title pipeline from tab-separated dumps (globs of plain or
     gzip parts; ``repartition`` spreads unsplittable gzip input)."""
     from reelhouse import schemas
@@ -207,4 +210,4 @@ def title_pipeline_from_dumps(spark: SparkSession, dumps: Mapping[str, str], db:
                  "title_ratings": schemas.TITLE_RATINGS_RAW, "title_crew": schemas.TITLE_CREW_RAW,
                  "title_akas": schemas.TITLE_AKAS_RAW}
     raw = {n: files.read_tsv(spark, dumps[n], schema=contracts[n], repartition=repartition) for n in contracts if n in dumps}
-    title_pipeline(spark, raw, db, as_of_year, fmt)
+    title_pipeline(spark, raw, db, as_of_year, fmt, silver_top)
