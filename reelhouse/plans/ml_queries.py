@@ -1,7 +1,7 @@
 """Registered ALS queries.
 
-Model output itself has no SQL form, so four raw outputs (``als_recs_*``) have
-no oracle.  The others report what SQL can derive about a run: the split rows,
+Model output itself has no SQL form, so six raw outputs (``als_recs_*``,
+``als_rmse_value``, ``als_run_metrics_values``) have no oracle.  The others report what SQL can derive about a run: the split rows,
 how many items each user must get, which pairs can be scored, that
 recomputed errors agree.  Every query writes its own gold fact and fits its
 own model; nothing is kept between queries.
@@ -122,27 +122,52 @@ def q_als_nested_check(spark, sf_dir):
     return every.join(some, "userId", "left").select("userId", "items", F.coalesce(F.col("p") == F.col("q"), F.lit(False)).alias("subset_agrees"))
 
 
+def _recomputed(test, m):
+    """RMSE and rows scored, from the factors themselves."""
+    dot = F.aggregate(F.zip_with("f", "g", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    rows = test.join(m.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("f")), "userId") \
+        .join(m.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("g")), "movieId")
+    return rows.agg(F.count("*").alias("predicted"), F.sqrt(F.avg(F.pow(F.col("rating") - dot, 2))).alias("rmse"))
+
+
+@query("als_rmse_value")
+def q_als_rmse_value(spark, sf_dir):
+    """RMSE of the first model and the rows scored."""
+    _, test, m = _fitted(spark, sf_dir, FIRST)
+    return recsys.rmse(m.transform(test))
+
+
 @query("als_rmse", P + "SELECT count(*) AS predicted, true AS agrees FROM scored")
 def q_als_rmse(spark, sf_dir):
     """RMSE of the first model: rows scored, and agreement with the error
     recomputed from the factors themselves."""
     _, test, m = _fitted(spark, sf_dir, FIRST)
     own = recsys.rmse(m.transform(test)).first()
-    dot = F.aggregate(F.zip_with("f", "g", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
-    rows = test.join(m.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("f")), "userId") \
-        .join(m.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("g")), "movieId")
-    again = rows.agg(F.count("*").alias("predicted"), F.sqrt(F.avg(F.pow(F.col("rating") - dot, 2))).alias("rmse"))
-    return again.select("predicted", (F.abs(F.col("rmse") - F.lit(own["rmse"])) < 1e-4).alias("agrees"))
+    return _recomputed(test, m).select("predicted", (F.abs(F.col("rmse") - F.lit(own["rmse"])) < 1e-4).alias("agrees"))
+
+
+@query("als_run_metrics_values")
+def q_als_run_metrics_values(spark, sf_dir):
+    """The run log of both models, with the RMSE."""
+    out = []
+    for cfg in (FIRST, SECOND):
+        _, test, m = _fitted(spark, sf_dir, cfg)
+        out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))))
+    return out[0].unionByName(out[1])
 
 
 @query("als_run_metrics", f"""SELECT * FROM (VALUES ('{FIRST.run_id()}', 10, 10, CAST(0.1 AS DOUBLE), true, true),
   ('{SECOND.run_id()}', 10, 10, CAST(0.1 AS DOUBLE), false, true)) AS t(run_id, "rank", maxIter, regParam, nonnegative, evaluated)""")
 def q_als_run_metrics(spark, sf_dir):
+    """The run log of both models; ``evaluated``: its RMSE agrees with the
+    error recomputed from the factors."""
     out = []
     for cfg in (FIRST, SECOND):
         _, test, m = _fitted(spark, sf_dir, cfg)
-        out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))))
-    return out[0].unionByName(out[1]).withColumn("evaluated", F.coalesce(F.col("rmse") > 0, F.lit(False))).drop("rmse")
+        again = _recomputed(test, m).first()["rmse"]
+        agrees = F.coalesce(F.abs(F.col("rmse") - F.lit(again).cast("double")) < 1e-4, F.lit(False))
+        out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))).withColumn("evaluated", agrees).drop("rmse"))
+    return out[0].unionByName(out[1])
 
 
 @query("als_model_roundtrip", P + "SELECT count(*) AS scored, CAST(0 AS FLOAT) AS max_gap FROM scored")

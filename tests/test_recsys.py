@@ -145,3 +145,15 @@ def test_recommend_plan_has_no_cross_join(spark):
     ratings = spark.createDataFrame([(1, 2, 1.0)], "userId int, movieId int, rating float")
     plan = recsys.recommend(m, ratings, 5)._jdf.queryExecution().toString()
     assert "Cross" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_wrong_rmse_is_noticed_and_values_are_registered(spark, monkeypatch):
+    import __spark_entry__ as E
+    from reelhouse.plans import ml_queries
+    run = lambda name: E.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    value = run("als_rmse_value")[0]
+    log = run("als_run_metrics_values")
+    assert value.predicted > 0 and 0 < value.rmse and abs(log[0].rmse - value.rmse) < 1e-4 and log[1].rmse > 0
+    real = ml_queries.recsys.rmse
+    monkeypatch.setattr(ml_queries.recsys, "rmse", lambda p: real(p).withColumn("rmse", F.col("rmse") + 1))
+    assert not any(r.evaluated for r in run("als_run_metrics"))
