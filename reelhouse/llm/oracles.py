@@ -61,5 +61,57 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.comp
        d.doc_id <= coalesce(c.component_id, d.doc_id) AS kept
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.doc_id"""
 
+
+def _field(column: str) -> str:
+    return (f"CASE WHEN {column} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({column} AS VARCHAR))) AS VARCHAR) || ':' "
+            f"|| CAST({column} AS VARCHAR) END")
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+# crc32 bit by bit: decimal ids are ASCII, so a character is a byte
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END), 4294967295::BIGINT)"""
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT *, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS claim FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS size FROM d),
+g AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees
+      FROM (SELECT DISTINCT lang FROM documents)),
+up AS (
+  SELECT g.tree, 0 AS lvl, p.idx, p.size, p.leaf AS digest FROM p JOIN g ON p.lang IS NOT DISTINCT FROM g.lang
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM up WHERE size > 1
+  GROUP BY tree, lvl, idx // 2, size),
+sub AS (SELECT tree, digest AS subroot FROM up WHERE size = 1),
+above AS (
+  SELECT 0 AS lvl, tree AS idx, (SELECT max(trees) FROM g) AS size, subroot AS digest FROM sub
+  UNION ALL
+  SELECT lvl + 1, idx // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM above WHERE size > 1
+  GROUP BY lvl, idx // 2, size),
+nodes AS (SELECT tree, lvl, idx, size, digest FROM up UNION ALL SELECT -1, lvl, idx, size, digest FROM above),
+fold AS (
+  SELECT p.doc_id, p.leaf, g.tree AS own, g.tree AS tree, 0 AS lvl, p.idx, p.size, p.claim AS digest, '' AS proof
+  FROM p JOIN g ON p.lang IS NOT DISTINCT FROM g.lang
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.own, CASE WHEN f.size = 1 THEN -1 ELSE f.tree END, CASE WHEN f.size = 1 THEN 0 ELSE f.lvl + 1 END,
+         CASE WHEN f.size = 1 THEN f.own ELSE f.idx // 2 END,
+         CASE WHEN f.size = 1 THEN (SELECT max(trees) FROM g) ELSE (f.size + 1) // 2 END,
+         CASE WHEN f.size = 1 THEN f.digest WHEN n.digest IS NULL THEN sha256(f.digest)
+              WHEN f.idx % 2 = 0 THEN sha256(f.digest || n.digest) ELSE sha256(n.digest || f.digest) END,
+         f.proof || CASE WHEN f.size = 1 THEN '' ELSE coalesce(n.digest, '') END
+  FROM fold f LEFT JOIN nodes n ON f.tree = n.tree AND f.lvl = n.lvl AND n.idx = xor(f.idx, 1)
+  WHERE NOT (f.tree = -1 AND f.size = 1))
+SELECT f.doc_id, f.leaf, sub.subroot, r.digest AS root, sha256(f.proof) AS proof_sha256, f.digest AS folded_root,
+       f.digest = r.digest AS verified
+FROM fold f JOIN sub ON f.own = sub.tree JOIN (SELECT digest FROM above WHERE size = 1) r ON true
+WHERE f.tree = -1 AND f.size = 1"""
+
 ORACLES = {"op2_topk_search": TOPK.strip(), "op6_substring_dedup": SUBSTRINGS.strip(),
-           "op8_decontamination": DECONTAMINATION.strip(), "op9_minhash_neardup": NEARDUP.strip()}
+           "op8_decontamination": DECONTAMINATION.strip(), "op9_minhash_neardup": NEARDUP.strip(),
+           "op11_merkle_manifest": MANIFEST.strip()}

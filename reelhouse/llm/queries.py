@@ -5,7 +5,10 @@ from __future__ import annotations
 from reelhouse.llm.common import table
 from reelhouse.llm.decontaminate import contamination
 from reelhouse.llm.htmltext import BLOCK_SEPARATOR, main_texts
+from reelhouse.llm.licenses import license_labels
+from reelhouse.llm.merkle import verified_manifest
 from reelhouse.llm.neardup import near_duplicates
+from reelhouse.llm.periodic import periodic_runs
 from reelhouse.llm.secretscan import secret_spans
 from reelhouse.llm.substrings import remove_repeats
 from reelhouse.llm.tokencount import token_counts
@@ -56,6 +59,19 @@ def op10_token_files(spark, sf_dir):
     return written_and_read(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_license_scan(spark, sf_dir):
+    return license_labels(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_topk_search, op3_token_counts, op4_toxicity, op5_secret_scan, op6_substring_dedup,
-    op7_word_bpe, op8_decontamination, op9_minhash_neardup, op10_token_files)}
+    op7_word_bpe, op8_decontamination, op9_minhash_neardup, op10_token_files, op11_merkle_manifest, op12_license_scan,
+    op13_periodic_runs)}
