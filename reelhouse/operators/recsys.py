@@ -1,15 +1,16 @@
 """ALS recommendations: split, fit, score, evaluate, recommend, log.
 
-The top-n is exact with k = n, also for ties.  Users and items are dealt into
-hash blocks.  Each pair of blocks is one task: a vectorised product of the
-two factor blocks, in which the pairs already seen are masked before the n
-best per user are taken (by prediction, then item id).  A seen pair is sent
-only to the tasks of its own user block and item block.  The n best per user and item
-block are then merged.  Scoring every unseen pair is the cost of an exact top-n
-(users x items x rank multiplications, in blocks); what is shuffled is the
-factors once per opposite block, the seen pairs once, and n rows per user and
-item block.  No task holds more than one block pair and no row grows with a
-user's history beyond one item block.
+The top-n is exact, also for ties, and bound-pruned.  Items are numbered by
+falling factor norm and dealt into slabs of bounded size.  A user meets the items in
+that order, block after block, and stops once the n-th best score is above
+|user| times the largest norm still to come: no later item can enter, not even by a
+tie.  A user who stops in one slab is not looked at in the next.
+
+Users never move: a slab (at most ``SLAB_BYTES``) is broadcast to them, one slab
+at a time, so a factor is sent once per executor and not once per opposite
+block.  Seen items are sparse bitmaps, a 64-bit word per 64 consecutive items of
+which the user saw one, made by a partial ``bit_or`` before the shuffle; a
+user's row holds the words of one slab only.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.ranking import top_n_per_group
+from reelhouse.session import written
+from reelhouse.sources.files import with_batch_number
 
 
 @dataclass(frozen=True)
@@ -80,67 +82,184 @@ def flatten_recs(nested: DataFrame, user: str = "userId", item: str = "movieId")
     return e.select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("prediction"))
 
 
-USER_BLOCK, ITEM_BLOCK = 4096, 8192
+#: Bytes of item factors that are broadcast at once, items and users of one product.
+SLAB_BYTES, BLOCK_ITEMS, BATCH_USERS = 32 << 20, 512, 256
+#: Room for rounding in the bound: scores are products in double precision
+#: rounded to the model's float type.
+SLACK = 1e-6
+
+
+class _Best:
+    """The ``n`` best (item, score) of a batch of users, by score, then item id."""
+
+    def __init__(self, items: list, scores: list, n: int):
+        m = len(items)
+        self.n = n
+        self.item = np.full((m, n), np.iinfo(np.int64).max)
+        self.score = np.full((m, n), -np.inf, np.float32)
+        for k, (i, s) in enumerate(zip(items, scores)):
+            if i is not None and len(i):
+                self.item[k, :len(i)], self.score[k, :len(s)] = i, s
+
+    def last(self) -> np.ndarray:
+        return self.score[:, -1]
+
+    def take(self, rows: np.ndarray, items: np.ndarray, score: np.ndarray) -> None:
+        """Offer ``score[k, j]`` of ``items[j]`` to user ``rows[k]``."""
+        n, low = self.n, self.last()[rows]
+        if score.shape[1] > n:  # the n-th best of the block alone is a bound too
+            low = np.maximum(low, np.partition(score, -n, axis=1)[:, -n])
+        at, j = np.nonzero((score >= low[:, None]) & (score > -np.inf))
+        if not len(at):
+            return
+        hit = np.unique(at)
+        users = rows[hit]
+        who = np.concatenate([np.repeat(users, n), rows[at]])
+        item = np.concatenate([self.item[users].ravel(), items[j]])
+        got = np.concatenate([self.score[users].ravel(), score[at, j]])
+        order = np.lexsort((item, -got, who))
+        who, item, got = who[order], item[order], got[order]
+        first = np.searchsorted(who, users)
+        take = (first[:, None] + np.arange(n)).ravel()
+        self.item[users], self.score[users] = item[take].reshape(-1, n), got[take].reshape(-1, n)
+
+    def rows(self, k: int) -> tuple[list, list]:
+        ok = self.score[k] > -np.inf
+        return self.item[k][ok].tolist(), self.score[k][ok].tolist()
+
+
+def _seen_places(words: list) -> tuple[np.ndarray, np.ndarray]:
+    """(user, place in the slab) of every bit of the users' bitmap words."""
+    sizes = [0 if w is None else len(w) for w in words]
+    if not sum(sizes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word = np.array([x["word"] for w in words if w is not None for x in w], np.int64)
+    bits = np.array([x["bits"] for w in words if w is not None for x in w], np.int64)
+    at, bit = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    return np.repeat(np.arange(len(words)), sizes)[at], word[at] * 64 + bit
+
+
+def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray], items: np.ndarray, v: np.ndarray,
+                 norms: np.ndarray, rest: float, block: int = BLOCK_ITEMS) -> tuple[np.ndarray, np.ndarray]:
+    """Offer one slab (items by falling norm, ``rest`` the largest norm after
+    it) to a batch of users.  Returns which users are done and how many pairs
+    each scored."""
+    length = np.sqrt(np.einsum("ur,ur->u", u, u))
+    user, place = seen
+    order = np.argsort(place, kind="stable")
+    user, place = user[order], place[order]
+    active, scored = np.arange(len(u)), np.zeros(len(u), np.int64)
+
+    def open_(rows, norm):
+        return rows[~(best.last()[rows] > length[rows] * norm * (1 + SLACK) + 1e-30)]
+
+    for a in range(0, len(items), block):
+        active = open_(active, norms[a])
+        if not len(active):
+            break
+        # one product in double precision, then the model's float type, so
+        # equal factors give equal predictions
+        score = np.einsum("ur,ir->ui", u[active], v[a:a + block].astype(np.float64)).astype(np.float32)
+        lo, hi = np.searchsorted(place, [a, a + block])
+        if hi > lo:
+            row = np.full(len(u), -1)
+            row[active] = np.arange(len(active))
+            at = row[user[lo:hi]]
+            score[at[at >= 0], place[lo:hi][at >= 0] - a] = -np.inf
+        scored[active] += score.shape[1]
+        best.take(active, items[a:a + block], score)
+    done = np.ones(len(u), bool)
+    if rest >= 0:
+        done[open_(active, rest)] = False
+    return done, scored
+
+
+def _slabs(item_factors: DataFrame, slab_items: int) -> DataFrame:
+    """Items numbered by falling norm, written once: i, features, norm, slab, place."""
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    rows = item_factors.select(F.col("id").alias("i"), "features", norm.alias("norm"))
+    rows = with_batch_number(rows, [F.col("norm").desc(), "i"], 1, "at").withColumn("at", F.col("at") - 1)
+    return written(rows.select("i", "features", "norm", F.expr(f"int(at div {slab_items})").alias("slab"),
+                               (F.col("at") % slab_items).cast("int").alias("place")), "item_slabs")
+
+
+def pruned_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame | None, n: int,
+                 slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS) -> DataFrame:
+    """Exact top ``n`` per user: (u, item array, score array, scored).
+
+    Factors are (id, features); ``seen`` (u, i) pairs are left out.  Lists go by score, then item id;
+    ``scored`` counts the pairs that were multiplied for the user."""
+    spark = user_factors.sparkSession
+    rank = item_factors.select(F.coalesce(F.max(F.size("features")), F.lit(1))).first()[0]
+    slab_items = max(64, slab_bytes // (4 * rank + 16) // 64 * 64)
+    slabs = _slabs(item_factors, slab_items)
+    tops = {r["slab"]: r["norm"] for r in slabs.groupBy("slab").agg(F.max("norm").alias("norm")).collect()}
+    words = None
+    if seen is not None:
+        pairs = seen.where("u is not null and i is not null").join(slabs.select("i", "slab", "place"), "i")
+        words = pairs.groupBy("u", "slab", F.expr("place div 64").cast("int").alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits")).groupBy("u", "slab").agg(
+            F.collect_list(F.struct("word", "bits")).alias("seen"))
+        if len(tops) > 1:
+            words = written(words, "seen_words")
+    none = F.array()
+    state = user_factors.select(F.col("id").alias("u"), "features", none.cast("array<long>").alias("item"),
+                                none.cast("array<float>").alias("score"), F.lit(0).cast("long").alias("scored"))
+    schema = "u int, features array<float>, item array<long>, score array<float>, scored long, done boolean"
+    done = state.withColumn("done", F.lit(True)) if not tops else None
+    for slab in sorted(tops):
+        rows = slabs.where(F.col("slab") == slab).select("i", "features", "norm", "place").toArrow().sort_by("place")
+        v = rows["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+        shared = spark.sparkContext.broadcast((rows["i"].to_numpy().astype(np.int64), v, rows["norm"].to_numpy()))
+        rest = tops.get(slab + 1, -1.0)
 
+        def offer(batches, shared=shared, rest=rest):
+            items, v, norms = shared.value
+            for batch in batches:
+                for a in range(0, batch.num_rows, BATCH_USERS):
+                    part = batch.slice(a, BATCH_USERS).to_pydict()
+                    best = _Best(part["item"], part["score"], n)
+                    ready, scored = best_of_slab(np.array(part["features"], np.float64), best, _seen_places(part["seen"]),
+                                                 items, v, norms, rest, block)
+                    lists = [best.rows(k) for k in range(len(ready))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part["u"], pa.int32()), pa.array(part["features"], pa.list_(pa.float32())),
+                         pa.array([x for x, _ in lists], pa.list_(pa.int64())), pa.array([x for _, x in lists], pa.list_(pa.float32())),
+                         pa.array(np.array(part["scored"]) + scored), pa.array(ready)],
+                        ["u", "features", "item", "score", "scored", "done"])
 
-def best_of_block(users: np.ndarray, items: np.ndarray, u: np.ndarray, v: np.ndarray, masked: list, n: int):
-    """(user, item, prediction) of each user's ``n`` best items, ties to the
-    smaller item; ``masked[i]`` lists items user i must not get."""
-    order = np.argsort(items, kind="stable")
-    items, v = items[order], v[order]
-    out = []
-    for a in range(0, len(users), 256):
-        # one product per batch of users in double precision, then the model's
-        # float type, so equal factors give equal predictions
-        score = np.einsum("ur,ir->ui", u[a:a + 256], v).astype(np.float32)
-        for i, row in enumerate(score, a):
-            if masked[i] is not None and len(masked[i]):
-                row[np.isin(items, masked[i])] = -np.inf
-            least = np.partition(row, len(row) - n)[len(row) - n] if len(row) > n else -np.inf
-            at = np.flatnonzero((row >= least) & (row > -np.inf))
-            at = at[np.argsort(-row[at], kind="stable")][:n]
-            out += [(users[i], items[j], row[j]) for j in at]
-    return out
+        if words is None:
+            state = state.withColumn("seen", F.lit(None).cast("array<struct<word:int,bits:long>>"))
+        else:
+            state = state.join(words.where(F.col("slab") == slab).select("u", "seen"), "u", "left")
+        state = state.select("u", "features", "item", "score", "scored", "seen").mapInArrow(offer, schema)
+        if len(tops) > 1:
+            state = written(state, "top_n")
+        ready = state.where("done")
+        done = ready if done is None else done.unionByName(ready)
+        if slab + 1 in tops:
+            state = state.where("not done").drop("done")
+            if state.isEmpty():
+                break
+    return done.select("u", "item", "score", "scored")
 
 
 def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bool = True,
               users: DataFrame | None = None, user: str = "userId", item: str = "movieId",
-              rank_col: str | None = "rank", user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+              rank_col: str | None = "rank", slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS) -> DataFrame:
     """Top ``n`` items per user, ``(user, item, prediction[, rank])``, ordered
     by prediction, then item id.
 
     ``exclude_seen`` leaves out items the user rated.  ``users`` limits the
     users (default: every user of ``ratings``); users unknown to the model get
     no rows (cold start)."""
-    seen = ratings.select(user, item)
-    wanted = (seen if users is None else users).select(F.col(user).alias("id")).distinct()
-    known = model.userFactors.join(wanted, "id", "left_semi")
-    n_users, n_items = model.userFactors.count(), model.itemFactors.count()
-    ub, ib = max(1, -(-n_users // user_block)), max(1, -(-n_items // item_block))
-    block = lambda c, k: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(k)).cast("int")
-    left = known.select(F.col("id").alias("u"), "features", block("id", ub).alias("ub"),
-                        F.explode(F.sequence(F.lit(0), F.lit(ib - 1))).alias("ib"))
-    right = model.itemFactors.select(F.col("id").alias("i"), "features", block("id", ib).alias("ib"),
-                                     F.explode(F.sequence(F.lit(0), F.lit(ub - 1))).alias("ub"))
-    if exclude_seen:
-        # at most one item block per list
-        lists = seen.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(
-            F.col(user).alias("u"), block(item, ib).alias("ib")).agg(F.collect_set(item).alias("seen"))
-        left = left.join(lists, ["u", "ib"], "left")
-    else:
-        left = left.withColumn("seen", F.lit(None).cast("array<int>"))
-
-    def score(key: tuple, us: pd.DataFrame, its: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(us) and len(its):
-            rows = best_of_block(us["u"].to_numpy(), its["i"].to_numpy(), np.stack(us["features"]).astype(np.float64),
-                                 np.stack(its["features"]).astype(np.float64), us["seen"].tolist(), n)
-        return pd.DataFrame({name: np.array([r[k] for r in rows], kind)
-                             for k, (name, kind) in enumerate(((user, np.int32), (item, np.int32), ("prediction", np.float32)))})
-
-    best = left.groupBy("ub", "ib").cogroup(right.groupBy("ub", "ib")).applyInPandas(
-        score, f"{user} int, {item} int, prediction float")
-    return top_n_per_group(best, [user], [F.col("prediction").desc(), F.col(item).asc()], n, rank_col=rank_col)
+    seen = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"))
+    wanted = (seen.select(F.col("u").alias("id")) if users is None else users.select(F.col(user).alias("id"))).distinct()
+    best = pruned_top_n(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, seen if exclude_seen else None,
+                        n, slab_bytes, block)
+    rows = best.select(F.col("u").alias(user), F.posexplode(F.arrays_zip("item", "score")))
+    out = [F.col(user), F.col("col.item").cast("int").alias(item), F.col("col.score").alias("prediction")]
+    return rows.select(*out, *([(F.col("pos") + 1).alias(rank_col)] if rank_col else []))
 
 
 def run_metrics(cfg: AlsConfig, rmse_df: DataFrame) -> DataFrame:

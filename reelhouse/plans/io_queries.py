@@ -18,7 +18,7 @@ from reelhouse.operators.clean import dedup_latest, scrub_header_rows, scrub_nul
 from reelhouse.plans import standins as S
 from reelhouse.plans.queries import (EXPORT_SQL, RECS_CTE, TOP_EXPORT, L, M, R, most_recommended, query,
                                      rating_ranked_list, with_ctes)
-from reelhouse.session import scratch_path
+from reelhouse.session import scratch_path, written
 from reelhouse.sources import catalog, files, tables
 
 
@@ -289,3 +289,51 @@ def q_table_columns(spark, sf_dir):
     db = _scratch_db(spark)
     tables.write_layer(user_dim(S.ratings(spark, sf_dir)), f"{db}.silver_dim_users")
     return catalog.table_columns(spark, f"{db}.silver_dim_users")
+
+
+# ------------------------------------------------------ changes in place --
+@query("rewrite_recovery", with_ctes(M) + """
+SELECT movieId, title, genres, CAST(length(title) AS INTEGER) AS title_length, 'undone' AS first_end, 'finished' AS second_end,
+       (SELECT count(*) FROM movies) AS rows_between FROM movies""")
+def q_rewrite_recovery(spark, sf_dir):
+    """A rewrite broken off before it is decided is undone (all old rows stay); broken off
+    after, it is finished: the table then has the new column."""
+    name = f"{_scratch_db(spark)}.silver_movies"
+    tables.write_layer(S.movies(spark, sf_dir), name)
+    longer = lambda t: t.withColumn("title_length", F.length("title"))
+    tables._stage(longer(spark.table(name)), name, "parquet")
+    first = tables.recover(spark, name)
+    between = spark.table(name).agg(F.count("*")).first()[0]
+    stage = tables._stage(longer(spark.table(name)), name, "parquet")
+    tables._commit(spark, name, stage, "swap")
+    second = tables.recover(spark, name)
+    return spark.table(name).withColumns({"first_end": F.lit(first), "second_end": F.lit(second), "rows_between": F.lit(between).cast("long")})
+
+
+LATE_FROM, LATE_TO = "1996-01-01", "1996-02-29"
+
+
+@query("late_partitions", with_ctes(R) + """
+SELECT userId, movieId, rating, "timestamp", CAST(make_timestamp("timestamp" * 1000000) AS DATE) AS rating_date FROM ratings""")
+def q_late_partitions(spark, sf_dir):
+    """The gold fact without a part of two months, whose rows come late: only
+    their partitions are read again and overwritten."""
+    name = f"{_scratch_db(spark)}.gold_fact_ratings"
+    fact, part = tables.with_date_partition(_gold_fact(spark, sf_dir).drop("timestamp_ts"), "rating_date", FACT_GRAIN)
+    fact = written(fact, "fact")
+    late = F.col("rating_date").between(LATE_FROM, LATE_TO) & (F.col("movieId") % 3 == 0)
+    tables.write_layer(fact.where(~late), name, partition_by=[part])
+    tables.merge_late(fact.where(late), name, ["userId", "movieId"], ["timestamp", "rating"])
+    return spark.table(name).select("userId", "movieId", "rating", "timestamp", "rating_date")
+
+
+@query("merged_waves", with_ctes(R) + "SELECT * FROM ratings")
+def q_merged_waves(spark, sf_dir):
+    """Raw ratings in a large and two small waves, merged into the silver fact by key
+    bucket; equal to deduplicating all of bronze at once."""
+    name = f"{_scratch_db(spark)}.silver_fact_ratings"
+    raw = written(S.ratings_raw(spark, sf_dir).select("userId", "movieId", "rating", "timestamp"), "bronze")
+    wave = F.when(F.pmod(F.xxhash64("userId"), F.lit(50)) > 1, 0).otherwise(F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(3)))
+    for k in range(3):
+        tables.merge_wave(raw.where(wave == k), name, ["userId", "movieId"], ["timestamp", "rating"], buckets=16)
+    return spark.table(name).drop("key_bucket")

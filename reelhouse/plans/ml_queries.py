@@ -9,12 +9,15 @@ own model; nothing is kept between queries.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from reelhouse.operators import recsys
 from reelhouse.plans import standins as S
 from reelhouse.plans.queries import R, RECS_PER_USER, query, with_ctes
 from reelhouse.session import scratch_path, written
+from reelhouse.sources import tables
 
 FIRST = recsys.AlsConfig()  # nonnegative model
 SECOND = recsys.AlsConfig(nonnegative=False)  # publication model
@@ -65,6 +68,49 @@ def q_als_recs_unseen(spark, sf_dir):
     return recsys.recommend(m, fact, RECS_PER_USER, exclude_seen=True)
 
 
+# Whole-number factors from given columns: products are exact in every engine,
+# many of them tie, and SQL can score all pairs.
+FACTORS_SQL = """user_factors AS (
+  SELECT CAST(c_custkey AS INTEGER) AS userId, c_custkey % 11 AS f0, c_nationkey % 5 AS f1, c_custkey % 3 - 1 AS f2, 1 AS f3 FROM customer),
+item_factors AS (
+  SELECT CAST(p_partkey AS INTEGER) AS movieId, p_size * (CASE WHEN p_partkey % 29 = 0 THEN 20 ELSE 1 END) AS g0, p_partkey % 13 AS g1,
+         p_partkey % 7 - 3 AS g2, length(p_name) % 5 AS g3 FROM part),
+pairs AS (SELECT userId, movieId, CAST(f0 * g0 + f1 * g1 + f2 * g2 + f3 * g3 AS FLOAT) AS prediction FROM user_factors, item_factors)"""
+_BEST_SQL = f"""SELECT userId, movieId, prediction, CAST(rk AS INTEGER) AS "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY userId ORDER BY prediction DESC, movieId) AS rk FROM scored) WHERE rk <= {RECS_PER_USER}"""
+
+
+class WholeFactors:
+    """Stand-in model over :data:`FACTORS_SQL`."""
+
+    def __init__(self, spark, sf_dir):
+        def made(name, key, *factors):
+            return S.table(spark, sf_dir, name).select(F.expr(f"int({key})").alias("id"), F.array(
+                *(F.expr(f).cast("float") for f in factors)).alias("features"))
+
+        self.userFactors = made("customer", "c_custkey", "c_custkey % 11", "c_nationkey % 5", "c_custkey % 3 - 1", "1")
+        self.itemFactors = made("part", "p_partkey", "p_size * (CASE WHEN p_partkey % 29 = 0 THEN 20 ELSE 1 END)",
+                                "p_partkey % 13", "p_partkey % 7 - 3", "length(p_name) % 5")
+
+
+def _whole_top(spark, sf_dir, exclude_seen):
+    m = WholeFactors(spark, sf_dir)
+    return recsys.recommend(m, gold_ratings(spark, sf_dir), RECS_PER_USER, exclude_seen=exclude_seen,
+                            users=m.userFactors.select(F.col("id").alias("userId")))
+
+
+@query("pruned_top_unseen", with_ctes(R, FACTORS_SQL, """scored AS (
+  SELECT p.* FROM pairs p LEFT JOIN ratings r ON p.userId = r.userId AND p.movieId = r.movieId WHERE r.movieId IS NULL)""") + _BEST_SQL)
+def q_pruned_top_unseen(spark, sf_dir):
+    """The exact bound-pruned top n of unseen items, against scoring all pairs."""
+    return _whole_top(spark, sf_dir, True)
+
+
+@query("pruned_top_all", with_ctes(FACTORS_SQL, "scored AS (SELECT * FROM pairs)") + _BEST_SQL)
+def q_pruned_top_all(spark, sf_dir):
+    return _whole_top(spark, sf_dir, False)
+
+
 def _report(recs, seen):
     """Per user: items, distinct items, last rank, pairs already seen."""
     hits = seen.select("userId", "movieId").withColumn("hit", F.lit(1))
@@ -181,3 +227,26 @@ def q_als_model_roundtrip(spark, sf_dir):
     b = back.transform(test).select("userId", "movieId", F.col("prediction").alias("p2"))
     j = a.join(b, ["userId", "movieId"], "inner")
     return j.agg(F.count(F.lit(1)).alias("scored"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_gap"))
+
+
+RUN_TIMES = ("2024-05-01 06:00:00", "2024-05-02 06:00:00")
+
+
+@query("run_log_append", P + f""", means AS (SELECT userId, avg(rating) AS prediction FROM train GROUP BY userId),
+overall AS (SELECT avg(rating) AS prediction FROM train),
+by_user AS (SELECT round(sqrt(avg((t.rating - m.prediction) * (t.rating - m.prediction))), 6) AS rmse FROM test t JOIN means m USING (userId)),
+by_all AS (SELECT round(sqrt(avg((t.rating - m.prediction) * (t.rating - m.prediction))), 6) AS rmse FROM test t, overall m)
+SELECT '{FIRST.run_id()}' AS run_id, '{RUN_TIMES[0]}' AS run_at, rmse FROM by_user
+UNION ALL SELECT '{FIRST.run_id()}', '{RUN_TIMES[1]}', rmse FROM by_all
+UNION ALL SELECT '{SECOND.run_id()}', '{RUN_TIMES[1]}', rmse FROM by_all""")
+def q_run_log_append(spark, sf_dir):
+    """The run log keeps every run: two runs of one configuration, one of
+    another, the last of them committed twice.  Predictors are means, which SQL has too."""
+    train, test = recsys.split_ratings(gold_ratings(spark, sf_dir), seed=FIRST.seed)
+    means = train.groupBy("userId").agg(F.avg("rating").alias("prediction"))
+    by_user = recsys.rmse(test.join(means, "userId", "left"))
+    by_all = recsys.rmse(test.withColumn("prediction", train.agg(F.avg("rating")).scalar()))
+    name = f"{tables.ensure_database(spark, f'rh_{uuid.uuid4().hex[:10]}', scratch_path(spark, 'runs'))}.gold_run_metrics"
+    for cfg, rmse, at in ((FIRST, by_user, 0), (FIRST, by_all, 1), (SECOND, by_all, 1), (SECOND, by_all, 1)):
+        tables.append_run(recsys.run_metrics(cfg, rmse), name, RUN_TIMES[at])
+    return spark.table(name).select("run_id", F.date_format("run_at", "yyyy-MM-dd HH:mm:ss").alias("run_at"), F.round("rmse", 6).alias("rmse"))

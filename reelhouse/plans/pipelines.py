@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from reelhouse.operators.joins import enrich_recs, lookup_attrs
 from reelhouse.operators.ranking import top_k
 from reelhouse.session import scratch_path
 from reelhouse.sources import files
-from reelhouse.sources.tables import with_date_partition, write_layer
+from reelhouse.sources.tables import append_run, with_date_partition, write_layer
 
 
 @dataclass
@@ -37,6 +38,9 @@ class RatingsPipelineConfig:
     exclude_seen_published: bool = True
     export_dir: str | None = None
     model_dir: str | None = None
+    #: Time of the run (UTC): names its rows in the run log, so a step that
+    #: is run again for the same time does not log twice.
+    run_at: str = field(default_factory=lambda: datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
 
 
 def _t(db: str, name: str) -> str:
@@ -107,7 +111,7 @@ def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict
     metrics = recsys.run_metrics(cfg.als, recsys.rmse(model.transform(test)))
     pub = recsys.fit_als(train, cfg.publish_als)
     metrics = metrics.unionByName(recsys.run_metrics(cfg.publish_als, recsys.rmse(pub.transform(test))))
-    write_layer(metrics, _t(db, "gold_run_metrics"), fmt=cfg.fmt)
+    append_run(metrics, _t(db, "gold_run_metrics"), cfg.run_at, fmt=cfg.fmt)
     flat = recsys.recommend(pub, fact, cfg.recs_per_user, exclude_seen=cfg.exclude_seen_published, rank_col=None)
     write_layer(flat, _t(db, "gold_user_recommendations_flat"), fmt=cfg.fmt)
     flat = spark.table(_t(db, "gold_user_recommendations_flat"))
@@ -125,7 +129,8 @@ def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict
         files.export_csv(spark.table(_t(db, "gold_user_recommendations_enriched"))
                          .select("userId", "movieId", "title", "genres", "prediction"),
                          f"{cfg.export_dir}/recommendations")
-    return {r.run_id: r.rmse for r in spark.table(_t(db, "gold_run_metrics")).collect()}
+    now = spark.table(_t(db, "gold_run_metrics")).where(F.col("run_at") == F.to_timestamp(F.lit(cfg.run_at), "yyyy-MM-dd HH:mm:ss"))
+    return {r.run_id: r.rmse for r in now.collect()}
 
 
 def ratings_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], db: str,
@@ -177,8 +182,8 @@ def title_silver_gold(spark: SparkSession, db: str, as_of_year: int, fmt: str =
     write_layer(top_k(w, [F.col("weightedRating").desc(), F.col("tconst").asc()], top),
                 _t(db, "gold_top_recommendations"), fmt=fmt, recreate=True)
     dim = scoring.title_dim(silver, b("title_crew"), b("name_basics"), tags=tags)
-    write_layer(dim, _t(db, "gold_dim_movies_enriched_full_top1000"), fmt=fmt, recreate=True, evolve=True)
-    d = spark.table(_t(db, "gold_dim_movies_enriched_full_top1000"))
+    write_layer(dim, _t(db, "gold_dim_titles_enriched"), fmt=fmt, recreate=True, evolve=True)
+    d = spark.table(_t(db, "gold_dim_titles_enriched"))
     write_layer(scoring.top_per_genre(d, top), _t(db, "gold_top20_per_genre"), fmt=fmt, recreate=True)
     write_layer(scoring.top_per_genre_unique(d, top), _t(db, "gold_top20_per_genre_unique"), fmt=fmt, recreate=True)
 

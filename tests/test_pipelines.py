@@ -71,9 +71,9 @@ def test_gold_titles_are_not_cut_by_the_top_title_table(spark):
            "name_basics": S.name_basics(spark, SF)}
     P.title_pipeline(spark, raw, db, as_of_year=2025, silver_top=5)
     n = {t: spark.table(f"{db}.{t}").count() for t in ("silver_movies_top", "silver_movies", "gold_title_fact_ratings", "gold_fact_weighted",
-                                                       "gold_dim_movies_enriched_full_top1000", "gold_top_recommendations")}
+                                                       "gold_dim_titles_enriched", "gold_top_recommendations")}
     assert n["silver_movies_top"] == 5 and n["gold_top_recommendations"] == 20 and n["silver_movies"] > 20
-    assert n["silver_movies"] == n["gold_title_fact_ratings"] == n["gold_fact_weighted"] == n["gold_dim_movies_enriched_full_top1000"]
+    assert n["silver_movies"] == n["gold_title_fact_ratings"] == n["gold_fact_weighted"] == n["gold_dim_titles_enriched"]
 
 
 def test_title_pipeline_from_gzip_dumps(spark):

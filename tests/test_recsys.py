@@ -128,7 +128,7 @@ def test_zero_and_duplicate_factors_and_hot_user_equal_brute_force(spark):
     rows = [(u, i, 1.0) for u, x in seen.items() for i in x] + [(99, 1, 1.0), (3, None, 1.0), (None, 4, 1.0)]
     ratings = spark.createDataFrame(rows, "userId int, movieId int, rating float")
     m = _Factors(spark, users, items)
-    for block in ({}, {"user_block": 4, "item_block": 17}):
+    for block in ({}, {"slab_bytes": 1, "block": 17}):
         got = {}
         for r in recsys.recommend(m, ratings, 5, **block).orderBy("userId", "rank").collect():
             got.setdefault(r.userId, []).append(r.movieId)
@@ -147,6 +147,48 @@ def test_recommend_plan_has_no_cross_join(spark):
     assert "Cross" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def _scored(best):
+    return best.agg(F.sum("scored")).first()[0]
+
+
+def test_falling_norms_stop_the_scan(spark):
+    """Lists equal brute force while few of all pairs are multiplied, over one slab or many."""
+    rng = np.random.default_rng(11)
+    items = [(i, [float(np.float32(x)) for x in rng.normal(0, 1, 4) * 30 / (1 + i % 997) + 0.05]) for i in range(3000)]
+    users = [(u, [float(np.float32(x)) for x in rng.normal(0.4, 0.6, 4)]) for u in range(300)] + [(900, [0.0] * 4)]
+    seen = {u: {int(x) for x in rng.choice(3000, 150, replace=False)} for u, _ in users}
+    pairs = spark.createDataFrame([(u, i) for u, x in seen.items() for i in x] * 2, "u int, i int")
+    m = _Factors(spark, users, items)
+    for sizes in ({"block": 64}, {"slab_bytes": 64 * 8 * 32, "block": 50}, {"slab_bytes": 1, "block": 64}):
+        best = recsys.pruned_top_n(m.userFactors, m.itemFactors, pairs, 10, **sizes).persist()
+        assert {r.u: r["item"] for r in best.collect()} == _brute(users, items, seen, 10)
+        assert _scored(best.where("u < 900")) < 0.2 * 300 * 3000
+        assert best.where("u = 900").first().scored == 3000  # all tie: the smallest unseen ids
+        best.unpersist()
+    flat = recsys.pruned_top_n(m.userFactors, m.itemFactors.select("id", F.expr("transform(features, x -> float(1))").alias("features")),
+                               pairs, 10)
+    assert _scored(flat) == 301 * 3000  # equal norms: nothing can be left out
+
+
+def test_bounds_hold_for_negative_scores_and_short_lists(spark):
+    rng = np.random.default_rng(3)
+    items = [(i, [float(np.float32(x)) for x in -rng.uniform(0, 5, 2)]) for i in range(200)]
+    users = [(u, [float(np.float32(x)) for x in rng.uniform(0, 1, 2)]) for u in range(20)]
+    m = _Factors(spark, users, items)
+    best = recsys.pruned_top_n(m.userFactors, m.itemFactors, None, 300, slab_bytes=1, block=16)
+    assert {r.u: r["item"] for r in best.collect()} == _brute(users, items, {}, 300)
+    none = recsys.pruned_top_n(m.userFactors, m.itemFactors.limit(0), None, 3).collect()
+    assert len(none) == 20 and not any(r["item"] for r in none)
+
+
+def test_factors_are_not_copied_and_seen_items_are_bitmaps(spark):
+    m = _Factors(spark, [(1, [1.0])], [(1, [1.0])])
+    ratings = spark.createDataFrame([(1, 2, 1.0)], "userId int, movieId int, rating float")
+    plan = recsys.recommend(m, ratings, 5)._jdf.queryExecution().executedPlan().toString()
+    before = plan[plan.index("MapInArrow"):]
+    assert "Generate" not in before and "partial_bit_or" in before and "FlatMapCoGroups" not in plan
+
+
 def test_wrong_rmse_is_noticed_and_values_are_registered(spark, monkeypatch):
     import __spark_entry__ as E
     from reelhouse.plans import ml_queries
