@@ -6,16 +6,22 @@ white space, the rest); the classes are asked from the tokenizer library itself,
 character that occurs, so its Unicode tables apply.  The texts of a batch are cut at
 once; equal pieces are found by 64-bit hashes, and only pieces not seen
 before are handed to an encoder.  The table of known pieces is bounded.
+
+The hashes are polynomials modulo 2**64 whose base and letter values are
+random in every worker (keys never leave it); a piece of more than ``SHORT``
+characters is hashed by BLAKE2b under a random key, because such a polynomial
+cannot tell some long words apart, whatever its base.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 
-from reelhouse.llm.words import mix64, seeds
+from reelhouse.llm.words import SHORT, long_hash, mix64
 
 LETTER, NUMBER, OTHER, SPACE, WHITE, STOP, SPECIAL, UNKNOWN = range(8)
 #: Lone surrogates, which no text holds, separate texts and stand for specials.
@@ -23,13 +29,24 @@ GAP, FIRST_SPECIAL = 0xD800, 0xD801
 BATCH_CHARS = 1 << 19
 
 _up_down: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_secret: dict[int, tuple[int, np.uint64, bytes]] = {}
+
+
+def _secrets() -> tuple[int, np.uint64, bytes]:
+    """Base, letter offset and key of this process (a forked worker draws its own)."""
+    pid = os.getpid()
+    if pid not in _secret:
+        _secret.clear()
+        _up_down.clear()
+        _secret[pid] = (int.from_bytes(os.urandom(8), "little") | 1, np.uint64(int.from_bytes(os.urandom(8), "little")), os.urandom(16))
+    return _secret[pid]
 
 
 def _powers(n: int):
     size = BATCH_CHARS * 3 // 2 if n <= BATCH_CHARS * 3 // 2 else 1 << n.bit_length()
     if size not in _up_down:
         _up_down.clear()
-        base = int(seeds(1, 77)[0]) | 1
+        base = _secrets()[0]
         with np.errstate(over="ignore"):
             up, down = np.full(size + 1, base, np.uint64), np.full(size + 1, pow(base, -1, 1 << 64), np.uint64)
             up[0] = down[0] = 1
@@ -146,16 +163,23 @@ def char_batches(texts: list[str], limit: int = BATCH_CHARS):
 
 
 class Pieces:
-    """Pieces of a batch: distinct ``values``, the ``code`` of each piece
-    among them, and the piece range ``first[i]:first[i + 1]`` of each text."""
+    """Pieces of a batch: distinct ``values`` and their ``rows`` in the table,
+    the ``code`` of each piece among them, and the piece range
+    ``first[i]:first[i + 1]`` of each text."""
+
+    def __init__(self, table: list, rows: np.ndarray, code: np.ndarray, first: np.ndarray):
+        self.rows, self.code, self.first = rows, code, first
+        self._table = table
 
-    def __init__(self, values: list, code: np.ndarray, first: np.ndarray):
-        self.values, self.code, self.first = values, code, first
+    @property
+    def values(self) -> list:
+        return [self._table[r] for r in self.rows.tolist()]
 
 
 class PieceTable:
-    """Known pieces: ``row`` by key.  ``encode(list of str)`` gives a value
-    per new piece; special tokens get ``special(id)``."""
+    """Known pieces: sorted ``keys`` and the ``row`` of each in ``values``.
+    ``encode(list of str)`` gives a value per new piece; special tokens get
+    ``special(id)``."""
 
     def __init__(self, pre_tokenizer, specials: dict[str, int], encode, special, spaced: bool, cut=None, limit: int = 400_000):
         self.classes = Classes(pre_tokenizer)
@@ -165,15 +189,19 @@ class PieceTable:
         self.reset()
 
     def reset(self):
-        self.row: dict[int, int] = {}
+        self.keys, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.values: list = []
 
     def _keys(self, points, begin, end):
+        _, offset, key = _secrets()
         up, down = _powers(len(points))
         with np.errstate(over="ignore"):
             sums = np.zeros(len(points) + 1, np.uint64)
-            np.cumsum(mix_points(points) * up[:len(points)], out=sums[1:])
-            return mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+            np.cumsum(mix_points(points, offset) * up[:len(points)], out=sums[1:])
+            out = mix64((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+        for k in np.flatnonzero(end - begin > SHORT).tolist():
+            out[k] = long_hash(points[begin[k]:end[k]].tobytes(), key)
+        return out
 
     def look_up(self, texts: list[str], fold: np.ndarray | None = None) -> Pieces:
         """Values of all pieces of ``texts`` (specials already hidden)."""
@@ -192,19 +220,22 @@ class PieceTable:
         first = np.concatenate([[0], np.cumsum(wanted)])[np.flatnonzero(gaps)]
         begin, end = begin[wanted], end[wanted]
         if not len(begin):
-            return Pieces([], np.zeros(0, np.int64), first)
+            return Pieces(self.values, np.zeros(0, np.int64), np.zeros(0, np.int64), first)
         coded = pa.array(self._keys(points, begin, end)).dictionary_encode()
         code = coded.indices.to_numpy()
-        unique = coded.dictionary.to_numpy().tolist()
-        rows = [self.row.get(k, -1) for k in unique]
-        new = [k for k, r in enumerate(rows) if r < 0]
-        if new:
+        unique = coded.dictionary.to_numpy()
+        place = np.searchsorted(self.keys, unique)
+        rows = np.full(len(unique), -1, np.int64)
+        if len(self.keys):
+            near = np.minimum(place, len(self.keys) - 1)
+            same = self.keys[near] == unique
+            rows[same] = self.row[near[same]]
+        new = np.flatnonzero(rows < 0)
+        if len(new):
             at = np.zeros(len(unique), np.int64)
             at[code[::-1]] = np.arange(len(code) - 1, -1, -1)
             fresh, plain = [], []
-            for k in new:
-                b, e = int(begin[at[k]]), int(end[at[k]])
-                rows[k] = self.row[unique[k]] = len(self.values) + len(fresh)
+            for b, e in zip(begin[at[new]].tolist(), end[at[new]].tolist()):
                 if cls[b] == SPECIAL:
                     fresh.append(self.special(self.specials.ids[int(points[b]) - FIRST_SPECIAL]))
                 else:
@@ -212,14 +243,20 @@ class PieceTable:
                     fresh.append(None)
             for (k, _), value in zip(plain, self.encode([s for _, s in plain])):
                 fresh[k] = value
+            rows[new] = len(self.values) + np.arange(len(new))
             self.values += fresh
-        return Pieces([self.values[r] for r in rows], code, first)
+            order = np.argsort(unique[new])
+            new = new[order]
+            self.keys, self.row = np.insert(self.keys, place[new], unique[new]), np.insert(self.row, place[new], rows[new])
+        return Pieces(self.values, rows, code, first)
 
 
-def mix_points(points: np.ndarray) -> np.ndarray:
+def mix_points(points: np.ndarray, offset: np.uint64) -> np.ndarray:
     """A 64-bit word per code point."""
     with np.errstate(over="ignore"):
-        x = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (points.astype(np.uint64) + offset) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
         return x ^ (x >> np.uint64(32))
 
 

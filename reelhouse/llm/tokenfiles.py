@@ -16,8 +16,8 @@ gathered by numpy at once.
 
 Writing: documents are range-partitioned by doc_id (null ids first, repeated
 ids by text) and sorted inside partitions.  Each partition is tokenized once
-into a table of id arrays with running counts; frequencies and partition totals are
-sums over that table.  A second narrow pass writes blocks of about
+into a table of id arrays with running counts and one row with its count of
+every id; frequencies and partition totals are sums over these.  A second narrow pass writes blocks of about
 ``block_ids`` ids, a document is never split.  Blocks are rows of a Parquet
 folder in the shared location (part, first row, image), so Spark's writer commits them.
 The driver holds one number per partition and one per vocabulary entry.
@@ -99,65 +99,134 @@ def read_block(image: bytes):
     return before, [None if x else i for i, x in zip(ids, null)], counts, ranks
 
 
-_tables: dict[str, PieceTable] = CACHES.setdefault("tokenfiles", {})
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 stands for itself, the others for letters from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    return {b: chr(b) if b in own else chr(256 + b - sum(x < b for x in own)) for b in range(256)}
 
 
-def _piece_table(path: str) -> PieceTable:
-    """Pieces with the ids that the library gives them, as uint32 bytes."""
+class _Ids:
+    """Known pieces with their ids, flat: row k has ``ids[begin[k]:begin[k] + size[k]]``."""
+
+    def __init__(self, path: str):
+        tokenizer, pre, specials = vocabulary(path)
+        self.model, self.letters = tokenizer.model, byte_letters()
+        self.pieces = PieceTable(pre, specials, self._encode, lambda i: [i], spaced=True, limit=600_000)
+        self._clear()
+
+    def _clear(self):
+        self.known, self.ids = 0, np.zeros(1 << 20, np.uint32)
+        self.begin, self.size = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.used = 0
+
+    def _encode(self, new: list[str]) -> list[list[int]]:
+        """Ids of pieces: what the library's model makes of each."""
+        tokenize, letters = self.model.tokenize, self.letters
+        return [[t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))] for piece in new]
+
+    def _learn(self):
+        """Take over the table's new rows."""
+        values = self.pieces.values
+        if len(values) < self.known:  # the table was emptied
+            self._clear()
+        new = values[self.known:]
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        total = int(size.sum())
+        while self.known + len(new) > len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        at = slice(self.known, self.known + len(new))
+        self.size[at], self.begin[at] = size, self.used + np.cumsum(size) - size
+        self.ids[self.used:self.used + total] = np.fromiter((i for v in new for i in v), np.uint32, total)
+        self.used += total
+        for k in range(self.known, len(values)):
+            values[k] = None  # the flat copy is the one that is read
+        self.known = len(values)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, count per text)."""
+        found = self.pieces.look_up([self.pieces.specials.hide(t) for t in texts])
+        self._learn()
+        rows = found.rows[found.code]
+        size = self.size[rows]
+        ends = np.cumsum(size)
+        take = np.repeat(self.begin[rows] - (ends - size), size)
+        take += np.arange(len(take))
+        sums = np.concatenate([[0], ends])[found.first]
+        return self.ids[take], np.diff(sums)
+
+
+_tables: dict[str, _Ids] = CACHES.setdefault("tokenfiles", {})
+
+
+def _known_ids(path: str) -> _Ids:
     claim("tokenfiles")
     if path not in _tables:
-        tokenizer, pre, specials = vocabulary(path)
+        _tables[path] = _Ids(path)
+    return _tables[path]
 
-        def encode(new):
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)] if new else []
 
-        _tables[path] = PieceTable(pre, specials, encode, lambda i: np.array([i], "<u4").tobytes(), spaced=True, limit=1_000_000)
-    return _tables[path]
+def _with_end(ids: np.ndarray, n: np.ndarray, end: int) -> np.ndarray:
+    """Ids with ``end`` after each text's."""
+    out = np.full(len(ids) + len(n), end, np.uint32)
+    at = np.ones(len(out), bool)
+    at[np.cumsum(n + 1) - 1] = False
+    out[at] = ids
+    return out
 
 
 def _tokenized(docs: DataFrame, path: str, end: int, parts: int) -> DataFrame:
     """Rows in doc_id order: part, row, doc_id, n, before (ids earlier in the
-    part), ids (uint32 bytes, the end id included)."""
+    part), ids (uint32 bytes, the end id included); and one row per part with
+    ``counts`` of every id (int64 bytes) instead."""
 
     def run(batches):
         from pyspark import TaskContext
         part, row, before = TaskContext.get().partitionId(), 0, 0
-        pieces, stop = _piece_table(vocabulary_path(path)), np.array([end], "<u4").tobytes()
+        known, total = _known_ids(vocabulary_path(path)), np.zeros(1, np.int64)
+        names = ["part", "row", "doc_id", "n", "before", "ids", "counts"]
         for batch in batches:
             ids, text = columns(batch, "doc_id", "text")
-            texts, out = text.fill_null("").to_pylist(), []
+            texts = text.fill_null("").to_pylist()
             for a, b in char_batches(texts):
-                found = pieces.look_up([pieces.specials.hide(t) for t in texts[a:b]])
-                code, value = found.code.tolist(), found.values.__getitem__
-                out += [b"".join(map(value, code[lo:hi])) + stop
-                        for lo, hi in zip(found.first[:-1].tolist(), found.first[1:].tolist())]
-            n = np.array([len(x) // 4 for x in out], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), part), pa.int32()), pa.array(row + np.arange(len(n))), ids.cast(pa.int64()), pa.array(n),
-                 pa.array(before + np.cumsum(n) - n), pa.array(out, pa.binary())], ["part", "row", "doc_id", "n", "before", "ids"])
-            row, before = row + len(n), before + int(n.sum())
+                flat, n = known.of(texts[a:b])
+                flat, n = _with_end(flat, n, end), n + 1
+                got = np.bincount(flat, minlength=len(total))
+                got[:len(total)] += total
+                total = got
+                # a batch holds at most a char_batches slice, so 32-bit offsets do
+                offsets = np.concatenate([[0], np.cumsum(n) * 4]).astype(np.int32)
+                raw = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), part), pa.int32()), pa.array(row + np.arange(len(n))), ids.slice(a, b - a).cast(pa.int64()),
+                     pa.array(n), pa.array(before + np.cumsum(n) - n), raw, pa.nulls(len(n), pa.binary())], names)
+                row, before = row + len(n), before + int(n.sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([-1], pa.int64()), pa.nulls(1, pa.int64()), pa.array([before], pa.int64()),
+             pa.array([0], pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())], names)
 
     return docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
-        run, "part int, row long, doc_id long, n long, before long, ids binary")
+        run, "part int, row long, doc_id long, n long, before long, ids binary, counts binary")
 
 
 def _frequencies(tokens: DataFrame) -> np.ndarray:
-    """Corpus count of every id (one array of vocabulary size per task)."""
+    """Corpus count of every id, from the parts' counts (summed in tasks; one
+    array of vocabulary size comes to the driver)."""
 
     def run(batches):
         total = np.zeros(1, np.int64)
         for batch in batches:
             for x in batch.column(0).to_pylist():
-                got = np.bincount(np.frombuffer(x, "<u4"))
-                if len(got) > len(total):
-                    got[:len(total)] += total
-                    total = got
-                else:
-                    total[:len(got)] += got
+                got = np.frombuffer(x, np.int64).copy()
+                small, total = sorted((got, total), key=len)
+                total[:len(small)] += small
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = tokens.where("counts is not null").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n")).toArrow()
     ids, n = rows["id"].to_numpy(), rows["n"].to_numpy()
     out = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
     out[ids] = n
@@ -177,7 +246,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY, end: int
     rank[order] = np.arange(len(order))
     ranks = spark.createDataFrame([(k, int(i)) for k, i in enumerate(order)], "rank int, id int")
     ranks.coalesce(1).write.parquet(f"{folder}/ranks")
-    totals = {r["part"]: r["n"] for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    totals = {r["part"]: r["n"] for r in tokens.where("row = -1").select("part", "n").collect()}
     offset, at = {}, 0
     for part in sorted(totals):
         offset[part] = at
@@ -205,7 +274,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY, end: int
         if open_:
             yield close()
 
-    tokens.select("part", "row", "doc_id", "n", "before", "ids").mapInArrow(run, "part int, row long, image binary") \
+    tokens.where("row >= 0").select("part", "row", "doc_id", "n", "before", "ids").mapInArrow(run, "part int, row long, image binary") \
         .write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
