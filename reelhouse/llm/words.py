@@ -5,6 +5,9 @@ batches.  A *word* is a maximal run of bytes that a 256-entry table marks as
 word bytes; separators are ASCII, so byte runs and character runs agree.
 
 Hashes are polynomial prefix hashes modulo 2**64, finished by a 64-bit mixer.
+Such a polynomial cannot tell some long words apart, whatever its base (a
+Thue-Morse word of 1,024 letters and its complement), so a word of more than
+``SHORT`` bytes is hashed by keyed BLAKE2b instead.
 Work goes in slices of about ``SLICE`` bytes cut at separators, so the
 temporary arrays stay small however long one text is (a single word longer
 than a slice is the only thing that makes a slice longer).
@@ -12,12 +15,14 @@ than a slice is the only thing that makes a slice longer).
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 20
+SHORT = 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,7 +104,16 @@ def _hash(data, starts, ends, fold, salt):
         np.cumsum(table[fold][data] * up[:n], out=sums[1:])
         h = (sums[ends] - sums[starts]) * down[starts]
         h += (ends - starts).astype(np.uint64) * _GOLD
-    return mix64(h)
+    h = mix64(h)
+    key = salt.to_bytes(8, "little", signed=True)
+    for k in np.flatnonzero(ends - starts > SHORT).tolist():
+        h[k] = long_hash(fold[data[starts[k]:ends[k]]].tobytes(), key)
+    return h
+
+
+def long_hash(data: bytes, key: bytes) -> int:
+    """64 bits of keyed BLAKE2b."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8, key=key).digest(), "little")
 
 
 class Words:
