@@ -83,8 +83,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     per node, component the smallest node reached.
 
     Alternating large-star / small-star rounds.  Every round is a ``min`` per
-    node (partial aggregates) and an equi-join on the node, which AQE splits
-    when one node has very many edges; nothing is gathered per component.
+    node (partial aggregates) and an equi-join on the node; the minima are
+    written first, so the join shuffles both of its sides and AQE can split a node of
+    very many edges.  Nothing is gathered per component.
     Each round is written to the shared folder and read back.
     """
     edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
@@ -92,9 +93,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
+        large = keep(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(),
+                     "cc-large")
+        low = keep(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
                                             F.col("m").alias("b")).distinct()
         edges = keep(small, "cc")

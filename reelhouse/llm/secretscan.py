@@ -44,7 +44,10 @@ HEX = re.compile(r"[0-9a-f]+")
 IDENTIFIER = re.compile(
     r"""(?:user_?name|user_?id|login|account_?(?:id|name)|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", re.A | re.I)
 BARE = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
-ENDPOINT = re.compile(r"""[A-Za-z][A-Za-z0-9+.-]*://[^\s"'<>]+""", re.A)
+#: What follows an endpoint's ``://``.
+REST = re.compile(r"""[^\s"'<>]*""", re.A)
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_SCHEME = _LETTERS | frozenset("0123456789+.-")
 
 _HEX_BYTE = np.zeros(256, bool)
 _HEX_BYTE[[*range(48, 58), *range(97, 103)]] = True
@@ -99,11 +102,31 @@ def base_spans(text: str, maybe_hex: bool = True) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """Spans of ``scheme://...``, a scheme being a letter and letters, digits,
+    ``+``, ``.`` or ``-``.  The scheme is read backwards from ``://``, over characters
+    that no other scheme has, so a text is read once whatever stands in it."""
+    out, last, mark = [], 0, text.find("://")
+    while mark >= 0:
+        at, start, end = mark, -1, 0
+        while at > last and text[at - 1] in _SCHEME:
+            at -= 1
+            if text[at] in _LETTERS:
+                start = at
+        if start >= 0:
+            end = REST.match(text, mark + 3).end()
+            if end > mark + 3:
+                out.append((start, end))
+                last = end
+        mark = text.find("://", max(end, mark + 3))
+    return out
+
+
 def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH) -> list[tuple[int, int, int]]:
     """(start, kind, end) of weak parts with complementary parts in scope."""
     assigned = ":" in text or "=" in text
     ids = [m.span() for m in IDENTIFIER.finditer(text)] if assigned else []
-    ends = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
+    ends = endpoints(text) if "://" in text else []
     strong_ids = [(s, e) for s, k, e in base if k == 1]
     # a plain number is not a secret: long hex must be of key length and mixed
     strong = [(s, e) for s, k, e in base if k == 0 or k == 2 and e - s >= 32 and not text[s:e].isdigit()]

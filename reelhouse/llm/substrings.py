@@ -118,7 +118,9 @@ def _profile(docs: DataFrame, window: int, length: int) -> DataFrame:
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """Representatives, per document, that occur in two documents or more."""
-    shared = rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h")
+    # written, so the join shuffles both sides and a representative of very many documents is split
+    shared = keep(rows.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h"),
+                  "substrings-shared")
     return rows.join(shared, "h").groupBy("doc_id", "tag").agg(F.collect_list("h").alias("alive"))
 
 
@@ -153,7 +155,8 @@ def repeated_windows(candidates: DataFrame, window: int, done: list[int]) -> Dat
                          pa.array((tags[i] << 32) + at)], ["h1", "h2", "doc_id", "at"])
 
     rows = candidates.mapInArrow(run, "h1 long, h2 int, doc_id long, at long")
-    low = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi")
+    low = keep(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").drop("hi"),
+               "substrings-low")
     return rows.join(low, ["h1", "h2"]).where("lo < doc_id").select("doc_id", "at")
 
 
