@@ -38,23 +38,57 @@ def with_titles(recs: DataFrame, dim: DataFrame, key: str = "movieId",
     return recs.join(dim.select(key, *cols), key, "left")
 
 
-SALTS = 16
+#: Tasks that one hot key's rows go to, and the share that makes a key hot.
+SALTS, HOT_SHARE = 16, 500
+SALT = "_salt"
+
+
+def hot_keys(facts: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
+    """Keys that hold more than one row in ``share``: exact counts, reduced
+    before their shuffle.  There are fewer than ``share`` such keys whatever
+    the data, so the written result may be broadcast."""
+    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    return written(counts.where(F.col("_n") * share > total).select(key), "hot_keys")
+
+
+def with_salt(facts: DataFrame, key: str, spread: Sequence[str], hot: DataFrame, salts: int = SALTS, out: str = SALT) -> DataFrame:
+    """``facts`` with a salt: a hash of the ``spread`` columns for hot keys, 0 for all others."""
+    flag = F.broadcast(hot.select(F.col(key).alias("_hot")))  # fewer than HOT_SHARE rows
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(0).cast("int")
+    return facts.join(flag, F.col(key) == F.col("_hot"), "left").withColumn(out, salt).drop("_hot")
+
+
+def with_salts(dim: DataFrame, key: str, hot: DataFrame, salts: int = SALTS, out: str = SALT) -> DataFrame:
+    """``dim`` with one row per salt of its key: ``salts`` for hot keys, one for all others."""
+    flag = F.broadcast(hot.select(F.col(key).alias("_hot")))
+    each = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dim.join(flag, F.col(key) == F.col("_hot"), "left").withColumn(out, F.explode(each)).drop("_hot")
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: Sequence[str], how: str = "inner",
-                salts: int = SALTS) -> DataFrame:
-    """Join in which one key's fact rows go to up to ``salts`` tasks.
-
-    The salt is a hash of the ``spread`` columns; each dimension row is
-    replicated once per salt.  For dimensions that come straight from an
-    aggregate or another join: their rows already sit on the key's hash
-    partitions, so adaptive execution has no shuffle to split there and a hot
-    key would be one task."""
+                salts: int = SALTS, hot: DataFrame | None = None) -> DataFrame:
+    """Join in which a hot key's fact rows go to up to ``salts`` tasks.
+
+    For dimensions that come straight from an aggregate or another join: their
+    rows already sit on the key's hash partitions, so adaptive execution has no
+    shuffle to split there and a hot key would be one task.  Hot keys are found
+    by a first pass over the key column (``hot``, if they are known); only
+    their dimension rows are replicated, so the dimension grows by at most
+    ``HOT_SHARE`` times ``salts`` rows.  Facts that carry a stored salt
+    (:func:`reelhouse.sources.tables.write_bucketed`) are joined by it, without a shuffle of their own."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    many = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
+    stored = SALT in facts.columns
+    if hot is None:
+        if stored:
+            hot = written(facts.where(F.col(SALT) > 0).select(key).distinct(), "hot_keys")
+        else:
+            facts = written(facts, "facts")  # read twice: for the counts, then for the join
+            hot = hot_keys(facts, key)
+    salted = facts if stored else with_salt(facts, key, spread, hot, salts)
+    out = salted.join(with_salts(dim, key, hot, salts), [key, SALT], how)
+    return out.select(*facts.columns, *(c for c in dim.columns if c != key)) if stored else out.drop(SALT)
 
 
 def enrich_recs(recs: DataFrame, dim: DataFrame, key: str = "movieId",

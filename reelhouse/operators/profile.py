@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import salted_join
+from reelhouse.operators.aggregates import INTEGERS, distinct_of, two_level
+from reelhouse.operators.joins import SALT, hot_keys, salted_join
 from reelhouse.operators.ranking import top_k
 from reelhouse.functions.strings import split_list
+from reelhouse.session import written
 
 
 def _long(df: DataFrame, per_col: dict, value_cols: Sequence[str]) -> DataFrame:
@@ -35,10 +37,22 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _long(df, per, ["missing"])
 
 
+def _unique(df: DataFrame) -> tuple[DataFrame, dict]:
+    """The table, written if it is read again, and the exact distinct count per
+    column: scalars from bitmaps for integer columns (see :func:`distinct_of`), the
+    others in the one aggregate."""
+    types = dict(df.dtypes)
+    whole = [c for c, t in df.dtypes if t in INTEGERS]
+    if whole:
+        df = written(df, "profile")
+    scalars = distinct_of(df, whole)
+    return df, {c: scalars.get(c, F.count_distinct(_comparable(c, types[c]))) for c in df.columns}
+
+
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Exact distinct non-NULL values per column: (column_name, unique_values)."""
-    types = dict(df.dtypes)
-    per = {c: F.struct(F.count_distinct(_comparable(c, types[c])).alias("unique_values")) for c in df.columns}
+    df, unique = _unique(df)
+    per = {c: F.struct(u.alias("unique_values")) for c, u in unique.items()}
     return _long(df, per, ["unique_values"])
 
 
@@ -46,10 +60,10 @@ def profile(df: DataFrame) -> DataFrame:
     """Type, missing count, distinct count and a sample (the minimum, so the
     result does not depend on row order) per column."""
     types = dict(df.dtypes)
-
+    df, unique = _unique(df)
     per = {c: F.struct(F.lit(types[c]).alias("dtype"),
                        F.count_if(F.col(c).isNull()).alias("missing_values"),
-                       F.count_distinct(_comparable(c, types[c])).alias("unique_values"),
+                       unique[c].alias("unique_values"),
                        F.min(_comparable(c, types[c])).cast("string").alias("sample_value"))
            for c in df.columns}
     return _long(df, per, ["dtype", "missing_values", "unique_values", "sample_value"])
@@ -114,12 +128,17 @@ def centre_ratings(ratings: DataFrame, key: str = "userId", rating: str = "ratin
                    out: str = "normalized_rating", spread: Sequence[str] | None = None) -> DataFrame:
     """Rating minus the key's mean rating.  Mean per key is a partial/final
     aggregate joined back on the key (no window buffering a whole group); the
-    join is salted by the other columns (or ``spread``), because an aggregate's
+    join is salted for hot keys by the other columns (or ``spread``), because an aggregate's
     side cannot be split when one key holds very many ratings."""
-    means = ratings.groupBy(key).agg(F.avg(rating).alias("_mean"))
+    if SALT not in ratings.columns:
+        ratings = written(ratings, "ratings")  # read for the means, the hot keys and the join
+        hot = hot_keys(ratings, key)
+    else:
+        hot = None
+    means = two_level(ratings, key, {"_mean": ("avg", rating)})
     spread = spread or [c for c in ratings.columns if c not in (key, rating)]
-    return salted_join(ratings, means, key, spread).withColumn(out, F.col(rating) - F.col("_mean")) \
-        .select(*ratings.columns, out)
+    return salted_join(ratings, means, key, spread, hot=hot).withColumn(out, F.col(rating) - F.col("_mean")) \
+        .select(*(c for c in ratings.columns if c != SALT), out)
 
 
 def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:

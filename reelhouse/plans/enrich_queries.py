@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from reelhouse.operators import enrich
+from reelhouse.operators import enrich, payloads
 from reelhouse.plans import standins as S
-from reelhouse.plans.queries import L, query, with_ctes
-from reelhouse.session import scratch_path
+from reelhouse.plans.queries import ORACLES, L, query, with_ctes
+from reelhouse.session import scratch_path, written
 
 _OK_PARTS = "FROM part WHERE p_type <> 'PROMO' AND p_size > 6"
 
@@ -113,3 +113,41 @@ def q_details_csv_export(spark, sf_dir):
     back = files.read_csv(spark, path, "tmdbId int, title string, genres string, overview string",
                           multiline=True)
     return back.withColumn("genres", F.array_join(parse_list_text("genres"), ","))
+
+
+# ------------------------------------------------- payloads parsed once --
+def _landed(spark, sf_dir, kind):
+    """The payloads of one kind, parsed once when they land."""
+    made = {"details": S.landed_details, "credits": S.landed_credits, "alt": S.landed_alt}[kind]
+    return written(payloads.land(made(spark, sf_dir), kind), f"landed_{kind}")
+
+
+@query("landed_details", ORACLES["details_flat"])
+def q_landed_details(spark, sf_dir):
+    """Details by path from the stored variants."""
+    return payloads.details(_landed(spark, sf_dir, "details")).withColumn("genres", F.array_join("genres", ","))
+
+
+@query("landed_credits", ORACLES["credits_flat"])
+def q_landed_credits(spark, sf_dir):
+    return payloads.credits(_landed(spark, sf_dir, "credits")).withColumn("top_cast", F.array_join("top_cast", "|"))
+
+
+@query("landed_alt", ORACLES["alt_flat"])
+def q_landed_alt(spark, sf_dir):
+    a = payloads.alternate(_landed(spark, sf_dir, "alt"))
+    return a.select("external_id", "title", "director", F.array_join("actors", "|").alias("actors"),
+                    F.array_join("top_actors", "|").alias("top_actors"), "poster")
+
+
+@query("landed_gaps", ORACLES["missing_payloads"])
+def q_landed_gaps(spark, sf_dir):
+    """Ids without a usable payload, from the stored statuses."""
+    ids = S.links(spark, sf_dir).filter(F.col("tmdbId").isNotNull())
+    return enrich.missing_payloads(ids, "tmdbId", _landed(spark, sf_dir, "details"))
+
+
+@query("landed_movie_dim", ORACLES["movie_dim"])
+def q_landed_movie_dim(spark, sf_dir):
+    d = enrich.movie_dim(S.links(spark, sf_dir), payloads.details(_landed(spark, sf_dir, "details")))
+    return d.select("movieId", "imdbId", "tmdbId", "title", F.array_join("genres", ",").alias("genres"), "runtime")

@@ -337,3 +337,58 @@ def q_merged_waves(spark, sf_dir):
     for k in range(3):
         tables.merge_wave(raw.where(wave == k), name, ["userId", "movieId"], ["timestamp", "rating"], buckets=16)
     return spark.table(name).drop("key_bucket")
+
+
+# ------------------------------------------------------ bucketed layers --
+BUCKETS = 16
+
+
+def _bucketed(spark, sf_dir, key, spread):
+    name = f"{_scratch_db(spark)}.gold_fact_by_{key.lower()}"
+    tables.write_bucketed(S.ratings(spark, sf_dir).select("userId", "movieId", "rating"), name, key, BUCKETS, [spread])
+    return spark.table(name)
+
+
+@query("bucketed_user_dim", with_ctes(R) + """
+SELECT userId, count(movieId) AS num_ratings, round(avg(rating), 6) AS avg_rating FROM ratings GROUP BY userId""")
+def q_bucketed_user_dim(spark, sf_dir):
+    """User dimension from a fact stored in buckets of userId."""
+    return user_dim(_bucketed(spark, sf_dir, "userId", "movieId")).withColumn("avg_rating", F.round("avg_rating", 6))
+
+
+@query("bucketed_item_stats", with_ctes(R) + """
+SELECT movieId, round(avg(rating), 6) AS avg_rating, count(rating) AS num_ratings FROM ratings GROUP BY movieId""")
+def q_bucketed_item_stats(spark, sf_dir):
+    from reelhouse.operators.aggregates import item_stats
+    return item_stats(_bucketed(spark, sf_dir, "movieId", "userId")).withColumn("avg_rating", F.round("avg_rating", 6))
+
+
+@query("bucketed_centred", with_ctes(R) + """
+SELECT userId, movieId, rating, round(rating - avg(rating) OVER (PARTITION BY userId), 6) AS normalized_rating FROM ratings""")
+def q_bucketed_centred(spark, sf_dir):
+    from reelhouse.operators.profile import centre_ratings
+    c = centre_ratings(_bucketed(spark, sf_dir, "userId", "movieId"))
+    return c.withColumn("normalized_rating", F.round("normalized_rating", 6))
+
+
+@query("bucketed_enriched", with_ctes(R, M, L) + """
+SELECT r.userId, r.movieId, r.rating, m.title, k.tmdbId FROM ratings r JOIN movies m ON r.movieId = m.movieId
+JOIN links k ON r.movieId = k.movieId WHERE k.tmdbId IS NOT NULL""")
+def q_bucketed_enriched(spark, sf_dir):
+    """Facts in buckets of movieId joined to the enriched dimension: the facts stay where they lie."""
+    from reelhouse.operators.joins import enrich_recs
+    dim = S.movies(spark, sf_dir).select("movieId", "title").join(
+        S.links(spark, sf_dir).where("tmdbId is not null").select("movieId", "tmdbId"), "movieId")
+    return enrich_recs(_bucketed(spark, sf_dir, "movieId", "userId"), dim, spread=["userId"]).drop("_salt")
+
+
+@query("footer_counts", with_ctes(R, M) + """
+SELECT 'bronze_movies' AS table_name, (SELECT count(*) FROM movies) AS row_count
+UNION ALL SELECT 'bronze_ratings', (SELECT count(*) FROM ratings_raw)""")
+def q_footer_counts(spark, sf_dir):
+    """Row counts of a plain and a partitioned layer table from the file footers."""
+    db = _scratch_db(spark)
+    tables.write_layer(S.movies(spark, sf_dir), f"{db}.bronze_movies")
+    raw = S.ratings_raw(spark, sf_dir).select("userId", "movieId", (F.col("movieId") % 5).alias("part"))
+    tables.write_layer(raw, f"{db}.bronze_ratings", partition_by=["part"])
+    return catalog.table_counts(spark, "bronze_", db)

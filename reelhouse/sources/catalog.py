@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.session import setting
+
 
 def layer_tables(spark: SparkSession, prefix: str = "", database: str | None = None,
                  managed: bool = False) -> DataFrame:
@@ -50,6 +52,22 @@ def table_locations(spark: SparkSession, prefix: str, database: str | None = Non
     return spark.createDataFrame(rows, "table_name string, location string")
 
 
+def row_count(spark: SparkSession, name: str) -> DataFrame:
+    """One row, ``row_count``, of a table.  A Parquet table is opened by the
+    DataSource V2 reader, which answers count(*) from the file footers
+    (``PushedAggregation`` in the plan): no column is read and no row built.
+    Other formats are counted by a scan."""
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(
+        "col_name in ('Provider', 'Location', 'Type', 'Partition Provider')").collect()}
+    table = spark.table(name)
+    if info.get("Provider") != "parquet" or info.get("Type") == "VIEW" or info.get("Partition Provider") == "Catalog":
+        return table.agg(F.count(F.lit(1)).alias("row_count"))
+    with setting(spark, "spark.sql.sources.useV1SourceList", ""):
+        files = spark.read.schema(table.schema).parquet(info["Location"])
+    # a folder without files has no footers: its count comes as NULL
+    return files.agg(F.count("*").alias("row_count")).select(F.coalesce(F.nullif("row_count", F.lit(-1)), F.lit(0)).alias("row_count"))
+
+
 def table_counts(spark: SparkSession, prefix: str, database: str | None = None) -> DataFrame:
     """Row count per table: one job over the union of per-table counts."""
     return table_report(spark, prefix, database).select("table_name", "row_count")
@@ -62,7 +80,7 @@ def table_report(spark: SparkSession, prefix: str, database: str | None = None,
     for n in _names(spark, prefix, database, managed):
         df = spark.table(_qual(database, n))
         cols = F.array(*[F.lit(c) for c in df.columns])
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(row_count(spark, _qual(database, n))
                      .select(F.lit(n).alias("table_name"), "row_count", cols.alias("columns")))
     if not parts:
         return spark.createDataFrame([], "table_name string, row_count bigint, columns array<string>")

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -17,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators.clean import dedup_latest
-from reelhouse.session import written
+from reelhouse.operators.joins import SALT, hot_keys, with_salt
+from reelhouse.session import setting, written
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
@@ -26,17 +26,6 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     return name
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    """A session setting for the statements inside."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def write_layer(df: DataFrame, name: str, fmt: str = "parquet",
                 partition_by: Sequence[str] | None = None, recreate: bool = False,
                 evolve: bool = False, repartition_by_partition: bool = True,
@@ -82,10 +71,23 @@ def write_layer(df: DataFrame, name: str, fmt: str = "parquet",
         w = w.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     # Partitions are found in the table's folder, not kept by the catalog, so
     # one change of the table's location changes all of them.
-    with _setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
+    with setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
         w.saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, spread: Sequence[str], fmt: str = "parquet") -> None:
+    """Store a fact in ``buckets`` buckets of ``key``, so what groups or joins
+    by the key reads it without a shuffle of the fact.
+
+    Rows of hot keys (:func:`reelhouse.operators.joins.hot_keys`) carry a salt, a hash of the
+    ``spread`` columns, and are dealt over several buckets; all other rows have
+    salt 0.  Operators that know the salt column (``user_dim``, ``item_stats``,
+    ``centre_ratings``, ``enrich_recs``) use (key, salt)."""
+    df = written(df, "bucketed")
+    salted = with_salt(df, key, spread, hot_keys(df, key))
+    write_layer(salted, name, fmt=fmt, bucket_by=(buckets, [key, SALT]))
+
+
 def bucket_number_name(taken: Sequence[str]) -> str:
     name = "_bucket"
     while name in taken:
@@ -201,7 +203,7 @@ def _replace(spark: SparkSession, name: str, stage: str) -> None:
 
 def _put_partitions(spark: SparkSession, name: str, stage: str) -> None:
     """Overwrite just the partitions that the stage holds."""
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         spark.table(stage).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
     spark.catalog.refreshTable(name)
 
