@@ -11,10 +11,9 @@ Weights come from labelled pages: pages that mark their content with exactly one
 ``article`` (or else one ``main``) element label themselves.  Over a
 bounded sample (the ``sample`` such pages with the smallest hash of page_id)
 Spark counts how often each place and tag occurs inside and outside the marked content; a
-weight is the logarithm of the smoothed ratio.  Only the ``MOST_WEIGHTS`` (5,000)
-most frequent keys keep a weight of their own, so what the driver collects and
-broadcasts is bounded; rarer places, like places never met, take the weight of
-their element, then a default, and rarer tags the default.  Inside marked content, tags and
+weight is the logarithm of the smoothed ratio.  The sample bounds what the
+driver collects and broadcasts; places never met take the weight of
+their element, then a default.  Inside marked content, tags and
 boilerplate cost little: they must not part an article from its last lines.
 
 Blocks are closed by block-level tags; white space in a block becomes one space;
@@ -32,7 +31,18 @@ and box words only: ``with-sidebar`` is not one), and hidden elements (``hidden`
 ``aria-hidden="true"``, ``display:none``, class ``hidden``).  Their mark passes to
 all they contain, but ends at a ``main`` and at an outermost ``article`` unless
 that stands in a nav, aside, footer, menu or dialog, or is itself named as
-furniture, or in comments or related items after another article.
+furniture, or in comments or related items after another article.  An article
+named as furniture is furniture where the page has one that is not.  Inside an article or main an
+id alone is no sign on an element that begins with a heading (ids are made from
+headings), unless a form or a named comment follows within ``SIGNS`` characters.
+
+Furniture names are a prior that the labelled pages can overturn: where the
+elements of a name hold most of the marked words on more of these pages than
+not, the name is no furniture in this corpus.
+
+Tags are read by HTML's rules: a quote opens a value after ``=`` only.  A tag that
+never ends that way is closed by the first ``>``, and so are all after it, so a
+page is read once however it is broken.
 
 Defined cases: null or empty html gives an empty text; a page without a
 positive region gives an empty text; unclosed and misnested tags are closed by the next
@@ -45,6 +55,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,13 +63,20 @@ from pyspark.sql import functions as F
 
 from reelhouse.llm.common import columns, tuned
 
-SAMPLE, MOST_WEIGHTS = 2000, 5000
+SAMPLE, SIGNS = 2000, 3000
 BLOCK_SEPARATOR = "\n\n"  # of the registered query
 WORD_DEFAULT, TAG_DEFAULT, TAG_MOST, CLIP = 1.0, -0.5, -0.05, 3.0
 BOILER_MOST, BOILER_LEAST, INSIDE_TAG_LEAST = -0.05, -1.0, -0.3
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag: white space, slashes and attributes, a value in quotes after "=" only.
+REST = re.compile(r"""((?:\s+|/|=?[^\s/>=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]+)?)?|=)*+)>""")
+PLAIN_REST = re.compile(r"([^>]*)>")
+SIGN = re.compile(r"""<(?:form|textarea|input)\b|class\s*=\s*["']?[^"'>]*\b(?:comment|reply|respond|disqus)""", re.I)
+FIRST_TAG = re.compile(r"\s*<(h[1-6])\b", re.I)
+ARTICLE = re.compile(r"<article(?=[\s/>])([^>]*)>", re.I)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
@@ -93,55 +111,81 @@ class _Open:
         self.name, self.place, self.boiler, self.content = name, place, boiler, content
 
 
-def _names_of(attributes: str) -> tuple[list[str], bool]:
-    """Lower-case class, id and role names, and whether the element is hidden."""
-    out, hidden = [], False
+def _names_of(attributes: str) -> tuple[list[str], list[str], bool]:
+    """Lower-case class and role names, id names, and whether the element is hidden."""
+    out, ids, hidden = [], [], False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "role"):
-            out += value.lower().split()
+            (ids if key == "id" else out).extend(value.lower().split())
             hidden |= key == "class" and "hidden" in value.lower().split()
         elif key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true" or key == "style" and NO_DISPLAY.search(value):
             hidden = True
-    return out, hidden
+    return out, ids, hidden
 
 
-def _furniture(names: list[str], inside: bool) -> str:
+def _furniture(names: list[str], inside: bool, content_words=frozenset()) -> str:
     """The first furniture word of the names that are furniture, or ''."""
     found = set()
     for name in names:
         parts = [p for p in re.split(r"[^a-z0-9]+", name) if p]
-        own = [p for p in parts if p in BOILER_WORDS or p == "header" and not inside]
+        own = [p for p in parts if (p in BOILER_WORDS or p == "header" and not inside) and p not in content_words]
         if own and all(p in own or p in BOX_WORDS or p.isdigit() for p in parts):
             found.update(own)
     return min(found, default="")
 
 
-def items(page: str):
+class _Tags:
+    """Tags of a page by position; reads every character once."""
+
+    def __init__(self, page: str):
+        self.page, self.plain = page, False
+        self.last = page.rfind(">")
+
+    def at(self, lt: int):
+        """(end, closing, name, attributes) of the tag or comment at a "<"
+        (name '' for a comment), or None where the "<" is text."""
+        m = COMMENT.match(self.page, lt)
+        if m:
+            return m.end(), False, "", ""
+        m = NAME.match(self.page, lt) if lt < self.last else None
+        if not m:
+            return None
+        rest = None if self.plain else REST.match(self.page, m.end())
+        if rest is None:
+            rest, self.plain = PLAIN_REST.match(self.page, m.end()), True
+        return (rest.end(), bool(m[1]), m[2].lower(), rest[1]) if rest else None
+
+
+def items(page: str, content_words=frozenset()):
     """Yield ("text", place, boiler, content depth, raw text), ("tag", name,
-    content depth) and ("block",) in page order."""
-    stack = [_Open("", "", "", 0)]
-    at, n, articles, unclosed = 0, len(page), 0, set()
+    content depth) and ("block",) in page order.  ``content_words`` are
+    furniture words that are none in this corpus."""
+    stack, open_ = [_Open("", "", "", 0)], Counter({"": 1})
+    at, n, articles, unclosed, tags = 0, len(page), 0, set(), _Tags(page)
+    named = [_furniture(sum(_names_of(m[1])[:2], []), True, content_words) for m in ARTICLE.finditer(page)] if "<article" in page.lower() else []
+    plain_article = "" in named
+
+    def pop():
+        open_[stack.pop().name] -= 1
+
     while at < n:
         lt = page.find("<", at)
-        if lt < 0:
-            lt = n
-        m = TOKEN.match(page, lt) if lt < n else None
-        while m is None and lt < n:  # a lone "<" is text
-            lt = page.find("<", lt + 1)
-            if lt < 0:
-                lt = n
-            m = TOKEN.match(page, lt) if lt < n else None
+        tag = None
+        while lt >= 0:
+            tag = tags.at(lt)
+            if tag is not None:
+                break
+            lt = page.find("<", lt + 1)  # a lone "<" is text
+        lt = n if lt < 0 else lt
         if lt > at:
             top = stack[-1]
             yield "text", top.place, top.boiler, top.content, page[at:lt]
-        if m is None:
+        if tag is None:
             break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        at, closing, name, attributes = tag
         if not name:
             continue
-        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         top = stack[-1]
         if not closing and (name in RAW or name in SKIP_IF_CLOSED):
             if not attributes.endswith("/") and name not in unclosed:
@@ -167,40 +211,43 @@ def items(page: str):
             yield "text", top.place, top.boiler, top.content, " "
             continue
         if closing:
-            if any(o.name == name for o in stack):
+            if open_[name] > 0:
                 while stack[-1].name != name:
-                    stack.pop()
-                stack.pop()
-                if not stack:
-                    stack = [_Open("", "", "", 0)]
+                    pop()
+                pop()
             if name in BLOCK:
                 yield ("block",)
             continue
         if name in CLOSES_P:
             yield ("block",)
             if stack[-1].name == "p" or stack[-1].name in HEADINGS and name in HEADINGS:
-                stack.pop()
+                pop()
             elif name == "li" and stack[-1].name == "li" or name in ("dt", "dd") and stack[-1].name in ("dt", "dd") \
                     or name == "tr" and stack[-1].name == "tr":
-                stack.pop()
+                pop()
         top = stack[-1]
-        names, hidden = _names_of(attributes) if attributes else ([], False)
-        words = sorted({w for x in names for w in re.split(r"[^a-z0-9]+", x) if w})
-        inside = any(o.name in ("article", "main") for o in stack)
+        names, ids, hidden = _names_of(attributes) if attributes else ([], [], False)
+        words = sorted({w for x in names + ids for w in re.split(r"[^a-z0-9]+", x) if w})
+        inside = open_["article"] > 0 or open_["main"] > 0
+        found = _furniture(names, inside, content_words)
+        if not found and ids and not (inside and FIRST_TAG.match(page, at) and not SIGN.search(page, at, at + SIGNS)):
+            found = _furniture(ids, inside, content_words)
         boiler = top.boiler
         if boiler and name in ("main", "article") and (name == "main" or boiler not in FIXED_BOILER and not top.content & 0xFFFF
-                                                       and not _furniture(names, True) and not (articles and boiler in FOLLOWERS)):
+                                                       and not found and not (articles and boiler in FOLLOWERS)):
             boiler = ""
         elif not boiler:
             if name in BOILER or name == "header" and not inside:
                 boiler = name
-            elif name not in ("body", "html", "article", "main"):
-                found = _furniture(names, inside)
+            elif name == "article":
+                boiler = "." + found if found and plain_article else ""
+            elif name not in ("body", "html", "main"):
                 boiler = "." + found if found else "hidden" if hidden else ""
         articles += name == "article" and not boiler
-        content = top.content + (1 if name == "article" else 1 << 16 if name == "main" else 0)
+        content = top.content + (1 if name == "article" and not boiler else 1 << 16 if name == "main" else 0)
         place = name + "".join(f".{w}" for w in words if not w.isdigit())
         stack.append(_Open(name, place, boiler, content))
+        open_[name] += 1
 
 
 def place_key(place: str, boiler: str) -> str:
@@ -219,13 +266,20 @@ def tallies(page: str):
     else:
         return {}
     out: dict[str, list[int]] = {}
+    whole, under = 0, {}
     for x in found:
         if x[0] == "text":
             n = len(entities.unescape(x[4]).split())
             if n:
                 out.setdefault("w " + place_key(x[1], x[2]), [0, 0])[0 if marked(x[3]) and not x[2] else 1] += n
+                if marked(x[3]):
+                    whole += n
+                    if x[2].startswith("."):
+                        under[x[2]] = under.get(x[2], 0) + n
         elif x[0] == "tag":
             out.setdefault("t " + x[1], [0, 0])[0 if marked(x[2]) else 1] += 1
+    for word, n in under.items():  # a vote: does the name hold most of the marked words?
+        out["b " + word[1:]] = [1, 0] if 2 * n > whole else [0, 1]
     return out
 
 
@@ -246,7 +300,6 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
 
     counts = marked.mapInArrow(run, "key string, inside long, outside long").groupBy("key").agg(
         F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    counts = counts.orderBy((F.col("inside") + F.col("outside")).desc(), "key").limit(MOST_WEIGHTS)
     weights = {}
     for key, inside, outside in counts.collect():
         weights[key] = max(-CLIP, min(CLIP, math.log((inside + 1) / (outside + 1))))
@@ -267,10 +320,15 @@ def word_weight(weights: dict[str, float], place: str, boiler: str, content: int
     return max(BOILER_LEAST, min(own, BOILER_MOST)) if boiler else own
 
 
+def content_words(weights: dict[str, float]) -> frozenset[str]:
+    """Furniture words that the labelled pages overturn."""
+    return frozenset(key[2:] for key, w in weights.items() if key.startswith("b ") and w > 0)
+
+
 def main_text(page: str, weights: dict[str, float], separator: str = "\n") -> str:
     """Text of the best region of one page, its blocks joined by ``separator``."""
     scored, block = [], 0  # (score, block, text or None)
-    for x in items(page):
+    for x in items(page, content_words(weights)):
         if x[0] == "block":
             block += 1
         elif x[0] == "tag":
@@ -302,7 +360,7 @@ def main_text(page: str, weights: dict[str, float], separator: str = "\n") -> st
 def main_texts(pages: DataFrame, weights: dict[str, float] | None = None, sample: int = SAMPLE, separator: str = "\n") -> DataFrame:
     """One row per page row: page_id, url, text, n_chars."""
     spark = tuned(pages.sparkSession)
-    shared = spark.sparkContext.broadcast(learn(pages, sample) if weights is None else weights)  # at most MOST_WEIGHTS numbers
+    shared = spark.sparkContext.broadcast(learn(pages, sample) if weights is None else weights)  # the places of the sample's pages
 
     def run(batches):
         weights = shared.value

@@ -55,10 +55,87 @@ def variants(seed, n=40, size=60):
 
 @pytest.mark.parametrize("block", [1024, 7])
 def test_near_duplicates_equal_brute_force(spark, edge_docs, edge_rows, block):
-    assert by_id(neardup.near_duplicates(edge_docs, 4, block_docs=block)) == order(brute_components(edge_rows, 4))
+    assert by_id(neardup.near_duplicates(edge_docs, 4, block_docs=block, hot_band=block)) == order(brute_components(edge_rows, 4))
     rows = variants(1) + variants(2, size=25)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert by_id(neardup.near_duplicates(docs, 4, block_docs=block)) == order(brute_components(rows, 4))
+    assert by_id(neardup.near_duplicates(docs, 4, block_docs=block, hot_band=block)) == order(brute_components(rows, 4))
+
+
+def templated(n, share, copies, seed=9):
+    """``n`` texts, half of them around one template of ``share`` of their words; then ``copies`` near copies of some."""
+    rng = random.Random(seed)
+    template, rows = words(seed, int(200 * share)).split(), []
+    for i in range(n):
+        own = [f"{rng.randrange(10 ** 9)}" for _ in range(200 - (len(template) if i % 2 else 0))]
+        rows.append((i, " ".join([*template, *own] if i % 2 else own)))
+    for k in range(copies):
+        w = rows[rng.randrange(n)][1].split()
+        w[rng.randrange(len(w))] = "edited"
+        rows.append((n + k, " ".join(w)))
+    return rows
+
+
+def test_a_shared_template_makes_no_candidates(spark):
+    """Half of all rows share a template (similarity about 0.2): what is sent to
+    be confirmed follows the true links as the corpus doubles, and no link is lost."""
+    sent = []
+    for n in (600, 1200):
+        rows = templated(n, 0.33, n // 20)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        reps = neardup.distinct_sets(neardup.keep(neardup.signatures(docs, 4), "t-sig"))
+        for hot in (1024, 16):
+            grouped = neardup.candidate_groups(reps, hot_band=hot)
+            sent.append(grouped.count())
+            assert sent[-1] <= 2.5 * (n // 20), (n, hot, sent)
+            largest = grouped.groupBy("component").count().agg({"count": "max"}).first()[0]
+            assert largest <= 8
+        if n == 600:
+            assert by_id(neardup.near_duplicates(docs, 4, hot_band=16)) == order(brute_components(rows, 4))
+
+
+@pytest.mark.parametrize("n,size", [(250, 90), (500, 300)])
+def test_recall_of_pairs_just_above_the_threshold(spark, n, size):
+    """Pairs at 0.80 to 0.85, against their exact similarity."""
+    rng, rows, due = random.Random(n), [], set()
+    for k in range(n):
+        w = [f"w{rng.randrange(10 ** 9)}" for _ in range(size + 3)]
+        other, k2 = list(w), 0
+        while True:  # edit words until the pair is near the threshold
+            at = rng.randrange(size)
+            other[at] = f"e{rng.randrange(10 ** 9)}"
+            a, b = ({tuple(x[i:i + 4]) for i in range(size)} for x in (w, other))
+            j = len(a & b) / len(a | b)
+            k2 += 1
+            if j < 0.85:
+                break
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other))]
+        if j >= 0.8:
+            due.add(2 * k)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4)
+    linked = {r.component_id for r in got.where("component_id <> doc_id").collect()}
+    assert linked <= due and len(due) > n / 4
+    assert len(linked) >= 0.99 * len(due), (len(linked), len(due))
+
+
+def test_spanning_pairs_connect_what_all_likely_pairs_connect():
+    rng = np.random.default_rng(5)
+    base = [rng.integers(0, 2 ** 63, 100, dtype=np.uint64) for _ in range(6)]
+    sets = [np.unique(np.concatenate([base[k % 6][:97], rng.integers(0, 2 ** 63, 3, dtype=np.uint64)])) for k in range(60)]
+    sigs = np.stack([neardup.packed(neardup.minima(s)) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    for few in (1, 8, 100):
+        for keys, across in ((np.zeros(60, np.int64), -np.ones(60, np.int64)), (np.arange(60) // 7, -np.ones(60, np.int64)),
+                             (np.zeros(60, np.int64), (np.arange(60) >= 30).astype(np.int64))):
+            i, j = neardup.spanning_pairs(keys, across, sigs, sizes, 80, neardup.FLOOR, few)
+            label = np.arange(60)
+            want = np.arange(60)
+            for a, b in zip(i, j):
+                assert keys[a] == keys[b] and (across[a] < 0 or across[a] != across[b])
+                label[label == label[b]] = label[a]
+            for a, b in itertools.combinations(range(60), 2):
+                if keys[a] == keys[b] and a % 6 == b % 6 and (across[a] < 0 or across[a] != across[b]):
+                    want[want == want[b]] = want[a]
+            assert all((label[a] == label[b]) == (want[a] == want[b]) for a, b in itertools.combinations(range(60), 2))
 
 
 def test_dropping_keeps_one_of_each_group_and_all_columns(edge_docs, edge_rows, no_docs):

@@ -107,6 +107,50 @@ def test_embedded_markup_drops_nothing_else(markup, words):
     assert htmltext.main_text(page, {}).split() == f"First words here. Before {words} after. Last line.".split()
 
 
+@pytest.mark.parametrize("markup", ['<p class="a"">{}</p>', '<p class="y"">{}</p>', "<p it's=1>{}</p>", '<p title="a > b">{}</p>', "<p a = 'x>y' b=c\"d>{}</p>",
+                                    '<p a="1"b=">"/>{}</p>', "<p data-x=''>{}</p>", '<p ">{}</p>'])
+def test_quotes_open_values_after_an_equals_sign_only(markup):
+    page = "<article><p>First words here.</p>" + markup.format("Hello world one two three") + markup.format("World again one two three") + "</article>"
+    assert htmltext.main_text(page, {}) == "First words here.\nHello world one two three\nWorld again one two three"
+
+
+REMARK = "<p>" + "I disagree with this and say so. " * 5 + "</p>"
+
+
+@pytest.mark.parametrize("page", [
+    "<article>{0}</article><article class='comment'>{1}</article>", "<article>{0}<article class='comment'>{1}</article></article>",
+    "<article class='comment'>{1}</article><article>{0}</article>", "<main><article>{0}</article><article id=comment-7>{1}</article></main>",
+    "<article>{0}<div id='comments'><h3>2 remarks</h3><div class='comment-body'>{1}</div></div></article>",
+    "<article>{0}<section id='respond'><h3>Answer</h3><form>{1}</form></section></article>", "<article>{0}<div id=comments>{1}</div></article>"])
+def test_reader_comments_go(page):
+    assert htmltext.main_text(page.format(STORY, REMARK), {}) == STORY_TEXT
+
+
+@pytest.mark.parametrize("name", ["search", "login", "share", "related", "alert", "login-section", "comments", "menu"])
+def test_ids_made_from_headings_are_no_furniture(name):
+    page = f'<article>{STORY}<section id="{name}"><h2>{name.title()}</h2><p>Binary search halves the range each time it looks.</p></section></article>'
+    assert htmltext.main_text(page, {}) == f"{STORY_TEXT}\n{name.title()}\nBinary search halves the range each time it looks."
+
+
+def test_labelled_pages_overturn_furniture_names(spark):
+    """On this site the story stands in a div of class banner; adverts in articles are still adverts."""
+    story = "<p>" + "story words of the day " * 10 + "</p>"
+    rows = [(k, "u", f"<nav>home about</nav><article><div class='banner'>{story}</div><div class='ad'><p>buy this now</p></div></article>") for k in range(30)]
+    rows.append((99, "u", f"<body><div class='banner'>{story}</div><div class='ad'><p>buy this now</p></div></body>"))
+    got = {r.page_id: r.text for r in htmltext.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(got.values()) == {" ".join(["story words of the day"] * 10)}
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 330_000, "<a b=\"" * 150_000, "<a b=\"1>\" " * 100_000, "<a b='x>" * 130_000, "<a<a" * 250_000, "<" * 1_000_000, "<div>" * 100_000 + "</p>" * 120_000,
+    "<div " + "x=\"1\" " * 150_000, "<svg>" * 200_000, "<!" * 500_000, "<p>" + "<b a='" * 160_000 + ">", "<li>" * 250_000, "<article id=comments>" * 40_000,
+    "<script" * 150_000, "&amp" * 250_000, "<section id=search>" * 50_000, "<template " * 100_000 + ">" * 10])
+def test_a_broken_page_of_a_megabyte_is_read_in_time(page):
+    start = time.time()
+    htmltext.main_text(page, {})
+    assert time.time() - start < 12, page[:20]
+
+
 def test_region_is_the_best_contiguous_one():
     rng = random.Random(3)
     weights = {"w p": 1.0, "w li": -1.0, "t p": -0.5, "t /p": -0.5, "t li": -0.5, "t /li": -0.5}
