@@ -204,6 +204,18 @@ class Transducer:
         self.edges[state << 9 | ord(symbol)] = edge
         return edge
 
+    def places(self, state: int):
+        """The state itself, which outlives its number."""
+        return self.states[state]
+
+    def run(self, places, symbols: str):
+        """(state reached from ``places``, sum of the annotations on the way)."""
+        state, total = self._name(places), 0
+        for symbol in symbols:
+            state, change, _ = self.edges.get(state << 9 | ord(symbol)) or self.step(state, symbol)
+            total += change
+        return self.states[state], total
+
     def count(self, word: str) -> int:
         """Tokens of one word given as a symbol string: the sum of the
         annotations along its path."""

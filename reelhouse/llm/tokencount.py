@@ -11,7 +11,13 @@ Two machines count without building tokens:
   its entry state, and a second run in lock step marks the beginnings.
 * A *counting* transducer over bytes (:class:`reelhouse.llm.bpe.Transducer`),
   compiled from the merge list: its transitions carry the change of the token
-  count.  Each distinct piece runs through it once and is then known by its key.
+  count.  A chunk's effect is a map from entry state to (exit state, count), composed
+  by the same kind of scan.  Where a piece begins, the machine is in its start
+  state whatever came before, so a piece's map is one pair, and the
+  composition over the pieces of a text is a sum; equal pieces have equal maps and are run once.
+  A piece of more than ``LONG`` symbols is dealt into chunks again: their maps are first
+  evaluated at a likely entry state (the one reached from ``WARM`` symbols
+  before), the scan composes them and asks a map for any other state it meets.
 
 Counts per text are differences of a prefix sum over the pieces.
 
@@ -34,6 +40,9 @@ VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 CHUNK = 64
+#: Symbols of a piece from which it is counted in chunks of this size, and
+#: symbols before a chunk that suggest its entry state.
+LONG, WARM = 4096, 256
 
 # States: at a border, in letters, numbers, others; in white space that ends in
 # a space or in another white character; after a lone apostrophe, after an
@@ -142,14 +151,65 @@ def cut_by_machine(points: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return start
 
 
+class CountMap:
+    """Effect of a stretch of symbols: entry state -> (exit state, token
+    count), evaluated where it is asked for."""
+
+    def __init__(self, run):
+        self.run, self.known = run, {}
+
+    def __call__(self, entry):
+        got = self.known.get(entry)
+        if got is None:
+            got = self.known[entry] = self.run(entry)
+        return got
+
+    def then(self, after: "CountMap") -> "CountMap":
+        def run(entry):
+            middle, first = self(entry)
+            last, second = after(middle)
+            return last, first + second
+        return CountMap(run)
+
+
+def scan_maps(maps: list[CountMap]) -> list[CountMap]:
+    """Inclusive prefix composition, by doubling."""
+    out, step = list(maps), 1
+    while step < len(out):
+        out[step:] = [before.then(own) for before, own in zip(out[:-step], out[step:])]
+        step *= 2
+    return out
+
+
+def count_in_chunks(machine: Transducer, symbols: str, chunk: int = LONG, warm: int = WARM) -> int:
+    """Token count of one word from the composed maps of its chunks."""
+    start, made = machine.places(0), {}
+
+    def part(at):
+        own = symbols[at:at + chunk]
+        if own not in made:  # equal chunks have one map
+            made[own] = CountMap(lambda entry: machine.run(entry, own))
+        return made[own]
+
+    maps = []
+    for at in range(0, len(symbols), chunk):
+        maps.append(part(at))
+        maps[-1](machine.run(start, symbols[max(0, at - warm):at])[0] if at else start)
+    return scan_maps(maps)[-1](start)[1]
+
+
 class TokenCounter:
     """Counts of whole texts for one byte-level vocabulary file."""
 
     def __init__(self, path: str):
         pre, specials = vocabulary(path)[1:]
         machine = Transducer(Merges(path))
-        self.pieces = PieceTable(pre, specials, lambda new: [machine.count(word_symbols(s.encode(), False)) for s in new],
-                                 lambda _: 1, spaced=True, cut=cut_by_machine, limit=600_000)
+
+        def counts(new):
+            words = [word_symbols(s.encode(), False) for s in new]
+            return [machine.count(w) if len(w) <= LONG else count_in_chunks(machine, w) for w in words]
+
+        self.pieces = PieceTable(pre, specials, counts, lambda _: 1, spaced=True, cut=cut_by_machine, limit=600_000)
 
     def count(self, texts: list[str]) -> np.ndarray:
         out = np.zeros(len(texts), np.int64)

@@ -50,6 +50,36 @@ def test_counts_and_codec_equal_the_library(library, counter, codec, text):
     assert codec.decode(got) == word.decode(got, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("chunk,warm", [(1, 0), (3, 2), (16, 40), (64, 8), (5000, 256)])
+def test_chunk_size_does_not_matter(library, chunk, warm):
+    machine, rng = bpe.Transducer(bpe.Merges(BYTE), limit=500), random.Random(chunk)
+    for n in (0, 1, 2, 70, 700):
+        word = "".join(rng.choice(["a", "b", "the", "ing", "é", "tion", "xx"]) for _ in range(n))
+        symbols = bpe.word_symbols(word.encode(), False)
+        assert tokencount.count_in_chunks(machine, symbols, chunk, warm) == len(library[0].encode(word, add_special_tokens=False).ids) \
+            == machine.count(symbols) if word else True
+
+
+def test_scan_of_maps_is_their_composition():
+    rng = random.Random(1)
+    tables = [{s: (rng.randrange(4), rng.randrange(9)) for s in range(4)} for _ in range(23)]
+    done = tokencount.scan_maps([tokencount.CountMap(t.__getitem__) for t in tables])
+    for start in range(4):
+        state, total = start, 0
+        for k, t in enumerate(tables):
+            state, n = t[state]
+            total += n
+            assert done[k](start) == (state, total)
+
+
+def test_a_word_of_megabytes(library, counter):
+    rng = random.Random(6)
+    word = "".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet", "étude", "strengths", "q"]) for _ in range(1_100_000))
+    assert len(word) > 4_500_000
+    for text in (word, "z" * 5_000_000):
+        assert counter.count([text])[0] == len(library[0].encode(text, add_special_tokens=False).ids)
+
+
 def test_edge_documents(spark, edge_docs, no_docs, edge_rows, library):
     byte, word = library
     want = [(i, len((t or "").encode()), len(ids(byte, t)), len(ids(byte, t)) > 1024) for i, t in edge_rows]
