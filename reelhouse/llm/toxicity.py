@@ -6,13 +6,13 @@ earlier categories.  For training, those probabilities are out-of-fold: models
 fitted on the other folds predict a fold's rows, so a later model learns from the kind of
 probability it will meet, not from fitted ones.
 
-The last category is the given label ``toxic``.  The earlier ones refine it:
-a labelled toxic row belongs to a category when it holds one of the category's
-seed words (weak labels; the table has no finer ones).
+The last category is the given label ``toxic``.  The earlier ones refine it and
+come from the labelled rows themselves: toxic rows are dealt into groups by the features that
+occur together in them (spherical k-means over the features more frequent in
+toxic rows, weighted by their log-odds).  A fold's models are trained on groups refined
+on the other folds' rows alone.
 
-The last of the refining categories takes the toxic rows without any seed.
-
-Features are whole words and word beginnings of 3 to 8 bytes (toxic roots of
+Features are whole words, of any length, and word beginnings of 3 to 8 bytes (toxic roots of
 inflecting languages show in beginnings), by presence in the whole text.
 Fitting uses a bounded sample: the ``sample`` labelled rows with the smallest
 hash of doc_id, whatever the size of the corpus.  Chosen are the ``features``
@@ -42,12 +42,9 @@ from reelhouse.llm.common import claim, columns, keep, tuned
 from reelhouse.llm.words import LOWER, buffers, byte_table, mix64, split_words
 
 SAMPLE, FEATURES, MIN_ROWS, FOLDS = 6000, 300, 5, 3
-RANKED = 5000
 PENALTY = 0.0003
-#: Seed words of the categories that refine the label, in chain order (fixed values).
-CATEGORIES = {"insult": ("idiot", "moron", "loser", "clown", "scum", "trash"),
-              "contempt": ("stupid", "pathetic", "worthless", "disgusting")}
-OTHER = "veiled"
+#: Categories that refine the label, in chain order.
+GROUPS = ("group1", "group2", "group3")
 #: Words of the features: runs of letters, lower-cased (bytes above 0x7F are letters).
 LETTERS = byte_table(b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122))
 LENGTHS = range(3, 9)
@@ -63,25 +60,27 @@ def _heads(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def _keys(heads: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _keys(words, heads: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Feature keys, and the words that have one: beginnings of ``length``
-    bytes, or for length 0 whole words of at most eight bytes."""
-    own = np.flatnonzero(size >= length if length else size <= 8)
-    cut = heads[own] & np.uint64((1 << 8 * (length or 8)) - 1)
+    bytes, or for length 0 the whole words (by their hash)."""
+    if not length:
+        return words.hashes[0], np.arange(len(size))
+    own = np.flatnonzero(size >= length)
+    cut = heads[own] & np.uint64((1 << 8 * length) - 1)
     with np.errstate(over="ignore"):
         return mix64(cut + np.uint64(length + 1) * np.uint64(0x9E3779B97F4A7C15)), own
 
 
-def word_feature(word: str) -> bytes:
-    """The feature that stands for a word."""
-    raw = word.encode()
-    return b"=" + raw if len(raw) <= 8 else b"^" + raw[:8]
+def _words(data, offsets):
+    """Words with their hashes, first bytes and sizes."""
+    words = split_words(data, offsets, LETTERS, LOWER, salts=(41,))
+    return words, _heads(data, words.start, words.end), words.end - words.start
 
 
 def feature_key(feature: bytes) -> int:
     raw = np.frombuffer(feature[1:], np.uint8)
-    heads = _heads(raw, np.array([0]), np.array([len(raw)]))
-    return int(_keys(heads, np.array([len(raw)]), 0 if feature[:1] == b"=" else len(raw))[0][0])
+    words, heads, size = _words(raw, np.array([0, len(raw)]))
+    return int(_keys(words, heads, size, 0 if feature[:1] == b"=" else len(raw))[0][0])
 
 
 class Chain:
@@ -103,10 +102,10 @@ class Chain:
             return out
         score = np.tile(np.array(self.bias, float), (n, 1))
         if len(self.hashes):
-            words = split_words(data, offsets, LETTERS, LOWER, salts=())
-            heads, size, seen = _heads(data, words.start, words.end), words.end - words.start, []
+            words, heads, size = _words(data, offsets)
+            seen = []
             for length in self.lengths:
-                keys, own = _keys(heads, size, length)
+                keys, own = _keys(words, heads, size, length)
                 at = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
                 hit = np.flatnonzero(self.hashes[at] == keys)
                 seen.append((np.searchsorted(words.first, own[hit], "right") - 1) * len(self.hashes) + at[hit])
@@ -133,7 +132,7 @@ def _features_of_sample(docs: DataFrame) -> DataFrame:
             spans = list(zip(words.start.tolist(), words.end.tolist()))
             for a, b in zip(words.first[:-1], words.first[1:]):
                 own = {folded[s:e] for s, e in spans[a:b]}
-                rows.append(sorted({b"=" + w for w in own if len(w) <= 8} | {b"^" + w[:n] for w in own for n in LENGTHS if n <= len(w)}))
+                rows.append(sorted({b"=" + w for w in own} | {b"^" + w[:n] for w in own for n in LENGTHS if n <= len(w)}))
             yield pa.RecordBatch.from_arrays([ids, label, pa.array(rows, pa.list_(pa.binary()))], ["doc_id", "label", "words"])
 
     return docs.mapInArrow(run, "doc_id long, label int, words array<binary>")
@@ -171,22 +170,86 @@ def _largest_eigenvalue(x: np.ndarray, rounds: int = 30) -> float:
     return 1.1 * size
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: dict | None = None, sample: int = SAMPLE, features: int = FEATURES,
+def centres(rows: np.ndarray, weight: np.ndarray, k: int, start: np.ndarray | None = None, rounds: int = 25) -> np.ndarray:
+    """Centres of ``k`` groups of rows (spherical k-means): from ``start``, or
+    from rows far apart, the first being the one with the most weight."""
+    v = _directions(rows, weight)
+    if start is None:
+        start = v[[int(np.argmax(rows @ weight))]]
+        while len(start) < k:
+            near = (v @ start.T).max(1)
+            if near.min() > 1 - 1e-6:
+                break
+            start = np.vstack([start, v[int(np.argmin(near))]])
+    for _ in range(rounds):
+        own = np.argmax(v @ start.T, 1)
+        sums = np.stack([v[own == g].sum(0) for g in range(len(start))])
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        moved = np.where(size > 0, sums / np.maximum(size, 1e-12), start)
+        if np.allclose(moved, start, atol=1e-9):
+            break
+        start = moved
+    return start
+
+
+def _directions(rows: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    v = rows * weight
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def group_targets(x: np.ndarray, label: np.ndarray, k: int, folds: np.ndarray, count: int):
+    """0/1 targets of the groups: of all rows, and as each fold's training
+    sees them (centres refined without the fold)."""
+    bad = label > 0
+    inside, outside = x[bad].mean(0), x[~bad].mean(0)
+    weight = np.maximum(0, np.log((inside + 1 / len(x)) / (outside + 1 / len(x))))
+
+    def targets(at):
+        own = np.argmax(_directions(x, weight) @ at.T, 1)
+        return [(label * (own == g)).astype(np.float32) for g in range(len(at))]
+
+    whole = centres(x[bad], weight, k)
+    return targets(whole), [targets(centres(x[bad & (folds != f)], weight, k, whole)) if (bad & (folds != f)).any() else targets(whole)
+                            for f in range(count)]
+
+
+def fit_chain(x: np.ndarray, label: np.ndarray, fold: np.ndarray, folds: int, groups: tuple = GROUPS, penalty: float = PENALTY):
+    """(names, weights per category, biases, weights of earlier
+    probabilities, out-of-fold probabilities) of a chain over 0/1 features."""
+    n = len(label)
+    whole, per = group_targets(x, label, len(groups), fold, folds) if groups and x.shape[1] else ([], [[]] * folds)
+    target = {**dict(zip(groups, whole)), "toxic": label}
+    names = [c for c in target if 0 < target[c].sum() < n]
+    weights, bias, earlier, held = [], [], [], np.zeros((n, 0), np.float32)
+    for k, name in enumerate(names):
+        full = np.hstack([x, held])
+        w, b = logistic(full, target[name], k, penalty)
+        out = np.zeros((n, 1), np.float32)
+        for f in range(folds):
+            own = label if name == "toxic" else per[f][groups.index(name)] if groups.index(name) < len(per[f]) else target[name]
+            fw, fb = logistic(full[fold != f], own[fold != f], k, penalty)
+            out[fold == f, 0] = 1 / (1 + np.exp(-(full[fold == f] @ fw + fb)))
+        held = np.hstack([held, out])
+        weights.append(w[:x.shape[1]])
+        bias.append(b)
+        earlier.append(w[x.shape[1]:].tolist())
+    return names, weights, bias, earlier, held
+
+
+def fit(docs: DataFrame, labels: DataFrame, groups: tuple = GROUPS, sample: int = SAMPLE, features: int = FEATURES,
         min_rows: int = MIN_ROWS, folds: int = FOLDS, penalty: float = PENALTY) -> Chain:
     """Fit the chain on a bounded sample of labelled documents.
 
     Words are counted and chosen by Spark; the driver then holds one bounded
     matrix of ``sample`` rows by ``features`` words."""
     tuned(docs.sparkSession)
-    categories = CATEGORIES if categories is None else categories
     chosen = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most ``sample`` rows of two numbers: a proven bound for the broadcast.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
     rows = keep(_features_of_sample(rows).dropDuplicates(["doc_id"]), "toxicity-sample")
     literal = lambda features: F.array(*(F.lit(bytearray(x)) for x in features))
-    y = rows.select("doc_id", "label", *(F.arrays_overlap("words", literal(map(word_feature, v))).alias(k) for k, v in categories.items())) \
-        .orderBy("doc_id").toArrow()
+    y = rows.select("doc_id", "label").orderBy("doc_id").toArrow()
     label = y["label"].to_numpy().astype(np.float32)
     n, good = len(label), float(label.sum())
     if not n or not 0 < good < n:
@@ -195,30 +258,15 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict | None = None, samp
     # squared deviation of the feature's toxic rows from their expectation (chi-square)
     chi = F.pow(F.col("hit") - F.col("df") * F.lit(good / n), 2) / (F.col("df") * (F.lit(n + 1) - F.col("df")))
     ranked = rows.select("label", F.explode("words").alias("word")).groupBy("word").agg(df, hit).where(F.col("df") >= min(min_rows, int(good))) \
-        .orderBy(chi.desc(), F.length("word"), "word").limit(RANKED).select("word").toArrow()["word"].to_pylist()
+        .orderBy(chi.desc(), F.length("word"), "word").select("word").toArrow()["word"].to_pylist()
     words = _unrelated(ranked, features)
     at = {w: k for k, w in enumerate(words)}
     own = F.array_intersect("words", literal(words)) if words else F.array().cast("array<binary>")
     x = np.zeros((n, len(words)), np.float32)
     for i, found in enumerate(rows.select("doc_id", own.alias("own")).orderBy("doc_id").toArrow()["own"].to_pylist()):
         x[i, [at[w] for w in found]] = 1
-    target = {k: label * y[k].to_numpy(zero_copy_only=False) for k in categories}
-    target[OTHER] = label * (1 - np.max([*target.values(), 0 * label], axis=0))
-    target["toxic"] = label
-    names = [c for c in target if 0 < target[c].sum() < n]
     fold = (mix64(y["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(folds)).astype(int)
-    weights, bias, earlier, held = [], [], [], np.zeros((n, 0), np.float32)
-    for k, name in enumerate(names):
-        full = np.hstack([x, held])
-        w, b = logistic(full, target[name], k, penalty)
-        out = np.zeros((n, 1), np.float32)
-        for f in range(folds):
-            fw, fb = logistic(full[fold != f], target[name][fold != f], k, penalty)
-            out[fold == f, 0] = 1 / (1 + np.exp(-(full[fold == f] @ fw + fb)))
-        held = np.hstack([held, out])
-        weights.append(w[:len(words)])
-        bias.append(b)
-        earlier.append(w[len(words):].tolist())
+    names, weights, bias, earlier, held = fit_chain(x, label, fold, folds, tuple(groups), penalty)
     used = np.flatnonzero(np.abs(np.stack(weights, 1)).max(1) > 0)
     return Chain(names, [words[i] for i in used], np.stack(weights, 1)[used].astype(float), bias, earlier, best_threshold(label, held[:, -1]))
 
@@ -258,7 +306,7 @@ def scores(docs: DataFrame, chain: Chain) -> DataFrame:
     """One row per document row: doc_id, p_<category>..., toxic."""
     spark = tuned(docs.sparkSession)
     shared = spark.sparkContext.broadcast(chain)  # at most ``features`` words
-    names = [*CATEGORIES, OTHER, "toxic"]
+    names = [*GROUPS, "toxic"]
 
     def run(batches):
         claim("toxicity")

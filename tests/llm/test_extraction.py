@@ -337,6 +337,58 @@ def test_logistic_and_threshold():
     assert toxicity.best_threshold(np.array([1, 1, 0, 0.0]), np.array([0.9, 0.6, 0.2, 0.1])) == pytest.approx(0.4)
 
 
+def test_the_chain_beats_one_model_without_earlier_probabilities():
+    """Two words of one kind are toxic, one of each kind is not: what a
+    linear model cannot tell, the groups found in the toxic rows can."""
+    rng = np.random.default_rng(7)
+
+    def made(n):
+        x = (rng.random((n, 24)) < 0.16).astype(np.float32)
+        label = ((x[:, :6].sum(1) >= 2) | (x[:, 6:12].sum(1) >= 2)).astype(np.float32)
+        return x, label
+
+    def loss(label, p):
+        return -np.mean(label * np.log(p + 1e-9) + (1 - label) * np.log(1 - p + 1e-9))
+
+    x, label = made(4000)
+    new, truth = made(4000)
+    fold = rng.integers(0, 3, 4000)
+    losses = {}
+    for groups in ((), ("group1", "group2")):
+        names, weights, bias, earlier, held = toxicity.fit_chain(x, label, fold, 3, groups)
+        p = np.zeros((4000, 0))
+        for w, b, e in zip(weights, bias, earlier):
+            z = new @ w + b + p @ np.array(e)
+            p = np.hstack([p, (1 / (1 + np.exp(-z)))[:, None]])
+        losses[len(groups)] = loss(truth, p[:, -1])
+        assert loss(label, held[:, -1]) == pytest.approx(losses[len(groups)], rel=0.3)  # out-of-fold losses are honest
+    assert names == ["group1", "group2", "toxic"] and losses[2] < 0.8 * losses[0]
+
+
+def test_groups_gather_what_occurs_together():
+    rng = np.random.default_rng(2)
+    kind = rng.integers(0, 3, 300)
+    x = np.zeros((600, 30), np.float32)
+    for i in range(300):
+        x[i, kind[i] * 10 + rng.choice(10, 4, replace=False)] = 1
+    x[300:] = rng.random((300, 30)) < 0.02
+    label = np.r_[np.ones(300), np.zeros(300)].astype(np.float32)
+    whole, per = toxicity.group_targets(x, label, 3, rng.integers(0, 3, 600), 3)
+    for targets in (whole, *per):
+        assert sorted(max(np.mean(kind[t[:300] > 0] == k) for k in range(3)) for t in targets) == [1.0] * 3
+        assert np.array_equal(sum(targets), label)
+
+
+def test_long_words_are_features_of_their_own():
+    a, b = b"=" + b"unbelievable", b"=" + b"unbelievably"
+    assert toxicity.feature_key(a) != toxicity.feature_key(b)
+    chain = toxicity.Chain(["toxic"], [a], np.array([[3.0]]), [-1.0], [[]], 0.5)
+    import pyarrow as pa
+    from reelhouse.llm.words import buffers
+    got = chain.probabilities(*buffers(pa.array(["so unbelievable.", "so unbelievably"])))[:, 0]
+    assert got[0] > 0.8 and got[1] < 0.3
+
+
 def test_scoring_equals_a_plain_sum(spark):
     chain = toxicity.Chain(["a", "toxic"], [b"=bad", b"^wor", b"^disgusti"], np.array([[1.0, 0.5], [0.0, 2.0], [3.0, 0.0]]), [-1.0, -2.0], [[], [1.5]], 0.5)
     import pyarrow as pa
