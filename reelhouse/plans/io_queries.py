@@ -392,3 +392,25 @@ def q_footer_counts(spark, sf_dir):
     raw = S.ratings_raw(spark, sf_dir).select("userId", "movieId", (F.col("movieId") % 5).alias("part"))
     tables.write_layer(raw, f"{db}.bronze_ratings", partition_by=["part"])
     return catalog.table_counts(spark, "bronze_", db)
+
+
+@query("streamed_waves", with_ctes(R) + "SELECT * FROM ratings")
+def q_streamed_waves(spark, sf_dir):
+    """Raw ratings land in two waves; each is ingested into bronze and merged
+    into the silver fact as a stream, which reads the new bronze files only."""
+    from reelhouse.streaming import ingest_to_bronze, merge_to_silver
+    root, name = scratch_path(spark, "waves"), f"{_scratch_db(spark)}.silver_fact_ratings"
+    raw = written(S.ratings_raw(spark, sf_dir).select("userId", "movieId", "rating", "timestamp"), "raw")
+    types = raw.dtypes
+    bronze = schemas.all_strings(*raw.columns)
+    late = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(10)) == 0
+
+    def clean(wave):
+        return wave.select(*(F.col(c).cast(t).alias(c) for c, t in types))
+
+    for k, wave in enumerate((raw.where(~late), raw.where(late))):
+        files.export_csv(wave.select(*(F.col(c).cast("string").alias(c) for c in raw.columns)), f"{root}/landing/wave{k}")
+        ingest_to_bronze(spark, f"{root}/landing/*", schemas.RATINGS_RAW, f"{root}/bronze", f"{root}/ckpt-bronze")
+        merge_to_silver(spark, f"{root}/bronze", bronze, name, f"{root}/ckpt-silver", ["userId", "movieId"],
+                        ["timestamp", "rating"], clean, buckets=8)
+    return spark.table(name).drop("key_bucket")

@@ -329,19 +329,6 @@ def q_title_silver(spark, sf_dir):
     return _silver(spark, sf_dir, scoring.DEFAULT_SILVER_TOP)
 
 
-SMALL_TOP, SMALL_DIRECTORS = 60, 25
-
-
-@query("title_dim_small_top", with_ctes(silver_sql(SMALL_TOP, SMALL_DIRECTORS)) + """
-SELECT tconst, round(weightedRating, 6) AS weightedRating, directorNames FROM dim""")
-def q_title_dim_small_top(spark, sf_dir):
-    """Top-title table and director lookup at a cut below every test scale."""
-    d = scoring.title_dim(_silver(spark, sf_dir, SMALL_TOP), S.title_crew(spark, sf_dir), S.name_basics(spark, sf_dir),
-                          director_k=SMALL_DIRECTORS)
-    return d.select("tconst", F.round("weightedRating", 6).alias("weightedRating"),
-                    F.when(F.size("directorNames") > 0, F.array_join("directorNames", ",")).alias("directorNames"))
-
-
 @query("weighted_rating", with_ctes(SILVER_SQL) + """
 SELECT tconst, averageRating, numVotes, round(weightedRating, 6) AS weightedRating FROM weighted""")
 def q_weighted_rating(spark, sf_dir):

@@ -1,5 +1,6 @@
-"""Incremental bronze ingest with Structured Streaming."""
+"""Incremental ingest and merges with Structured Streaming."""
 
 from reelhouse.streaming.ingest import ingest_to_bronze
+from reelhouse.streaming.merge import merge_to_silver
 
-__all__ = ["ingest_to_bronze"]
+__all__ = ["ingest_to_bronze", "merge_to_silver"]

@@ -85,10 +85,25 @@ def test_lookup_streams_the_dimension_past_the_bounded_keys(spark):
 
 
 def test_uncut_title_dim_and_small_cut(spark):
+    """The top-title table and the director lookup at a cut below every test scale."""
+    import duckdb
+
+    from reelhouse.operators import scoring
+    from reelhouse.plans import queries as Q
+    top, directors = 60, 25
     full = QUERIES["title_dim"](spark, SF)
-    small = QUERIES["title_dim_small_top"](spark, SF)
-    from reelhouse.plans.queries import SMALL_DIRECTORS, SMALL_TOP
-    assert full.count() > SMALL_TOP == small.count()
-    assert small.where("directorNames is not null").count() <= SMALL_DIRECTORS
+    small = scoring.title_dim(Q._silver(spark, SF, top), S.title_crew(spark, SF), S.name_basics(spark, SF), director_k=directors)
+    small = small.select("tconst", F.round("weightedRating", 6).alias("weightedRating"),
+                         F.when(F.size("directorNames") > 0, F.array_join("directorNames", ",")).alias("directorNames"))
+    con = duckdb.connect()
+    for t in ("part", "lineitem", "supplier", "partsupp", "orders", "customer"):
+        try:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        except duckdb.IOException:
+            pass
+    want = con.execute(Q.with_ctes(Q.silver_sql(top, directors)) + "SELECT tconst, round(weightedRating, 6), directorNames FROM dim").fetchall()
+    assert sorted(map(tuple, small.collect())) == sorted(want)
+    assert full.count() > top == small.count()
+    assert 0 < small.where("directorNames is not null").count() <= directors
     assert "TakeOrderedAndProject" not in _plan(full)
     assert "WindowGroupLimit" in _plan(QUERIES["top20_per_genre"](spark, SF))
