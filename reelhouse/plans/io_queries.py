@@ -414,3 +414,21 @@ def q_streamed_waves(spark, sf_dir):
         merge_to_silver(spark, f"{root}/bronze", bronze, name, f"{root}/ckpt-silver", ["userId", "movieId"],
                         ["timestamp", "rating"], clean, buckets=8)
     return spark.table(name).drop("key_bucket")
+
+
+@query("topped_up_gold", with_ctes(R) + """
+SELECT userId, movieId, CAST(rating AS FLOAT) AS rating, "timestamp", CAST(make_timestamp("timestamp" * 1000000) AS DATE) AS rating_date FROM ratings""")
+def q_topped_up_gold(spark, sf_dir):
+    """The gold fact of the ratings pipeline after a first load and two later
+    waves, in which ratings change and move to other months."""
+    from reelhouse.plans import pipelines as P
+    db, cfg = _scratch_db(spark), P.RatingsPipelineConfig(key_buckets=8, date_grain="month")
+    raw = written(S.ratings_raw(spark, sf_dir).select("userId", "movieId", "rating", "timestamp"), "raw")
+    part = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(60))
+    wave = F.when(part < 2, part).otherwise(-1)
+    P.ratings_bronze(spark, {"ratings": raw.where(wave == -1), "movies": S.movies(spark, sf_dir), "links": S.links(spark, sf_dir)}, db)
+    P.ratings_silver(spark, db, key_buckets=cfg.key_buckets)
+    P.ratings_gold(spark, db, cfg)
+    for k in (0, 1):
+        P.ratings_top_up(spark, raw.where(wave == k), db, cfg)
+    return spark.table(f"{db}.gold_fact_ratings").select("userId", "movieId", "rating", "timestamp", "rating_date")

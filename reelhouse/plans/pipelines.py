@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,10 @@ from reelhouse.operators import recsys, scoring
 from reelhouse.operators.clean import any_null, dedup_latest, scrub_header_rows, scrub_null_token
 from reelhouse.operators.joins import enrich_recs, lookup_attrs
 from reelhouse.operators.ranking import top_k
-from reelhouse.session import scratch_path
+from reelhouse.session import scratch_path, written
 from reelhouse.sources import files
-from reelhouse.sources.tables import append_run, with_date_partition, write_layer
+from reelhouse.sources.tables import (append_run, merge_wave, overwrite_partitions, recover, touched, with_date_partition, with_key_bucket,
+                                      write_layer)
 
 
 @dataclass
@@ -33,6 +36,8 @@ class RatingsPipelineConfig:
     export_top: int = 500
     date_partitions: bool = True
     date_grain: str = "day"
+    #: Key buckets of the silver fact: set it when later waves are to be merged (``ratings_top_up``).
+    key_buckets: int | None = None
     als: recsys.AlsConfig = field(default_factory=recsys.AlsConfig)
     publish_als: recsys.AlsConfig = field(default_factory=lambda: recsys.AlsConfig(nonnegative=False))
     exclude_seen_published: bool = True
@@ -54,14 +59,26 @@ def ratings_bronze(spark: SparkSession, raw: Mapping[str, DataFrame], db: str, f
         write_layer(df.select([F.col(c).cast("string") for c in df.columns]), _t(db, f"bronze_{name}_csv"), fmt=fmt)
 
 
-def ratings_silver(spark: SparkSession, db: str, fmt: str = "parquet") -> None:
-    r = spark.table(_t(db, "bronze_ratings_csv"))
-    typed = r.select(id_from_text("userId").alias("userId"), id_from_text("movieId").alias("movieId"),
-                     safe_cast("rating", "float").alias("rating"),
-                     safe_cast("timestamp", "long").alias("timestamp"))
-    fact = dedup_latest(typed, ["userId", "movieId"], ["timestamp", "rating"])
-    fact = fact.withColumn("timestamp_ts", epoch_to_ts("timestamp"))
-    write_layer(fact, _t(db, "silver_fact_ratings"), fmt=fmt)
+KEYS, LATEST = ["userId", "movieId"], ["timestamp", "rating"]
+
+
+def _typed_ratings(raw: DataFrame) -> DataFrame:
+    """Bronze rating rows, typed, one per key."""
+    typed = raw.select(id_from_text("userId").alias("userId"), id_from_text("movieId").alias("movieId"),
+                       safe_cast("rating", "float").alias("rating"),
+                       safe_cast("timestamp", "long").alias("timestamp"))
+    return dedup_latest(typed, KEYS, LATEST).withColumn("timestamp_ts", epoch_to_ts("timestamp"))
+
+
+def ratings_silver(spark: SparkSession, db: str, fmt: str = "parquet", key_buckets: int | None = None) -> None:
+    """Silver tables; with ``key_buckets`` the fact is kept by key bucket, so
+    that :func:`ratings_top_up` can merge later waves."""
+    fact, name = _typed_ratings(spark.table(_t(db, "bronze_ratings_csv"))), _t(db, "silver_fact_ratings")
+    if key_buckets:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        merge_wave(fact, name, KEYS, LATEST, key_buckets, fmt)
+    else:
+        write_layer(fact, name, fmt=fmt)
     m = spark.table(_t(db, "bronze_movies_csv"))
     movies = dedup_latest(m.select(id_from_text("movieId").alias("movieId"), "title", "genres"),
                           ["movieId"], ["title", "genres"]).withColumn("genres_array", split_list("genres", "|"))
@@ -74,13 +91,48 @@ def ratings_silver(spark: SparkSession, db: str, fmt: str = "parquet") -> None:
 
 
 def ratings_gold(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> None:
-    f = spark.table(_t(db, "silver_fact_ratings")).withColumn("rating_date", to_day("timestamp_ts"))
+    f = spark.table(_t(db, "silver_fact_ratings")).drop("key_bucket").withColumn("rating_date", to_day("timestamp_ts"))
     f, part = with_date_partition(f, "rating_date", cfg.date_grain)
     write_layer(f, _t(db, "gold_fact_ratings"), fmt=cfg.fmt,
                 partition_by=[part] if cfg.date_partitions else None, recreate=True)
     write_layer(spark.table(_t(db, "silver_dim_users")), _t(db, "gold_dim_users"), fmt=cfg.fmt)
 
 
+def ratings_top_up(spark: SparkSession, raw: DataFrame, db: str, cfg: RatingsPipelineConfig) -> None:
+    """Merge a later wave of raw ratings into bronze, gold and silver.
+
+    Only the key buckets of the wave's keys are read from silver, and only the
+    days that a changed rating leaves or enters are rewritten in gold (a rating
+    given anew moves to its new day; a day it was alone in becomes empty).
+    Gold goes first: until silver is merged the same wave gives the same change, so
+    a wave broken off anywhere may simply be run again, and one that comes twice changes
+    nothing but bronze.  The user dimension is refreshed from the merged fact."""
+    if not (cfg.key_buckets and cfg.date_partitions):
+        raise ValueError("top-ups need key_buckets and date_partitions")
+    silver, gold = _t(db, "silver_fact_ratings"), _t(db, "gold_fact_ratings")
+    for name in (silver, gold):
+        recover(spark, name)
+    raw = written(raw.select(*(F.col(c).cast("string") for c in ("userId", "movieId", "rating", "timestamp"))), "wave")
+    wave = written(with_key_bucket(_typed_ratings(raw), KEYS, cfg.key_buckets), "wave_typed")
+    keys = wave.select(*(F.col(k).alias(f"_{k}") for k in KEYS))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS))
+    before = written(touched(spark.table(silver), wave, ["key_bucket"]).join(keys, same, "left_semi"), "wave_before")
+    after = dedup_latest(before.unionByName(wave), KEYS, LATEST)
+
+    def by_day(rows):
+        return with_date_partition(rows.drop("key_bucket").withColumn("rating_date", to_day("timestamp_ts")), "rating_date", cfg.date_grain)
+
+    (old, part), new = by_day(before), by_day(after)[0]
+    days = written(old.select(part).unionByName(new.select(part)).distinct(), "wave_days")
+    stay = touched(spark.table(gold), days, [part]).join(keys, same, "left_anti")
+    overwrite_partitions(stay.unionByName(new), gold, cfg.fmt, also=days)
+    merge_wave(wave.drop("key_bucket"), silver, KEYS, LATEST, cfg.key_buckets, cfg.fmt)
+    raw.write.format(cfg.fmt).mode("append").saveAsTable(_t(db, "bronze_ratings_csv"))
+    users = agg.user_dim(spark.table(silver))
+    write_layer(users, _t(db, "silver_dim_users"), fmt=cfg.fmt)
+    write_layer(spark.table(_t(db, "silver_dim_users")), _t(db, "gold_dim_users"), fmt=cfg.fmt)
+
+
 def ratings_ml(spark: SparkSession, db: str, cfg: RatingsPipelineConfig) -> dict:
     """Fit, evaluate, recommend, report and export.  Returns the run metrics."""
     # The model takes complete rows only; rows whose ids or rating did not
@@ -139,7 +191,7 @@ def ratings_pipeline(spark: SparkSession, raw: Mapping[str, DataFrame], db: str,
     if cfg.export_dir is None:
         cfg.export_dir = scratch_path(spark, "exports")
     ratings_bronze(spark, raw, db, cfg.fmt)
-    ratings_silver(spark, db, cfg.fmt)
+    ratings_silver(spark, db, cfg.fmt, cfg.key_buckets)
     ratings_gold(spark, db, cfg)
     return ratings_ml(spark, db, cfg)
 

@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.operators.clean import dedup_latest
 from reelhouse.operators.joins import SALT, hot_keys, with_salt
@@ -158,9 +159,9 @@ def _stage(df: DataFrame, name: str, fmt: str) -> str:
     return stage
 
 
-def _commit(spark: SparkSession, name: str, stage: str, kind: str) -> None:
+def _commit(spark: SparkSession, name: str, stage: str, kind: str, cleared: Sequence[Mapping] = ()) -> None:
     """Decide the change: one update of the stage's properties."""
-    manifest = {"kind": kind, "old": table_location(spark, name), "new": table_location(spark, stage)}
+    manifest = {"kind": kind, "old": table_location(spark, name), "new": table_location(spark, stage), "cleared": list(cleared)}
     carried = {k: v for k, v in _properties(spark, name).items() if not k.startswith(_CARRIED)}
     _set_properties(spark, stage, {**carried, _STATE: "complete", _MANIFEST: json.dumps(manifest)})
 
@@ -201,6 +202,23 @@ def _replace(spark: SparkSession, name: str, stage: str) -> None:
     spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{_STATE}', '{_MANIFEST}')")
 
 
+def _literal(value) -> str:
+    return "NULL" if value is None else str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "\\'") + "'"
+
+
+def _clear_partitions(spark: SparkSession, name: str, cleared: Sequence[Mapping]) -> None:
+    """Empty the given partitions."""
+    parts, _ = _layout(spark, name)
+    if not cleared:
+        return
+    view = f"_none_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([], T.StructType([f for f in spark.table(name).schema if f.name not in parts])).createOrReplaceTempView(view)
+    for values in cleared:
+        spec = ", ".join(f"`{c}` = {_literal(values[c])}" for c in parts)
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+
+
 def _put_partitions(spark: SparkSession, name: str, stage: str) -> None:
     """Overwrite just the partitions that the stage holds."""
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -212,6 +230,7 @@ def _finish(spark: SparkSession, name: str, stage: str) -> None:
     """Carry out a decided change.  Every step may be repeated."""
     manifest = json.loads(_properties(spark, stage)[_MANIFEST])
     if manifest["kind"] == "partitions":
+        _clear_partitions(spark, name, manifest["cleared"])
         _put_partitions(spark, name, stage)
         spark.sql(f"DROP TABLE {stage}")
     elif manifest["kind"] == "swap":
@@ -256,10 +275,11 @@ def rewrite_table(spark: SparkSession, name: str, fn: Callable[[DataFrame], Data
     _finish(spark, name, stage)
 
 
-def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet", also: DataFrame | None = None) -> None:
     """Replace exactly the partitions of ``name`` that ``df`` has rows for;
     the files of all others stay as they are.  ``df`` may read the table.
-    Columns that the table lacks are added to it."""
+    ``also`` names further partitions by their values: those without a row in ``df``
+    become empty.  Columns that the table lacks are added to it."""
     spark = df.sparkSession
     parts, _ = _layout(spark, name)
     if not parts:
@@ -271,7 +291,11 @@ def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet") -> None
     missing = [f for f in spark.table(name).schema if f.name not in df.columns]
     df = df.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in missing))
     stage = _stage(df.select(*spark.table(name).columns), name, fmt)
-    _commit(spark, name, stage, "partitions")
+    cleared = []
+    if also is not None:
+        gone = also.select(*parts).distinct().exceptAll(spark.table(stage).select(*parts).distinct())
+        cleared = [{c: v if v is None or isinstance(v, (int, float)) else str(v) for c, v in r.asDict().items()} for r in gone.collect()]
+    _commit(spark, name, stage, "partitions", cleared)
     _finish(spark, name, stage)
 
 

@@ -211,3 +211,50 @@ def test_runs_are_appended_once(spark, db):
     tables.append_run(run(0.6, mae=0.1), name, "2024-01-03 00:00:00")  # a log may gain columns
     assert sorted((r.rmse, r.mae) for r in spark.table(name).where("run_id = 'als'").collect())[0] == (0.6, 0.1)
     assert spark.table(name).count() == 4
+
+
+def test_top_ups_equal_a_rebuild(spark, db, monkeypatch):
+    """Later waves, ratings that move to another day, days that become empty,
+    waves broken off and run again: silver and gold equal a rebuild from all of bronze."""
+    from reelhouse.plans import pipelines as P
+    rng = random.Random(8)
+
+    def wave(n, day_from, days, users=40):
+        return [(str(rng.choice([*range(users), "x"])), str(rng.randrange(30)), str(rng.choice([1, 2.5, 4])),
+                 str(86_400 * (day_from + rng.randrange(days)) + rng.randrange(50))) for _ in range(n)]
+
+    base = wave(300, 0, 5) + [("77", "1", "3", str(86_400 * 50))]  # alone on its day
+    waves = [[("77", "1", "5", str(86_400 * 60 + 7)), ("0", "0", "1", "bad")], wave(12, 3, 4), wave(1, 2, 1)]
+    frame = lambda rows: spark.createDataFrame(rows, "userId string, movieId string, rating string, timestamp string")
+    cfg = P.RatingsPipelineConfig(key_buckets=8)
+
+    def build(name, rows):
+        tables.ensure_database(spark, name, scratch_path(spark, name))
+        none = spark.createDataFrame([], "movieId string, title string, genres string, imdbId string, tmdbId string")
+        P.ratings_bronze(spark, {"ratings": frame(rows), "movies": none.select("movieId", "title", "genres"),
+                                 "links": none.select("movieId", "imdbId", "tmdbId")}, name)
+        P.ratings_silver(spark, name, key_buckets=8)
+        P.ratings_gold(spark, name, cfg)
+        return name
+
+    build(db, base)
+    untouched = {p: d for p, d in files_of(spark, f"{db}.gold_fact_ratings").items() if "1970-01-01" in p}
+    rows = list(base)
+    for k, extra in enumerate(waves):
+        if k == 1:  # broken off after gold, then run again
+            with monkeypatch.context() as m:
+                m.setattr(P, "merge_wave", lambda *a: (_ for _ in ()).throw(Broken()))
+                with pytest.raises(Broken):
+                    P.ratings_top_up(spark, frame(extra), db, cfg)
+        P.ratings_top_up(spark, frame(extra), db, cfg)
+        if k == 0:
+            assert {p: d for p, d in files_of(spark, f"{db}.gold_fact_ratings").items() if "1970-01-01" in p} == untouched
+            P.ratings_top_up(spark, frame(extra), db, cfg)  # delivered twice
+            rows += extra
+        rows += extra
+    again = build(f"{db}_again", rows)
+    for name in ("silver_fact_ratings", "gold_fact_ratings", "silver_dim_users", "gold_dim_users", "bronze_ratings_csv"):
+        assert content(spark, f"{db}.{name}") == content(spark, f"{again}.{name}"), name
+    assert spark.table(f"{db}.gold_fact_ratings").where("rating_date = '1970-02-20'").isEmpty()
+    with pytest.raises(ValueError):
+        P.ratings_top_up(spark, frame(waves[0]), db, P.RatingsPipelineConfig())
