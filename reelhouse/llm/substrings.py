@@ -165,7 +165,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     tuned(docs.sparkSession)
     lengths = level_lengths(window) or [window]
     profile = keep(_profile(docs, window, lengths[0]), "substrings-profile")
-    first = profile.where("doc_id is not null and reps is not null").groupBy("seq").agg(F.min("doc_id").alias("lead"))
+    first = keep(profile.where("doc_id is not null and reps is not null").groupBy("seq").agg(F.min("doc_id").alias("lead")),
+                 "substrings-lead")
     lead = profile.join(first, "seq", "left")
     own = lead.where("doc_id = lead").select("doc_id", "tag", "reps")
     alive = _repeated(own.select("doc_id", "tag", F.explode("reps").alias("h")).distinct())

@@ -147,6 +147,15 @@ def test_dropping_keeps_one_of_each_group_and_all_columns(edge_docs, edge_rows,
     assert neardup.near_duplicates(no_docs, 4).count() == 0 and neardup.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_which_of_equal_rows_stays_does_not_depend_on_the_layout(spark):
+    text = words(8, 40)
+    rows = [(1, text, k, f"s{k % 3}") for k in range(30)] + [(2, text, 0, "x"), (3, words(9, 40), 1, None), (3, words(9, 40), 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int, source string")
+    got = [sorted(map(tuple, neardup.drop_near_duplicates(docs.repartition(n, "extra") if n else docs.orderBy(docs.extra.desc())).collect()), key=str)
+           for n in (0, 2, 7)]
+    assert got[0] == got[1] == got[2] and [r[0] for r in got[0]] == [1, 3]
+
+
 def test_packed_estimate_is_close():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2 ** 63, 1000, dtype=np.uint64)
