@@ -104,7 +104,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     rows = quantised(vectors, scale).withColumn("dim", F.size("v"))
     n, asked = rows.agg(F.count("*"), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     blocks, chunks = max(1, -(-n // block_rows)), max(1, -(-asked // chunk_queries))
-    block = rows.select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("block"),
+    # the row's place in its scan is hashed too: a row that is there very often goes to all blocks
+    block = rows.select("vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"),
                         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     chunk = rows.where(F.col("vec_id") % every == 0).distinct().select(
         "vec_id", "v", "dim", F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(chunks)).cast("int").alias("chunk"),
