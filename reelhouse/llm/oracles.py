@@ -112,6 +112,18 @@ SELECT f.doc_id, f.leaf, sub.subroot, r.digest AS root, sha256(f.proof) AS proof
 FROM fold f JOIN sub ON f.own = sub.tree JOIN (SELECT digest FROM above WHERE size = 1) r ON true
 WHERE f.tree = -1 AND f.size = 1"""
 
+PHRASES = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM_WORDS}) AS w FROM documents),
+ph AS (SELECT string_split(phrase, ' ') AS phrase, label FROM (VALUES ('gnu general public license', 'gpl'), ('apache license', 'apache'),
+                            ('cc by', 'cc-by'), ('mit license', 'mit')) AS v(phrase, label)),
+hit AS (SELECT doc_id, i - 1 AS place, label FROM d, ph, unnest(range(1, len(w) + 1)) AS t(i) WHERE w[i:i + len(phrase) - 1] = phrase),
+found AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+       coalesce(labels, '') AS base_labels
+FROM d LEFT JOIN found ON d.doc_id = found.doc_id"""
+
 ORACLES = {"op2_topk_search": TOPK.strip(), "op6_substring_dedup": SUBSTRINGS.strip(),
            "op8_decontamination": DECONTAMINATION.strip(), "op9_minhash_neardup": NEARDUP.strip(),
-           "op11_merkle_manifest": MANIFEST.strip()}
+           "op11_merkle_manifest": MANIFEST.strip(),
+           "license_phrases": PHRASES.strip()}

@@ -67,6 +67,11 @@ def op12_license_scan(spark, sf_dir):
     return license_labels(table(spark, sf_dir, "documents"))
 
 
+def license_phrases(spark, sf_dir):
+    """What SQL can say about op12: the base phrases (no template)."""
+    return op12_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 def op13_periodic_runs(spark, sf_dir):
     return periodic_runs(table(spark, sf_dir, "documents"))
 
@@ -74,4 +79,4 @@ def op13_periodic_runs(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_topk_search, op3_token_counts, op4_toxicity, op5_secret_scan, op6_substring_dedup,
     op7_word_bpe, op8_decontamination, op9_minhash_neardup, op10_token_files, op11_merkle_manifest, op12_license_scan,
-    op13_periodic_runs)}
+    op13_periodic_runs, license_phrases)}
