@@ -1,12 +1,13 @@
 """ALS recommendations: split, fit, score, evaluate, recommend, log.
 
 The top-n is exact, also for ties, and bound-pruned.  Items are numbered by
-falling factor norm and dealt into slabs of bounded size.  A user meets the items in
-that order, block after block, and stops once the n-th best score is above
-|user| times the largest norm still to come: no later item can enter, not even by a
-tie.  A user who stops in one slab is not looked at in the next.
+falling factor norm and dealt into slabs of bounded size.  A slab is an index of cells, small
+sets of items that lie close together, with an upper bound of a user's scores in each.  A
+user meets the cells whose bound reaches the n-th best score so far, and is done
+with all slabs once that score is above |user| times the largest norm still to come: no other
+item can enter, not even by a tie.
 
-Users never move: a slab (at most ``SLAB_BYTES``) is broadcast to them, one slab
+Users are dealt to tasks by their id: a slab (at most ``SLAB_BYTES``) is broadcast to them, one slab
 at a time, so a factor is sent once per executor and not once per opposite
 block.  Seen items are sparse bitmaps, a 64-bit word per 64 consecutive items of
 which the user saw one, made by a partial ``bit_or`` before the shuffle; a
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,9 +84,10 @@ def flatten_recs(nested: DataFrame, user: str = "userId", item: str = "movieId")
     return e.select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("prediction"))
 
 
-#: Bytes of item factors that are broadcast at once, items and users of one product.
-SLAB_BYTES, BLOCK_ITEMS, BATCH_USERS = 32 << 20, 512, 256
-#: Room for rounding in the bound: scores are products in double precision
+#: Bytes of item factors that are broadcast at once, items of one cell, users
+#: of one batch, and tasks per core that the users are dealt to.
+SLAB_BYTES, BLOCK_ITEMS, BATCH_USERS, TASKS_PER_CORE = 64 << 20, 1024, 4096, 3
+#: Room for rounding in the bounds: scores are products in double precision
 #: rounded to the model's float type.
 SLACK = 1e-6
 
@@ -92,85 +95,177 @@ SLACK = 1e-6
 class _Best:
     """The ``n`` best (item, score) of a batch of users, by score, then item id."""
 
-    def __init__(self, items: list, scores: list, n: int):
+    def __init__(self, items: pa.Array, scores: pa.Array, n: int):
         m = len(items)
         self.n = n
         self.item = np.full((m, n), np.iinfo(np.int64).max)
         self.score = np.full((m, n), -np.inf, np.float32)
-        for k, (i, s) in enumerate(zip(items, scores)):
-            if i is not None and len(i):
-                self.item[k, :len(i)], self.score[k, :len(s)] = i, s
+        held = np.arange(n) < _lengths(items)[:, None]
+        self.item[held], self.score[held] = items.flatten().to_numpy(), scores.flatten().to_numpy()
 
     def last(self) -> np.ndarray:
         return self.score[:, -1]
 
-    def take(self, rows: np.ndarray, items: np.ndarray, score: np.ndarray) -> None:
-        """Offer ``score[k, j]`` of ``items[j]`` to user ``rows[k]``."""
-        n, low = self.n, self.last()[rows]
-        if score.shape[1] > n:  # the n-th best of the block alone is a bound too
-            low = np.maximum(low, np.partition(score, -n, axis=1)[:, -n])
-        at, j = np.nonzero((score >= low[:, None]) & (score > -np.inf))
+    def take(self, at: np.ndarray, item: np.ndarray, got: np.ndarray) -> None:
+        """Offer ``item[k]`` with the score ``got[k]`` to user ``at[k]``."""
+        low = self.last()[at]
+        enter = (got > low) | ((got == low) & (item < self.item[at, -1]))
+        at, item, got = at[enter], item[enter], got[enter]
         if not len(at):
             return
-        hit = np.unique(at)
-        users = rows[hit]
-        who = np.concatenate([np.repeat(users, n), rows[at]])
-        item = np.concatenate([self.item[users].ravel(), items[j]])
-        got = np.concatenate([self.score[users].ravel(), score[at, j]])
+        n, users = self.n, np.unique(at)
+        who = np.concatenate([np.repeat(users, n), at])
+        item = np.concatenate([self.item[users].ravel(), item])
+        got = np.concatenate([self.score[users].ravel(), got])
         order = np.lexsort((item, -got, who))
         who, item, got = who[order], item[order], got[order]
         first = np.searchsorted(who, users)
         take = (first[:, None] + np.arange(n)).ravel()
         self.item[users], self.score[users] = item[take].reshape(-1, n), got[take].reshape(-1, n)
 
-    def rows(self, k: int) -> tuple[list, list]:
-        ok = self.score[k] > -np.inf
-        return self.item[k][ok].tolist(), self.score[k][ok].tolist()
+    def lists(self) -> tuple[pa.Array, pa.Array]:
+        held = self.score > -np.inf
+        ends = np.concatenate([[0], np.cumsum(held.sum(1))]).astype(np.int32)
+        return (pa.ListArray.from_arrays(ends, pa.array(self.item[held])),
+                pa.ListArray.from_arrays(ends, pa.array(self.score[held], pa.float32())))
 
 
-def _seen_places(words: list) -> tuple[np.ndarray, np.ndarray]:
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
+def _matrix(features: pa.Array) -> np.ndarray:
+    """Factor arrays as a matrix of doubles (null elements: NaN)."""
+    return features.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(features), -1)
+
+
+def _seen_places(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(user, place in the slab) of every bit of the users' bitmap words."""
-    sizes = [0 if w is None else len(w) for w in words]
-    if not sum(sizes):
+    sizes = _lengths(words)
+    if not sizes.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = np.array([x["word"] for w in words if w is not None for x in w], np.int64)
-    bits = np.array([x["bits"] for w in words if w is not None for x in w], np.int64)
-    at, bit = np.nonzero(np.unpackbits(bits.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-    return np.repeat(np.arange(len(words)), sizes)[at], word[at] * 64 + bit
-
-
-def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray], items: np.ndarray, v: np.ndarray,
-                 norms: np.ndarray, rest: float, block: int = BLOCK_ITEMS) -> tuple[np.ndarray, np.ndarray]:
-    """Offer one slab (items by falling norm, ``rest`` the largest norm after
-    it) to a batch of users.  Returns which users are done and how many pairs
-    each scored."""
-    length = np.sqrt(np.einsum("ur,ur->u", u, u))
-    user, place = seen
-    order = np.argsort(place, kind="stable")
-    user, place = user[order], place[order]
-    active, scored = np.arange(len(u)), np.zeros(len(u), np.int64)
-
-    def open_(rows, norm):
-        return rows[~(best.last()[rows] > length[rows] * norm * (1 + SLACK) + 1e-30)]
-
-    for a in range(0, len(items), block):
-        active = open_(active, norms[a])
-        if not len(active):
-            break
-        # one product in double precision, then the model's float type, so
-        # equal factors give equal predictions
-        score = np.einsum("ur,ir->ui", u[active], v[a:a + block].astype(np.float64)).astype(np.float32)
-        lo, hi = np.searchsorted(place, [a, a + block])
-        if hi > lo:
-            row = np.full(len(u), -1)
-            row[active] = np.arange(len(active))
-            at = row[user[lo:hi]]
-            score[at[at >= 0], place[lo:hi][at >= 0] - a] = -np.inf
-        scored[active] += score.shape[1]
-        best.take(active, items[a:a + block], score)
-    done = np.ones(len(u), bool)
+    word, bits = (x.to_numpy(zero_copy_only=False) for x in words.flatten().flatten())
+    at, bit = np.nonzero(np.unpackbits(bits.astype(np.int64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    return np.repeat(np.arange(len(words)), sizes)[at], word[at].astype(np.int64) * 64 + bit
+
+
+class Cells:
+    """One slab of items in cells of about ``block`` items, with bounds of a user's scores in each cell.
+
+    Factors are turned to the principal axes of the users (``moment``: mean of
+    u u^T), which keeps all products.  Items are dealt into shells by falling weighted norm, each
+    half of what is left, a shell into cells by halving along the axis of widest weighted spread."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, moment: np.ndarray, block: int):
+        ok = np.flatnonzero(np.isfinite(v).all(1))  # others have no score
+        values, self.axes = np.linalg.eigh(moment)
+        w = v[ok] @ self.axes
+        typical, spread = np.sqrt(np.maximum(values, 0)), np.sqrt((w * w).mean(0)) if len(w) else np.ones(v.shape[1])
+        floor = 1e-3
+        self.scale = np.sqrt(np.maximum(typical, floor * typical.max() + 1e-30) / np.maximum(spread, floor * spread.max() + 1e-30))
+        scaled, weighed = w * self.scale, w * typical
+        order = np.argsort(-(scaled * scaled).sum(1), kind="stable")
+        cells, end = [], len(order)
+        while end > 0:  # the inner half of what is left is a shell
+            begin = end // 2 if end > 8 * block else 0
+            open_ = [order[begin:end]]
+            while open_:
+                part = open_.pop()
+                if len(part) <= block:
+                    cells.append(np.sort(part))
+                    continue
+                x = weighed[part]
+                along = x[:, np.argmax(x.max(0) - x.min(0))]
+                half = np.argpartition(along, len(part) // 2)
+                open_ += [part[half[:len(part) // 2]], part[half[len(part) // 2:]]]
+            end = begin
+        sizes = np.array([len(c) for c in cells], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        flat = np.concatenate(cells) if cells else np.zeros(0, np.int64)
+        self.position = np.full(len(v), -1)  # of a place of the slab
+        self.position[ok[flat]] = np.arange(len(flat))
+        self.ids, v = ids[ok[flat]], v[ok[flat]]
+        self.factors = np.ascontiguousarray(v.T, np.float32)
+        w, scaled = w[flat], scaled[flat]
+        first = self.starts[:-1]
+        if len(cells):
+            self.low, self.high = np.minimum.reduceat(w, first), np.maximum.reduceat(w, first)
+            self.centre = (np.minimum.reduceat(scaled, first) + np.maximum.reduceat(scaled, first)) / 2
+            off = scaled - np.repeat(self.centre, sizes, axis=0)
+            self.radius = np.sqrt(np.maximum.reduceat((off * off).sum(1), first))
+            self.norm = np.sqrt(np.maximum.reduceat((v * v).sum(1), first))
+
+    def bounds(self, u: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """An upper bound of each user's scores in each cell."""
+        x = u @ self.axes
+        box = np.maximum(x, 0) @ self.high.T + np.minimum(x, 0) @ self.low.T
+        x = x / self.scale
+        ball = x @ self.centre.T + np.sqrt((x * x).sum(1))[:, None] * self.radius
+        most = length[:, None] * self.norm
+        room = np.sqrt((x * x).sum(1))[:, None] * (np.sqrt((self.centre ** 2).sum(1)) + self.radius)
+        return np.minimum(np.minimum(box, ball), most) + SLACK * np.maximum(room, most) + 1e-30
+
+
+def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray], cells: Cells, rest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Offer one slab (``rest``: the largest norm after it) to a batch of
+    users.  Returns which users are done and how many pairs each scored.
+
+    Each user meets the cell of highest bound first, then, cell by cell, all users meet
+    the cell whose bound does not rule it out.  Products in single precision find the pairs that may enter;
+    these are scored in double precision, factor by factor, so equal factors give equal predictions."""
+    length = np.sqrt((u * u).sum(1))
+    scored = np.zeros(len(u), np.int64)
+    usable = np.isfinite(length)
+    if len(cells.ids) and usable.any():
+        user, place = seen
+        position = cells.position[place]
+        order = np.argsort(position, kind="stable")
+        user, position = user[order], position[order]
+        small = u.astype(np.float32)
+        bound = np.full((len(u), len(cells.starts) - 1), -np.inf)
+        bound[usable] = cells.bounds(u[usable], length[usable])
+        rounding = length * (u.shape[1] + 4) * 2.0 ** -23
+        row = np.full(len(u), -1)
+
+        def meet(rows: np.ndarray, c: int) -> None:
+            a, b = cells.starts[c], cells.starts[c + 1]
+            score = small[rows] @ cells.factors[:, a:b]
+            lo, hi = np.searchsorted(position, [a, b])
+            if hi > lo:
+                row[rows] = np.arange(len(rows))
+                at = row[user[lo:hi]]
+                score[at[at >= 0], position[lo:hi][at >= 0] - a] = -np.inf
+                row[rows] = -1
+            room = rounding[rows] * cells.norm[c] + 1e-30
+            low = best.last()[rows] - room
+            new = np.flatnonzero(low == -np.inf)
+            if len(new) and b - a >= best.n:  # the n-th best of the cell alone is a bound too
+                low[new] = np.partition(score[new], b - a - best.n, axis=1)[:, b - a - best.n] - 2 * room[new]
+            hit = np.flatnonzero((score >= np.maximum(low, np.finfo(np.float32).min)[:, None]).ravel())
+            scored[rows] += b - a
+            if len(hit):
+                at, j = rows[hit // (b - a)], a + hit % (b - a)
+                exact = u[at, 0] * cells.factors[0, j]
+                for r in range(1, u.shape[1]):
+                    exact += u[at, r] * cells.factors[r, j]
+                best.take(at, cells.ids[j], exact.astype(np.float32))
+
+        def in_cells(cell: np.ndarray, rows: np.ndarray) -> None:
+            rows = rows[np.argsort(cell[rows], kind="stable")]
+            for part in np.split(rows, np.flatnonzero(np.diff(cell[rows])) + 1):
+                meet(part, cell[part[0]])
+                bound[part, cell[part[0]]] = -np.inf
+
+        in_cells(bound.argmax(1), np.flatnonzero(usable))
+        for c in np.argsort(-bound.max(0), kind="stable"):
+            rows = np.flatnonzero((bound[:, c] >= best.last()) & (bound[:, c] > -np.inf))
+            if len(rows):
+                meet(rows, c)
+    done = ~usable
     if rest >= 0:
-        done[open_(active, rest)] = False
+        done |= best.last() > length * rest * (1 + SLACK) + 1e-30
+    else:
+        done[:] = True
     return done, scored
 
 
@@ -183,6 +278,16 @@ def _slabs(item_factors: DataFrame, slab_items: int) -> DataFrame:
                                (F.col("at") % slab_items).cast("int").alias("place")), "item_slabs")
 
 
+def _moment(user_factors: DataFrame, rank: int) -> np.ndarray:
+    """Mean of u u^T over the users."""
+    at = [(a, b) for a in range(rank) for b in range(a + 1)]
+    part = [F.avg(F.col("features")[a].cast("double") * F.col("features")[b]) for a, b in at]
+    out = np.zeros((rank, rank))
+    for (a, b), x in zip(at, user_factors.agg(*part).first()):
+        out[a, b] = out[b, a] = x if x is not None and np.isfinite(x) else 0.0
+    return out
+
+
 def pruned_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame | None, n: int,
                  slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS) -> DataFrame:
     """Exact top ``n`` per user: (u, item array, score array, scored).
@@ -207,27 +312,29 @@ def pruned_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFra
                                 none.cast("array<float>").alias("score"), F.lit(0).cast("long").alias("scored"))
     schema = "u int, features array<float>, item array<long>, score array<float>, scored long, done boolean"
     done = state.withColumn("done", F.lit(True)) if not tops else None
+    moment = _moment(user_factors, rank) if tops else None
+    # The work of a row is much more than its bytes: sizes must not decide the number of tasks.
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     for slab in sorted(tops):
-        rows = slabs.where(F.col("slab") == slab).select("i", "features", "norm", "place").toArrow().sort_by("place")
-        v = rows["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
-        shared = spark.sparkContext.broadcast((rows["i"].to_numpy().astype(np.int64), v, rows["norm"].to_numpy()))
-        rest = tops.get(slab + 1, -1.0)
+        rows = slabs.where(F.col("slab") == slab).select("i", "features", "place").toArrow().sort_by("place")
+        shared = spark.sparkContext.broadcast(Cells(rows["i"].to_numpy().astype(np.int64), _matrix(rows["features"].combine_chunks()), moment, block))
+        rest = -1.0 if slab + 1 not in tops else np.inf if tops[slab + 1] is None else tops[slab + 1]
 
         def offer(batches, shared=shared, rest=rest):
-            items, v, norms = shared.value
+            cells = shared.value
             for batch in batches:
                 for a in range(0, batch.num_rows, BATCH_USERS):
-                    part = batch.slice(a, BATCH_USERS).to_pydict()
-                    best = _Best(part["item"], part["score"], n)
-                    ready, scored = best_of_slab(np.array(part["features"], np.float64), best, _seen_places(part["seen"]),
-                                                 items, v, norms, rest, block)
-                    lists = [best.rows(k) for k in range(len(ready))]
+                    part = pa.Table.from_batches([batch.slice(a, BATCH_USERS)]).combine_chunks()
+                    u, features, item, score, scored, words = (part[c].chunk(0) for c in ("u", "features", "item", "score", "scored", "seen"))
+                    best = _Best(item, score, n)
+                    ready, more = best_of_slab(_matrix(features), best, _seen_places(words), cells, rest)
+                    item, score = best.lists()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part["u"], pa.int32()), pa.array(part["features"], pa.list_(pa.float32())),
-                         pa.array([x for x, _ in lists], pa.list_(pa.int64())), pa.array([x for _, x in lists], pa.list_(pa.float32())),
-                         pa.array(np.array(part["scored"]) + scored), pa.array(ready)],
+                        [u.cast(pa.int32()), features.cast(pa.list_(pa.float32())), item, score,
+                         pa.array(scored.to_numpy() + more), pa.array(ready)],
                         ["u", "features", "item", "score", "scored", "done"])
 
+        state = state.repartition(tasks, "u")
         if words is None:
             state = state.withColumn("seen", F.lit(None).cast("array<struct<word:int,bits:long>>"))
         else:
@@ -262,6 +369,21 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
     return rows.select(*out, *([(F.col("pos") + 1).alias(rank_col)] if rank_col else []))
 
 
+def recommend_nested(model: ALSModel, n: int = 10, users: DataFrame | None = None, user: str = "userId", item: str = "movieId",
+                     slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS) -> DataFrame:
+    """``(user, recommendations[array<struct<item, rating>>])``, the rows of
+    ``ALSModel.recommendForAllUsers`` (with ``users``: of ``recommendForUserSubset``).
+
+    Spark ML scores all pairs and shuffles ``n`` rows per user and block of 4,096
+    items; this is the bound-pruned search of :func:`recommend`, ties to the smaller item id."""
+    factors = model.userFactors
+    if users is not None:
+        factors = factors.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
+    best = pruned_top_n(factors, model.itemFactors, None, n, slab_bytes, block)
+    one = lambda i, s: F.struct(i.cast("int").alias(item), s.alias("rating"))
+    return best.select(F.col("u").alias(user), F.zip_with("item", "score", one).alias("recommendations")).where("size(recommendations) > 0")
+
+
 def run_metrics(cfg: AlsConfig, rmse_df: DataFrame) -> DataFrame:
     """One-row run log: the configuration used and the evaluated RMSE."""
     return rmse_df.select(F.lit(cfg.run_id()).alias("run_id"), F.lit(cfg.rank).alias("rank"),

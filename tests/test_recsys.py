@@ -181,6 +181,57 @@ def test_bounds_hold_for_negative_scores_and_short_lists(spark):
     assert len(none) == 20 and not any(r["item"] for r in none)
 
 
+def test_cells_stop_the_scan_where_norms_cannot(spark):
+    """Items of one norm in many directions: lists equal brute force, most pairs are ruled out."""
+    rng = np.random.default_rng(5)
+    turn = rng.normal(0, 1, (6000, 3))
+    turn /= np.sqrt((turn ** 2).sum(1))[:, None]
+    items = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(turn)]
+    users = [(u, [float(np.float32(x)) for x in rng.normal(0, 1, 3)]) for u in range(200)]
+    seen = {u: {int(x) for x in rng.choice(6000, 100, replace=False)} for u, _ in users}
+    pairs = spark.createDataFrame([(u, i) for u, x in seen.items() for i in x], "u int, i int")
+    m = _Factors(spark, users, items)
+    for given, left_out in ((pairs, seen), (None, {})):
+        best = recsys.pruned_top_n(m.userFactors, m.itemFactors, given, 10, block=64).persist()
+        assert {r.u: r["item"] for r in best.collect()} == _brute(users, items, left_out, 10)
+        assert _scored(best) < 0.2 * 200 * 6000
+        best.unpersist()
+
+
+def test_factors_with_a_null_element_take_no_part(spark):
+    m = _Factors(spark, [(1, [1.0, 2.0]), (2, [None, 1.0])], [(1, [3.0, None]), (2, [0.5, 0.25]), (3, [-1.0, -1.0])])
+    best = {r.u: (r["item"], r["score"]) for r in recsys.pruned_top_n(m.userFactors, m.itemFactors, None, 5).collect()}
+    assert best == {1: ([2, 3], [1.0, -3.0]), 2: ([], [])}
+
+
+def test_nested_lists_cross_no_blocks_and_equal_brute_force(spark):
+    rng = np.random.default_rng(2)
+    items = [(i, [float(np.float32(x)) for x in rng.normal(0, 1, 4)]) for i in range(300)]
+    users = [(u, [float(np.float32(x)) for x in rng.normal(0, 1, 4)]) for u in range(30)]
+    m = _Factors(spark, users, items)
+    some = spark.createDataFrame([(3,), (3,), (7,), (99,), (None,)], "userId int")
+    for given, ids in ((None, range(30)), (some, (3, 7))):
+        got = recsys.recommend_nested(m, 5, given)
+        assert got.schema["recommendations"].dataType.simpleString() == "array<struct<movieId:int,rating:float>>"
+        plan = got._jdf.queryExecution().toString()
+        assert "Cross" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+        assert {r.userId: [x.movieId for x in r.recommendations] for r in got.collect()} == \
+            _brute([users[u] for u in ids], items, {}, 5)
+
+
+def test_nested_queries_cross_no_blocks(spark):
+    import __spark_entry__ as E
+    for name in ("als_recs_subset", "als_recs_nested_all", "als_nested_check"):
+        plan = E.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_users_are_dealt_to_tasks_by_their_number_not_bytes(spark):
+    m = _Factors(spark, [(u, [1.0]) for u in range(100)], [(1, [1.0])])
+    plan = recsys.pruned_top_n(m.userFactors.coalesce(1), m.itemFactors, None, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan[plan.index("MapInArrow"):]
+
+
 def test_factors_are_not_copied_and_seen_items_are_bitmaps(spark):
     m = _Factors(spark, [(1, [1.0])], [(1, [1.0])])
     ratings = spark.createDataFrame([(1, 2, 1.0)], "userId int, movieId int, rating float")
