@@ -145,12 +145,12 @@ def q_als_all_check(spark, sf_dir):
 @query("als_recs_subset")
 def q_als_recs_subset(spark, sf_dir):
     fact, _, m = _fitted(spark, sf_dir, SECOND)
-    return m.recommendForUserSubset(fact.select("userId").distinct(), RECS_PER_USER)
+    return recsys.recommend_nested(m, RECS_PER_USER, fact.select("userId"))
 
 
 @query("als_recs_nested_all")
 def q_als_recs_nested_all(spark, sf_dir):
-    return _fitted(spark, sf_dir, SECOND)[2].recommendForAllUsers(RECS_PER_USER)
+    return recsys.recommend_nested(_fitted(spark, sf_dir, SECOND)[2], RECS_PER_USER)
 
 
 @query("als_nested_check", P + f"""
@@ -163,8 +163,8 @@ def q_als_nested_check(spark, sf_dir):
         return recsys.flatten_recs(nested).groupBy("userId").agg(
             F.count("*").alias("items"), F.array_sort(F.collect_list("prediction")).alias("p"))
 
-    every = per_user(m.recommendForAllUsers(RECS_PER_USER))
-    some = per_user(m.recommendForUserSubset(fact.select("userId").distinct(), RECS_PER_USER)).select("userId", F.col("p").alias("q"))
+    every = per_user(recsys.recommend_nested(m, RECS_PER_USER))
+    some = per_user(recsys.recommend_nested(m, RECS_PER_USER, fact.select("userId"))).select("userId", F.col("p").alias("q"))
     return every.join(some, "userId", "left").select("userId", "items", F.coalesce(F.col("p") == F.col("q"), F.lit(False)).alias("subset_agrees"))
 
 
