@@ -18,9 +18,8 @@ Steps:
    similarity.  Pairs estimated at ``floor`` or more (0.8 lies 5 standard errors
    above the default) are candidates; documents that only share a template are not.
    At a similarity of 0.8 a pair misses all bands with probability (1 - 0.8^4)^32 = 5e-8.
-   A band of more than ``hot_band`` members is dealt into blocks, one task per
-   pair of blocks; members with at most ``SPARE`` such bands leave them, since a
-   similar pair misses the other 28 bands with probability 4e-7 only.
+   A band of more than ``hot_band`` members is dealt into blocks, one run of rows
+   per pair of blocks, so all its pairs meet: how many members a band has decides where they are compared, not whether.
 4. *Confirmation*: components of the candidate pairs are groups; a group is dealt into hash blocks bounded by documents and by
    shingles, one task group per pair of blocks.  Inside, pairs that pass the estimate
    are confirmed on full shingle sets, unless both
@@ -51,9 +50,8 @@ HASHES, BANDS, BITS = 128, 32, 2
 ROWS = HASHES // BANDS
 FLOOR = 0.59
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 750_000
-#: Members from which a band is dealt into blocks, and the number of such bands
-#: that a document may leave.
-HOT_BAND, SPARE = 1024, 4
+#: Members from which a band is dealt into blocks.
+HOT_BAND = 1024
 
 _A = (seeds(HASHES, 50) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (seeds(HASHES, 51) >> np.uint64(32)).astype(np.uint32)
@@ -217,11 +215,6 @@ def candidate_pairs(reps: DataFrame, percent: int = 80, floor: float = FLOOR, ho
     # Written, so a band of very many members is a join that AQE can split.
     bands = keep(members.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"), "neardup-bands")
     shared = members.join(bands, "band")
-    if not bands.where(F.col("c") > hot_band).isEmpty():
-        shared = keep(shared, "neardup-shared")
-        bound = shared.where(F.col("c") > hot_band).groupBy("rep").agg(F.count("*").alias("n")).where(F.col("n") > SPARE).select("rep")
-        shared = shared.where(F.col("c") <= hot_band).unionByName(
-            shared.where(F.col("c") > hot_band).join(keep(bound, "neardup-bound"), "rep", "left_semi"))
     blocks = F.ceil(F.col("c") / hot_band).cast("int")
     dealt = shared.select("rep", "band", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("mine")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -93,6 +93,16 @@ def test_a_shared_template_makes_no_candidates(spark):
             assert by_id(neardup.near_duplicates(docs, 4, hot_band=16)) == order(brute_components(rows, 4))
 
 
+def test_members_of_a_hot_band_all_meet(spark):
+    """Two alike members whose only common band is a hot one stay a pair, whatever the band's size."""
+    rng = random.Random(4)
+    rows = [(k, 100, [1, 1000 + k], [rng.getrandbits(63) for _ in range(4)]) for k in range(20)]
+    rows[13] = (13, 100, [1, 1013], rows[2][3])
+    reps = spark.createDataFrame(rows, "rep long, n_shingles long, bands array<long>, sig array<long>")
+    for hot in (1024, 16, 4):
+        assert [tuple(r) for r in neardup.candidate_pairs(reps, hot_band=hot).distinct().collect()] == [(2, 13)], hot
+
+
 @pytest.mark.parametrize("n,size", [(250, 90), (500, 300)])
 def test_recall_of_pairs_just_above_the_threshold(spark, n, size):
     """Pairs at 0.80 to 0.85, against their exact similarity."""
