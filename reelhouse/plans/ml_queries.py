@@ -39,9 +39,9 @@ def gold_ratings(spark, sf_dir):
     return written(S.ratings(spark, sf_dir), "gold_fact_ratings")
 
 
-def _fitted(spark, sf_dir, cfg):
-    """(gold fact, test side, model) of one run."""
-    fact = gold_ratings(spark, sf_dir)
+def _fitted(spark, sf_dir, cfg, fact=None):
+    """(gold fact, test side, model) of one run (``fact``: written before)."""
+    fact = gold_ratings(spark, sf_dir) if fact is None else fact
     train, test = recsys.split_ratings(fact, seed=cfg.seed)
     return fact, test, recsys.fit_als(train, cfg)
 
@@ -195,9 +195,9 @@ def q_als_rmse(spark, sf_dir):
 @query("als_run_metrics_values")
 def q_als_run_metrics_values(spark, sf_dir):
     """The run log of both models, with the RMSE."""
-    out = []
+    out, fact = [], gold_ratings(spark, sf_dir)
     for cfg in (FIRST, SECOND):
-        _, test, m = _fitted(spark, sf_dir, cfg)
+        _, test, m = _fitted(spark, sf_dir, cfg, fact)
         out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))))
     return out[0].unionByName(out[1])
 
@@ -207,9 +207,9 @@ def q_als_run_metrics_values(spark, sf_dir):
 def q_als_run_metrics(spark, sf_dir):
     """The run log of both models; ``evaluated``: its RMSE agrees with the
     error recomputed from the factors."""
-    out = []
+    out, fact = [], gold_ratings(spark, sf_dir)
     for cfg in (FIRST, SECOND):
-        _, test, m = _fitted(spark, sf_dir, cfg)
+        _, test, m = _fitted(spark, sf_dir, cfg, fact)
         again = _recomputed(test, m).first()["rmse"]
         agrees = F.coalesce(F.abs(F.col("rmse") - F.lit(again).cast("double")) < 1e-4, F.lit(False))
         out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))).withColumn("evaluated", agrees).drop("rmse"))

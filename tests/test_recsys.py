@@ -250,3 +250,19 @@ def test_wrong_rmse_is_noticed_and_values_are_registered(spark, monkeypatch):
     real = ml_queries.recsys.rmse
     monkeypatch.setattr(ml_queries.recsys, "rmse", lambda p: real(p).withColumn("rmse", F.col("rmse") + 1))
     assert not any(r.evaluated for r in run("als_run_metrics"))
+
+
+def test_both_runs_of_the_log_read_one_gold_fact(spark, monkeypatch):
+    from reelhouse.plans import ml_queries
+    real, calls = ml_queries.gold_ratings, []
+    monkeypatch.setattr(ml_queries, "gold_ratings", lambda *a: calls.append(1) or real(*a))
+    rows = ml_queries.q_als_run_metrics_values(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 2 and len(calls) == 1
+
+
+def test_a_null_factor_takes_no_other_item_with_it(spark):
+    """Items without a score share a block with others, which stay candidates."""
+    items = [(i, [float(i % 7), 1.0]) for i in range(40)] + [(100 + i, [None, 1.0]) for i in range(12)]
+    m = _Factors(spark, [(1, [1.0, 1.0])], items)
+    best = recsys.pruned_top_n(m.userFactors, m.itemFactors, None, 10).first()
+    assert best["item"] == _brute([(1, [1.0, 1.0])], items[:40], {}, 10)[1]
