@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.session import written
@@ -56,16 +56,38 @@ def split_ratings(df: DataFrame, keys=("userId", "movieId"), train_frac: float =
                   seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Seeded split on the md5 of the row key's text: the same row always
     lands on the same side whatever the partitioning or the engine
-    (``randomSplit`` depends on the layout)."""
+    (``randomSplit`` depends on the layout).  A fact that carries its side
+    (:func:`with_side`) is split by :func:`stored_split`, without the hashes."""
+    side = _train_side(keys, train_frac, seed)
+    return df.filter(side), df.filter(~side)
+
+
+def _train_side(keys, train_frac: float, seed: int) -> Column:
     head = F.substring(F.md5(F.concat_ws("-", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))), 1, 8)
-    cut = f"{min(int(train_frac * 2 ** 32), 2 ** 32 - 1):08x}"
-    return df.filter(head < cut), df.filter(head >= cut)
+    return head < f"{min(int(train_frac * 2 ** 32), 2 ** 32 - 1):08x}"
+
+
+SIDE = "_in_train"
+
+
+def with_side(df: DataFrame, keys=("userId", "movieId"), train_frac: float = 0.8, seed: int = 42) -> DataFrame:
+    """``df`` with the side of :func:`split_ratings` as a column, to be stored
+    where the sides are read several times (fit, scoring, evaluation)."""
+    return df.withColumn(SIDE, _train_side(keys, train_frac, seed))
+
+
+def stored_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a fact that carries its side."""
+    return df.filter(F.col(SIDE)).drop(SIDE), df.filter(~F.col(SIDE)).drop(SIDE)
 
 
 def fit_als(train: DataFrame, cfg: AlsConfig = AlsConfig()) -> ALSModel:
+    # Spark ML checkpoints at iterations 0, 10, 20, ...: a run of 10 or fewer would solve the
+    # items twice more and cut no lineage but that of its first half step.
     als = ALS(userCol=cfg.user, itemCol=cfg.item, ratingCol=cfg.rating, rank=cfg.rank,
               maxIter=cfg.max_iter, regParam=cfg.reg_param, nonnegative=cfg.nonnegative,
-              implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed)
+              implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed,
+              checkpointInterval=10 if cfg.max_iter > 10 else -1)
     if cfg.num_blocks:
         als = als.setNumBlocks(cfg.num_blocks)
     return als.fit(train)

@@ -33,17 +33,19 @@ scored AS (SELECT t.* FROM test t JOIN model_users USING (userId) JOIN model_ite
 P = with_ctes(R, SPLIT_SQL)
 
 
-def gold_ratings(spark, sf_dir):
+def gold_ratings(spark, sf_dir, seed=None):
     """The deduplicated ratings written once (the gold fact the model reads),
-    so the fit, the split and the seen pairs do not each rebuild it."""
-    return written(S.ratings(spark, sf_dir), "gold_fact_ratings")
+    so the fit, the split and the seen pairs do not each rebuild it.  With
+    ``seed`` the side of the split is stored beside them."""
+    rows = S.ratings(spark, sf_dir)
+    return written(rows if seed is None else recsys.with_side(rows, seed=seed), "gold_fact_ratings")
 
 
 def _fitted(spark, sf_dir, cfg, fact=None):
-    """(gold fact, test side, model) of one run (``fact``: written before)."""
-    fact = gold_ratings(spark, sf_dir) if fact is None else fact
-    train, test = recsys.split_ratings(fact, seed=cfg.seed)
-    return fact, test, recsys.fit_als(train, cfg)
+    """(gold fact, test side, model) of one run (``fact``: written before, with the sides of its seed)."""
+    fact = gold_ratings(spark, sf_dir, cfg.seed) if fact is None else fact
+    train, test = recsys.stored_split(fact)
+    return fact.drop(recsys.SIDE), test, recsys.fit_als(train, cfg)
 
 
 @query("als_split", P + "SELECT userId, movieId, rating, in_train FROM sided")
@@ -195,7 +197,7 @@ def q_als_rmse(spark, sf_dir):
 @query("als_run_metrics_values")
 def q_als_run_metrics_values(spark, sf_dir):
     """The run log of both models, with the RMSE."""
-    out, fact = [], gold_ratings(spark, sf_dir)
+    out, fact = [], gold_ratings(spark, sf_dir, FIRST.seed)  # SECOND has the same seed
     for cfg in (FIRST, SECOND):
         _, test, m = _fitted(spark, sf_dir, cfg, fact)
         out.append(recsys.run_metrics(cfg, recsys.rmse(m.transform(test))))
@@ -207,7 +209,7 @@ def q_als_run_metrics_values(spark, sf_dir):
 def q_als_run_metrics(spark, sf_dir):
     """The run log of both models; ``evaluated``: its RMSE agrees with the
     error recomputed from the factors."""
-    out, fact = [], gold_ratings(spark, sf_dir)
+    out, fact = [], gold_ratings(spark, sf_dir, FIRST.seed)  # SECOND has the same seed
     for cfg in (FIRST, SECOND):
         _, test, m = _fitted(spark, sf_dir, cfg, fact)
         again = _recomputed(test, m).first()["rmse"]

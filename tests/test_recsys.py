@@ -266,3 +266,19 @@ def test_a_null_factor_takes_no_other_item_with_it(spark):
     m = _Factors(spark, [(1, [1.0, 1.0])], items)
     best = recsys.pruned_top_n(m.userFactors, m.itemFactors, None, 10).first()
     assert best["item"] == _brute([(1, [1.0, 1.0])], items[:40], {}, 10)[1]
+
+
+def test_the_side_of_the_split_is_hashed_once(spark, monkeypatch):
+    """Fit and scoring read the side stored with the gold fact; it is the side of the split."""
+    from reelhouse.plans import ml_queries
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5 + 1), 7) for u in range(12) for i in range(15)],
+                                 "userId int, movieId int, rating float, timestamp long")
+    monkeypatch.setattr(ml_queries.S, "ratings", lambda *a: rows)
+    fits = []
+    monkeypatch.setattr(ml_queries.recsys, "fit_als", lambda train, cfg: fits.append(train))
+    fact, test, _ = ml_queries._fitted(spark, "", ml_queries.FIRST)
+    train, want = recsys.split_ratings(rows)
+    assert sorted(fits[0].collect()) == sorted(train.collect()) and sorted(test.collect()) == sorted(want.collect())
+    assert fact.columns == rows.columns and fact.count() == rows.count()
+    for side in (fits[0], test):
+        assert "md5" not in side._jdf.queryExecution().executedPlan().toString()
