@@ -13,10 +13,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.session import written
+from reelhouse.session import setting, written
+
+
+#: Size up to which a partition of a join's smaller side is hashed.
+HASHED_PARTITION = "64MB"
+
+
+def small_side_hashed(spark: SparkSession):
+    """For statements that join much to little: adaptive execution measures the
+    shuffled sides, and where each partition of the smaller one is little, it is hashed
+    and the larger side is not sorted; otherwise the sort-merge join stays."""
+    return setting(spark, "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED_PARTITION)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -423,12 +423,13 @@ def q_topped_up_gold(spark, sf_dir):
     waves, in which ratings change and move to other months."""
     from reelhouse.plans import pipelines as P
     db, cfg = _scratch_db(spark), P.RatingsPipelineConfig(key_buckets=8, date_grain="month")
-    raw = written(S.ratings_raw(spark, sf_dir).select("userId", "movieId", "rating", "timestamp"), "raw")
-    part = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(60))
-    wave = F.when(part < 2, part).otherwise(-1)
-    P.ratings_bronze(spark, {"ratings": raw.where(wave == -1), "movies": S.movies(spark, sf_dir), "links": S.links(spark, sf_dir)}, db)
+    raw = S.ratings_raw(spark, sf_dir).select("userId", "movieId", "rating", "timestamp")
+    part = F.pmod(F.xxhash64("userId", "movieId", "timestamp"), F.lit(60)).cast("int")
+    raw = written(raw.withColumn("wave", F.when(part < 2, part).otherwise(-1)), "raw", ["wave"])  # a wave reads its own files
+    wave = lambda k: raw.where(F.col("wave") == k).drop("wave")
+    P.ratings_bronze(spark, {"ratings": wave(-1), "movies": S.movies(spark, sf_dir), "links": S.links(spark, sf_dir)}, db)
     P.ratings_silver(spark, db, key_buckets=cfg.key_buckets)
     P.ratings_gold(spark, db, cfg)
     for k in (0, 1):
-        P.ratings_top_up(spark, raw.where(wave == k), db, cfg)
+        P.ratings_top_up(spark, wave(k), db, cfg)
     return spark.table(f"{db}.gold_fact_ratings").select("userId", "movieId", "rating", "timestamp", "rating_date")

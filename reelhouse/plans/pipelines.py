@@ -21,7 +21,7 @@ from reelhouse.functions.strings import split_list
 from reelhouse.operators import aggregates as agg
 from reelhouse.operators import recsys, scoring
 from reelhouse.operators.clean import any_null, dedup_latest, scrub_header_rows, scrub_null_token
-from reelhouse.operators.joins import enrich_recs, lookup_attrs
+from reelhouse.operators.joins import enrich_recs, lookup_attrs, small_side_hashed
 from reelhouse.operators.ranking import top_k
 from reelhouse.session import scratch_path, written
 from reelhouse.sources import files
@@ -76,7 +76,7 @@ def ratings_silver(spark: SparkSession, db: str, fmt: str = "parquet", key_bucke
     fact, name = _typed_ratings(spark.table(_t(db, "bronze_ratings_csv"))), _t(db, "silver_fact_ratings")
     if key_buckets:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        merge_wave(fact, name, KEYS, LATEST, key_buckets, fmt)
+        merge_wave(fact, name, KEYS, LATEST, key_buckets, fmt, True)
     else:
         write_layer(fact, name, fmt=fmt)
     m = spark.table(_t(db, "bronze_movies_csv"))
@@ -116,7 +116,8 @@ def ratings_top_up(spark: SparkSession, raw: DataFrame, db: str, cfg: RatingsPip
     wave = written(with_key_bucket(_typed_ratings(raw), KEYS, cfg.key_buckets), "wave_typed")
     keys = wave.select(*(F.col(k).alias(f"_{k}") for k in KEYS))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS))
-    before = written(touched(spark.table(silver), wave, ["key_bucket"]).join(keys, same, "left_semi"), "wave_before")
+    with small_side_hashed(spark):
+        before = written(touched(spark.table(silver), wave, ["key_bucket"]).join(keys, same, "left_semi"), "wave_before")
     after = dedup_latest(before.unionByName(wave), KEYS, LATEST)
 
     def by_day(rows):
@@ -125,8 +126,9 @@ def ratings_top_up(spark: SparkSession, raw: DataFrame, db: str, cfg: RatingsPip
     (old, part), new = by_day(before), by_day(after)[0]
     days = written(old.select(part).unionByName(new.select(part)).distinct(), "wave_days")
     stay = touched(spark.table(gold), days, [part]).join(keys, same, "left_anti")
-    overwrite_partitions(stay.unionByName(new), gold, cfg.fmt, also=days)
-    merge_wave(wave.drop("key_bucket"), silver, KEYS, LATEST, cfg.key_buckets, cfg.fmt)
+    with small_side_hashed(spark):
+        overwrite_partitions(stay.unionByName(new), gold, cfg.fmt, also=days)
+    merge_wave(wave.drop("key_bucket"), silver, KEYS, LATEST, cfg.key_buckets, cfg.fmt, True)
     raw.write.format(cfg.fmt).mode("append").saveAsTable(_t(db, "bronze_ratings_csv"))
     users = agg.user_dim(spark.table(silver))
     write_layer(users, _t(db, "silver_dim_users"), fmt=cfg.fmt)

@@ -106,12 +106,12 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def written(df, name: str):
+def written(df, name: str, partition_by=()):
     """``df`` written once as Parquet in the shared scratch folder and read
     back (a layer table without a catalog entry): later plans start from files
     that outlive lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

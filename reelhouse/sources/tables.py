@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.operators.clean import dedup_latest
-from reelhouse.operators.joins import SALT, hot_keys, with_salt
+from reelhouse.operators.joins import SALT, hot_keys, small_side_hashed, with_salt
 from reelhouse.session import setting, written
 
 
@@ -279,7 +279,8 @@ def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet", also: D
     """Replace exactly the partitions of ``name`` that ``df`` has rows for;
     the files of all others stay as they are.  ``df`` may read the table.
     ``also`` names further partitions by their values: those without a row in ``df``
-    become empty.  Columns that the table lacks are added to it."""
+    become empty.  Columns that the table lacks are added to it.  Where no other
+    partition is left, the table moves to the new files as in :func:`rewrite_table`."""
     spark = df.sparkSession
     parts, _ = _layout(spark, name)
     if not parts:
@@ -295,10 +296,18 @@ def overwrite_partitions(df: DataFrame, name: str, fmt: str = "parquet", also: D
     if also is not None:
         gone = also.select(*parts).distinct().exceptAll(spark.table(stage).select(*parts).distinct())
         cleared = [{c: v if v is None or isinstance(v, (int, float)) else str(v) for c, v in r.asDict().items()} for r in gone.collect()]
-    _commit(spark, name, stage, "partitions", cleared)
+    whole = _all_replaced(spark, name, stage, parts, also) and _swappable(spark, name, stage)
+    _commit(spark, name, stage, "swap" if whole else "partitions", [] if whole else cleared)
     _finish(spark, name, stage)
 
 
+def _all_replaced(spark: SparkSession, name: str, stage: str, parts: Sequence[str], also: DataFrame | None) -> bool:
+    """Whether a change of partitions leaves no other partition: the stage
+    is then the new table and its rows need not be written again."""
+    stays = spark.table(name).select(*parts).distinct().exceptAll(spark.table(stage).select(*parts).distinct())
+    return (stays if also is None else stays.exceptAll(also.select(*parts).distinct())).isEmpty()
+
+
 def touched(table: DataFrame, rows: DataFrame, parts: Sequence[str]) -> DataFrame:
     """The rows of ``table`` in partitions that ``rows`` falls into.  The partition
     values (as many as partitions are touched) become literals of the filter, so
@@ -332,20 +341,41 @@ def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int, out: str =
 
 
 def merge_wave(wave: DataFrame, name: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64,
-               fmt: str = "parquet") -> None:
+               fmt: str = "parquet", latest: bool = False) -> None:
     """Merge a wave of rows into a table that holds the latest row per key,
     partitioned by key bucket: only the buckets the wave falls into are read
     and rewritten.  The first wave creates the table.  A wave that comes
-    twice changes nothing.  Choose ``buckets`` so that a usual wave touches few of them."""
+    twice changes nothing.  Choose ``buckets`` so that a usual wave touches few of them.
+
+    ``latest``: the wave holds one row per key already.  So does the table, so its rows
+    are joined to the wave's and not deduplicated again."""
     spark = wave.sparkSession
-    wave = with_key_bucket(dedup_latest(wave, list(keys), list(order)), keys, buckets)
+    wave = with_key_bucket(wave if latest else dedup_latest(wave, list(keys), list(order)), keys, buckets)
     if not spark.catalog.tableExists(name):
         write_layer(wave, name, fmt=fmt, partition_by=["key_bucket"])
         _set_properties(spark, name, {"key_buckets": str(buckets)})
         return
     if int(_properties(spark, name)["key_buckets"]) != buckets:
         raise ValueError(f"{name} has {_properties(spark, name)['key_buckets']} key buckets, not {buckets}")
-    merge_late(wave, name, keys, order, fmt)
+    late = written(wave, "late")
+    with small_side_hashed(spark):
+        overwrite_partitions(_later(touched(spark.table(name), late, ["key_bucket"]), late, ["key_bucket", *keys], order), name, fmt)
+
+
+def _later(rows: DataFrame, late: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """What ``dedup_latest`` gives for both together, if each has one row per key."""
+    both = rows.limit(0).unionByName(late.limit(0), allowMissingColumns=True).schema
+    first = [c for c in order if c not in keys]
+    rest = [f.name for f in both if f.name not in keys and f.name not in first]
+
+    def packed(df, prefix):
+        cells = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(both[c].dataType).alias(c) for c in [*first, *rest]]
+        return df.select(*(F.col(k).alias(f"{prefix}{k}") for k in keys), F.struct(*cells).alias(f"{prefix}row"))
+
+    same = reduce(and_, (F.col(f"_a_{k}").eqNullSafe(F.col(f"_b_{k}")) for k in keys))
+    met = packed(rows, "_a_").join(packed(late, "_b_"), same, "full_outer")
+    met = met.select(*(F.coalesce(f"_a_{k}", f"_b_{k}").alias(k) for k in keys), F.greatest("_a_row", "_b_row").alias("_row"))
+    return met.select(*(F.col(f.name) if f.name in keys else F.col(f"_row.{f.name}").alias(f.name) for f in both))
 
 
 def append_run(run: DataFrame, name: str, run_at: str, key: str = "run_id", fmt: str = "parquet") -> None:

@@ -258,3 +258,40 @@ def test_top_ups_equal_a_rebuild(spark, db, monkeypatch):
     assert spark.table(f"{db}.gold_fact_ratings").where("rating_date = '1970-02-20'").isEmpty()
     with pytest.raises(ValueError):
         P.ratings_top_up(spark, frame(waves[0]), db, P.RatingsPipelineConfig())
+
+
+def test_a_change_of_all_partitions_is_written_once(spark, db, monkeypatch):
+    """No other partition is left: the table moves to the new files, and one
+    that ends empty is gone.  Broken off, it recovers."""
+    name = f"{db}.fact"
+    tables.write_layer(spark.range(20).selectExpr("id", "id % 4 AS p"), name, partition_by=["p"])
+    monkeypatch.setattr(tables, "_put_partitions", lambda *a: (_ for _ in ()).throw(Broken()))
+    new = spark.table(name).where("p <> 3").selectExpr("id + 100 AS id", "p")
+    tables.overwrite_partitions(new, name, also=spark.createDataFrame([(3,)], "p long"))
+    want = in_order([(i + 100, i % 4) for i in range(20) if i % 4 != 3])
+    assert content(spark, name) == want and not tables._stages(spark, name)
+    with monkeypatch.context() as m:
+        stop(m, "_point", False)
+        with pytest.raises(Broken):
+            tables.overwrite_partitions(spark.table(name).where("id > 110"), name)
+    assert content(spark, name) == want
+    assert tables.recover(spark, name) == "finished" and content(spark, name) == [r for r in want if r[0] > 110]
+    with pytest.raises(Broken):  # partition 9 is new, the others stay
+        tables.overwrite_partitions(spark.createDataFrame([(1, 9)], "id long, p long"), name)
+
+
+def test_a_wave_is_joined_to_the_latest_rows(spark, db, monkeypatch):
+    """The table is not deduplicated again: null keys and values, keys that are
+    older, newer or new, and a column that only the wave has."""
+    name, keys, order = f"{db}.silver", ["a", "b"], ["ts", "v"]
+    old = spark.createDataFrame([(a, b, t, v, "old") for a, b, t, v in [(1, None, 5, 1.0), (None, None, 5, None), (1, 1, None, 2.0), (2, 1, 7, 3.0),
+                                                                         (3, 3, 7, 0.5), (4, 4, 4, None)]], "a int, b int, ts long, v double, note string")
+    new = spark.createDataFrame([(a, b, t, v, "new", 1) for a, b, t, v in [(1, None, 6, 0.0), (None, None, 5, 0.0), (1, 1, None, None), (2, 1, 6, 9.0),
+                                                                           (3, 3, 7, 0.5), (None, 8, None, None)]], "a int, b int, ts long, v double, note string, w int")
+    tables.merge_wave(old, name, keys, order, 2)
+    seen = []
+    monkeypatch.setattr(tables, "dedup_latest", lambda df, *a: seen.append(df) or dedup_latest(df, *a))
+    tables.merge_wave(new, name, keys, order, 2, "parquet", True)
+    assert not seen
+    full = tables.with_key_bucket(dedup_latest(old.unionByName(new, allowMissingColumns=True), keys, order), keys, 2)
+    assert content(spark, name) == in_order(full.select(*sorted(full.columns)).collect())
