@@ -81,15 +81,25 @@ def stored_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(SIDE)).drop(SIDE), df.filter(~F.col(SIDE)).drop(SIDE)
 
 
+#: Iterations between two checkpoints of a fit, and item blocks for each user block.
+CHECKPOINT_EVERY, ITEM_BLOCKS = 3, 0.5
+
+
 def fit_als(train: DataFrame, cfg: AlsConfig = AlsConfig()) -> ALSModel:
-    # Spark ML checkpoints at iterations 0, 10, 20, ...: a run of 10 or fewer would solve the
-    # items twice more and cut no lineage but that of its first half step.
+    """The model of ``cfg``.
+
+    A half step sends each user to all item blocks and each item to all user blocks that rate
+    it.  Spark ML draws the first user factors per user block, so their number is part of the
+    model; that of the item blocks is not, and half as many halve what users send.  Spark ML
+    removes the exchanged files of past iterations at a checkpoint (iterations 0, 3, 6, ...);
+    without one they all stay until the model is gone."""
     als = ALS(userCol=cfg.user, itemCol=cfg.item, ratingCol=cfg.rating, rank=cfg.rank,
               maxIter=cfg.max_iter, regParam=cfg.reg_param, nonnegative=cfg.nonnegative,
               implicitPrefs=cfg.implicit_prefs, coldStartStrategy=cfg.cold_start, seed=cfg.seed,
-              checkpointInterval=10 if cfg.max_iter > 10 else -1)
+              checkpointInterval=CHECKPOINT_EVERY)
     if cfg.num_blocks:
         als = als.setNumBlocks(cfg.num_blocks)
+    als = als.setNumItemBlocks(max(1, round(als.getNumUserBlocks() * ITEM_BLOCKS)))
     return als.fit(train)
 
 

@@ -282,3 +282,28 @@ def test_the_side_of_the_split_is_hashed_once(spark, monkeypatch):
     assert fact.columns == rows.columns and fact.count() == rows.count()
     for side in (fits[0], test):
         assert "md5" not in side._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_fit_drops_the_files_of_past_iterations(spark):
+    """A model in use pins the lineage of its fit; the exchanged files of past iterations are gone all the same."""
+    df, _ = _planted(spark)
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    before = held()
+    m = recsys.fit_als(df, recsys.AlsConfig(rank=2, max_iter=10))
+    assert held() - before < 10  # 20 half steps were exchanged
+    assert m.userFactors.count() == 40 and m.itemFactors.count() == 30
+
+
+def test_fewer_item_blocks_send_less_and_give_the_same_model(spark, monkeypatch):
+    """First factors are drawn per user block; item blocks only decide how often a user's factor is sent."""
+    df, _ = _planted(spark)
+    cfg = recsys.AlsConfig(rank=3, max_iter=6, num_blocks=4)
+    real, fits = recsys.ALS.fit, []
+    monkeypatch.setattr(recsys.ALS, "fit", lambda self, train: fits.append(self) or real(self, train))
+    few = recsys.fit_als(df, cfg)
+    monkeypatch.setattr(recsys, "ITEM_BLOCKS", 1)
+    even = recsys.fit_als(df, cfg)
+    assert [(a.getNumUserBlocks(), a.getNumItemBlocks()) for a in fits] == [(4, 2), (4, 4)]
+    for side in ("userFactors", "itemFactors"):
+        a, b = ({r.id: np.array(r.features) for r in getattr(m, side).collect()} for m in (few, even))
+        assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], rtol=1e-4, atol=1e-5) for i in a)
