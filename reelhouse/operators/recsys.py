@@ -7,11 +7,12 @@ user meets the cells whose bound reaches the n-th best score so far, and is done
 with all slabs once that score is above |user| times the largest norm still to come: no other
 item can enter, not even by a tie.
 
-Users are dealt to tasks by their id: a slab (at most ``SLAB_BYTES``) is broadcast to them, one slab
-at a time, so a factor is sent once per executor and not once per opposite
-block.  Seen items are sparse bitmaps, a 64-bit word per 64 consecutive items of
-which the user saw one, made by a partial ``bit_or`` before the shuffle; a
-user's row holds the words of one slab only.
+Users are dealt to tasks by their id, once: slabs (of at most ``SLAB_BYTES``) are broadcast to them,
+so a factor is sent once per executor and not once per opposite
+block.  A task meets the slabs of a pass (1, 2, 4, ..., ``PASS_SLABS`` of them) one at a time,
+``GROUP_USERS`` users with each; users that are not done are written for the next pass and not dealt anew.
+Seen items are sparse bitmaps, a 64-bit word per 64 consecutive item ids of
+which the user saw one, made by a partial ``bit_or``, for hot users before the shuffle.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.operators.joins import hot_keys
 from reelhouse.session import written
-from reelhouse.sources.files import with_batch_number
 
 
 @dataclass(frozen=True)
@@ -116,9 +117,11 @@ def flatten_recs(nested: DataFrame, user: str = "userId", item: str = "movieId")
     return e.select(user, F.col(f"r.{item}").alias(item), F.col("r.rating").alias("prediction"))
 
 
-#: Bytes of item factors that are broadcast at once, items of one cell, users
+#: Bytes of item factors of one broadcast, items of one cell, users
 #: of one batch, and tasks per core that the users are dealt to.
 SLAB_BYTES, BLOCK_ITEMS, BATCH_USERS, TASKS_PER_CORE = 64 << 20, 1024, 4096, 3
+#: Most slabs of one pass over the users, and users that a task holds while it meets them.
+PASS_SLABS, GROUP_USERS = 16, 8 * BATCH_USERS
 #: Room for rounding in the bounds: scores are products in double precision
 #: rounded to the model's float type.
 SLACK = 1e-6
@@ -171,8 +174,8 @@ def _matrix(features: pa.Array) -> np.ndarray:
     return features.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(features), -1)
 
 
-def _seen_places(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(user, place in the slab) of every bit of the users' bitmap words."""
+def _seen_items(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(user, item id) of every bit of the users' bitmap words."""
     sizes = _lengths(words)
     if not sizes.sum():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -214,9 +217,9 @@ class Cells:
         sizes = np.array([len(c) for c in cells], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         flat = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-        self.position = np.full(len(v), -1)  # of a place of the slab
-        self.position[ok[flat]] = np.arange(len(flat))
         self.ids, v = ids[ok[flat]], v[ok[flat]]
+        self.by_id = np.argsort(self.ids, kind="stable").astype(np.int32)
+        self.sorted_ids = self.ids[self.by_id]
         self.factors = np.ascontiguousarray(v.T, np.float32)
         w, scaled = w[flat], scaled[flat]
         first = self.starts[:-1]
@@ -227,6 +230,17 @@ class Cells:
             self.radius = np.sqrt(np.maximum.reduceat((off * off).sum(1), first))
             self.norm = np.sqrt(np.maximum.reduceat((v * v).sum(1), first))
 
+    def positions(self, user: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(user, position in the cells) of the given items, by position; others are left out."""
+        first = np.searchsorted(self.sorted_ids, item)
+        at = np.flatnonzero(self.sorted_ids[np.minimum(first, len(self.sorted_ids) - 1)] == item)
+        user, item, first = user[at], item[at], first[at]
+        times = np.searchsorted(self.sorted_ids, item, "right") - first  # an id may come twice
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        user, position = np.repeat(user, times), self.by_id[np.repeat(first, times) + within]
+        order = np.argsort(position, kind="stable")
+        return user[order], position[order]
+
     def bounds(self, u: np.ndarray, length: np.ndarray) -> np.ndarray:
         """An upper bound of each user's scores in each cell."""
         x = u @ self.axes
@@ -238,21 +252,19 @@ class Cells:
         return np.minimum(np.minimum(box, ball), most) + SLACK * np.maximum(room, most) + 1e-30
 
 
-def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray], cells: Cells, rest: float) -> tuple[np.ndarray, np.ndarray]:
-    """Offer one slab (``rest``: the largest norm after it) to a batch of
-    users.  Returns which users are done and how many pairs each scored.
+def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray], cells: Cells, rest: float,
+                 done: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offer one slab (``rest``: the largest norm after it) to those of a batch of
+    users that are not ``done``.  Returns which users are done now and how many pairs each scored.
 
     Each user meets the cell of highest bound first, then, cell by cell, all users meet
     the cell whose bound does not rule it out.  Products in single precision find the pairs that may enter;
     these are scored in double precision, factor by factor, so equal factors give equal predictions."""
     length = np.sqrt((u * u).sum(1))
     scored = np.zeros(len(u), np.int64)
-    usable = np.isfinite(length)
+    usable = np.isfinite(length) & ~done
     if len(cells.ids) and usable.any():
-        user, place = seen
-        position = cells.position[place]
-        order = np.argsort(position, kind="stable")
-        user, position = user[order], position[order]
+        user, position = cells.positions(*seen)
         small = u.astype(np.float32)
         bound = np.full((len(u), len(cells.starts) - 1), -np.inf)
         bound[usable] = cells.bounds(u[usable], length[usable])
@@ -302,12 +314,16 @@ def best_of_slab(u: np.ndarray, best: _Best, seen: tuple[np.ndarray, np.ndarray]
 
 
 def _slabs(item_factors: DataFrame, slab_items: int) -> DataFrame:
-    """Items numbered by falling norm, written once: i, features, norm, slab, place."""
+    """Items numbered by falling norm (at), sorted and written once: i, features, norm, at, slab.
+
+    The number is the place inside its range partition behind the rows of all earlier ones."""
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    rows = item_factors.select(F.col("id").alias("i"), "features", norm.alias("norm"))
-    rows = with_batch_number(rows, [F.col("norm").desc(), "i"], 1, "at").withColumn("at", F.col("at") - 1)
-    return written(rows.select("i", "features", "norm", F.expr(f"int(at div {slab_items})").alias("slab"),
-                               (F.col("at") % slab_items).cast("int").alias("place")), "item_slabs")
+    rows = item_factors.select(F.col("id").alias("i"), "features", norm.alias("norm")).orderBy(F.col("norm").desc(), "i")
+    rows = written(rows.select("*", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("mid")), "item_slabs")
+    held = {r["pid"]: r["count"] for r in rows.groupBy("pid").count().collect()}
+    before = np.concatenate([[0], np.cumsum([held.get(p, 0) for p in range(max(held, default=0))])]).astype(int)
+    at = F.element_at(F.array(*(F.lit(int(x)).cast("long") for x in before)), F.col("pid") + 1) + F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33)
+    return rows.select("i", "features", "norm", at.alias("at")).withColumn("slab", F.expr(f"int(at div {slab_items})"))
 
 
 def _moment(user_factors: DataFrame, rank: int) -> np.ndarray:
@@ -320,66 +336,111 @@ def _moment(user_factors: DataFrame, rank: int) -> np.ndarray:
     return out
 
 
+def _bitmaps(seen: DataFrame, tasks: int) -> DataFrame:
+    """(u, seen): a user's seen items as sparse bitmap words, dealt to ``tasks`` tasks by user.
+
+    Pairs are shuffled once, as they are; only those of hot users (``seen`` is read for their
+    counts first) become words before.  Words of other users hold hardly more than one item each."""
+    pairs = seen.where("u is not null and i is not null").select("u", F.col("i").cast("long").alias("i"))
+    hot = hot_keys(pairs, "u")
+    bit, word = F.expr("shiftleft(1L, cast(i & 63 as int))"), F.shiftright("i", 6)
+    many = pairs.join(F.broadcast(hot), "u", "left_semi").groupBy("u", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    few = pairs.join(F.broadcast(hot), "u", "left_anti").withColumn("bits", F.lit(None).cast("long"))
+    dealt = few.unionByName(many.select("u", F.shiftleft("word", 6).alias("i"), "bits")).repartition(tasks, "u")
+    words = dealt.groupBy("u", word.alias("word")).agg(F.bit_or(F.coalesce("bits", bit)).alias("bits"))
+    return words.groupBy("u").agg(F.collect_list(F.struct("word", "bits")).alias("seen"))
+
+
+_SEEN = pa.list_(pa.struct([("word", pa.int64()), ("bits", pa.int64())]))
+
+
+def _offered(users: pa.Table, slabs: list, n: int) -> list[pa.RecordBatch]:
+    """A group of users after the slabs of one pass; a user that is done keeps its lists only."""
+    parts = [users.slice(a, BATCH_USERS).combine_chunks() for a in range(0, users.num_rows, BATCH_USERS)]
+    parts = [{c: p[c].chunk(0) for c in p.column_names} for p in parts]
+    factors = [_matrix(p["features"]) for p in parts]
+    best = [_Best(p["item"], p["score"], n) for p in parts]
+    seen = [_seen_items(p["seen"]) for p in parts]
+    scored = [p["scored"].to_numpy().copy() for p in parts]
+    done = [np.zeros(len(x), bool) for x in scored]
+    for shared, rest in slabs:
+        cells = shared.value
+        for k in range(len(parts)):
+            if not done[k].all():
+                done[k], more = best_of_slab(factors[k], best[k], seen[k], cells, rest, done[k])
+                scored[k] += more
+        del cells
+        if len(slabs) > 1:  # a worker would keep every slab it met
+            vars(shared).pop("_value", None)
+    out = []
+    for k, p in enumerate(parts):
+        item, score = best[k].lists()
+        at = pa.RecordBatch.from_arrays(
+            [p["u"].cast(pa.int32()), p["features"].cast(pa.list_(pa.float32())), item, score, pa.array(scored[k]), p["seen"].cast(_SEEN), pa.array(done[k])],
+            ["u", "features", "item", "score", "scored", "seen", "done"])
+        ready = at.filter(at["done"])
+        for c in ("features", "seen"):
+            j = ready.schema.get_field_index(c)
+            ready = ready.set_column(j, c, pa.nulls(ready.num_rows, ready.schema.field(j).type))
+        out += [x for x in (ready, at.filter(pc.invert(at["done"]))) if x.num_rows]
+    return out
+
+
 def pruned_top_n(user_factors: DataFrame, item_factors: DataFrame, seen: DataFrame | None, n: int,
-                 slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS) -> DataFrame:
+                 slab_bytes: int = SLAB_BYTES, block: int = BLOCK_ITEMS, wanted: DataFrame | None = None) -> DataFrame:
     """Exact top ``n`` per user: (u, item array, score array, scored).
 
-    Factors are (id, features); ``seen`` (u, i) pairs are left out.  Lists go by score, then item id;
-    ``scored`` counts the pairs that were multiplied for the user."""
+    Factors are (id, features); ``seen`` (u, i) pairs are left out (read three times: pass a stored table);
+    ``wanted`` (id) limits the users.
+    Lists go by score, then item id; ``scored`` counts the pairs that were multiplied for the user."""
     spark = user_factors.sparkSession
     rank = item_factors.select(F.coalesce(F.max(F.size("features")), F.lit(1))).first()[0]
-    slab_items = max(64, slab_bytes // (4 * rank + 16) // 64 * 64)
-    slabs = _slabs(item_factors, slab_items)
+    slabs = _slabs(item_factors, max(64, slab_bytes // (4 * rank + 16) // 64 * 64))
     tops = {r["slab"]: r["norm"] for r in slabs.groupBy("slab").agg(F.max("norm").alias("norm")).collect()}
-    words = None
-    if seen is not None:
-        pairs = seen.where("u is not null and i is not null").join(slabs.select("i", "slab", "place"), "i")
-        words = pairs.groupBy("u", "slab", F.expr("place div 64").cast("int").alias("word")).agg(
-            F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits")).groupBy("u", "slab").agg(
-            F.collect_list(F.struct("word", "bits")).alias("seen"))
-        if len(tops) > 1:
-            words = written(words, "seen_words")
-    none = F.array()
-    state = user_factors.select(F.col("id").alias("u"), "features", none.cast("array<long>").alias("item"),
-                                none.cast("array<float>").alias("score"), F.lit(0).cast("long").alias("scored"))
-    schema = "u int, features array<float>, item array<long>, score array<float>, scored long, done boolean"
-    done = state.withColumn("done", F.lit(True)) if not tops else None
-    moment = _moment(user_factors, rank) if tops else None
     # The work of a row is much more than its bytes: sizes must not decide the number of tasks.
     tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-    for slab in sorted(tops):
-        rows = slabs.where(F.col("slab") == slab).select("i", "features", "place").toArrow().sort_by("place")
-        shared = spark.sparkContext.broadcast(Cells(rows["i"].to_numpy().astype(np.int64), _matrix(rows["features"].combine_chunks()), moment, block))
-        rest = -1.0 if slab + 1 not in tops else np.inf if tops[slab + 1] is None else tops[slab + 1]
-
-        def offer(batches, shared=shared, rest=rest):
-            cells = shared.value
+    state = user_factors.select(F.col("id").alias("u"), "features").repartition(tasks, "u")
+    if wanted is not None:
+        state = state.join(wanted.select(F.col("id").alias("u")), "u", "left_semi")
+    none, words = F.array(), "array<struct<word:bigint,bits:bigint>>"
+    if seen is None:
+        state = state.withColumn("seen", F.lit(None).cast(words))
+    else:
+        state = state.join(_bitmaps(seen, tasks), "u", "left")
+    state = state.select("u", "features", none.cast("array<long>").alias("item"), none.cast("array<float>").alias("score"),
+                         F.lit(0).cast("long").alias("scored"), F.col("seen").cast(words).alias("seen"))
+    schema = f"u int, features array<float>, item array<long>, score array<float>, scored long, seen {words}, done boolean"
+    if not tops:
+        return state.select("u", "item", "score", "scored")
+    moment, done, start, many = _moment(user_factors, rank), None, 0, 1
+    while True:
+        met = []
+        for slab in range(start, min(start + many, len(tops))):
+            rows = slabs.where(F.col("slab") == slab).select("i", "features", "at").toArrow().sort_by("at")
+            shared = spark.sparkContext.broadcast(Cells(rows["i"].to_numpy().astype(np.int64), _matrix(rows["features"].combine_chunks()), moment, block))
+            met.append((shared, -1.0 if slab + 1 not in tops else np.inf if tops[slab + 1] is None else tops[slab + 1]))
+
+        def offer(batches, met=met):
+            held = []
             for batch in batches:
-                for a in range(0, batch.num_rows, BATCH_USERS):
-                    part = pa.Table.from_batches([batch.slice(a, BATCH_USERS)]).combine_chunks()
-                    u, features, item, score, scored, words = (part[c].chunk(0) for c in ("u", "features", "item", "score", "scored", "seen"))
-                    best = _Best(item, score, n)
-                    ready, more = best_of_slab(_matrix(features), best, _seen_places(words), cells, rest)
-                    item, score = best.lists()
-                    yield pa.RecordBatch.from_arrays(
-                        [u.cast(pa.int32()), features.cast(pa.list_(pa.float32())), item, score,
-                         pa.array(scored.to_numpy() + more), pa.array(ready)],
-                        ["u", "features", "item", "score", "scored", "done"])
-
-        state = state.repartition(tasks, "u")
-        if words is None:
-            state = state.withColumn("seen", F.lit(None).cast("array<struct<word:int,bits:long>>"))
-        else:
-            state = state.join(words.where(F.col("slab") == slab).select("u", "seen"), "u", "left")
-        state = state.select("u", "features", "item", "score", "scored", "seen").mapInArrow(offer, schema)
-        if len(tops) > 1:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= GROUP_USERS:
+                    yield from _offered(pa.Table.from_batches(held), met, n)
+                    held = []
+            if held:
+                yield from _offered(pa.Table.from_batches(held), met, n)
+
+        state = state.mapInArrow(offer, schema)
+        start, many = start + len(met), min(2 * many, PASS_SLABS)
+        if start < len(tops):
             state = written(state, "top_n")
         ready = state.where("done")
         done = ready if done is None else done.unionByName(ready)
-        if slab + 1 in tops:
-            state = state.where("not done").drop("done")
-            if state.isEmpty():
-                break
+        if start == len(tops):
+            break
+        state = state.where("not done").drop("done")
+        if state.isEmpty():
+            break
     return done.select("u", "item", "score", "scored")
 
 
@@ -394,8 +455,7 @@ def recommend(model: ALSModel, ratings: DataFrame, n: int = 10, exclude_seen: bo
     no rows (cold start)."""
     seen = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"))
     wanted = (seen.select(F.col("u").alias("id")) if users is None else users.select(F.col(user).alias("id"))).distinct()
-    best = pruned_top_n(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, seen if exclude_seen else None,
-                        n, slab_bytes, block)
+    best = pruned_top_n(model.userFactors, model.itemFactors, seen if exclude_seen else None, n, slab_bytes, block, wanted)
     rows = best.select(F.col("u").alias(user), F.posexplode(F.arrays_zip("item", "score")))
     out = [F.col(user), F.col("col.item").cast("int").alias(item), F.col("col.score").alias("prediction")]
     return rows.select(*out, *([(F.col("pos") + 1).alias(rank_col)] if rank_col else []))
@@ -408,10 +468,8 @@ def recommend_nested(model: ALSModel, n: int = 10, users: DataFrame | None = Non
 
     Spark ML scores all pairs and shuffles ``n`` rows per user and block of 4,096
     items; this is the bound-pruned search of :func:`recommend`, ties to the smaller item id."""
-    factors = model.userFactors
-    if users is not None:
-        factors = factors.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
-    best = pruned_top_n(factors, model.itemFactors, None, n, slab_bytes, block)
+    wanted = None if users is None else users.select(F.col(user).alias("id")).distinct()
+    best = pruned_top_n(model.userFactors, model.itemFactors, None, n, slab_bytes, block, wanted)
     one = lambda i, s: F.struct(i.cast("int").alias(item), s.alias("rating"))
     return best.select(F.col("u").alias(user), F.zip_with("item", "score", one).alias("recommendations")).where("size(recommendations) > 0")
 

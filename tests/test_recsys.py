@@ -307,3 +307,37 @@ def test_fewer_item_blocks_send_less_and_give_the_same_model(spark, monkeypatch)
     for side in ("userFactors", "itemFactors"):
         a, b = ({r.id: np.array(r.features) for r in getattr(m, side).collect()} for m in (few, even))
         assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], rtol=1e-4, atol=1e-5) for i in a)
+
+
+def test_users_are_dealt_once_and_a_pass_meets_several_slabs(spark, monkeypatch):
+    """Nine slabs are met in passes of 1, 2, 4 and 2: users are written between passes, not per slab,
+    with what they have seen, and shuffled before the first pass only."""
+    rng = np.random.default_rng(13)
+    items = [(7 * i - 900, [float(np.float32(x)) for x in rng.normal(0, 1, 3)]) for i in range(64 * 9 - 10)]
+    users = [(u, [float(np.float32(x)) for x in rng.normal(0, 1, 3)]) for u in range(620)]
+    ids = [i for i, _ in items]
+    seen = {u: {int(x) for x in rng.choice(ids, 12, replace=False)} | {5000} for u, _ in users}
+    seen[9] = set(ids) - {ids[5], ids[50], ids[500]}  # more than one pair in 500: hot
+    pairs = spark.createDataFrame([(u, i) for u, x in seen.items() for i in x] * 2, "u int, i int")
+    m = _Factors(spark, users, items)
+    real, names = recsys.written, []
+    monkeypatch.setattr(recsys, "written", lambda df, name, *a: names.append((name, df)) or real(df, name, *a))
+    best = recsys.pruned_top_n(m.userFactors, m.itemFactors, pairs, 10, slab_bytes=1, block=32)
+    assert {r.u: r["item"] for r in best.collect()} == _brute(users, items, seen, 10)
+    states = [df._jdf.queryExecution().executedPlan().toString() for name, df in names if name == "top_n"]
+    assert len(states) == 3 and [name for name, _ in names].count("item_slabs") == 1
+    assert "REPARTITION_BY_NUM" in states[0] and not any("Exchange" in plan for plan in states[1:])
+
+
+def test_seen_pairs_are_shuffled_once_and_items_are_not_joined(spark):
+    """Pairs meet neither the items nor a second shuffle; a hot user's go as bitmap words."""
+    rows = spark.range(4000).selectExpr("cast(if(id % 4 = 0, 7, id % 997) as int) as u", "cast(id % 2000 - 500 as int) as i")
+    got = {r.u: r["seen"] for r in recsys._bitmaps(rows, 5).collect()}
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r.u, set()).add(r.i)
+    assert {u: {w.word * 64 + b for w in ws for b in range(64) if w.bits >> b & 1} for u, ws in got.items()} == want
+    assert len(got[7]) == len({i >> 6 for i in want[7]})
+    plan = recsys._bitmaps(rows, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(u") == 2 and "SortMergeJoin" not in plan
+    assert "partial_bit_or" in plan[plan.index("Union"):]  # hot users: before the shuffle
