@@ -109,9 +109,10 @@ def reliable_checkpoint(df):
 def written(df, name: str, partition_by=()):
     """``df`` written once as Parquet in the shared scratch folder and read
     back (a layer table without a catalog entry): later plans start from files
-    that outlive lost executors."""
+    that outlive lost executors, so the shuffle files of the write go when it ends."""
     path = scratch_path(df.sparkSession, name)
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -341,3 +341,19 @@ def test_seen_pairs_are_shuffled_once_and_items_are_not_joined(spark):
     plan = recsys._bitmaps(rows, 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(u") == 2 and "SortMergeJoin" not in plan
     assert "partial_bit_or" in plan[plan.index("Union"):]  # hot users: before the shuffle
+
+
+def test_written_rows_leave_no_shuffle_files(spark):
+    import time
+
+    from reelhouse.session import written
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {x for x in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    df = spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count()
+    before = held()
+    back = written(df, "kept")
+    until = time.time() + 20
+    while held() - before and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not held() - before
+    assert back.count() == 10 and df.count() == 10  # its shuffles are made anew for another action
